@@ -140,6 +140,7 @@ def prepare(
     test_size: float = 0.2,
     seed: int = 42,
     positive_label: str | None = None,
+    order_by: Sequence[str] = (),
     null_ids: str = "collapse",
     split: str = "hash",
     max_categories: int | None = MAX_CATEGORIES,
@@ -155,7 +156,7 @@ def prepare(
         roles = restrict_roles(df.columns, roles, categorical, numeric)
         check_features(roles)
         check_reserved(df.columns, roles)
-        rows = prepared_rows(df, roles, test_size, seed, null_ids=null_ids, split=split)
+        rows = prepared_rows(df, roles, test_size, seed, order_by, null_ids, split)
         staged = stage(rows, "prepared", partition_by=[SPLIT_PART])
         malformed = table.malformed
     finally:

@@ -11,13 +11,13 @@ import json
 from datetime import datetime, timezone
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.roles import ColumnRoles
+from tablewright.sources.staging import folder_exists
 
 RUN_SCHEMA = T.StructType(
     [
@@ -186,12 +186,10 @@ class RunStore:
         rows.coalesce(1).write.mode("append").parquet(f"{self.path}/{table}")
 
     def _table(self, table: str, schema: T.StructType) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.path}/{table}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        path = f"{self.path}/{table}"
+        if not folder_exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path)
 
 
 def run_roles(run: Row) -> ColumnRoles:

@@ -149,16 +149,17 @@ def is_nested(data_type: T.DataType) -> bool:
 
 
 def request_rows(
-    df: DataFrame, n: int, order_by: Sequence[str], drop: Sequence[str] = ()
+    df: DataFrame, n: int = 1, order_by: Sequence[str] = (), drop: Sequence[str] = ()
 ) -> DataFrame:
-    """The first n rows by ``order_by``, without the named columns."""
-    first = df.orderBy(*map(named, order_by)).limit(n)
+    """The first n rows by ``order_by`` (or by all columns), without the named ones."""
+    first = df.orderBy(*map(named, order_by or df.columns)).limit(n)
     return first.drop(*[c for c in drop if c in df.columns])
 
 
 def to_requests(df: DataFrame) -> DataFrame:
     """Each row as one JSON record."""
-    return df.select(F.to_json(F.struct(*map(named, df.columns)), {"ignoreNullFields": "false"}).alias("value"))
+    record = F.struct(*map(named, df.columns))
+    return df.select(F.to_json(record, {"ignoreNullFields": "false"}).alias("value"))
 
 
 def from_requests(requests: DataFrame, schema: T.StructType) -> DataFrame:

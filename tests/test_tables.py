@@ -1,0 +1,173 @@
+import datetime
+
+import pytest
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tablewright.operators.header import clean_header
+from tablewright.roles import ColumnRoles
+from tablewright.sources import tables
+from tablewright.sources.sinks import file_rows, write_table
+from tablewright.sources.staging import folder_exists, new_path, shared_folder
+from tests.support import plan, rows, write_lines
+
+RAGGED = ("id,y,z", "1,Yes,3", "2,No", "3,No,4,5", "4,Yes,6")
+
+
+def test_types_are_inferred_and_na_is_null(spark, tmp_path):
+    path = write_lines(
+        tmp_path / "t.csv",
+        "b,d,ts,none,dirty,q,s",
+        'true,2020-01-02,2020-01-02 10:00:00,NA,7,"NA",x',
+        "FALSE,2020-01-03,2020-01-03 11:00:00,NA,oops,a,  ",
+        "NA,NA,NA,NA,NA,,NA",
+    )
+    table = tables.open_table(spark, path)
+    types = {f.name: f.dataType.simpleString() for f in table.rows.schema.fields}
+    assert types == {
+        "b": "boolean",
+        "d": "date",
+        "ts": "timestamp",
+        "none": "string",
+        "dirty": "string",
+        "q": "string",
+        "s": "string",
+    }
+    found = sorted(table.rows.collect(), key=lambda r: str(r.d))
+    assert found[0].b is True and found[0].d == datetime.date(2020, 1, 2) and found[0].q is None
+    assert found[1].s == "  " and found[1].dirty == "oops"
+    assert tuple(found[2]) == (None,) * 7
+    assert table.malformed == 0
+
+
+def test_malformed_rows_are_left_out_of_every_query(spark, tmp_path):
+    table = tables.open_table(spark, write_lines(tmp_path / "m.csv", *RAGGED))
+    assert table.rows.count() == 2
+    assert rows(table.rows.select("id"), "id") == [(1,), (4,)]
+    assert rows(table.rows.groupBy("y").count()) == [("Yes", 2)]
+    assert table.malformed == 2
+
+
+def test_malformed_by_type(spark, tmp_path):
+    path = write_lines(
+        tmp_path / "m.csv", "id,y,z", "1,Yes,3", "2,No,abc", "3,No,4", "4,No", "5,Yes,1,2"
+    )
+    schema = T.StructType.fromDDL("id int, y string, z int")
+    table = tables.open_table(spark, path, schema=schema)
+    assert table.rows.count() == 2
+    assert rows(table.rows.groupBy("y").count(), "y") == [("No", 1), ("Yes", 1)]
+    assert table.malformed == 3
+
+
+def test_malformed_rows_can_fail(spark, tmp_path):
+    path = write_lines(tmp_path / "m.csv", *RAGGED)
+    with pytest.raises(ValueError, match="2 malformed rows"):
+        tables.open_table(spark, path, on_malformed="fail")
+    text, _ = tables.open_text_table(spark, path, on_malformed="fail")
+    with pytest.raises(PySparkException, match="Malformed row"):
+        text.collect()
+
+
+def test_text_table_counts_malformed_rows_in_the_same_pass(spark, tmp_path):
+    text, seen = tables.open_text_table(spark, write_lines(tmp_path / "m.csv", *RAGGED))
+    write_table(text.select("z"), str(tmp_path / "out"))
+    assert seen.get[tables.MALFORMED_COUNT] == 2
+    assert sorted(r.z for r in spark.read.csv(str(tmp_path / "out"), header=True).collect()) == ["3", "6"]
+
+
+def test_reader_names(spark, tmp_path):
+    path = write_lines(tmp_path / "h.csv", "\ufeff x ,x,x,Age,age,,q\ufeff", "1,2,3,4,5,6,7")
+    table = tables.open_table(spark, path)
+    assert table.rows.columns == [" x ", "x1", "x2", "Age3", "age4", "_c5", "q\ufeff"]
+    assert clean_header(table.rows).columns == ["x", "x1", "x2", "Age3", "age4", "_c5", "q"]
+
+
+def test_staged_table_is_dropped(spark, tmp_path):
+    table = tables.open_table(spark, write_lines(tmp_path / "m.csv", *RAGGED))
+    assert table.staged.startswith(shared_folder(spark))
+    table.drop()
+    assert not folder_exists(spark, table.staged)
+
+
+def test_parquet_dataframe_and_unknown_sources(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a")], "id int, s string")
+    df.write.parquet(str(tmp_path / "p"))
+    assert rows(tables.open_table(spark, str(tmp_path / "p"), "parquet").rows) == [(1, "a")]
+    assert tables.open_table(spark, df).rows is df
+    with pytest.raises(ValueError, match="Unknown format"):
+        tables.open_table(spark, "x", "orc")
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        tables.open_table(spark, str(tmp_path / "absent.csv"))
+
+
+def test_conform_restores_training_types(spark):
+    training = T.StructType.fromDDL("code int, day date, flag boolean, size double, name string, id int")
+    roles = ColumnRoles("y", ("id",), ("code", "day", "name"), ("flag", "size"))
+    text = spark.createDataFrame(
+        [("007", "2020-01-02", "true", "1.5", "x", "07"), ("z", "no", "maybe", "big", None, "A")],
+        "code string, day string, flag string, size string, name string, id string",
+    )
+    first, second = tables.conform(text, training, roles).collect()
+    assert tuple(first) == (7, datetime.date(2020, 1, 2), True, "1.5", "x", "07")
+    assert tuple(second) == (None, None, None, "big", None, "A")
+
+
+def test_requests(spark):
+    df = spark.createDataFrame(
+        [(2, None, 0.1), (1, "a", 2.5), (3, "c", None)], "id int, y string, x double"
+    )
+    assert rows(tables.request_rows(df, 2, ["id"], drop=["y", "gone"])) == [(1, 2.5), (2, 0.1)]
+    assert len(tables.request_rows(df).collect()) == 1
+    requests = tables.to_requests(df)
+    assert requests.orderBy("value").first().value == '{"id":1,"y":"a","x":2.5}'
+    assert rows(tables.from_requests(requests, df.schema), "id") == rows(df, "id")
+
+
+def test_csv_output_of_nulls_vectors_and_nested_values(spark, tmp_path):
+    df = spark.range(0, 1, 1, 1).select(
+        F.lit(1).alias("id"),
+        F.lit(None).cast("string").alias("gone"),
+        F.lit("").alias("empty"),
+        array_to_vector(F.array(F.lit(0.25), F.lit(0.75))).alias("probability"),
+        F.array(F.lit(1), F.lit(2)).alias("arr"),
+    )
+    path = str(tmp_path / "out")
+    write_table(file_rows(df, df.columns), path)
+    (file,) = (tmp_path / "out").glob("part-*.csv")
+    header, line = file.read_text().splitlines()
+    assert header == "id,gone,empty,probability,arr"
+    assert line == '1,,"","0.25,0.75","[1,2]"'
+    assert rows(file_rows(df, ["probability"], "parquet")) == [([0.25, 0.75],)]
+    with pytest.raises(ValueError, match="Unknown format"):
+        write_table(df, path, "orc")
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = Conf()
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
+
+
+def test_new_paths_differ(spark):
+    assert new_path(spark, "a") != new_path(spark, "a")
+
+
+def test_pushdown_reaches_the_staged_table(spark, tmp_path):
+    table = tables.open_table(spark, write_lines(tmp_path / "m.csv", *RAGGED))
+    text = plan(table.rows.select("y"))
+    assert "IsNull(__malformed_row__)" in text and "ReadSchema: struct<c1:string,__malformed_row__:string>" in text
