@@ -45,5 +45,10 @@ def probability_text(column: Column) -> Column:
 
 def hash_bucket(keys: Sequence[Column], seed: int) -> Column:
     """Bucket of a row that depends only on its key values and the seed."""
+    return F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(SPLIT_BUCKETS))
+
+
+def portable_bucket(keys: Sequence[Column], seed: int) -> Column:
+    """The same from md5, which other engines have too; several times slower."""
     text = F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in keys])
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % SPLIT_BUCKETS

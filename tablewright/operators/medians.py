@@ -13,15 +13,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.columns import named
 from tablewright.roles import IMPUTED_SUFFIX
 
 FINISH_ROWS = 200_000
-RANK_ERROR = 0.001
+ACCURACY = 1000
 
 
 @dataclass(frozen=True)
@@ -85,29 +84,16 @@ def exact_medians(
 
 
 def narrow(table: DataFrame, state: dict[str, Interval]) -> dict[str, Interval]:
+    """Two scans: borders close to the wanted rank, then counts around them."""
     inside = table.select(*[F.when(s.holds(F.col(c)), F.col(c)).alias(c) for c, s in state.items()])
-    borders = {}
-    targets = {c: s.rank / s.rows for c, s in state.items()}
-    wanted = sorted(
-        {min(1.0, max(0.0, t + side)) for t in targets.values() for side in (-2 * RANK_ERROR, 2 * RANK_ERROR)}
-    )
-    quantiles = inside.approxQuantile(list(state), wanted, RANK_ERROR)
-    for (c, target), values in zip(targets.items(), quantiles):
-        low_at = min(1.0, max(0.0, target - 2 * RANK_ERROR))
-        high_at = min(1.0, max(0.0, target + 2 * RANK_ERROR))
-        borders[c] = (values[wanted.index(low_at)], values[wanted.index(high_at)])
+    borders = inside.agg(
+        *[F.percentile_approx(c, around(s.rank / s.rows), ACCURACY).alias(c) for c, s in state.items()]
+    ).first()
     counts = inside.agg(
         *[
             F.count_if(test).alias(f"{c}_{i}")
-            for c, (a, b) in borders.items()
-            for i, test in enumerate(
-                [
-                    F.col(c) < a,
-                    F.col(c) == a,
-                    (F.col(c) > a) & (F.col(c) < b),
-                    (F.col(c) == b) & F.lit(a != b),
-                ]
-            )
+            for c in state
+            for i, test in enumerate(around_counts(F.col(c), *borders[c]))
         ]
     ).first()
     return {
@@ -116,6 +102,16 @@ def narrow(table: DataFrame, state: dict[str, Interval]) -> dict[str, Interval]:
     }
 
 
+def around(share: float) -> list[float]:
+    margin = 2 / ACCURACY
+    return [max(0.0, share - margin), min(1.0, share + margin)]
+
+
+def around_counts(value: Column, a: float, b: float) -> list[Column]:
+    """Below the first border, on it, between both, on the second one."""
+    return [value < a, value == a, (value > a) & (value < b), (value == b) & F.lit(a != b)]
+
+
 def finish(table: DataFrame, state: dict[str, Interval]) -> dict[str, Interval]:
     """Pick the value at the rank among the few distinct values left."""
     if not state:

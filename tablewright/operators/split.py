@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tablewright.functions.columns import SPLIT_BUCKETS, hash_bucket, named
+from tablewright.functions.columns import SPLIT_BUCKETS, hash_bucket, named, portable_bucket
 from tablewright.roles import SPLIT_PART
 
 TRAIN = "train"
@@ -22,23 +25,33 @@ def check_test_size(test_size: float) -> None:
 def split_key(df: DataFrame, ids: Sequence[str]) -> list[Column]:
     """What identifies a row for the split.
 
-    Rows with a null id (and all rows of a table without ids) are told apart by
-    a hash of their whole content, otherwise they would land on one side together.
+    Whole numbers count as long, whatever width they were read with. Rows with a
+    null id (and all rows of a table without ids) are told apart by a hash of
+    their whole content, otherwise they would land on one side together.
     """
     content = F.xxhash64(*map(named, df.columns))
-    present = [named(c) for c in ids if c in df.columns]
+    present = [f for f in df.schema.fields if f.name in ids]
     if not present:
         return [content]
-    complete = F.concat_ws("", *[F.when(c.isNull(), "x") for c in present]) == ""
-    return [*present, F.when(~complete, content)]
+    keys = [
+        named(f.name).cast("long" if isinstance(f.dataType, T.IntegralType) else "string")
+        for f in sorted(present, key=lambda f: list(ids).index(f.name))
+    ]
+    incomplete = reduce(or_, [k.isNull() for k in keys])
+    return [*keys, F.when(incomplete, content)]
 
 
 def hash_split(
-    df: DataFrame, ids: Sequence[str], test_size: float, seed: int, output: str = SPLIT_PART
+    df: DataFrame,
+    ids: Sequence[str],
+    test_size: float,
+    seed: int,
+    output: str = SPLIT_PART,
+    portable: bool = False,
 ) -> DataFrame:
     """Mark each row as train or test from its key alone: no shuffle, repeatable."""
     check_test_size(test_size)
-    bucket = hash_bucket(split_key(df, ids), seed)
+    bucket = (portable_bucket if portable else hash_bucket)(split_key(df, ids), seed)
     border = round(SPLIT_BUCKETS * (1 - test_size))
     return df.withColumn(output, F.when(bucket < border, TRAIN).otherwise(TEST))
 

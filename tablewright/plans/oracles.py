@@ -29,12 +29,52 @@ SELECT state AS value, count(*) AS n,
 FROM {RETURNED} GROUP BY state)"""
 
 
-def bucket(key: str) -> str:
-    return f"CAST('0x' || substr(md5(concat_ws('|', '42', {key})), 1, 8) AS BIGINT) % 10000"
+def portable_part(key: str) -> str:
+    bucket = f"CAST('0x' || substr(md5(concat_ws('|', '42', {key})), 1, 8) AS BIGINT) % 10000"
+    return f"CASE WHEN {bucket} < 8000 THEN 'train' ELSE 'test' END"
 
 
-def part(key: str) -> str:
-    return f"CASE WHEN {bucket(key)} < 8000 THEN 'train' ELSE 'test' END"
+# The primes of the 64-bit xxHash, and its hash of the integer 42
+# (the split seed), which is the seed for the key that follows.
+PRIMES = (
+    11400714785074694791,
+    14029467366897019727,
+    1609587929392839161,
+    9650029242287828579,
+    2870177450012600261,
+)
+SEED_HASH = 18059084824599107352
+
+
+def wide(value: str | int) -> str:
+    return f"CAST({value} AS UHUGEINT)"
+
+
+def times(value: str, factor: int) -> str:
+    return f"({value} * {wide(factor)}) % {wide(2**64)}"
+
+
+def rotated(value: str, bits: int) -> str:
+    return f"({value} * {wide(2**bits)}) % {wide(2**64)} + {value} // {wide(2 ** (64 - bits))}"
+
+
+def parts(key: str, table: str) -> str:
+    """Each whole-number key with its split part, by the 64-bit xxHash of (42, key)."""
+    p1, p2, p3, p4, p5 = PRIMES
+    start = wide((SEED_HASH + p5 + 8) % 2**64)
+    return f"""(
+SELECT key,
+       {times(wide("key"), p2)} AS a,
+       {rotated("a", 31)} AS b,
+       xor({start}, {times("b", p1)}) AS c,
+       {rotated("c", 27)} AS d,
+       ({times("d", p1)} + {wide(p4)}) % {wide(2**64)} AS e,
+       {times(f"xor(e, e // {wide(2**33)})", p2)} AS f,
+       {times(f"xor(f, f // {wide(2**29)})", p3)} AS g,
+       xor(g, g // {wide(2**32)}) AS h,
+       CAST(h % 10000 AS BIGINT) - CASE WHEN h >= {wide(2**63)} THEN {2**64 % 10000} ELSE 0 END AS bucket,
+       CASE WHEN (bucket + 10000) % 10000 < 8000 THEN 'train' ELSE 'test' END AS split_part
+FROM (SELECT DISTINCT {key} AS key FROM {table}))"""
 
 
 def ranks(value: str, table: str) -> str:
@@ -198,8 +238,15 @@ FROM orders JOIN {ranks("o_orderstatus", "orders")} r ON r.value = o_orderstatus
 SELECT l_orderkey, l_linenumber, state, CAST(idx AS DOUBLE) AS label,
        CAST(class_weight AS DOUBLE) AS class_weight
 FROM {RETURNED} JOIN {STATES} ON value = state""",
-    "hash_split": f"SELECT o_orderkey, o_totalprice, {part('o_orderkey')} AS split_part FROM orders",
-    "split_counts": f"SELECT {part('o_orderkey')} AS split_part, count(*) AS n FROM orders GROUP BY 1",
+    "hash_split": f"""
+SELECT o_orderkey, o_totalprice, split_part
+FROM orders JOIN {parts("o_orderkey", "orders")} ON key = o_orderkey""",
+    "portable_split": f"""
+SELECT o_orderkey, o_totalprice, {portable_part("o_orderkey")} AS split_part FROM orders""",
+    "split_counts": f"""
+SELECT split_part, count(*) AS n
+FROM orders JOIN {parts("o_orderkey", "orders")} ON key = o_orderkey GROUP BY split_part""",
+    "random_split_cover": "SELECT o_orderkey, o_totalprice FROM orders",
     "category_index": f"""
 SELECT doc_id, lang, source, CAST(a.idx AS DOUBLE) AS lang_idx,
        CAST(coalesce(b.idx, (SELECT count(*) FROM {SEEN_SOURCES})) AS DOUBLE) AS source_idx
@@ -236,12 +283,22 @@ WHERE value <> 0""",
     "training_rows": f"""
 SELECT doc_id, quality, lang, source, n_chars, n_words, CAST(quality AS DOUBLE) AS label,
        CAST(count(*) OVER () / (2 * count(*) OVER (PARTITION BY quality)) AS DOUBLE) AS class_weight,
-       {part('doc_id')} AS split_part
-FROM {LABELLED}""",
+       split_part
+FROM {LABELLED} JOIN {parts("doc_id", "labels")} ON key = doc_id""",
     "score_contract": f"""
 SELECT doc_id, CAST(quality AS DOUBLE) AS label, true AS shares_sum_to_one, true AS margins_cancel,
        true AS logistic_share, true AS majority_prediction
-FROM labels JOIN documents USING (doc_id) WHERE {part('doc_id')} = 'test'""",
+FROM labels JOIN documents USING (doc_id)
+JOIN {parts("doc_id", "labels")} ON key = doc_id WHERE split_part = 'test'""",
+    "batch_contract": """
+SELECT doc_id, true AS shares_sum_to_one, true AS majority_prediction, true AS label_text
+FROM documents""",
+    "stream_equals_batch": """
+SELECT doc_id, true AS same_prediction, true AS same_probability FROM documents""",
+    "run_dictionaries": """
+SELECT 'small' AS run_name, CAST(quality AS INTEGER) AS label, CAST(quality AS VARCHAR) AS value,
+       CAST(sum(count(*)) OVER () / (2 * count(*)) AS DOUBLE) AS class_weight
+FROM labels JOIN documents USING (doc_id) GROUP BY quality""",
     "stream_features": f"""
 SELECT doc_id, CAST(lang_idx AS DOUBLE) AS lang_idx, CAST(source_idx AS DOUBLE) AS source_idx,
        n_chars AS n_chars_imputed, n_words AS n_words_imputed

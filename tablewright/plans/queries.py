@@ -262,6 +262,11 @@ def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.hash_split(orders, ["o_orderkey"], TEST_SIZE, SEED)
 
 
+def portable_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return split.hash_split(orders, ["o_orderkey"], TEST_SIZE, SEED, portable=True)
+
+
 def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = split.hash_split(read(spark, sf_dir, "orders"), ["o_orderkey"], TEST_SIZE, SEED)
     return marked.groupBy("split_part").agg(F.count(F.lit(1)).alias("n"))
@@ -276,6 +281,11 @@ def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(second)
 
 
+def random_split_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both parts together hold every row once."""
+    return random_split(spark, sf_dir).drop("split_part")
+
+
 # Feature stages
 
 
@@ -446,8 +456,19 @@ def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("doc_id").cast("long"), "prediction", "probability", "predicted_label")
 
 
-def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, run = RunStore(spark, registered_model(spark, sf_dir)).load("good_documents")
+def batch_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds for every row of a scored file, whatever the trees are."""
+    shares = F.split("probability", ",").cast("array<double>")
+    likely = shares[1] > 0.5
+    return batch_scores(spark, sf_dir).select(
+        "doc_id",
+        (F.abs(shares[0] + shares[1] - 1) < 1e-9).alias("shares_sum_to_one"),
+        (likely.cast("double") == F.col("prediction")).alias("majority_prediction"),
+        (likely.cast("int") == F.col("predicted_label")).alias("label_text"),
+    )
+
+
+def streamed(spark: SparkSession, sf_dir: str, model, run) -> DataFrame:
     source = stage(documents_with_words(spark, sf_dir), "incoming")
     stream = streaming.read_stream(spark, source, spark.read.parquet(source).schema)
     output = new_path(spark, "stream_scores")
@@ -460,6 +481,34 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, run = RunStore(spark, registered_model(spark, sf_dir)).load("good_documents")
+    return streamed(spark, sf_dir, model, run)
+
+
+def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, run = RunStore(spark, registered_model(spark, sf_dir)).load("good_documents")
+    stream = streamed(spark, sf_dir, model, run)
+    batch = score_rows(model, documents_with_words(spark, sf_dir), run).select(
+        "doc_id",
+        F.col("prediction").alias("batch_prediction"),
+        vector_to_array("probability")[1].alias("batch_probability"),
+    )
+    return stream.join(batch, "doc_id", "full_outer").select(
+        "doc_id",
+        F.col("prediction").eqNullSafe(F.col("batch_prediction")).alias("same_prediction"),
+        F.col("probability").eqNullSafe(F.col("batch_probability")).alias("same_probability"),
+    )
+
+
+def run_dictionaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label texts and class weights as a training run has recorded them."""
+    runs = RunStore(spark, registered_model(spark, sf_dir)).runs()
+    pairs = runs.select("run_name", "class_weights", F.posexplode("label_values").alias("label", "value"))
+    weight = F.col("class_weights")[F.col("label").cast("double").cast("string")]
+    return pairs.select("run_name", "label", "value", weight.alias("class_weight"))
+
+
 def stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON requests through the feature stages as a stream."""
     documents = documents_with_words(spark, sf_dir)
@@ -525,8 +574,8 @@ def accuracy_and_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    area = metrics.roc_auc(rule_predictions(spark, sf_dir), score="score", bins=0)
-    return spark.createDataFrame([(round(area, 9),)], "roc_auc double")
+    area = metrics.roc_area(rule_predictions(spark, sf_dir), score="score")
+    return area.select(F.round("roc_auc", 9).alias("roc_auc"))
 
 
 # Output and run selection
@@ -625,8 +674,10 @@ QUERIES: dict[str, Query] = {
     "class_weights": class_weights,
     "row_weights": row_weights,
     "hash_split": hash_split,
+    "portable_split": portable_split,
     "split_counts": split_counts,
     "random_split": random_split,
+    "random_split_cover": random_split_cover,
     "category_index": category_index,
     "one_hot": one_hot,
     "median_surrogates": median_surrogates,
@@ -638,7 +689,10 @@ QUERIES: dict[str, Query] = {
     "gbt_scores": gbt_scores,
     "score_contract": score_contract,
     "batch_scores": batch_scores,
+    "batch_contract": batch_contract,
+    "run_dictionaries": run_dictionaries,
     "stream_scores": stream_scores,
+    "stream_equals_batch": stream_equals_batch,
     "stream_features": stream_features,
     "registered_features": registered_features,
     "confusion": confusion,

@@ -55,6 +55,10 @@ NO_STAGE = "None"
 PRODUCTION = "Production"
 
 
+def now() -> str:
+    return datetime.now(timezone.utc).isoformat(timespec="microseconds")
+
+
 class RunStore:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -97,7 +101,7 @@ class RunStore:
                 "run_id": run_id,
                 "experiment": experiment,
                 "run_name": run_name,
-                "finished_at": datetime.now(timezone.utc),
+                "finished_at": now(),
                 "params": {k: str(v) for k, v in (params or {}).items()},
                 "tags": {k: str(v) for k, v in (tags or {}).items()},
                 "metrics": {k: float(v) for k, v in (metrics or {}).items()},
@@ -177,13 +181,14 @@ class RunStore:
                 "version": version,
                 "stage": stage,
                 "run_id": run_id,
-                "changed_at": datetime.now(timezone.utc),
+                "changed_at": now(),
             },
         )
 
     def _append(self, table: str, schema: T.StructType, row: dict) -> None:
-        rows = self.spark.createDataFrame([tuple(row[n] for n in schema.names)], schema)
-        rows.coalesce(1).write.mode("append").parquet(f"{self.path}/{table}")
+        record = F.from_json(F.lit(json.dumps(row)), schema)
+        rows = self.spark.range(0, 1, 1, 1).select(record.alias("record")).select("record.*")
+        rows.write.mode("append").parquet(f"{self.path}/{table}")
 
     def _table(self, table: str, schema: T.StructType) -> DataFrame:
         path = f"{self.path}/{table}"

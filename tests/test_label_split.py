@@ -70,23 +70,32 @@ def test_weights_sum_to_the_number_of_rows():
     assert sum(n * w for n, w in zip(found.counts, found.weights().values())) == pytest.approx(25)
 
 
-def test_split_by_key_hash(spark):
+def test_portable_split_by_key_hash(spark):
     df = spark.createDataFrame([(7, "x")], "id int, s string")
     bucket = int(hashlib.md5(b"42|7").hexdigest()[:8], 16) % 10000
     assert bucket == 2085
-    assert hash_split(df, ["id"], 0.8, 42).first().split_part == "test"
-    assert hash_split(df, ["id"], 0.2, 42).first().split_part == "train"
+    assert hash_split(df, ["id"], 0.8, 42, portable=True).first().split_part == "test"
+    assert hash_split(df, ["id"], 0.7, 42, portable=True).first().split_part == "train"
+
+
+def test_split_does_not_depend_on_the_width_of_the_key(spark):
+    df = spark.range(500)
+    narrow = df.select(F.col("id").cast("int").alias("id"))
+    for portable in (False, True):
+        wide_parts = rows(hash_split(df, ["id"], 0.3, 1, portable=portable), "id")
+        assert rows(hash_split(narrow, ["id"], 0.3, 1, portable=portable), "id") == wide_parts
 
 
 def test_split_share_and_independence_of_partitioning(spark):
     df = spark.range(20000)
-    one = hash_split(df.repartition(1), ["id"], 0.2, 42)
-    many = hash_split(df.repartition(7), ["id"], 0.2, 42)
-    assert one.exceptAll(many).count() == 0
-    share = one.filter("split_part = 'test'").count() / 20000
-    assert share == pytest.approx(0.2, abs=0.01)
-    other = hash_split(df, ["id"], 0.2, 43)
-    assert one.exceptAll(other).count() > 0
+    for portable in (False, True):
+        one = hash_split(df.repartition(1), ["id"], 0.2, 42, portable=portable)
+        many = hash_split(df.repartition(7), ["id"], 0.2, 42, portable=portable)
+        assert one.exceptAll(many).count() == 0
+        share = one.filter("split_part = 'test'").count() / 20000
+        assert share == pytest.approx(0.2, abs=0.01)
+        other = hash_split(df, ["id"], 0.2, 43, portable=portable)
+        assert one.exceptAll(other).count() > 0
 
 
 def test_rows_with_null_ids_or_without_ids_are_spread(spark):

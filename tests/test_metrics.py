@@ -1,5 +1,7 @@
 import pytest
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
 
 from tablewright.operators.metrics import accuracy_and_f1, class_report, confusion, evaluate, roc_auc
 from tests.support import rows
@@ -40,6 +42,32 @@ def test_area_under_curve_with_ties(scored):
     assert roc_auc(flipped, bins=0) == pytest.approx(1 - brute_auc(pairs), abs=1e-12)
 
 
+def test_area_equals_the_built_in_curve_of_all_scores(spark):
+    """30,000 scores, a third of them equal, cut into many ranges."""
+    df = spark.range(30000).select(
+        (F.rand(1) < 0.3).cast("double").alias("label"),
+        F.when(F.col("id") % 3 == 0, 0.25).otherwise(F.rand(2)).alias("score"),
+    )
+    df = df.withColumn("rawPrediction", array_to_vector(F.array(-F.col("score"), F.col("score"))))
+    built_in = BinaryClassificationEvaluator(numBins=0)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        found = roc_auc(df)
+        assert roc_auc(df, score="score") == found
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert found == pytest.approx(built_in.evaluate(df), abs=1e-12)
+    assert roc_auc(df, bins=1000) == pytest.approx(found, abs=1e-4)
+
+
+@pytest.mark.parametrize("label, area", [(1.0, 1.0), (0.0, 0.0)])
+def test_area_with_one_class_only(spark, label, area):
+    df = spark.createDataFrame([(label, 0.1), (label, 0.7)], "label double, rawPrediction double")
+    assert roc_auc(df) == area == BinaryClassificationEvaluator(numBins=0).evaluate(df)
+
+
 def test_evaluate(scored):
     found = evaluate(scored)
     assert set(found) == {"roc_auc", "accuracy", "f1"}
