@@ -12,7 +12,7 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     VectorAssembler,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions.columns import named
@@ -84,7 +84,17 @@ def impute_stage(numeric: tuple[str, ...], rank_error: float = MEDIAN_RANK_ERROR
     )
 
 
-def feature_pipeline(roles: ColumnRoles, rank_error: float = MEDIAN_RANK_ERROR) -> Pipeline:
+def impute_model(spark: SparkSession, medians: dict[str, float]) -> ImputerModel:
+    """The fitted stage for medians that are known: those of a table of one row."""
+    values = spark.range(1).select(*[F.lit(m).cast("double").alias(c) for c, m in medians.items()])
+    return impute_stage(tuple(medians)).fit(values)
+
+
+def feature_pipeline(
+    roles: ColumnRoles,
+    rank_error: float = MEDIAN_RANK_ERROR,
+    imputer: ImputerModel | None = None,
+) -> Pipeline:
     """Clean, index, one-hot, impute and assemble: one-hot columns come first."""
     check_features(roles)
     stages = [cleaning_stage(roles)]
@@ -93,7 +103,7 @@ def feature_pipeline(roles: ColumnRoles, rank_error: float = MEDIAN_RANK_ERROR)
         stages += [index_stage(roles.categorical), one_hot_stage(roles.categorical)]
         inputs += [c + ONE_HOT_SUFFIX for c in roles.categorical]
     if roles.numeric:
-        stages.append(impute_stage(roles.numeric, rank_error))
+        stages.append(imputer or impute_stage(roles.numeric, rank_error))
         inputs += [c + IMPUTED_SUFFIX for c in roles.numeric]
     stages.append(VectorAssembler(inputCols=inputs, outputCol=FEATURES))
     return Pipeline(stages=stages)

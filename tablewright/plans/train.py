@@ -19,6 +19,7 @@ from tablewright.operators.features import (
     MEDIAN_RANK_ERROR,
     check_categories,
     feature_pipeline,
+    impute_model,
     learner,
 )
 from tablewright.operators.header import clean_header
@@ -28,6 +29,7 @@ from tablewright.operators.label import (
     index_label,
     label_dictionary,
 )
+from tablewright.operators.medians import exact_medians
 from tablewright.operators.metrics import ROC_BINS, evaluate
 from tablewright.operators.split import TEST, TRAIN, check_test_size, hash_split, random_split
 from tablewright.operators.validate import check_features, validate
@@ -188,7 +190,12 @@ class Run:
 
 
 def fit_features(prepared: Prepared, rank_error: float = MEDIAN_RANK_ERROR) -> PipelineModel:
-    return feature_pipeline(prepared.roles, rank_error).fit(prepared.part(TRAIN))
+    """Feature stages fitted on the training part; ``rank_error=0`` takes exact medians."""
+    rows = prepared.part(TRAIN)
+    imputer = None
+    if rank_error == 0 and prepared.roles.numeric:
+        imputer = impute_model(rows.sparkSession, exact_medians(rows, prepared.roles.numeric))
+    return feature_pipeline(prepared.roles, rank_error, imputer).fit(rows)
 
 
 def fit(
@@ -210,12 +217,14 @@ def train(
     experiment: str = "default",
     run_name: str | None = None,
     register_as: str | None = None,
+    rank_error: float = MEDIAN_RANK_ERROR,
     bins: int = ROC_BINS,
     **reading,
 ) -> Run:
-    """Prepare, fit, measure and record one run."""
+    """Prepare, fit, measure and record one run; ``reading`` goes to ``prepare``."""
+    grid = {run_name: params}
     (run,) = train_grid(
-        spark, source, label, ids, {run_name: params}, runs_path, experiment, register_as, bins, **reading
+        spark, source, label, ids, grid, runs_path, experiment, register_as, rank_error, bins, **reading
     )
     return run
 
@@ -229,6 +238,7 @@ def train_grid(
     runs_path: str | None = None,
     experiment: str = "default",
     register_as: str | None = None,
+    rank_error: float = MEDIAN_RANK_ERROR,
     bins: int = ROC_BINS,
     **reading,
 ) -> list[Run]:
@@ -239,7 +249,7 @@ def train_grid(
     ((test_size, seed),) = splits
     prepared = prepare(spark, source, label, ids, test_size=test_size, seed=seed, **reading)
     try:
-        features = fit_features(prepared)
+        features = fit_features(prepared, rank_error)
         data_path = source if isinstance(source, str) else ""
         return [
             measured_run(prepared, features, params, runs_path, experiment, name, register_as, bins, data_path)

@@ -15,10 +15,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from tablewright.functions.columns import named
 from tablewright.roles import ColumnRoles, clean_name
@@ -36,12 +38,22 @@ def csv_reader(spark: SparkSession) -> DataFrameReader:
     return spark.read.options(header=True, nullValue=NULL_TEXT)
 
 
-def marking(reader: DataFrameReader, schema: T.StructType) -> DataFrameReader:
+Reader = TypeVar("Reader", DataFrameReader, DataStreamReader)
+
+
+def marking(reader: Reader, schema: T.StructType) -> Reader:
     """Keep malformed rows and mark them with their text."""
     marked = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
     return reader.schema(marked).options(mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED)
 
 
+def without_malformed(marked: DataFrame, seen: Observation | str) -> DataFrame:
+    """Leave marked rows out and let the observation count them on the way."""
+    mark = named(MALFORMED)
+    counted = marked.observe(seen, F.count_if(mark.isNotNull()).alias(MALFORMED_COUNT))
+    return counted.filter(mark.isNull()).drop(MALFORMED)
+
+
 @dataclass(frozen=True)
 class OpenTable:
     """Rows of a source that have the same content in every query."""
@@ -106,15 +118,14 @@ def open_text_table(
     schema = csv_reader(spark).csv(path).schema
     reader = marking(csv_reader(spark).option("columnPruning", False), schema)
     text = reader.csv(path)
-    mark = named(MALFORMED)
     if on_malformed == "fail":
+        mark = named(MALFORMED)
         fine = F.when(mark.isNull(), True).otherwise(
             F.raise_error(F.concat(F.lit("Malformed row: "), mark)).cast("boolean")
         )
         return text.filter(fine).drop(MALFORMED), None
     seen = Observation()
-    counted = text.observe(seen, F.count_if(mark.isNotNull()).alias(MALFORMED_COUNT))
-    return counted.filter(mark.isNull()).drop(MALFORMED), seen
+    return without_malformed(text, seen), seen
 
 
 def conform(df: DataFrame, training: T.StructType, roles: ColumnRoles) -> DataFrame:

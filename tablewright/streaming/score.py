@@ -14,7 +14,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tablewright.plans.score import score_output, score_rows
-from tablewright.sources.tables import NULL_TEXT, from_requests
+from tablewright.sources.tables import (
+    MALFORMED_COUNT,
+    NULL_TEXT,
+    from_requests,
+    marking,
+    without_malformed,
+)
 
 
 def read_stream(
@@ -24,7 +30,11 @@ def read_stream(
     format: str = "parquet",
     files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """New files of a folder: Parquet, CSV, or JSON request records (one per line)."""
+    """New files of a folder: Parquet, CSV, or JSON request records (one per line).
+
+    The progress of a CSV stream reports the malformed rows it left out, under
+    ``observedMetrics['malformed']``.
+    """
     reader = spark.readStream
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
@@ -33,9 +43,9 @@ def read_stream(
     if format == "csv":
         # The header of each file must match the schema instead of being ignored.
         reader = reader.options(
-            header=True, nullValue=NULL_TEXT, mode="DROPMALFORMED", enforceSchema=False, columnPruning=False
+            header=True, nullValue=NULL_TEXT, enforceSchema=False, columnPruning=False
         )
-        return reader.schema(schema).csv(path)
+        return without_malformed(marking(reader, schema).csv(path), MALFORMED_COUNT)
     return reader.schema(schema).parquet(path)
 
 

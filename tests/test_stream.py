@@ -7,6 +7,7 @@ from tablewright.plans.score import score_rows
 from tablewright.roles import ColumnRoles
 from tablewright.sources.tables import to_requests
 from tablewright.streaming.score import read_stream, score_stream, text_schema
+from tests.support import write_lines
 
 ROLES = ColumnRoles("y", ("o_orderkey",), ("o_orderpriority",), ("o_totalprice",))
 
@@ -73,6 +74,18 @@ def test_a_restart_scores_only_new_files(spark, model, orders, tmp_path):
     assert found.count() == orders.count()
 
 
+def test_csv_stream_counts_malformed_rows(spark, model, orders, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    write_lines(source / "a.csv", ",".join(orders.columns), "1,1-URGENT,5.5,F", "2,1-URGENT", "3,NA,,O")
+    stream = read_stream(spark, str(source), text_schema(orders.columns), "csv")
+    query = score_stream(model, stream, str(tmp_path / "out"), str(tmp_path / "state"), ids=["o_orderkey"])
+    query.awaitTermination()
+    found = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(r.o_orderkey for r in found.collect()) == ["1", "3"]
+    assert query.lastProgress.observedMetrics["malformed"].malformed == 1
+
+
 def test_csv_stream_with_other_header_is_refused(spark, model, orders, tmp_path):
     source = str(tmp_path / "in")
     orders.withColumnRenamed("o_totalprice", "total").write.option("header", True).csv(source)

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright import RunStore, TrainParams, prepare, score, score_rows, train, train_grid
+from tablewright.operators.features import expected_columns
 from tablewright.plans.train import fit, fit_features
 from tablewright.sources.staging import folder_exists, shared_folder
 from tests.support import plan, rows, write_lines
@@ -221,6 +222,15 @@ def test_same_seed_same_model(spark, training_file):
     assert first.split("\n", 1)[1] == second.split("\n", 1)[1]
 
 
+def test_exact_medians_in_the_model(spark, training_file):
+    prepared = prepare(spark, training_file, "leaves", ["Customer"])
+    model = fit_features(prepared, rank_error=0)
+    (imputer,) = [s for s in model.stages if type(s).__name__ == "ImputerModel"]
+    known = sorted(r.calls for r in prepared.part("train").collect() if r.calls is not None)
+    assert imputer.surrogateDF.first().calls == known[(len(known) - 1) // 2]
+    assert expected_columns(model) == (["plan"], ["active", "calls"])
+
+
 def test_refused_inputs(spark, tmp_path):
     def data(schema, *values):
         return spark.createDataFrame(list(values), schema)
