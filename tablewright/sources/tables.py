@@ -95,6 +95,8 @@ def open_table(
 
     if schema is None:
         schema = csv_reader(spark).option("inferSchema", True).csv(source).schema
+    if not schema.fields:
+        raise ValueError(f"No columns in {source}")
     parsed = marking(csv_reader(spark), schema).csv(source)
     # Staged by position: header texts need not be valid or distinct as column names.
     plain = [f"c{i}" for i in range(len(schema.fields))]

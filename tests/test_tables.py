@@ -163,6 +163,14 @@ def test_shared_folder_must_be_named_on_a_cluster():
         shared_folder(Session())
 
 
+def test_files_without_rows_or_columns(spark, tmp_path):
+    table = tables.open_table(spark, write_lines(tmp_path / "h.csv", "id,y"))
+    assert table.rows.columns == ["id", "y"] and table.rows.count() == 0
+    (tmp_path / "e.csv").write_text("")
+    with pytest.raises(ValueError, match="No columns"):
+        tables.open_table(spark, str(tmp_path / "e.csv"))
+
+
 def test_new_paths_differ(spark):
     assert new_path(spark, "a") != new_path(spark, "a")
 
