@@ -180,6 +180,7 @@ ORACLES: dict[str, str] = {
 SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority
 FROM orders ORDER BY o_orderkey LIMIT 25""",
     "request_json": CUSTOMER_WITH_NULLS,
+    "split_requests": CUSTOMER_WITH_NULLS,
     "normalize_header": """
 SELECT c_custkey, c_name, c_acctbal AS "c_acct.bal" FROM customer""",
     "column_profile": " UNION ALL ".join(

@@ -133,6 +133,11 @@ def request_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.from_requests(tables.to_requests(rows), rows.schema)
 
 
+def split_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = customer_with_nulls(spark, sf_dir)
+    return tables.from_split_requests(tables.to_split_requests(rows), rows.schema)
+
+
 # Header, roles and checks
 
 
@@ -510,12 +515,12 @@ def run_dictionaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON requests through the feature stages as a stream."""
+    """Request documents through the feature stages as a stream."""
     documents = documents_with_words(spark, sf_dir)
     fitted = features.feature_pipeline(DOCUMENT_ROLES).fit(documents)
     source = new_path(spark, "requests")
-    tables.to_requests(documents).write.text(source)
-    stream = streaming.read_stream(spark, source, documents.schema, "requests")
+    tables.to_split_requests(documents).write.text(source)
+    stream = streaming.read_stream(spark, source, documents.schema, "split_requests")
     output = new_path(spark, "stream_features")
     kept = ["doc_id", "lang_idx", "source_idx", "n_chars_imputed", "n_words_imputed"]
     query = streaming.write_stream(
@@ -660,6 +665,7 @@ QUERIES: dict[str, Query] = {
     "csv_malformed_typed": csv_malformed_typed,
     "request_rows": request_rows,
     "request_json": request_json,
+    "split_requests": split_requests,
     "normalize_header": normalize_header,
     "column_profile": column_profile,
     "label_profile": label_profile,

@@ -40,6 +40,7 @@ from tablewright.roles import (
     RAW_PREDICTION,
     SPLIT_PART,
     ColumnRoles,
+    check_feature_names,
     check_reserved,
     clean_name,
     clean_names,
@@ -157,6 +158,7 @@ def prepare(
         roles = validate(df, label, clean_names(ids), learner=True)
         roles = restrict_roles(df.columns, roles, categorical, numeric)
         check_features(roles)
+        check_feature_names(roles)
         check_reserved(df.columns, roles)
         rows = prepared_rows(df, roles, test_size, seed, order_by, null_ids, split)
         staged = stage(rows, "prepared", partition_by=[SPLIT_PART])

@@ -92,6 +92,13 @@ def restrict_roles(
     )
 
 
+def check_feature_names(roles: ColumnRoles) -> None:
+    """Fitted stages look columns up by plain name and would read ``a.b`` as a field."""
+    odd = [c for c in roles.features if "." in c or "`" in c]
+    if odd:
+        raise ValueError(f"Feature names must not hold dots or back-ticks, rename them: {odd}")
+
+
 def check_reserved(columns: Sequence[str], roles: ColumnRoles) -> None:
     """Refuse input columns that the fitted stages would have to overwrite."""
     generated = {

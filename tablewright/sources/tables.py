@@ -169,6 +169,10 @@ def request_rows(
     return first.drop(*[c for c in drop if c in df.columns])
 
 
+# Fixed value: the key of a request document that holds columns and rows apart.
+SPLIT_KEY = "dataframe_split"
+
+
 def to_requests(df: DataFrame) -> DataFrame:
     """Each row as one JSON record."""
     record = F.struct(*map(named, df.columns))
@@ -178,3 +182,32 @@ def to_requests(df: DataFrame) -> DataFrame:
 def from_requests(requests: DataFrame, schema: T.StructType) -> DataFrame:
     """JSON records back to columns; works on a stream of records as well."""
     return requests.select(F.from_json("value", schema).alias("row")).select("row.*")
+
+
+def to_split_requests(df: DataFrame) -> DataFrame:
+    """Each row as one document: ``{"dataframe_split": {"index", "columns", "data"}}``."""
+    cells = F.array(*[named(c).cast("variant") for c in df.columns])
+    table = F.struct(
+        F.array(F.lit(0)).alias("index"),
+        F.array(*map(F.lit, df.columns)).alias("columns"),
+        F.array(cells).alias("data"),
+    )
+    document = F.struct(table.alias(SPLIT_KEY))
+    return df.select(F.to_json(document, {"ignoreNullFields": "false"}).alias("value"))
+
+
+def from_split_requests(requests: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows of such documents, any number per document, in any column order.
+
+    Absent columns and values of another type are null.
+    """
+    shape = f"{SPLIT_KEY} struct<columns array<string>, data array<array<variant>>>"
+    table = F.from_json("value", shape).getField(SPLIT_KEY)
+    rows = requests.select(table.alias("t")).select("t.columns", F.explode("t.data").alias("cells"))
+    cell = rows.select(F.map_from_arrays("columns", "cells").alias("cell"))
+    return cell.select(
+        *[
+            F.try_variant_get(F.col("cell")[f.name], "$", f.dataType.simpleString()).alias(f.name)
+            for f in schema.fields
+        ]
+    )

@@ -18,6 +18,7 @@ from tablewright.sources.tables import (
     MALFORMED_COUNT,
     NULL_TEXT,
     from_requests,
+    from_split_requests,
     marking,
     without_malformed,
 )
@@ -30,7 +31,10 @@ def read_stream(
     format: str = "parquet",
     files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """New files of a folder: Parquet, CSV, or JSON request records (one per line).
+    """New files of a folder: Parquet, CSV, or requests as JSON, one per line.
+
+    A request is a record of column values (``requests``) or a document with
+    columns and rows apart (``split_requests``).
 
     The progress of a CSV stream reports the malformed rows it left out, under
     ``observedMetrics['malformed']``.
@@ -40,6 +44,8 @@ def read_stream(
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     if format == "requests":
         return from_requests(reader.text(path), schema)
+    if format == "split_requests":
+        return from_split_requests(reader.text(path), schema)
     if format == "csv":
         # The header of each file must match the schema instead of being ignored.
         reader = reader.options(

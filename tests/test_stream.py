@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tablewright.operators.features import feature_pipeline, learner
 from tablewright.plans.score import score_rows
 from tablewright.roles import ColumnRoles
-from tablewright.sources.tables import to_requests
+from tablewright.sources.tables import to_requests, to_split_requests
 from tablewright.streaming.score import read_stream, score_stream, text_schema
 from tests.support import write_lines
 
@@ -41,12 +41,14 @@ def run_stream(spark, model, stream, tmp_path):
     return spark.read.parquet(str(tmp_path / "out"))
 
 
-@pytest.mark.parametrize("format", ["parquet", "requests", "csv"])
+@pytest.mark.parametrize("format", ["parquet", "requests", "split_requests", "csv"])
 def test_stream_equals_batch(spark, model, orders, tmp_path, format):
     source = str(tmp_path / "in")
     wide = orders.repartition(5)
     if format == "requests":
         to_requests(wide).write.text(source)
+    elif format == "split_requests":
+        to_split_requests(wide).write.text(source)
     elif format == "csv":
         wide.write.options(header=True, nullValue="NA").csv(source)
     else:

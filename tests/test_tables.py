@@ -125,6 +125,24 @@ def test_requests(spark):
     assert rows(tables.from_requests(requests, df.schema), "id") == rows(df, "id")
 
 
+def test_split_requests(spark):
+    df = spark.createDataFrame([(1, None, 0.1), (2, 'say "hi"', None)], "id int, y string, x double")
+    documents = tables.to_split_requests(df)
+    assert documents.orderBy("value").first().value == (
+        '{"dataframe_split":{"index":[0],"columns":["id","y","x"],"data":[[1,null,0.1]]}}'
+    )
+    assert rows(tables.from_split_requests(documents, df.schema), "id") == rows(df, "id")
+    other = spark.createDataFrame(
+        [
+            ('{"dataframe_split":{"columns":["x","id"],"data":[[1.5,7],["no",8]]}}',),
+            ("broken",),
+        ],
+        "value string",
+    )
+    found = tables.from_split_requests(other, df.schema)
+    assert rows(found, "id") == [(7, None, 1.5), (8, None, None)]
+
+
 def test_csv_output_of_nulls_vectors_and_nested_values(spark, tmp_path):
     df = spark.range(0, 1, 1, 1).select(
         F.lit(1).alias("id"),

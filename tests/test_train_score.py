@@ -239,6 +239,8 @@ def test_refused_inputs(spark, tmp_path):
         prepare(spark, data("y string, n int", ("a", 1), ("b", 2), ("c", 3)), "y")
     with pytest.raises(ValueError, match="generated names"):
         prepare(spark, data("y string, n int, class_weight double", ("a", 1, 1.0), ("b", 2, 1.0)), "y")
+    with pytest.raises(ValueError, match=r"dots.*'n.1'"):
+        prepare(spark, data("y string, `n.1` int", ("a", 1), ("b", 2)), "y")
     many = spark.range(300).select(
         (F.col("id") % 2).alias("y"), F.concat(F.lit("t"), F.col("id")).alias("text")
     )
