@@ -19,7 +19,7 @@ TEST = "test"
 
 def check_test_size(test_size: float) -> None:
     if not 0 < test_size < 1:
-        raise ValueError("test_size must be between 0 and 1.")
+        raise ValueError("test_size has to lie strictly between 0 and 1.")
 
 
 def split_key(df: DataFrame, ids: Sequence[str]) -> list[Column]:
@@ -49,7 +49,10 @@ def hash_split(
     output: str = SPLIT_PART,
     portable: bool = False,
 ) -> DataFrame:
-    """Mark each row as train or test from its key alone: no shuffle, repeatable."""
+    """Mark each row as train or test from its key alone: no shuffle, repeatable.
+
+    Rows with the same id stay on the same side.
+    """
     check_test_size(test_size)
     bucket = (portable_bucket if portable else hash_bucket)(split_key(df, ids), seed)
     border = round(SPLIT_BUCKETS * (1 - test_size))

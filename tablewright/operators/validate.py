@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Row
@@ -52,16 +53,16 @@ def column_profile(df: DataFrame, roles: ColumnRoles) -> DataFrame:
 
 def check_columns(columns: Sequence[str], label: str) -> None:
     if not label or label not in columns:
-        raise ValueError(f"Missing required column: '{label}'. Available: {list(columns)[:30]}")
+        raise ValueError(f"No label column '{label}' among {list(columns)[:30]}")
 
 
 def check_profile(found: Row, label: str) -> None:
     if found.n_rows == 0:
-        raise ValueError("Dataset is empty.")
+        raise ValueError("The table has no rows.")
     if found.n_null_labels > 0:
-        raise ValueError(f"Found {found.n_null_labels} rows with null labels in '{label}'.")
+        raise ValueError(f"{found.n_null_labels} rows have no value in label column '{label}'.")
     if found.n_classes < TWO_CLASSES:
-        raise ValueError(f"Need at least two label classes, found {found.n_classes}.")
+        raise ValueError(f"'{label}' has {found.n_classes} class, two or more are needed.")
 
 
 def check_two_classes(found: Row, label: str) -> None:
@@ -73,7 +74,7 @@ def check_two_classes(found: Row, label: str) -> None:
 
 def check_features(roles: ColumnRoles) -> None:
     if not roles.features:
-        raise ValueError("No feature columns left after excluding label and id columns.")
+        raise ValueError("Besides label and ids no column is left as a feature.")
 
 
 def validate(df: DataFrame, label: str, ids: Sequence[str] = (), learner: bool = False) -> ColumnRoles:
@@ -81,6 +82,8 @@ def validate(df: DataFrame, label: str, ids: Sequence[str] = (), learner: bool =
     check_columns(df.columns, label)
     found = profile(df, label).first()
     check_profile(found, label)
+    if found.n_blank_labels:
+        warnings.warn(f"{found.n_blank_labels} rows have a blank label, which counts as a class.")
     roles = detect_roles(df.schema, label, ids)
     check_features(roles)
     if learner:
@@ -91,4 +94,4 @@ def validate(df: DataFrame, label: str, ids: Sequence[str] = (), learner: bool =
 def check_required(columns: Sequence[str], required: Sequence[str]) -> None:
     missing = [c for c in required if c not in columns]
     if missing:
-        raise ValueError(f"Missing required columns in scoring data: {missing}")
+        raise ValueError(f"The rows to score lack columns of the model: {missing}")

@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 # The generated column names, which are the public contract of a
-# scored table, and the name of the folder column of the prepared table.
+# scored table, the name of the folder column of the prepared table, and the mark
+# that some editors put before the first header name.
 INDEXED_LABEL = "label"
 CLASS_WEIGHT = "class_weight"
 FEATURES = "features"
@@ -21,6 +22,8 @@ INDEX_SUFFIX = "_idx"
 ONE_HOT_SUFFIX = "_ohe"
 IMPUTED_SUFFIX = "_imputed"
 
+BYTE_ORDER_MARK = "\ufeff"
+
 RESERVED_NAMES = (
     INDEXED_LABEL,
     CLASS_WEIGHT,
@@ -47,7 +50,9 @@ class ColumnRoles:
 
 def clean_name(name: object) -> str:
     """Remove byte order marks and the white space around a column name."""
-    return str(name or "").replace("\ufeff", "").strip()
+    if name is None:
+        return ""
+    return str(name).replace(BYTE_ORDER_MARK, "").strip()
 
 
 def clean_names(names: Iterable[object] | None) -> list[str]:

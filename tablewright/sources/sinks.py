@@ -54,4 +54,4 @@ def prediction_sample(
 
 def check_sample_size(size: int) -> None:
     if size <= 0:
-        raise ValueError("sample_size must be > 0.")
+        raise ValueError("sample_size has to be positive.")

@@ -22,11 +22,11 @@ def test_profile(spark):
 @pytest.mark.parametrize(
     "data, schema, message",
     [
-        ([(1, "a")], "id int, x string", "Missing required column"),
-        ([], "y string, x string", "empty"),
-        ([("a", "1"), (None, "2"), (None, "3")], "y string, x string", "2 rows with null labels"),
-        ([("a", "1"), ("a", "2")], "y string, x string", "at least two label classes, found 1"),
-        ([("a", 1), ("b", 2)], "y string, id int", "No feature columns"),
+        ([(1, "a")], "id int, x string", "No label column"),
+        ([], "y string, x string", "no rows"),
+        ([("a", "1"), (None, "2"), (None, "3")], "y string, x string", "2 rows have no value"),
+        ([("a", "1"), ("a", "2")], "y string, x string", "1 class, two or more"),
+        ([("a", 1), ("b", 2)], "y string, id int", "no column is left"),
     ],
 )
 def test_guards(spark, data, schema, message):
@@ -41,6 +41,12 @@ def test_guards_pass_and_learner_needs_two_classes(spark):
         validate(df, "y", learner=True)
 
 
+def test_blank_labels_are_a_class_but_are_reported(spark):
+    df = spark.createDataFrame([("a", 1), (" ", 2)], "y string, n int")
+    with pytest.warns(UserWarning, match="1 rows have a blank label"):
+        validate(df, "y")
+
+
 def test_required_columns():
     check_required(["a", "b"], ["a"])
     with pytest.raises(ValueError, match=r"\['c'\]"):
