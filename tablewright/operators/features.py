@@ -1,14 +1,21 @@
-"""Fitted feature stages and the learner."""
+"""Fitted feature stages and the learner.
+
+The stages that a model keeps are the built-in ones. What they learn is counted
+here with grouped aggregates: the built-in fits bring the dictionaries and
+quantile sketches of all tasks together in one task, which is the slowest step
+once a table has hundreds of thousands of tasks.
+"""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from collections.abc import Sequence
+
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import (
     Imputer,
     ImputerModel,
     OneHotEncoder,
-    StringIndexer,
     StringIndexerModel,
     VectorAssembler,
 )
@@ -17,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.columns import named
 from tablewright.operators.clean import cleaning_stage
+from tablewright.operators.medians import exact_medians
 from tablewright.operators.validate import check_features
 from tablewright.roles import (
     CLASS_WEIGHT,
@@ -28,29 +36,42 @@ from tablewright.roles import (
     ColumnRoles,
 )
 
-# Rank error of the imputed median, relative error of the distinct
-# estimate in the category check, and the largest category dictionary that a
-# fitted model may hold unless the caller asks for another bound.
-MEDIAN_RANK_ERROR = 0.001
-DISTINCT_ERROR = 0.05
+# Fixed value: the largest category dictionary that a fitted model may hold
+# unless the caller asks for another bound.
 MAX_CATEGORIES = 10_000
 
+SKETCH_GROUPS = 512
+
+
+def distinct_estimates(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """Approximate numbers of distinct texts, all columns in one scan.
+
+    The sketches of the tasks are merged group by group first, so that no task
+    has to take in the sketches of all others.
+    """
+    sketches = [f"s{i}" for i in range(len(columns))]
+    merged = (
+        df.select(
+            (F.spark_partition_id() % SKETCH_GROUPS).alias("sketch_group"),
+            *[named(c).cast("string").alias(s) for c, s in zip(columns, sketches)],
+        )
+        .groupBy("sketch_group")
+        .agg(*[F.hll_sketch_agg(s).alias(s) for s in sketches])
+        .agg(*[F.hll_sketch_estimate(F.hll_union_agg(s)).alias(s) for s in sketches])
+    )
+    return dict(zip(columns, merged.first()))
+
 
 def check_categories(df: DataFrame, roles: ColumnRoles, max_categories: int | None) -> None:
     """Refuse a free-text or instant column before it becomes a one-hot vector.
 
     The dictionaries of the fitted index live on the driver and in every task,
-    so their size is estimated first, for all columns in one pass.
+    so their size is estimated before they are collected.
     """
     if max_categories is None or not roles.categorical:
         return
-    estimates = df.agg(
-        *[
-            F.approx_count_distinct(named(c), DISTINCT_ERROR).alias(f"n{i}")
-            for i, c in enumerate(roles.categorical)
-        ]
-    ).first()
-    too_wide = {c: n for c, n in zip(roles.categorical, estimates) if n > max_categories}
+    estimates = distinct_estimates(df, roles.categorical)
+    too_wide = {c: n for c, n in estimates.items() if n > max_categories}
     if too_wide:
         raise ValueError(
             f"More than {max_categories} categories in {too_wide}; declare the column as id, "
@@ -58,16 +79,34 @@ def check_categories(df: DataFrame, roles: ColumnRoles, max_categories: int | No
         )
 
 
-def index_stage(categorical: tuple[str, ...]) -> StringIndexer:
-    """One indexer for all columns: their dictionaries are counted in one pass."""
-    return StringIndexer(
-        inputCols=list(categorical),
-        outputCols=[c + INDEX_SUFFIX for c in categorical],
-        handleInvalid="keep",
-    )
+def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of each value of each column, counted in one scan and one shuffle."""
+    cells = [
+        F.struct(F.lit(i).alias("position"), named(c).cast("string").alias("value"))
+        for i, c in enumerate(columns)
+    ]
+    present = df.select(F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
+    return present.groupBy("position", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def index_models(df: DataFrame, columns: Sequence[str]) -> list[StringIndexerModel]:
+    """Index of each column's values by falling frequency, equal ones by text.
 
+    Unseen and null values get the index after the last one. The dictionaries
+    are collected; ``check_categories`` bounds them.
+    """
+    dictionaries = [[] for _ in columns]
+    for row in category_counts(df, columns).orderBy("position", F.desc("n"), "value").collect():
+        dictionaries[row.position].append(row.value)
+    return [
+        StringIndexerModel.from_labels(
+            values, inputCol=c, outputCol=c + INDEX_SUFFIX, handleInvalid="keep"
+        )
+        for c, values in zip(columns, dictionaries)
+    ]
 
-def one_hot_stage(categorical: tuple[str, ...]) -> OneHotEncoder:
+
+def one_hot_stage(categorical: Sequence[str]) -> OneHotEncoder:
     return OneHotEncoder(
         inputCols=[c + INDEX_SUFFIX for c in categorical],
         outputCols=[c + ONE_HOT_SUFFIX for c in categorical],
@@ -75,7 +114,7 @@ def one_hot_stage(categorical: tuple[str, ...]) -> OneHotEncoder:
     )
 
 
-def impute_stage(numeric: tuple[str, ...], rank_error: float = MEDIAN_RANK_ERROR) -> Imputer:
+def impute_stage(numeric: Sequence[str], rank_error: float) -> Imputer:
     return Imputer(
         strategy="median",
         inputCols=list(numeric),
@@ -86,27 +125,37 @@ def impute_stage(numeric: tuple[str, ...], rank_error: float = MEDIAN_RANK_ERROR
 
 def impute_model(spark: SparkSession, medians: dict[str, float]) -> ImputerModel:
     """The fitted stage for medians that are known: those of a table of one row."""
-    values = spark.range(1).select(*[F.lit(m).cast("double").alias(c) for c, m in medians.items()])
-    return impute_stage(tuple(medians)).fit(values)
+    values = spark.range(0, 1, 1, 1).select(
+        *[F.lit(m).cast("double").alias(c) for c, m in medians.items()]
+    )
+    return impute_stage(tuple(medians), rank_error=0.0).fit(values)
 
 
-def feature_pipeline(
-    roles: ColumnRoles,
-    rank_error: float = MEDIAN_RANK_ERROR,
-    imputer: ImputerModel | None = None,
-) -> Pipeline:
-    """Clean, index, one-hot, impute and assemble: one-hot columns come first."""
+def fit_features(rows: DataFrame, roles: ColumnRoles, rank_error: float = 0.0) -> PipelineModel:
+    """Clean, index, one-hot, impute and assemble: one-hot columns come first.
+
+    Medians are exact; a ``rank_error`` leaves them to the built-in approximation.
+    """
     check_features(roles)
-    stages = [cleaning_stage(roles)]
+    cleaning = cleaning_stage(roles)
+    cleaned = cleaning.transform(rows)
+    stages = [cleaning]
     inputs = []
     if roles.categorical:
-        stages += [index_stage(roles.categorical), one_hot_stage(roles.categorical)]
-        inputs += [c + ONE_HOT_SUFFIX for c in roles.categorical]
+        indexers = index_models(cleaned, roles.categorical)
+        indexed = PipelineModel(indexers).transform(cleaned)
+        encoder = one_hot_stage(roles.categorical).fit(indexed)
+        stages += [*indexers, encoder]
+        inputs += encoder.getOutputCols()
     if roles.numeric:
-        stages.append(imputer or impute_stage(roles.numeric, rank_error))
-        inputs += [c + IMPUTED_SUFFIX for c in roles.numeric]
+        if rank_error:
+            imputer = impute_stage(roles.numeric, rank_error).fit(cleaned)
+        else:
+            imputer = impute_model(rows.sparkSession, exact_medians(cleaned, roles.numeric))
+        stages.append(imputer)
+        inputs += imputer.getOutputCols()
     stages.append(VectorAssembler(inputCols=inputs, outputCol=FEATURES))
-    return Pipeline(stages=stages)
+    return PipelineModel(stages)
 
 
 def learner(

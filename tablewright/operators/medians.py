@@ -1,17 +1,19 @@
 """Exact medians of many columns, and filling with them.
 
-The fitted ``Imputer`` takes a median within a rank error. Where the very value
-is needed, ``exact_medians`` narrows an open interval around the wanted rank:
-approximate quantiles propose two borders, one aggregate counts what lies below,
-on and between them. Every pass leaves under one percent of the rows, for all
-columns at once, so tables of any size need a handful of scans and no task or
-driver ever holds more than ``finish_rows`` values.
+``exact_medians`` narrows an open interval around the wanted rank: quantiles of
+a sample propose two borders, then one aggregate over all rows counts what lies
+below, on and between them. The sample only proposes; the counts decide, so the
+result is exact and the same for every partitioning. A pass leaves under one
+percent of the rows, for all columns at once, so tables of any size need a
+handful of scans, and no task or driver ever holds more than a sample or
+``finish_rows`` values.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ from tablewright.functions.columns import named
 from tablewright.roles import IMPUTED_SUFFIX
 
 FINISH_ROWS = 200_000
+SAMPLE_ROWS = 1_000_000
 ACCURACY = 1000
 
 
@@ -77,28 +80,40 @@ def exact_medians(
     def unfinished() -> list[str]:
         return [c for c, s in state.items() if s.found is None and s.rows > finish_rows]
 
-    while open_columns := unfinished():
-        state |= narrow(table, {c: state[c] for c in open_columns})
+    for seed in count():
+        open_columns = unfinished()
+        if not open_columns:
+            break
+        state |= narrow(table, {c: state[c] for c in open_columns}, seed)
     state |= finish(table, {c: s for c, s in state.items() if s.found is None})
     return {name: state[f"v{i}"].found for i, name in enumerate(columns)}
 
 
-def narrow(table: DataFrame, state: dict[str, Interval]) -> dict[str, Interval]:
+def narrow(table: DataFrame, state: dict[str, Interval], seed: int) -> dict[str, Interval]:
     """Two scans: borders close to the wanted rank, then counts around them."""
-    inside = table.select(*[F.when(s.holds(F.col(c)), F.col(c)).alias(c) for c, s in state.items()])
-    borders = inside.agg(
+    inside = {c: F.when(s.holds(F.col(c)), F.col(c)) for c, s in state.items()}
+    sample = table.select(
+        *[
+            F.when(F.rand(seed) < SAMPLE_ROWS / s.rows, inside[c]).alias(c)
+            for c, s in state.items()
+        ]
+    )
+    borders = sample.agg(
         *[F.percentile_approx(c, around(s.rank / s.rows), ACCURACY).alias(c) for c, s in state.items()]
     ).first()
-    counts = inside.agg(
+    # An empty sample proposes nothing; the next pass draws another one.
+    proposed = {c: s for c, s in state.items() if borders[c] is not None}
+    counts = table.agg(
+        F.count(F.lit(1)).alias("rows"),
         *[
             F.count_if(test).alias(f"{c}_{i}")
-            for c in state
-            for i, test in enumerate(around_counts(F.col(c), *borders[c]))
-        ]
+            for c in proposed
+            for i, test in enumerate(around_counts(inside[c], *borders[c]))
+        ],
     ).first()
     return {
         c: s.narrowed(*borders[c], *[counts[f"{c}_{i}"] for i in range(4)])
-        for c, s in state.items()
+        for c, s in proposed.items()
     }
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -297,15 +298,15 @@ def random_split_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
 def category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents").select("doc_id", "lang", "source")
     seen = documents.withColumn("source", F.nullif("source", F.lit("src3")))
-    fitted = features.index_stage(("lang", "source")).fit(seen)
+    fitted = PipelineModel(features.index_models(seen, ["lang", "source"]))
     return fitted.transform(documents)
 
 
 def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     seen = customer.withColumn("c_mktsegment", F.nullif("c_mktsegment", F.lit("BUILDING")))
-    indexer = features.index_stage(("c_mktsegment",)).fit(seen)
-    encoder = features.one_hot_stage(("c_mktsegment",)).fit(indexer.transform(seen))
+    (indexer,) = features.index_models(seen, ["c_mktsegment"])
+    encoder = features.one_hot_stage(["c_mktsegment"]).fit(indexer.transform(seen))
     vector = vector_to_array("c_mktsegment_ohe")
     return encoder.transform(indexer.transform(customer)).select(
         "c_custkey",
@@ -345,7 +346,7 @@ def impute_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def impute_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = gappy_lineitem(spark, sf_dir)
-    fitted = features.impute_stage(RATES).fit(lineitem)
+    fitted = features.impute_stage(RATES, rank_error=0.001).fit(lineitem)
     return fitted.transform(lineitem).select(
         "l_orderkey", "l_linenumber", *[f"{c}_imputed" for c in RATES]
     )
@@ -359,7 +360,7 @@ def documents_with_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feature_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = documents_with_words(spark, sf_dir)
-    fitted = features.feature_pipeline(DOCUMENT_ROLES).fit(documents)
+    fitted = features.fit_features(documents, DOCUMENT_ROLES)
     slots = fitted.transform(documents).select(
         "doc_id", F.posexplode(vector_to_array("features")).alias("slot", "value")
     )
@@ -369,7 +370,7 @@ def feature_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
 def expected_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The inputs a fitted model asks for, each with its number of rows."""
     documents = documents_with_words(spark, sf_dir)
-    fitted = features.feature_pipeline(DOCUMENT_ROLES).fit(documents)
+    fitted = features.fit_features(documents, DOCUMENT_ROLES)
     categorical, numeric = features.expected_columns(fitted)
     return validate.column_profile(
         documents, ColumnRoles("quality", ("doc_id",), tuple(categorical), tuple(numeric))
@@ -517,7 +518,7 @@ def run_dictionaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request documents through the feature stages as a stream."""
     documents = documents_with_words(spark, sf_dir)
-    fitted = features.feature_pipeline(DOCUMENT_ROLES).fit(documents)
+    fitted = features.fit_features(documents, DOCUMENT_ROLES)
     source = new_path(spark, "requests")
     tables.to_split_requests(documents).write.text(source)
     stream = streaming.read_stream(spark, source, documents.schema, "split_requests")
@@ -541,7 +542,7 @@ def registered_features(spark: SparkSession, sf_dir: str) -> DataFrame:
             name,
             roles=roles,
             training_schema=documents.schema,
-            model=features.feature_pipeline(roles).fit(documents),
+            model=features.fit_features(documents, roles),
         )
         version = store.register("document_features", run_id)
         store.promote("document_features", version)

@@ -16,10 +16,8 @@ from tablewright.functions.columns import named
 from tablewright.operators.clean import clean_values, drop_duplicates, drop_null_label
 from tablewright.operators.features import (
     MAX_CATEGORIES,
-    MEDIAN_RANK_ERROR,
     check_categories,
-    feature_pipeline,
-    impute_model,
+    fit_features,
     learner,
 )
 from tablewright.operators.header import clean_header
@@ -29,7 +27,6 @@ from tablewright.operators.label import (
     index_label,
     label_dictionary,
 )
-from tablewright.operators.medians import exact_medians
 from tablewright.operators.metrics import ROC_BINS, evaluate
 from tablewright.operators.split import TEST, TRAIN, check_test_size, hash_split, random_split
 from tablewright.operators.validate import check_features, validate
@@ -191,20 +188,15 @@ class Run:
     metrics: dict[str, float]
 
 
-def fit_features(prepared: Prepared, rank_error: float = MEDIAN_RANK_ERROR) -> PipelineModel:
-    """Feature stages fitted on the training part; ``rank_error=0`` takes exact medians."""
-    rows = prepared.part(TRAIN)
-    imputer = None
-    if rank_error == 0 and prepared.roles.numeric:
-        imputer = impute_model(rows.sparkSession, exact_medians(rows, prepared.roles.numeric))
-    return feature_pipeline(prepared.roles, rank_error, imputer).fit(rows)
+def fit_prepared_features(prepared: Prepared, rank_error: float = 0.0) -> PipelineModel:
+    return fit_features(prepared.part(TRAIN), prepared.roles, rank_error)
 
 
 def fit(
     prepared: Prepared, params: TrainParams = TrainParams(), features: PipelineModel | None = None
 ) -> PipelineModel:
     """Feature stages and trees as one model, fitted on the training part."""
-    features = features or fit_features(prepared)
+    features = features or fit_prepared_features(prepared)
     trees = params.learner().fit(features.transform(prepared.part(TRAIN)))
     return PipelineModel([*features.stages, trees])
 
@@ -219,7 +211,7 @@ def train(
     experiment: str = "default",
     run_name: str | None = None,
     register_as: str | None = None,
-    rank_error: float = MEDIAN_RANK_ERROR,
+    rank_error: float = 0.0,
     bins: int = ROC_BINS,
     **reading,
 ) -> Run:
@@ -240,7 +232,7 @@ def train_grid(
     runs_path: str | None = None,
     experiment: str = "default",
     register_as: str | None = None,
-    rank_error: float = MEDIAN_RANK_ERROR,
+    rank_error: float = 0.0,
     bins: int = ROC_BINS,
     **reading,
 ) -> list[Run]:
@@ -251,7 +243,7 @@ def train_grid(
     ((test_size, seed),) = splits
     prepared = prepare(spark, source, label, ids, test_size=test_size, seed=seed, **reading)
     try:
-        features = fit_features(prepared, rank_error)
+        features = fit_prepared_features(prepared, rank_error)
         data_path = source if isinstance(source, str) else ""
         return [
             measured_run(prepared, features, params, runs_path, experiment, name, register_as, bins, data_path)

@@ -1,28 +1,30 @@
 import random
 
 import pytest
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tablewright.operators.features import (
+    category_counts,
     check_categories,
     expected_columns,
-    feature_pipeline,
+    distinct_estimates,
+    fit_features,
     impute_stage,
-    index_stage,
+    index_models,
     learner,
     one_hot_stage,
 )
 from tablewright.operators.medians import exact_medians, impute
 from tablewright.roles import ColumnRoles
-from tests.support import rows
+from tests.support import plan
 
 
 def test_one_hot_keeps_a_slot_for_unseen_and_null(spark):
-    fitted = Pipeline(stages=[index_stage(("c",)), one_hot_stage(("c",))]).fit(
-        spark.createDataFrame([("a",), ("a",), ("b",)], "c string")
-    )
+    seen = spark.createDataFrame([("a",), ("a",), ("b",)], "c string")
+    (indexer,) = index_models(seen, ["c"])
+    fitted = PipelineModel([indexer, one_hot_stage(["c"]).fit(indexer.transform(seen))])
     df = spark.createDataFrame([(0, "a"), (1, "b"), (2, "zzz"), (3, None)], "i int, c string")
     found = fitted.transform(df).orderBy("i").select("c_idx", vector_to_array("c_ohe")).collect()
     assert [r[0] for r in found] == [0.0, 1.0, 2.0, 2.0]
@@ -35,7 +37,7 @@ NUMBERS = [1.0, 2.0, None, float("nan"), 10.0, 4.0]
 
 def test_median_is_the_lower_middle_value(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(NUMBERS)], "i int, x double")
-    staged = impute_stage(("x",)).fit(df).transform(df)
+    staged = impute_stage(["x"], 0.001).fit(df).transform(df)
     exact = impute(df, exact_medians(df, ["x"]))
     expected = [1.0, 2.0, 2.0, 2.0, 10.0, 4.0]
     for filled in (staged, exact):
@@ -45,7 +47,7 @@ def test_median_is_the_lower_middle_value(spark):
 def test_median_of_nothing(spark):
     df = spark.createDataFrame([(None,), (float("nan"),)], "x double")
     with pytest.raises(Exception, match="(?i)surrogate"):
-        impute_stage(("x",)).fit(df)
+        impute_stage(["x"], 0.001).fit(df)
     with pytest.raises(ValueError, match=r"\['x'\]"):
         exact_medians(df, ["x"])
 
@@ -92,7 +94,7 @@ def mixed(spark):
 
 
 def test_vector_holds_one_hot_columns_before_numbers(mixed):
-    model = feature_pipeline(ROLES).fit(mixed)
+    model = fit_features(mixed, ROLES)
     found = model.transform(mixed).orderBy("id").select(vector_to_array("features").alias("v")).collect()
     # c: a, b, missing + unseen; d: q, missing, p + unseen; then n and m.
     assert found[1].v == [1, 0, 0, 0, 1, 0, 0, 0, 3.0, 6.0]
@@ -101,15 +103,15 @@ def test_vector_holds_one_hot_columns_before_numbers(mixed):
 
 def test_one_sided_roles(mixed):
     for roles in (ColumnRoles("y", (), ("c",)), ColumnRoles("y", (), (), ("n", "m"))):
-        assert "features" in feature_pipeline(roles).fit(mixed).transform(mixed).columns
+        assert "features" in fit_features(mixed, roles).transform(mixed).columns
     with pytest.raises(ValueError, match="no column is left"):
-        feature_pipeline(ColumnRoles("y"))
+        fit_features(mixed, ColumnRoles("y"))
 
 
 def test_expected_columns_of_ours_and_of_single_column_stages(mixed):
     from pyspark.ml.feature import Imputer, StringIndexer
 
-    assert expected_columns(feature_pipeline(ROLES).fit(mixed)) == (["c", "d"], ["m", "n"])
+    assert expected_columns(fit_features(mixed, ROLES)) == (["c", "d"], ["m", "n"])
     single = Pipeline(
         stages=[
             StringIndexer(inputCol="d", outputCol="d1", handleInvalid="keep"),
@@ -137,14 +139,43 @@ def test_learner_parameters():
     assert not learner().isSet("weightCol")
 
 
-def test_index_dictionaries_are_counted_in_one_job(spark, mixed):
-    tracker = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("index", "")
-    index_stage(("c", "d")).fit(mixed)
-    two = len(tracker.getJobIdsForGroup("index"))
-    spark.sparkContext.setJobGroup("index one", "")
-    index_stage(("c",)).fit(mixed)
-    one = len(tracker.getJobIdsForGroup("index one"))
-    spark.sparkContext.setJobGroup("", "")
-    assert rows(mixed.select("id"), "id")
-    assert two == one
+def test_index_equals_the_built_in_fit(spark):
+    """Ties, nulls, other alphabets and one value for a third of the rows."""
+    from pyspark.ml.feature import StringIndexer
+
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 37).cast("string")).alias("a"),
+        F.element_at(F.array(*map(F.lit, ["é", "z", "Z", "ß", "я", "a b"])), (F.col("id") % 6 + 1).cast("int")).alias("b"),
+        F.when(F.col("id") % 5 > 0, F.col("id") % 4).alias("c"),
+    )
+    built_in = StringIndexer(
+        inputCols=df.columns, outputCols=[f"{c}_idx" for c in df.columns], handleInvalid="keep"
+    ).fit(df)
+    found = index_models(df, df.columns)
+    assert [list(m.labels) for m in found] == [list(x) for x in built_in.labelsArray]
+    assert PipelineModel(found).transform(df).exceptAll(built_in.transform(df)).count() == 0
+
+
+def test_dictionaries_are_combined_before_the_shuffle(spark):
+    df = spark.range(10).select(F.lit("x").alias("a"), F.lit("y").alias("b"))
+    text = plan(category_counts(df, ["a", "b"]))
+    assert text.count("Exchange") == 1 and "partial_count" in text[text.index("Exchange") :]
+
+
+def test_distinct_estimates(spark):
+    df = spark.range(0, 20000, 1, 40).select(
+        F.col("id").alias("a"), (F.col("id") % 9).alias("b"), F.lit(None).cast("string").alias("c")
+    )
+    found = distinct_estimates(df, df.columns)
+    assert found["a"] == pytest.approx(20000, rel=0.06) and found["b"] == 9 and found["c"] == 0
+
+
+def test_approximate_medians_are_the_built_in_ones(mixed):
+    from pyspark.ml.feature import Imputer
+
+    numeric = ColumnRoles("y", (), (), ("n", "m"))
+    (found,) = [s for s in fit_features(mixed, numeric, 0.001).stages if hasattr(s, "surrogateDF")]
+    built_in = Imputer(strategy="median", inputCols=["n", "m"], outputCols=["p", "q"]).fit(
+        mixed.selectExpr("n", "cast(m AS double) AS m")
+    )
+    assert found.surrogateDF.first() == built_in.surrogateDF.first()

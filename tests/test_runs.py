@@ -1,6 +1,6 @@
 import pytest
 
-from tablewright.operators.features import feature_pipeline
+from tablewright.operators.features import fit_features
 from tablewright.roles import ColumnRoles
 from tablewright.sources.runs import NO_STAGE, RunStore, run_roles, run_schema
 from tests.support import rows
@@ -69,7 +69,7 @@ def test_model_survives_saving(spark, store):
     df = spark.createDataFrame(
         [(1, "a", 1.0), (2, " ", None), (3, "b", 4.0)], "id int, c string, n double"
     )
-    model = feature_pipeline(ROLES).fit(df)
+    model = fit_features(df, ROLES)
     run_id = store.log_run("exp", model=model, roles=ROLES, training_schema=df.schema)
     store.register("m", run_id)
     store.promote("m", 1)

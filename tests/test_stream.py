@@ -2,7 +2,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from tablewright.operators.features import feature_pipeline, learner
+from tablewright.operators.features import fit_features, learner
 from tablewright.plans.score import score_rows
 from tablewright.roles import ColumnRoles
 from tablewright.sources.tables import to_requests, to_split_requests
@@ -24,7 +24,7 @@ def model(orders):
     from pyspark.ml import PipelineModel
 
     labelled = orders.withColumn("label", (F.col("o_orderstatus") == "F").cast("double"))
-    features = feature_pipeline(ROLES).fit(labelled)
+    features = fit_features(labelled, ROLES)
     trees = learner(max_iter=2, max_depth=2).fit(features.transform(labelled))
     return PipelineModel([*features.stages, trees])
 

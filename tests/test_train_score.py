@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tablewright import RunStore, TrainParams, prepare, score, score_rows, train, train_grid
 from tablewright.operators.features import expected_columns
-from tablewright.plans.train import fit, fit_features
+from tablewright.plans.train import fit, fit_prepared_features
 from tablewright.sources.staging import folder_exists, shared_folder
 from tests.support import plan, rows, write_lines
 
@@ -217,14 +217,14 @@ def test_grid_fits_features_once(spark, training_file, tmp_path):
 
 def test_same_seed_same_model(spark, training_file):
     prepared = prepare(spark, training_file, "leaves", ["Customer"])
-    features = fit_features(prepared)
+    features = fit_prepared_features(prepared)
     first, second = (fit(prepared, SMALL, features).stages[-1].toDebugString for _ in range(2))
     assert first.split("\n", 1)[1] == second.split("\n", 1)[1]
 
 
 def test_exact_medians_in_the_model(spark, training_file):
     prepared = prepare(spark, training_file, "leaves", ["Customer"])
-    model = fit_features(prepared, rank_error=0)
+    model = fit_prepared_features(prepared)
     (imputer,) = [s for s in model.stages if type(s).__name__ == "ImputerModel"]
     known = sorted(r.calls for r in prepared.part("train").collect() if r.calls is not None)
     assert imputer.surrogateDF.first().calls == known[(len(known) - 1) // 2]
