@@ -131,17 +131,17 @@ def finish(table: DataFrame, state: dict[str, Interval]) -> dict[str, Interval]:
     """Pick the value at the rank among the few distinct values left."""
     if not state:
         return {}
+    # Only the values inside become rows. A filter over all columns would do the
+    # same, but the optimizer does not come to an end with it on wide tables.
     left = [
-        F.struct(
-            F.lit(c).alias("name"),
-            F.lit(s.rank).alias("rank"),
-            F.when(s.holds(F.col(c)), F.col(c)).alias("value"),
+        F.when(
+            s.holds(F.col(c)),
+            F.struct(F.lit(c).alias("name"), F.lit(s.rank).alias("rank"), F.col(c).alias("value")),
         )
         for c, s in state.items()
     ]
     distinct = (
-        table.select(F.inline(F.array(*left)))
-        .filter(F.col("value").isNotNull())
+        table.select(F.inline(F.array_compact(F.array(*left))))
         .groupBy("name", "rank", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
