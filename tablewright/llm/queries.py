@@ -10,12 +10,18 @@ from tablewright.llm.fingerprints import edit_pairs
 from tablewright.llm.html_text import extract
 from tablewright.llm.packing import packed
 from tablewright.llm.sharding import shard_rows
+from tablewright.llm.suffix_array import duplicate_spans
+from tablewright.llm.suffix_tree import without_repeats
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicate_spans(read(spark, sf_dir, "documents")).drop("span_starts", "span_ends")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(
         read(spark, sf_dir, "documents"),
@@ -44,10 +50,16 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read(spark, sf_dir, "pages"))
 
 
+def op10_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op3_suffix_array": op3_suffix_array,
     "op5_packing": op5_packing,
     "op6_bpe": op6_bpe,
     "op7_sharding": op7_sharding,
     "op8_fingerprints": op8_fingerprints,
     "op9_html": op9_html,
+    "op10_suffix_trees": op10_suffix_trees,
 }
