@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from tablewright.sources.staging import drop_staged, new_path
 
 CHUNK_BYTES = 2 << 20
+# A chunk's number leaves 16 bits free, for the place of a document in it.
+CHUNK_DOCS = 1 << 16
 SCHEMA = "chunk long, ids array<long>, sizes array<long>, n_bytes long, body binary"
 
 
@@ -48,7 +50,7 @@ def pack(
     for batch in batches:
         for key, text in zip(batch.column(0), batch.column(1), strict=True):
             data = text.as_buffer().to_pybytes() if text.is_valid else b""
-            if texts and size + len(data) > chunk_bytes:
+            if texts and (size + len(data) > chunk_bytes or len(texts) == CHUNK_DOCS):
                 yield row()
                 ids, texts, size, number = [], [], 0, number + 1
             ids.append(key.as_py())
@@ -102,7 +104,7 @@ class Chunks:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
         def packed(batches):
-            return pack(batches, chunk_bytes, TaskContext.get().partitionId() << 32)
+            return pack(batches, chunk_bytes, TaskContext.get().partitionId() << 22)
 
         (
             docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tablewright.llm.bpe import round_trip
 from tablewright.llm.fingerprints import edit_pairs
 from tablewright.llm.html_text import extract
+from tablewright.llm.jaccard_join import shingle_classes
 from tablewright.llm.packing import packed
 from tablewright.llm.sharding import shard_rows
 from tablewright.llm.suffix_array import duplicate_spans
@@ -18,6 +19,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = shingle_classes(read(spark, sf_dir, "documents"), k=3, num=9, den=10)
+    return classes.select("doc_id", "n_shingles", "component_id")
+
+
 def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_spans(read(spark, sf_dir, "documents")).drop("span_starts", "span_ends")
 
@@ -55,6 +61,7 @@ def op10_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_suffix_array": op3_suffix_array,
     "op5_packing": op5_packing,
     "op6_bpe": op6_bpe,
