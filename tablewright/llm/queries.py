@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tablewright.llm.bpe import round_trip
+from tablewright.llm.collision_projections import near_vectors
 from tablewright.llm.fingerprints import edit_pairs
 from tablewright.llm.html_text import extract
 from tablewright.llm.jaccard_join import shingle_classes
@@ -19,6 +20,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = shingle_classes(read(spark, sf_dir, "documents"), k=3, num=9, den=10)
     return classes.select("doc_id", "n_shingles", "component_id")
@@ -61,6 +66,7 @@ def op10_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_projections": op1_projections,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_suffix_array": op3_suffix_array,
     "op5_packing": op5_packing,
