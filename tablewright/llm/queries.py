@@ -14,6 +14,7 @@ from tablewright.llm.packing import packed
 from tablewright.llm.sharding import shard_rows
 from tablewright.llm.suffix_array import duplicate_spans
 from tablewright.llm.suffix_tree import without_repeats
+from tablewright.llm.toxicity import scored
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -33,6 +34,10 @@ def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_spans(read(spark, sf_dir, "documents")).drop("span_starts", "span_ends")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).drop("segments")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(
         read(spark, sf_dir, "documents"),
@@ -69,6 +74,7 @@ QUERIES = {
     "op1_projections": op1_projections,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_suffix_array": op3_suffix_array,
+    "op4_toxicity": op4_toxicity,
     "op5_packing": op5_packing,
     "op6_bpe": op6_bpe,
     "op7_sharding": op7_sharding,
