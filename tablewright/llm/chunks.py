@@ -22,20 +22,28 @@ from tablewright.sources.staging import drop_staged, new_path
 CHUNK_BYTES = 2 << 20
 # A chunk's number leaves 16 bits free, for the place of a document in it.
 CHUNK_DOCS = 1 << 16
-SCHEMA = "chunk long, ids array<long>, sizes array<long>, n_bytes long, body binary"
+SCHEMA = "chunk long, ids array<long>, sizes array<long>, n_bytes long, body binary, rest binary"
+BODY = ("chunk", "ids", "sizes", "n_bytes", "body")
 
 
 def pack(
     batches: Iterator[pa.RecordBatch], chunk_bytes: int, first: int
 ) -> Iterator[pa.RecordBatch]:
-    """Rows (id, text) as chunk rows; a text longer than a chunk is a chunk of its own."""
+    """Rows (id, text, others) as chunk rows; a text longer than a chunk is one by itself."""
     import zstandard
 
     compress = zstandard.ZstdCompressor(level=1).compress
     ids, texts, size, number = [], [], 0, first
+    others: list[pa.RecordBatch] = []
 
     def row() -> pa.RecordBatch:
-        body = b"".join(texts)
+        body, rest = b"".join(texts), None
+        if others and others[0].num_columns:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, others[0].schema) as stream:
+                for some in others:
+                    stream.write_batch(some)
+            rest = compress(sink.getvalue().to_pybytes())
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([number], pa.int64()),
@@ -43,19 +51,24 @@ def pack(
                 pa.array([[len(t) for t in texts]], pa.list_(pa.int64())),
                 pa.array([len(body)], pa.int64()),
                 pa.array([compress(body)], pa.binary()),
+                pa.array([rest], pa.binary()),
             ],
-            names=["chunk", "ids", "sizes", "n_bytes", "body"],
+            names=[*BODY, "rest"],
         )
 
     for batch in batches:
-        for key, text in zip(batch.column(0), batch.column(1), strict=True):
+        other, begun = batch.select(range(2, batch.num_columns)), 0
+        for i, (key, text) in enumerate(zip(batch.column(0), batch.column(1), strict=True)):
             data = text.as_buffer().to_pybytes() if text.is_valid else b""
             if texts and (size + len(data) > chunk_bytes or len(texts) == CHUNK_DOCS):
+                others.append(other.slice(begun, i - begun))
                 yield row()
                 ids, texts, size, number = [], [], 0, number + 1
+                others, begun = [], i
             ids.append(key.as_py())
             texts.append(data)
             size += len(data)
+        others.append(other.slice(begun))
     if texts:
         yield row()
 
@@ -76,6 +89,13 @@ class Chunk:
             row["body"], max_output_size=max(1, row["n_bytes"])
         )
 
+    def rest(self, row: dict) -> pa.Table:
+        """The other columns of the documents."""
+        import zstandard
+
+        plain = zstandard.ZstdDecompressor().decompressobj().decompress(row["rest"])
+        return pa.ipc.open_stream(plain).read_all()
+
     def texts(self) -> list[bytes]:
         edges = self.edges.tolist()
         return [self.body[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
@@ -90,12 +110,15 @@ def chunks_in(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Chunk, dict]]
 
 
 class Chunks:
+    """``docs`` as a staged chunk table; with ``whole`` its rows keep all their columns."""
+
     def __init__(
         self,
         docs: DataFrame,
         id_col: str = "doc_id",
         text_col: str = "text",
         chunk_bytes: int = CHUNK_BYTES,
+        whole: bool = False,
     ):
         spark = docs.sparkSession
         self.spark: SparkSession = spark
@@ -107,7 +130,11 @@ class Chunks:
             return pack(batches, chunk_bytes, TaskContext.get().partitionId() << 22)
 
         (
-            docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+            docs.select(
+                F.col(id_col).cast("long").alias("_chunk_id"),
+                F.col(text_col).alias("_chunk_text"),
+                *([c for c in docs.columns if c != text_col] if whole else []),
+            )
             .mapInArrow(packed, SCHEMA)
             .repartition(buckets, "chunk")
             .write.format("parquet")

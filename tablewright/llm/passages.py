@@ -27,10 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.chunks import Chunk, Chunks, chunks_in
-from tablewright.llm.hashing import (
-    byte_grams, grams, mix, span_hashes, word_spans,
-)
+from tablewright.llm.chunks import BODY, Chunk, Chunks, chunks_in
+from tablewright.llm.hashing import byte_grams, grams, mix, span_hashes, word_spans
 
 BLOCK_UNITS = 1 << 20
 BATCH_BYTES = 2 << 20
@@ -103,7 +101,6 @@ class Units:
                 least = np.minimum(least[:-step], least[step:])
                 done += step
             # A window must end in its document: leave out the last width - 1 units of each.
-            ok = np.ones(len(least) + 1, np.int8)
             lost = np.zeros(len(least) + 1, np.int32)
             first = np.clip(self.edges[1:] - np.minimum(lengths, width - 1) - a, 0, len(least))
             last = np.clip(self.edges[1:] - a, 0, len(least))
@@ -314,10 +311,9 @@ def repeated_ranges(chunks: Chunks, windows: Windows, find: Finder, first_only:
     windows that occur twice count. A chunk without repeats has no row.
     """
     n_groups = chunks.groups(GROUP_BYTES)
-    columns = ["chunk", "ids", "sizes", "n_bytes", "body"]
     answers = (
         chunks.scan()
-        .select(*columns)
+        .select(*BODY)
         .mapInArrow(_anchor_rows(windows, n_groups), "`group` long, chunk long, hashes binary")
         .groupBy("group")
         .applyInArrow(_seen_elsewhere, "chunk long, `group` long, bits binary")
@@ -326,7 +322,7 @@ def repeated_ranges(chunks: Chunks, windows: Windows, find: Finder, first_only:
     )
     return (
         chunks.with_messages(answers)
-        .select(*columns, "answers")
+        .select(*BODY, "answers")
         .mapInArrow(_cut_rows(windows, n_groups, first_only), CUTS)
         .groupBy("group")
         .applyInArrow(_settle(windows, find, first_only), RANGES)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,4 +82,5 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_html": op9_html,
     "op10_suffix_trees": op10_suffix_trees,
+    "pipeline": corpus_pipeline.run,
 }

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tablewright.llm.chunks import CHUNK_BYTES, Chunks, chunks_in
+from tablewright.llm.chunks import BODY, CHUNK_BYTES, Chunks, chunks_in
 from tablewright.llm.passages import Windows, covered, repeated_ranges
 from tablewright.sources.staging import drop_staged, stage
 
@@ -109,56 +109,105 @@ def find_repeats(width: int, bound: int = GROUP_SUFFIXES):
     return find
 
 
-def _kept(with_text: bool):
+def _cleaned(chunk, row: dict) -> Iterator[tuple]:
+    """(id, words, removed, digest of the kept words, kept text) of a chunk's documents.
+
+    Where no word goes, the text stays as it was.
+    """
+    texts = chunk.texts()
+    words = [t.split() for t in texts]
+    edges = np.cumsum([0, *(len(w) for w in words)]).tolist()
+    gone = covered(row["ranges"], edges[-1])
+    for key, text, own, a, b in zip(chunk.ids, texts, words, edges[:-1], edges[1:], strict=True):
+        removed = int(gone[a:b].sum())
+        left = b" ".join(compress(own, (~gone[a:b]).tolist()) if removed else own)
+        yield key, b - a, removed, hashlib.sha256(left).hexdigest(), left if removed else text
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for chunk, row in chunks_in(batches):
+        key, words, removed, digest, _ = zip(*_cleaned(chunk, row), strict=True)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(key, pa.int64()),
+                pa.array(words, pa.int64()),
+                pa.array(removed, pa.int64()),
+                pa.array(digest, pa.string()),
+            ],
+            names=["id", "n_words", "n_removed", "kept_sha256"],
+        )
+
+
+def _documents(text_col: str, chars_col: str | None, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, row in chunks_in(batches):
-            texts = chunk.texts()
-            words = [t.split() for t in texts]
-            sizes = [len(w) for w in words]
-            edges = np.cumsum([0, *sizes]).tolist()
-            gone = covered(row["ranges"], edges[-1])
-            out = []
-            for key, text, own, a, b in zip(chunk.ids, texts, words, edges[:-1], edges[1:], strict=True):
-                removed = int(gone[a:b].sum())
-                left = b" ".join(compress(own, (~gone[a:b]).tolist()) if removed else own)
-                digest = hashlib.sha256(left).hexdigest()
-                out.append((key, b - a, removed, digest, (left if removed else text).decode()))
-            columns = list(zip(*out, strict=True))[: 5 if with_text else 4]
-            kinds = [pa.int64()] * 3 + [pa.string()] * 2
-            names = ["id", "n_words", "n_removed", "kept_sha256", "kept_text"]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=False)], names=names[: len(columns)]
-            )
+            rest = chunk.rest(row).combine_chunks()
+            columns = {name: rest[name].combine_chunks() for name in rest.column_names}
+            _, _, removed, _, left = zip(*_cleaned(chunk, row), strict=True)
+            texts = [t.decode() for t in left]
+            columns[text_col] = pa.array(texts, pa.string())
+            if chars_col in columns:
+                # Counts of texts that stay as they were stay too.
+                columns[chars_col] = pa.array(
+                    [len(t) if r else n for t, r, n in zip(texts, removed, columns[chars_col].to_pylist(), strict=True)],
+                    columns[chars_col].type,
+                )
+            yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
 
     return run
 
 
+def _ranges(chunks: Chunks, width: int) -> DataFrame:
+    windows = Windows(width=width, gram=min(GRAM, width), words=True)
+    return chunks.with_messages(
+        repeated_ranges(chunks, windows, find_repeats(width), first_only=False)
+    )
+
+
+def cleaned_documents(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    chars_col: str | None = "n_chars",
+    width: int = WIDTH,
+    chunk_bytes: int = CHUNK_BYTES,
+) -> DataFrame:
+    """``docs`` with its columns as they were, but texts without their repeated words.
+
+    Rules are those of ``without_repeats``. A text that loses words is the kept ones joined
+    by one space, and ``chars_col``, where there is one, its new number of code points; other
+    texts are unchanged, except that a null text becomes the empty one. No row goes.
+    """
+    spark = docs.sparkSession
+    chunks = Chunks(docs, id_col, text_col, chunk_bytes, whole=True)
+    path = stage(
+        _ranges(chunks, width)
+        .select(*BODY, "rest", "ranges")
+        .mapInArrow(_documents(text_col, chars_col, docs.columns), docs.schema),
+        "cleaned",
+    )
+    chunks.drop()
+    return spark.read.parquet(path)
+
+
 def without_repeats(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     width: int = WIDTH,
-    with_text: bool = False,
     chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """Words covered by a window of ``width`` words that occurs anywhere else are removed.
 
     Words are runs of bytes other than space and 0x09 to 0x0D, taken as they are. Anywhere
     else may be in the same document; every occurrence is removed, and windows are judged on
-    the input. Returns a row per row of ``docs``: id_col, n_words, n_removed, kept_sha256
-    (of the kept words joined by one space) and, ``with_text``, kept_text: those words, or
-    the text as it was where none went. A null text has no words, a null id is kept, repeated
-    rows repeat each other. An empty table gives no rows; other columns are not looked at.
+    the input. Returns a row per row of ``docs``: id_col, n_words, n_removed and kept_sha256
+    (of the kept words joined by one space). A null text has no words, a null id is kept,
+    repeated rows repeat each other. An empty table gives no rows; other columns are not
+    looked at.
     """
     spark = docs.sparkSession
     chunks = Chunks(docs, id_col, text_col, chunk_bytes)
-    windows = Windows(width=width, gram=min(GRAM, width), words=True)
-    ranges = repeated_ranges(chunks, windows, find_repeats(width), first_only=False)
-    path = stage(
-        chunks.with_messages(ranges)
-        .select("chunk", "ids", "sizes", "n_bytes", "body", "ranges")
-        .mapInArrow(_kept(with_text), KEPT + ", kept_text string" * with_text),
-        "kept",
-    )
+    path = stage(_ranges(chunks, width).select(*BODY, "ranges").mapInArrow(_digests, KEPT), "kept")
     chunks.drop()
     return spark.read.parquet(path).withColumnRenamed("id", id_col)

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tablewright.llm.hashing import span_hashes
 from tablewright.sources.staging import drop_staged, stage
@@ -383,8 +384,8 @@ def fit(
 def with_toxicity(docs: DataFrame, model: Model, text_col: str, score_name: str) -> DataFrame:
     """``docs`` with one more column, a struct of the probability and the significant
     segments (first word, end, surprise) of every whole text; null counts as empty."""
-    kind = "struct<score:double,segments:array<struct<first:bigint,end:bigint,surprise:double>>>"
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    kind = "score double, segments array<struct<first:bigint,end:bigint,surprise:double>>"
+    schema = StructType([*docs.schema.fields, StructField(score_name, StructType.fromDDL(kind))])
     arrow = pa.struct(
         [
             ("score", pa.float64()),
@@ -415,7 +416,7 @@ def with_toxicity(docs: DataFrame, model: Model, text_col: str, score_name: str)
                     [*batch.columns, pa.array(found, arrow)], names=[*batch.schema.names, score_name]
                 )
 
-    return docs.mapInArrow(run, f"{columns}, `{score_name}` {kind}")
+    return docs.mapInArrow(run, schema)
 
 
 def scored(
