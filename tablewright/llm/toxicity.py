@@ -32,6 +32,8 @@ MIN_DOCUMENTS = 2
 PRIOR_DOCUMENTS = 10.0
 PRIOR_EACH = 0.5
 DEVIATIONS = 2.5
+LEAST_SCORE = 0.5
+LEAST_CHECKS = 20
 DRIFT = 0.05
 BATCH_BYTES = 1 << 20
 
@@ -206,12 +208,14 @@ def _toxic_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _token_counts(tokens: np.ndarray):
-    """Documents with each token among all, toxic and harmless ones; all documents at -1."""
+    """Documents with each token among all, toxic and harmless ones; all documents at -1 and
+    their words at -2."""
     lexicon = Lexicon(tokens, np.zeros(len(tokens)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = len(tokens) + 1
         total = np.zeros((n, 3), np.int64)
+        words = np.zeros(3, np.int64)
         for batch in batches:
             labels = iter(batch.column(1).to_pylist())
             for texts in blocks_of(t.as_py() for t in batch.column(0)):
@@ -222,12 +226,16 @@ def _token_counts(tokens: np.ndarray):
                 once = np.unique(document[at >= 0] * n + at[at >= 0])
                 once = np.concatenate((once, np.arange(len(texts)) * n + n - 1))
                 total[:, 0] += np.bincount(once % n, minlength=n)
+                words += np.bincount(kind, np.diff(bounds), 3).astype(np.int64)
                 for column in (1, 2):
                     own = kind[once // n] == column
                     total[:, column] += np.bincount(once[own] % n, minlength=n)
-        place = np.flatnonzero(total.any(axis=1))
+        words[0] = words.sum()
+        total = np.vstack((total, words))
+        names = np.array([*range(len(tokens)), -1, -2])
+        some = np.flatnonzero(total.any(axis=1))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.where(place == n - 1, -1, place)), *(pa.array(total[place, c]) for c in range(3))],
+            [pa.array(names[some]), *(pa.array(total[some, c]) for c in range(3))],
             names=["place", "every", "toxic", "clean"],
         )
 
@@ -243,10 +251,10 @@ def lower_log_odds(
     """
     prior = PRIOR_EACH + PRIOR_DOCUMENTS * every / max(1.0, n_every)
     a, b = toxic + prior, clean + prior
-    without_a = n_toxic + PRIOR_DOCUMENTS + 2 * PRIOR_EACH - a
-    without_b = n_clean + PRIOR_DOCUMENTS + 2 * PRIOR_EACH - b
-    odds = np.log(a / np.maximum(without_a, PRIOR_EACH)) - np.log(b / np.maximum(without_b, PRIOR_EACH))
-    return odds - DEVIATIONS * np.sqrt(1.0 / a + 1.0 / b)
+    no_a = np.maximum(n_toxic + PRIOR_DOCUMENTS + 2 * PRIOR_EACH - a, PRIOR_EACH)
+    no_b = np.maximum(n_clean + PRIOR_DOCUMENTS + 2 * PRIOR_EACH - b, PRIOR_EACH)
+    odds = np.log(a / no_a) - np.log(b / no_b)
+    return odds - DEVIATIONS * np.sqrt(1.0 / a + 1.0 / b + 1.0 / no_a + 1.0 / no_b)
 
 
 def _training_segments(model: Model):
@@ -314,7 +322,8 @@ def fit(
     The training sample has at most MAX_TRAINING documents, of equal texts one; the lexicon
     is chosen among the MAX_TOKENS tokens that most toxic ones have; corpus counts cover all
     documents. Three quarters of the sample make the lexicon, the rest the tail and the curve,
-    so that chance is seen as in new text. Without labels of both kinds every probability is
+    so that chance is seen as in new text; with fewer than LEAST_CHECKS of a kind there, the
+    whole sample makes them. Without labels of both kinds every probability is
     about the share of toxic labels, near 0 without any.
     """
     spark = docs.sparkSession
@@ -350,14 +359,19 @@ def fit(
         .agg(*(F.sum(c).alias(c) for c in ("every", "toxic", "clean")))
         .toPandas()
         .set_index("place")
-        .reindex([*range(len(tokens)), -1], fill_value=0)
+        .reindex([*range(len(tokens)), -1, -2], fill_value=0)
     )
     every, toxic, clean = (counted[c].to_numpy(np.float64) for c in ("every", "toxic", "clean"))
-    bound = lower_log_odds(toxic[:-1], clean[:-1], every[:-1], toxic[-1], clean[-1], every[-1])
-    chosen = bound > 0
+    bound = lower_log_odds(toxic[:-2], clean[:-2], every[:-2], toxic[-2], clean[-2], every[-2])
+    chosen = bound >= LEAST_SCORE
     lexicon = Lexicon(tokens[chosen], bound[chosen])
-    draft = Model(lexicon, DRIFT, 1.0, 0.0, 0.0, 1.0)
-    training = training.where("_check").select("_text", "_toxic")
+    # Harmless text must lose more by words than it gains by tokens.
+    gain = float((clean[:-2] * bound)[chosen].sum() / max(1.0, clean[-1]))
+    drift = max(DRIFT, 2.0 * gain)
+    draft = Model(lexicon, drift, 1.0, 0.0, 0.0, 1.0)
+    checks = {r._toxic: r.n for r in spark.read.parquet(path).where("_check").groupBy("_toxic").agg(F.count("*").alias("n")).collect()}
+    enough = min(checks.get(0, 0), checks.get(1, 0)) >= LEAST_CHECKS
+    training = training.where(F.col("_check") | F.lit(not enough)).select("_text", "_toxic")
     rows = training.mapInArrow(
         _training_segments(draft), "toxic int, words long, scores array<double>"
     ).toPandas()
@@ -366,11 +380,11 @@ def fit(
     harmless = rows[y == 0]
     chance = np.concatenate([*(np.asarray(s, np.float64) for s in harmless["scores"]), np.empty(0)])
     rate, level = fit_tail(chance, int(harmless["words"].sum()))
-    model = Model(lexicon, DRIFT, rate, level, 0.0, 1.0)
-    if y.min(initial=1) == y.max(initial=0):
+    model = Model(lexicon, drift, rate, level, 0.0, 1.0)
+    if len(np.unique(y)) < 2:
         share = float(y.mean()) if len(y) else 0.0
         odds = np.log((share * len(y) + 0.01) / ((1 - share) * len(y) + 0.01)) if len(y) else -5.0
-        return Model(lexicon, DRIFT, rate, level, float(odds), 0.0)
+        return Model(lexicon, drift, rate, level, float(odds), 0.0)
     x = np.log1p(
         [
             model.surprise([(0, 0, s) for s in scores], n)
@@ -378,7 +392,7 @@ def fit(
         ]
     )
     intercept, slope = fit_logistic(x, y)
-    return Model(lexicon, DRIFT, rate, level, intercept, max(0.0, slope))
+    return Model(lexicon, drift, rate, level, intercept, max(0.0, slope))
 
 
 def with_toxicity(docs: DataFrame, model: Model, text_col: str, score_name: str) -> DataFrame:
