@@ -7,15 +7,18 @@ the ``SQLTransformer`` that travels with a fitted model.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The text that stands for an absent category, and the number of
-# buckets that decide the resolution of a split.
+# Fixed value: the text that stands for an absent category.
 MISSING = "missing"
-SPLIT_BUCKETS = 10_000
+
+# Bits of the two hashes that a split compares with its border.
+HASH_BITS = 64
+PORTABLE_BITS = 60
 
 
 def quoted(name: str) -> str:
@@ -43,12 +46,17 @@ def probability_text(column: Column) -> Column:
     return F.concat_ws(",", vector_to_array(column))
 
 
-def hash_bucket(keys: Sequence[Column], seed: int) -> Column:
-    """Bucket of a row that depends only on its key values and the seed."""
-    return F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(SPLIT_BUCKETS))
+def key_hash(keys: Sequence[Column], seed: int) -> Column:
+    """A whole number of 64 bits, with sign, from a row's key values and the seed."""
+    return F.xxhash64(F.lit(seed), *keys)
 
 
-def portable_bucket(keys: Sequence[Column], seed: int) -> Column:
-    """The same from md5, which other engines have too; several times slower."""
+def portable_hash(keys: Sequence[Column], seed: int) -> Column:
+    """60 bits without sign from md5, which other engines have too; several times slower."""
     text = F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in keys])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % SPLIT_BUCKETS
+    return F.conv(F.substring(F.md5(text), 1, PORTABLE_BITS // 4), 16, 10).cast("long")
+
+
+def share_of_hashes(share: float, bits: int) -> int:
+    """How many of 2**bits hashes make up a share: neither none nor all of them."""
+    return min(max(round(Fraction(share) * 2**bits), 1), 2**bits - 1)

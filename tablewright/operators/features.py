@@ -8,6 +8,7 @@ once a table has hundreds of thousands of tasks.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
@@ -36,9 +37,9 @@ from tablewright.roles import (
     ColumnRoles,
 )
 
-# Fixed value: the largest category dictionary that a fitted model may hold
-# unless the caller asks for another bound.
-MAX_CATEGORIES = 10_000
+# From so many categories on a column's dictionary and one-hot slots are worth a warning:
+# the learner holds about four bytes of memory for each slot of each row.
+WIDE_CATEGORIES = 10_000
 
 SKETCH_GROUPS = 512
 
@@ -63,7 +64,7 @@ def distinct_estimates(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
 
 
 def check_categories(df: DataFrame, roles: ColumnRoles, max_categories: int | None) -> None:
-    """Refuse a free-text or instant column before it becomes a one-hot vector.
+    """Refuse columns with more categories than the caller allows, if there is a limit.
 
     The dictionaries of the fitted index live on the driver and in every task,
     so their size is estimated before they are collected.
@@ -92,12 +93,15 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def index_models(df: DataFrame, columns: Sequence[str]) -> list[StringIndexerModel]:
     """Index of each column's values by falling frequency, equal ones by text.
 
-    Unseen and null values get the index after the last one. The dictionaries
-    are collected; ``check_categories`` bounds them.
+    Unseen and null values get the index after the last one. The counts stay a
+    table; only the ordered values are collected, because the fitted stage holds
+    them on the driver by design. ``check_categories`` can bound them before.
     """
     dictionaries = [[] for _ in columns]
-    for row in category_counts(df, columns).orderBy("position", F.desc("n"), "value").collect():
+    for row in category_counts(df, columns).orderBy("position", F.desc("n"), "value").select("position", "value").collect():
         dictionaries[row.position].append(row.value)
+    if wide := {c: len(v) for c, v in zip(columns, dictionaries) if len(v) > WIDE_CATEGORIES}:
+        warnings.warn(f"Columns with very many categories, each a slot of every row: {wide}")
     return [
         StringIndexerModel.from_labels(
             values, inputCol=c, outputCol=c + INDEX_SUFFIX, handleInvalid="keep"

@@ -5,17 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.feature import StringIndexerModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.columns import named
 from tablewright.operators.clean import drop_null_label
 from tablewright.roles import CLASS_WEIGHT, INDEXED_LABEL
 
-# The number of classes of the learner, and the largest label
-# dictionary that is brought to the driver (more classes are an error).
+# Fixed value: the number of classes of the learner.
 TWO_CLASSES = 2
-MAX_CLASSES = 10_000
 
 
 @dataclass(frozen=True)
@@ -41,22 +39,47 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
     )
 
 
-def label_dictionary(
-    df: DataFrame, label: str, positive: str | None = None, max_classes: int = MAX_CLASSES
-) -> LabelDictionary:
-    """Labels by falling frequency, equal ones by text.
+def label_table(df: DataFrame, label: str) -> DataFrame:
+    """(value, n, idx, class_weight): the dictionary as a table, for any number of labels.
+
+    Labels are numbered by falling frequency, equal ones by text.
+    """
+    counts = class_counts(drop_null_label(df, label), label)
+    total = counts.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("classes"))
+    # Number of labels with a higher frequency, from one row per frequency.
+    per_count = counts.groupBy("n").agg(F.count(F.lit(1)).alias("labels"))
+    upto = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    before = per_count.select("n", F.coalesce(F.sum("labels").over(upto), F.lit(0)).alias("before"))
+    within = F.row_number().over(Window.partitionBy("n").orderBy("value"))
+    return (
+        counts.withColumn("within", within)
+        .join(before, "n")
+        .join(total)
+        .select(
+            "value",
+            "n",
+            (F.col("before") + F.col("within") - 1).cast("long").alias("idx"),
+            (F.col("rows") / (F.col("classes") * F.col("n"))).alias("class_weight"),
+        )
+    )
+
+
+def join_label_index(
+    df: DataFrame, label: str, labels: DataFrame, output: str = INDEXED_LABEL
+) -> DataFrame:
+    """Class numbers from a ``label_table``; a label outside it, or none, gives null."""
+    known = labels.select(F.col("value").alias("__label_text__"), F.col("idx").cast("double").alias(output))
+    same = named(label).cast("string") == F.col("__label_text__")
+    return df.join(known, same, "left").drop("__label_text__")
+
+
+def label_dictionary(df: DataFrame, label: str, positive: str | None = None) -> LabelDictionary:
+    """Labels by falling frequency, equal ones by text, brought to the driver for a model.
 
     ``positive`` moves one label to the last index, so that with two classes
     ``1.0`` always means that label, whatever its frequency.
     """
-    ranked = (
-        class_counts(drop_null_label(df, label), label)
-        .orderBy(F.desc("n"), "value")
-        .limit(max_classes + 1)
-        .collect()
-    )
-    if len(ranked) > max_classes:
-        raise ValueError(f"Label column '{label}' has more than {max_classes} classes.")
+    ranked = class_counts(drop_null_label(df, label), label).orderBy(F.desc("n"), "value").collect()
     if positive is not None:
         if positive not in [row.value for row in ranked]:
             raise ValueError(f"Positive label '{positive}' does not occur in '{label}'.")

@@ -10,7 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.functions.columns import SPLIT_BUCKETS, hash_bucket, named, portable_bucket
+from tablewright.functions.columns import (
+    HASH_BITS,
+    PORTABLE_BITS,
+    key_hash,
+    named,
+    portable_hash,
+    share_of_hashes,
+)
 from tablewright.roles import SPLIT_PART
 
 TRAIN = "train"
@@ -54,9 +61,14 @@ def hash_split(
     Rows with the same id stay on the same side.
     """
     check_test_size(test_size)
-    bucket = (portable_bucket if portable else hash_bucket)(split_key(df, ids), seed)
-    border = round(SPLIT_BUCKETS * (1 - test_size))
-    return df.withColumn(output, F.when(bucket < border, TRAIN).otherwise(TEST))
+    key = split_key(df, ids)
+    if portable:
+        number = portable_hash(key, seed)
+        border = 2**PORTABLE_BITS - share_of_hashes(test_size, PORTABLE_BITS)
+    else:
+        number = key_hash(key, seed)
+        border = 2 ** (HASH_BITS - 1) - share_of_hashes(test_size, HASH_BITS)
+    return df.withColumn(output, F.when(number < F.lit(border), TRAIN).otherwise(TEST))
 
 
 def random_split(df: DataFrame, test_size: float, seed: int) -> tuple[DataFrame, DataFrame]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.columns import named
@@ -15,13 +15,7 @@ from tablewright.roles import ColumnRoles, detect_roles
 
 def profile(df: DataFrame, label: str) -> DataFrame:
     """One row: rows, null labels, blank labels, distinct labels."""
-    value = named(label)
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(value.isNull()).alias("n_null_labels"),
-        F.count_if(F.trim(value.cast("string")) == "").alias("n_blank_labels"),
-        F.count_distinct(value).alias("n_classes"),
-    )
+    return df.agg(*label_counts(label), F.count_distinct(named(label)).alias("n_classes"))
 
 
 def column_profile(df: DataFrame, roles: ColumnRoles) -> DataFrame:
@@ -51,25 +45,35 @@ def column_profile(df: DataFrame, roles: ColumnRoles) -> DataFrame:
     return counted.select(F.inline(F.array(*described)))
 
 
+def label_counts(label: str) -> list[Column]:
+    """Rows, null labels and blank labels, as an observation can count them."""
+    value = named(label)
+    return [
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(value.isNull()).alias("n_null_labels"),
+        F.count_if(F.trim(value.cast("string")) == "").alias("n_blank_labels"),
+    ]
+
+
 def check_columns(columns: Sequence[str], label: str) -> None:
     if not label or label not in columns:
-        raise ValueError(f"No label column '{label}' among {list(columns)[:30]}")
+        raise ValueError(f"No label column '{label}' among {list(columns)}")
 
 
-def check_profile(found: Row, label: str) -> None:
-    if found.n_rows == 0:
+def check_label_counts(found: dict[str, int], label: str) -> None:
+    if found["n_rows"] == 0:
         raise ValueError("The table has no rows.")
-    if found.n_null_labels > 0:
-        raise ValueError(f"{found.n_null_labels} rows have no value in label column '{label}'.")
-    if found.n_classes < TWO_CLASSES:
-        raise ValueError(f"'{label}' has {found.n_classes} class, two or more are needed.")
+    if found["n_null_labels"] > 0:
+        raise ValueError(f"{found['n_null_labels']} rows have no value in label column '{label}'.")
+    if found["n_blank_labels"]:
+        warnings.warn(f"{found['n_blank_labels']} rows have a blank label, which counts as a class.")
 
 
-def check_two_classes(found: Row, label: str) -> None:
-    if found.n_classes != TWO_CLASSES:
-        raise ValueError(
-            f"The learner takes exactly two classes, '{label}' has {found.n_classes}."
-        )
+def check_classes(n_classes: int, label: str, learner: bool = False) -> None:
+    if n_classes < TWO_CLASSES:
+        raise ValueError(f"'{label}' has {n_classes} class, two or more are needed.")
+    if learner and n_classes != TWO_CLASSES:
+        raise ValueError(f"The learner takes exactly two classes, '{label}' has {n_classes}.")
 
 
 def check_features(roles: ColumnRoles) -> None:
@@ -80,14 +84,12 @@ def check_features(roles: ColumnRoles) -> None:
 def validate(df: DataFrame, label: str, ids: Sequence[str] = (), learner: bool = False) -> ColumnRoles:
     """Run all checks in order, stop at the first failure, return the roles."""
     check_columns(df.columns, label)
-    found = profile(df, label).first()
-    check_profile(found, label)
-    if found.n_blank_labels:
-        warnings.warn(f"{found.n_blank_labels} rows have a blank label, which counts as a class.")
+    found = profile(df, label).first().asDict()
+    check_label_counts(found, label)
+    check_classes(found["n_classes"], label)
     roles = detect_roles(df.schema, label, ids)
     check_features(roles)
-    if learner:
-        check_two_classes(found, label)
+    check_classes(found["n_classes"], label, learner)
     return roles
 
 

@@ -5,6 +5,11 @@ Queries whose result depends on the fitted trees or on the partitioning have non
 
 from __future__ import annotations
 
+from fractions import Fraction
+
+# The share of test rows of the registered queries, as it is stored.
+TEST_SHARE = Fraction(0.2)
+
 CUSTOMER_WITH_NULLS = """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal,
        nullif(c_mktsegment, 'BUILDING') AS c_mktsegment
@@ -30,8 +35,8 @@ FROM {RETURNED} GROUP BY state)"""
 
 
 def portable_part(key: str) -> str:
-    bucket = f"CAST('0x' || substr(md5(concat_ws('|', '42', {key})), 1, 8) AS BIGINT) % 10000"
-    return f"CASE WHEN {bucket} < 8000 THEN 'train' ELSE 'test' END"
+    number = f"CAST('0x' || substr(md5(concat_ws('|', '42', {key})), 1, 15) AS BIGINT)"
+    return f"CASE WHEN {number} < {2**60 - round(TEST_SHARE * 2**60)} THEN 'train' ELSE 'test' END"
 
 
 # The primes of the 64-bit xxHash, and its hash of the integer 42
@@ -72,8 +77,8 @@ SELECT key,
        {times(f"xor(e, e // {wide(2**33)})", p2)} AS f,
        {times(f"xor(f, f // {wide(2**29)})", p3)} AS g,
        xor(g, g // {wide(2**32)}) AS h,
-       CAST(h % 10000 AS BIGINT) - CASE WHEN h >= {wide(2**63)} THEN {2**64 % 10000} ELSE 0 END AS bucket,
-       CASE WHEN (bucket + 10000) % 10000 < 8000 THEN 'train' ELSE 'test' END AS split_part
+       (h + {wide(2**63)}) % {wide(2**64)} AS number,
+       CASE WHEN number < {wide(2**64 - round(TEST_SHARE * 2**64))} THEN 'train' ELSE 'test' END AS split_part
 FROM (SELECT DISTINCT {key} AS key FROM {table}))"""
 
 
@@ -91,6 +96,19 @@ FROM documents)"""
 
 LABELLED = f"(SELECT d.*, l.quality FROM {DOCUMENT_ROWS} d JOIN labels l USING (doc_id))"
 
+LANGUAGES = f"""(
+SELECT doc_id, quality, CASE WHEN lang = 'en' THEN 'en' ELSE 'other' END AS language, split_part,
+       count(*) OVER () / (2 * count(*) OVER (PARTITION BY quality)) AS class_weight
+FROM documents JOIN labels USING (doc_id) JOIN {parts("doc_id", "labels")} ON key = doc_id)"""
+
+# The first tree of one split: each side's mean of -1 and 1 over the training rows.
+LEAVES = f"""(
+SELECT language, 'plain' AS weights, avg(2 * quality - 1) AS mean
+FROM {LANGUAGES} WHERE split_part = 'train' GROUP BY language
+UNION ALL
+SELECT language, 'weighted', sum(class_weight * (2 * quality - 1)) / sum(class_weight)
+FROM {LANGUAGES} WHERE split_part = 'train' GROUP BY language)"""
+
 RULE = """(
 SELECT doc_id, CAST(quality AS DOUBLE) AS label, CAST(n_chars AS DOUBLE) AS score,
        CAST(n_chars > {border} AS DOUBLE) AS prediction
@@ -181,6 +199,10 @@ SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority
 FROM orders ORDER BY o_orderkey LIMIT 25""",
     "request_json": CUSTOMER_WITH_NULLS,
     "split_requests": CUSTOMER_WITH_NULLS,
+    "csv_two_orders": CUSTOMER_WITH_NULLS,
+    "requests_malformed": CUSTOMER_WITH_NULLS + "WHERE c_custkey % 7 <> 0",
+    "split_requests_malformed": CUSTOMER_WITH_NULLS + "WHERE c_custkey % 7 <> 0",
+    "request_document": CUSTOMER_WITH_NULLS + "ORDER BY c_custkey LIMIT 25",
     "normalize_header": """
 SELECT c_custkey, c_name, c_acctbal AS "c_acct.bal" FROM customer""",
     "column_profile": " UNION ALL ".join(
@@ -227,6 +249,12 @@ QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, va
 SELECT * FROM {USERS_WITH_NULLS}
 QUALIFY user_id IS NULL
      OR row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, value) = 1""",
+    "dedup_prepared": """
+SELECT user_id, event_type, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1""",
+    "customer_names": f"""
+SELECT c_custkey, c_name, CAST(idx AS DOUBLE) AS label
+FROM customer JOIN {ranks("c_name", "customer")} r ON r.value = c_name""",
     "label_dictionary": """
 SELECT CAST(row_number() OVER (ORDER BY count(*) DESC, o_orderstatus) - 1 AS INTEGER) AS label,
        o_orderstatus AS value, count(*) AS n
@@ -307,6 +335,29 @@ FROM {INDEXED}""",
     "registered_features": f"""
 SELECT doc_id, CAST(lang_idx AS DOUBLE) AS lang_idx, CAST(source_idx AS DOUBLE) AS source_idx
 FROM {INDEXED}""",
+    "one_tree_scores": f"""
+SELECT doc_id, language, weights, round(1 / (1 + exp(-2 * mean)), 9) AS probability
+FROM {LANGUAGES} JOIN {LEAVES} USING (language) WHERE split_part = 'train'""",
+    "training_metrics": f"""
+WITH scored AS (
+  SELECT mean, quality FROM {LANGUAGES} JOIN {LEAVES} USING (language)
+  WHERE split_part = 'test' AND weights = 'plain'),
+per AS (SELECT mean, sum(quality) AS p, sum(1 - quality) AS n FROM scored GROUP BY mean),
+below AS (SELECT p, n, sum(n) OVER (ORDER BY mean) - n AS lower FROM per)
+SELECT 'one_tree' AS run_name,
+       (SELECT round(avg(CAST((mean > 0) = (quality = 1) AS INTEGER)), 9) FROM scored) AS accuracy,
+       (SELECT round(sum(p * (lower + n / 2)) / (sum(p) * sum(n)), 9) FROM below) AS roc_auc""",
+    "grid_to_production": """
+SELECT doc_id, true AS is_best, CAST(1 AS BIGINT) AS versions FROM documents""",
+    "chosen_features": f"""
+WITH rows AS (
+  SELECT d.*, split_part FROM {LABELLED} d JOIN {parts("doc_id", "labels")} ON key = doc_id),
+known AS (
+  SELECT source, row_number() OVER (ORDER BY count(*) DESC, source) - 1 AS idx
+  FROM rows WHERE split_part = 'train' GROUP BY source)
+SELECT doc_id, CAST(coalesce(idx, (SELECT count(*) FROM known)) AS DOUBLE) AS source_idx,
+       n_chars AS n_chars_imputed
+FROM rows LEFT JOIN known USING (source) WHERE split_part = 'test'""",
     "confusion": f"SELECT * FROM {CONFUSION}",
     "class_report": f"""
 SELECT class, support, predicted, hits, round(f1, 9) AS f1 FROM {class_report(CONFUSION)}""",

@@ -139,6 +139,48 @@ def split_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.from_split_requests(tables.to_split_requests(rows), rows.schema)
 
 
+def two_orders(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Customers as CSV whose columns stand in another order than those asked for."""
+    rows = customer_with_nulls(spark, sf_dir)
+    return written_csv(rows.select(*reversed(rows.columns)), "reversed"), rows
+
+
+def csv_two_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read by a schema in another order than that of the file: columns go by name."""
+    path, rows = two_orders(spark, sf_dir)
+    return tables.open_table(spark, path, schema=rows.schema).rows
+
+
+def broken_requests(requests: DataFrame) -> DataFrame:
+    """The document of every seventh customer is cut in half."""
+    key = F.regexp_extract("value", "([0-9]+)", 1).cast("long")
+    cut = F.substring("value", 1, 20)
+    return requests.select(F.when(key % 7 == 0, cut).otherwise(F.col("value")).alias("value"))
+
+
+def requests_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = customer_with_nulls(spark, sf_dir)
+    return tables.from_requests(broken_requests(tables.to_requests(rows)), rows.schema)
+
+
+def split_requests_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of every seventh customer lack their last cell."""
+    rows = customer_with_nulls(spark, sf_dir)
+    whole = tables.to_split_requests(rows)
+    short = F.regexp_replace("value", ",[^,]*\\]\\]", "]]")
+    key = F.regexp_extract("value", "\\[\\[([0-9]+)", 1).cast("long")
+    broken = whole.select(F.when(key % 7 == 0, short).otherwise(F.col("value")).alias("value"))
+    return tables.from_split_requests(broken, rows.schema)
+
+
+def request_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """25 rows in one document and back."""
+    rows = customer_with_nulls(spark, sf_dir)
+    return tables.from_split_requests(
+        tables.to_split_request(rows, 25, ["c_custkey"]), rows.schema
+    )
+
+
 # Header, roles and checks
 
 
@@ -228,13 +270,20 @@ def dedup_keep_null_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dedup_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first event of each user and kind, by an instant that is no feature."""
+    events = read(spark, sf_dir, "events")
+    roles = ColumnRoles("event_type", ("user_id",), (), ("value",))
+    rows = train.prepared_rows(events, roles, TEST_SIZE, SEED, order_by=["ts", "event_id"])
+    return rows.drop("split_part")
+
+
 # Label, weights and split
 
 
 def label_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = label.label_dictionary(read(spark, sf_dir, "orders"), "o_orderstatus")
-    rows = [(i, v, n) for i, (v, n) in enumerate(zip(found.values, found.counts))]
-    return spark.createDataFrame(rows, "label int, value string, n long")
+    found = label.label_table(read(spark, sf_dir, "orders"), "o_orderstatus")
+    return found.select(F.col("idx").cast("int").alias("label"), "value", "n")
 
 
 def label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,12 +298,13 @@ def returned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = label.label_dictionary(returned(spark, sf_dir), "state")
-    rows = [
-        (value, n, weight)
-        for value, n, weight in zip(found.values, found.counts, found.weights().values())
-    ]
-    return spark.createDataFrame(rows, "value string, n long, class_weight double")
+    return label.label_table(returned(spark, sf_dir), "state").drop("idx")
+
+
+def customer_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many classes as customers: the dictionary is a table, and joined."""
+    customer = read(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    return label.join_label_index(customer, "c_name", label.label_table(customer, "c_name"))
 
 
 def row_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -550,6 +600,98 @@ def registered_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_rows(model, documents, run).select("doc_id", "lang_idx", "source_idx")
 
 
+def labelled_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents with one feature of two values."""
+    quality = read(spark, sf_dir, "labels").select("doc_id", "quality")
+    language = F.when(F.col("lang") == "en", "en").otherwise("other")
+    return read(spark, sf_dir, "documents").select("doc_id", language.alias("language")).join(
+        quality, "doc_id"
+    )
+
+
+ONE_TREE = {"max_iter": 1, "max_depth": 1, "subsampling_rate": 1.0}
+
+
+def prepared_languages(spark: SparkSession, sf_dir: str) -> train.Prepared:
+    return train.prepare(
+        spark, labelled_languages(spark, sf_dir), "quality", ["doc_id"], positive_label="1"
+    )
+
+
+def one_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One split on one feature: a leaf's margin is the weighted mean of its -1 and 1."""
+    prepared = prepared_languages(spark, sf_dir)
+    rows = prepared.part(split.TRAIN)
+    fitted = []
+    for name, weighted in (("plain", False), ("weighted", True)):
+        model = train.fit(prepared, train.TrainParams(**ONE_TREE, use_class_weights=weighted))
+        share = F.round(vector_to_array("probability")[1], 9)
+        fitted.append(model.transform(rows).select("doc_id", "language", F.lit(name).alias("weights"), share.alias("probability")))
+    return fitted[0].unionByName(fitted[1])
+
+
+def training_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a training run has recorded about such a tree on its test rows."""
+    runs_path = new_path(spark, "runs")
+    train.train(
+        spark,
+        labelled_languages(spark, sf_dir),
+        "quality",
+        ["doc_id"],
+        train.TrainParams(**ONE_TREE),
+        runs_path,
+        run_name="one_tree",
+        positive_label="1",
+    )
+    metric = F.col("metrics")
+    return RunStore(spark, runs_path).runs().select(
+        "run_name",
+        F.round(metric["accuracy"], 9).alias("accuracy"),
+        F.round(metric["roc_auc"], 9).alias("roc_auc"),
+    )
+
+
+def grid_to_production(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three parameter sets, the best one registered, promoted, and nothing else."""
+    runs_path = new_path(spark, "runs")
+    grid = {f"depth{d}": train.TrainParams(max_iter=2, max_depth=d) for d in (1, 2, 3)}
+    train.train_grid(
+        spark,
+        labelled_documents(spark, sf_dir),
+        "quality",
+        ["doc_id"],
+        grid,
+        runs_path,
+        register_as="good_documents",
+        register_best="roc_auc",
+        positive_label="1",
+    )
+    store = RunStore(spark, runs_path)
+    store.promote("good_documents", 1)
+    model, run = store.load("good_documents")
+    documents = documents_with_words(spark, sf_dir)
+    best = store.runs().agg(F.max(F.col("metrics")["roc_auc"]).alias("best")).first().best
+    return score_rows(model, documents, run).select(
+        "doc_id",
+        F.lit(run.metrics["roc_auc"] == best).alias("is_best"),
+        F.lit(store.versions("good_documents").count()).alias("versions"),
+    )
+
+
+def chosen_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Explicit feature lists, fitted on the training part alone."""
+    prepared = train.prepare(
+        spark,
+        labelled_documents(spark, sf_dir),
+        "quality",
+        ["doc_id"],
+        categorical=["source", "absent", "quality"],
+        numeric=["n_chars"],
+    )
+    fitted = train.fit_prepared_features(prepared)
+    return fitted.transform(prepared.part(split.TEST)).select("doc_id", "source_idx", "n_chars_imputed")
+
+
 # Evaluation
 
 
@@ -665,7 +807,11 @@ QUERIES: dict[str, Query] = {
     "csv_malformed_text": csv_malformed_text,
     "csv_malformed_typed": csv_malformed_typed,
     "request_rows": request_rows,
+    "csv_two_orders": csv_two_orders,
     "request_json": request_json,
+    "requests_malformed": requests_malformed,
+    "split_requests_malformed": split_requests_malformed,
+    "request_document": request_document,
     "split_requests": split_requests,
     "normalize_header": normalize_header,
     "column_profile": column_profile,
@@ -676,7 +822,9 @@ QUERIES: dict[str, Query] = {
     "dedup_ids_label": dedup_ids_label,
     "dedup_null_ids": dedup_null_ids,
     "dedup_keep_null_ids": dedup_keep_null_ids,
+    "dedup_prepared": dedup_prepared,
     "label_dictionary": label_dictionary,
+    "customer_names": customer_names,
     "label_index": label_index,
     "class_weights": class_weights,
     "row_weights": row_weights,
@@ -702,6 +850,10 @@ QUERIES: dict[str, Query] = {
     "stream_equals_batch": stream_equals_batch,
     "stream_features": stream_features,
     "registered_features": registered_features,
+    "one_tree_scores": one_tree_scores,
+    "training_metrics": training_metrics,
+    "grid_to_production": grid_to_production,
+    "chosen_features": chosen_features,
     "confusion": confusion,
     "class_report": class_report,
     "accuracy_and_f1": accuracy_and_f1,

@@ -8,18 +8,13 @@ from uuid import uuid4
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.columns import named
 from tablewright.operators.clean import clean_values, drop_duplicates, drop_null_label
-from tablewright.operators.features import (
-    MAX_CATEGORIES,
-    check_categories,
-    fit_features,
-    learner,
-)
+from tablewright.operators.features import check_categories, fit_features, learner
 from tablewright.operators.header import clean_header
 from tablewright.operators.label import (
     LabelDictionary,
@@ -29,7 +24,14 @@ from tablewright.operators.label import (
 )
 from tablewright.operators.metrics import ROC_BINS, evaluate
 from tablewright.operators.split import TEST, TRAIN, check_test_size, hash_split, random_split
-from tablewright.operators.validate import check_features, validate
+from tablewright.operators.validate import (
+    check_classes,
+    check_columns,
+    check_features,
+    check_label_counts,
+    label_counts,
+    validate,
+)
 from tablewright.roles import (
     INDEXED_LABEL,
     PREDICTION,
@@ -41,6 +43,7 @@ from tablewright.roles import (
     check_reserved,
     clean_name,
     clean_names,
+    detect_roles,
     restrict_roles,
 )
 from tablewright.sources.runs import RunStore
@@ -111,18 +114,22 @@ def prepared_rows(
     null_ids: str = "collapse",
     split: str = "hash",
 ) -> DataFrame:
-    """Clean, drop unlabelled and duplicate rows, mark the split part.
+    """Drop unlabelled and duplicate rows, clean, mark the part of a split by hash.
 
     One shuffle at most, and that only when id columns are present.
     """
     ids = [c for c in roles.ids if c in df.columns]
     columns = [*ids, roles.label, *roles.features]
-    cleaned = clean_values(df.select(*map(named, columns)), roles.categorical, roles.numeric)
-    labelled = drop_null_label(cleaned, roles.label)
+    # Duplicates go by the values as they were read, before cleaning makes some of them equal.
+    used = list(dict.fromkeys([*columns, *order_by]))
+    labelled = drop_null_label(df.select(*map(named, used)), roles.label)
     distinct = drop_duplicates(labelled, ids, roles.label, order_by, null_ids=null_ids)
-    if split == "hash":
-        return hash_split(distinct, ids, test_size, seed)
-    train, test = random_split(distinct, test_size, seed)
+    cleaned = clean_values(distinct.select(*map(named, columns)), roles.categorical, roles.numeric)
+    return hash_split(cleaned, ids, test_size, seed) if split == "hash" else cleaned
+
+
+def randomly_marked(df: DataFrame, test_size: float, seed: int) -> DataFrame:
+    train, test = random_split(df, test_size, seed)
     return train.withColumn(SPLIT_PART, F.lit(TRAIN)).unionByName(
         test.withColumn(SPLIT_PART, F.lit(TEST))
     )
@@ -143,7 +150,7 @@ def prepare(
     order_by: Sequence[str] = (),
     null_ids: str = "collapse",
     split: str = "hash",
-    max_categories: int | None = MAX_CATEGORIES,
+    max_categories: int | None = None,
     on_malformed: str = "drop",
 ) -> Prepared:
     """Read, check, clean, split and stage; many models can be fitted on the result."""
@@ -152,20 +159,37 @@ def prepare(
     try:
         df = clean_header(table.rows)
         label = clean_name(label)
-        roles = validate(df, label, clean_names(ids), learner=True)
+        check_columns(df.columns, label)
+        roles = detect_roles(df.schema, label, clean_names(ids))
+        # Without any column left the guards on rows come first.
+        if not roles.features:
+            validate(df, label, clean_names(ids), learner=True)
         roles = restrict_roles(df.columns, roles, categorical, numeric)
         check_features(roles)
         check_feature_names(roles)
         check_reserved(df.columns, roles)
-        rows = prepared_rows(df, roles, test_size, seed, order_by, null_ids, split)
-        staged = stage(rows, "prepared", partition_by=[SPLIT_PART])
+        # The guards see the rows that are staged, on their way: the source is read once.
+        seen = Observation()
+        rows = prepared_rows(
+            df.observe(seen, *label_counts(label)), roles, test_size, seed, clean_names(order_by), null_ids, split
+        )
+        if split == "hash":
+            staged = stage(rows, "prepared", partition_by=[SPLIT_PART])
+        else:
+            whole = stage(rows, "prepared")
+            marked = randomly_marked(spark.read.parquet(whole), test_size, seed)
+            staged = stage(marked, "prepared", partition_by=[SPLIT_PART])
+            drop_staged(spark, whole)
         malformed = table.malformed
     finally:
         table.drop()
-    rows = spark.read.parquet(staged)
     try:
-        check_categories(rows, roles, max_categories)
+        found = seen.get
+        check_label_counts(found, label)
+        rows = spark.read.parquet(staged)
         dictionary = label_dictionary(rows, label, positive_label)
+        check_classes(len(dictionary.values), label, learner=True)
+        check_categories(rows, roles, max_categories)
     except Exception:
         drop_staged(spark, staged)
         raise
@@ -234,9 +258,14 @@ def train_grid(
     register_as: str | None = None,
     rank_error: float = 0.0,
     bins: int = ROC_BINS,
+    register_best: str | None = None,
     **reading,
 ) -> list[Run]:
-    """Fit one model per parameter set on the same preparation and features."""
+    """Fit one model per parameter set on the same preparation and features.
+
+    ``register_as`` registers every run, or only the best one by the metric
+    ``register_best`` (equal ones: the first of the grid).
+    """
     splits = {(p.test_size, p.seed) for p in grid.values()}
     if len(splits) != 1:
         raise ValueError("All parameter sets of a grid share test_size and seed.")
@@ -244,13 +273,19 @@ def train_grid(
     prepared = prepare(spark, source, label, ids, test_size=test_size, seed=seed, **reading)
     try:
         features = fit_prepared_features(prepared, rank_error)
-        data_path = source if isinstance(source, str) else ""
-        return [
-            measured_run(prepared, features, params, runs_path, experiment, name, register_as, bins, data_path)
+        data_path = source if isinstance(source, str) else "DataFrame"
+        each = None if register_best else register_as
+        options = {"rank_error": rank_error, "bins": bins, **reading}
+        runs = [
+            measured_run(prepared, features, params, runs_path, experiment, name, each, bins, data_path, options)
             for name, params in grid.items()
         ]
     finally:
         prepared.drop()
+    if register_best and register_as and runs_path is not None:
+        best = max(runs, key=lambda run: run.metrics[register_best])
+        RunStore(spark, runs_path).register(register_as, best.run_id)
+    return runs
 
 
 def measured_run(
@@ -263,6 +298,7 @@ def measured_run(
     register_as: str | None,
     bins: int,
     data_path: str,
+    options: dict[str, object],
 ) -> Run:
     model = fit(prepared, params, features)
     roles = prepared.roles
@@ -286,7 +322,7 @@ def measured_run(
     store.log_run(
         experiment,
         run_name,
-        params=run_params(prepared, params, data_path),
+        params=run_params(prepared, params, data_path, options),
         tags={"dataset": experiment, "model": "GBTClassifier", "framework": "pyspark"},
         metrics=metrics,
         label_values=prepared.dictionary.values,
@@ -301,10 +337,36 @@ def measured_run(
     return Run(run_id, model, metrics)
 
 
-def run_params(prepared: Prepared, params: TrainParams, data_path: str) -> dict[str, object]:
+# How a source is read unless a training says otherwise; runs record all of it.
+READING = {
+    "format": "csv",
+    "schema": None,
+    "categorical": None,
+    "numeric": None,
+    "positive_label": None,
+    "order_by": (),
+    "null_ids": "collapse",
+    "split": "hash",
+    "max_categories": None,
+    "on_malformed": "drop",
+}
+
+
+def option_text(value: object) -> str:
+    if isinstance(value, T.StructType):
+        return value.simpleString()
+    if isinstance(value, str) or not isinstance(value, Iterable):
+        return str(value)
+    return ",".join(map(str, value))
+
+
+def run_params(
+    prepared: Prepared, params: TrainParams, data_path: str, options: dict[str, object]
+) -> dict[str, object]:
     spark = prepared.rows.sparkSession
     return {
         "data_path": data_path,
+        **{name: option_text(value) for name, value in (READING | options).items()},
         "label_column": prepared.roles.label,
         "id_columns": ",".join(prepared.roles.ids),
         **asdict(params),

@@ -54,6 +54,9 @@ REGISTRY_SCHEMA = T.StructType(
 NO_STAGE = "None"
 PRODUCTION = "Production"
 
+# Marks a version that another run has taken at the same time.
+GIVEN_BACK = "GivenBack"
+
 
 def now() -> str:
     return datetime.now(timezone.utc).isoformat(timespec="microseconds")
@@ -131,11 +134,24 @@ class RunStore:
         return best
 
     def register(self, name: str, run_id: str, stage: str = NO_STAGE) -> int:
-        """Add a run's model as the next version of a name."""
-        last = self.registry().filter(F.col("name") == name).agg(F.max("version")).first()[0]
-        version = (last or 0) + 1
-        self._append_version(name, version, stage, run_id)
-        return version
+        """Add a run's model as the next version of a name.
+
+        Where two trainings take the same version at once, the run with the smaller id keeps
+        it; the other one gives it back and takes the next.
+        """
+        while True:
+            mine = self.registry().filter(F.col("name") == name)
+            version = (mine.agg(F.max("version")).first()[0] or 0) + 1
+            self._append_version(name, version, stage, run_id)
+            holder = (
+                self.registry()
+                .filter((F.col("name") == name) & (F.col("version") == version))
+                .agg(F.min("run_id"))
+                .first()[0]
+            )
+            if holder == run_id:
+                return version
+            self._append_version(name, version, GIVEN_BACK, run_id)
 
     def promote(self, name: str, version: int, stage: str = PRODUCTION) -> None:
         known = self.versions(name).filter(F.col("version") == version).first()
@@ -148,11 +164,10 @@ class RunStore:
         return (
             self.registry()
             .filter(F.col("name") == name)
-            .groupBy("version")
-            .agg(
-                F.max_by("stage", "changed_at").alias("stage"),
-                F.max_by("run_id", "changed_at").alias("run_id"),
-            )
+            .groupBy("version", "run_id")
+            .agg(F.max_by("stage", "changed_at").alias("stage"))
+            .filter(F.col("stage") != GIVEN_BACK)
+            .select("version", "stage", "run_id")
         )
 
     def find(self, name: str, stage: str = PRODUCTION) -> Row:

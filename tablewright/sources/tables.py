@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import TypeVar
 
-from pyspark.sql import DataFrame, DataFrameReader, Observation, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
@@ -38,6 +38,31 @@ def csv_reader(spark: SparkSession) -> DataFrameReader:
     return spark.read.options(header=True, nullValue=NULL_TEXT)
 
 
+def header_names(spark: SparkSession, path: str) -> list[str | None]:
+    """The fields of one header line, as they stand in the file."""
+    first = spark.read.csv(path).first()
+    return list(first) if first else []
+
+
+def in_file_order(schema: T.StructType, header: Sequence[str | None]) -> T.StructType:
+    """The caller's fields in the order of the header, if it has just these names."""
+    by_name = {f.name: f for f in schema.fields}
+    if set(by_name) == set(header) and len(header) == len(by_name):
+        return T.StructType([by_name[name] for name in header])
+    return schema
+
+
+def checked_by_name(
+    reader: DataFrameReader, schema: T.StructType, header: Sequence[str | None]
+) -> DataFrameReader:
+    """Refuse files whose header has the columns in another order than the first one.
+
+    The reader would give their values to the wrong columns. Headers that can't be column
+    names as they stand (empty or repeated fields) are read by position.
+    """
+    return reader.option("enforceSchema", list(header) != schema.names)
+
+
 Reader = TypeVar("Reader", DataFrameReader, DataStreamReader)
 
 
@@ -84,7 +109,8 @@ def open_table(
     """Open a CSV or Parquet path (any URI Spark reads) or take a DataFrame.
 
     Types are inferred from the whole CSV file unless ``schema`` is given, which
-    saves one scan of it. ``on_malformed='fail'`` raises instead of dropping.
+    saves one scan of it; its columns are found by name, in any order. All files of a
+    folder need the same header. ``on_malformed='fail'`` raises instead of dropping.
     """
     if isinstance(source, DataFrame):
         return OpenTable(source)
@@ -93,16 +119,22 @@ def open_table(
     if format != "csv":
         raise ValueError(f"Unknown format '{format}', use csv or parquet.")
 
+    header = header_names(spark, source)
+    wanted = schema.names if schema else None
     if schema is None:
         schema = csv_reader(spark).option("inferSchema", True).csv(source).schema
     if not schema.fields:
         raise ValueError(f"No columns in {source}")
-    parsed = marking(csv_reader(spark), schema).csv(source)
+    schema = in_file_order(schema, header)
+    parsed = checked_by_name(marking(csv_reader(spark), schema), schema, header).csv(source)
     # Staged by position: header texts need not be valid or distinct as column names.
     plain = [f"c{i}" for i in range(len(schema.fields))]
     path = stage(parsed.toDF(*plain, MALFORMED), "csv")
     kept = spark.read.parquet(path).filter(named(MALFORMED).isNull()).select(*plain)
-    table = OpenTable(kept.toDF(*schema.names), path)
+    kept = kept.toDF(*schema.names)
+    if wanted and wanted != schema.names:
+        kept = kept.select(*map(named, wanted))
+    table = OpenTable(kept, path)
     if on_malformed == "fail" and (count := table.malformed):
         table.drop()
         raise ValueError(f"{count} malformed rows in {source}")
@@ -119,17 +151,21 @@ def open_text_table(
     """
     schema = csv_reader(spark).csv(path).schema
     reader = marking(csv_reader(spark).option("columnPruning", False), schema)
-    text = reader.csv(path)
+    text = checked_by_name(reader, schema, header_names(spark, path)).csv(path)
     if on_malformed == "fail":
-        mark = named(MALFORMED)
-        fine = F.when(mark.isNull(), True).otherwise(
-            F.raise_error(F.concat(F.lit("Malformed row: "), mark)).cast("boolean")
-        )
-        return text.filter(fine).drop(MALFORMED), None
+        return failing_on_malformed(text), None
     seen = Observation()
     return without_malformed(text, seen), seen
 
 
+def failing_on_malformed(marked: DataFrame) -> DataFrame:
+    mark = named(MALFORMED)
+    fine = F.when(mark.isNull(), True).otherwise(
+        F.raise_error(F.concat(F.lit("Malformed row: "), mark)).cast("boolean")
+    )
+    return marked.filter(fine).drop(MALFORMED)
+
+
 def conform(df: DataFrame, training: T.StructType, roles: ColumnRoles) -> DataFrame:
     """Give feature columns the types they had in training.
 
@@ -179,9 +215,35 @@ def to_requests(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(record, {"ignoreNullFields": "false"}).alias("value"))
 
 
-def from_requests(requests: DataFrame, schema: T.StructType) -> DataFrame:
-    """JSON records back to columns; works on a stream of records as well."""
-    return requests.select(F.from_json("value", schema).alias("row")).select("row.*")
+def well_formed(
+    marked: DataFrame, seen: Observation | str | None, on_malformed: str
+) -> DataFrame:
+    if on_malformed == "fail":
+        return failing_on_malformed(marked)
+    if seen is None:
+        return marked.filter(named(MALFORMED).isNull()).drop(MALFORMED)
+    return without_malformed(marked, seen)
+
+
+def from_requests(
+    requests: DataFrame,
+    schema: T.StructType,
+    seen: Observation | str | None = None,
+    on_malformed: str = "drop",
+) -> DataFrame:
+    """JSON records back to columns; works on a stream of records as well.
+
+    A record that is broken, or has a value of another type, is left out; ``seen`` counts
+    these on the way. ``on_malformed='fail'`` ends the job with the first one.
+    """
+    marked = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
+    row = F.from_json("value", marked, {"columnNameOfCorruptRecord": MALFORMED})
+    whole = requests.select("value", row.alias("row"))
+    mark = F.when(F.col("row").isNull(), F.coalesce("value", F.lit(""))).otherwise(
+        F.col("row").getField(MALFORMED)
+    )
+    fields = [F.col("row").getField(f.name).alias(f.name) for f in schema.fields]
+    return well_formed(whole.select(*fields, mark.alias(MALFORMED)), seen, on_malformed)
 
 
 def to_split_requests(df: DataFrame) -> DataFrame:
@@ -196,18 +258,55 @@ def to_split_requests(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(document, {"ignoreNullFields": "false"}).alias("value"))
 
 
-def from_split_requests(requests: DataFrame, schema: T.StructType) -> DataFrame:
+def to_split_request(df: DataFrame, n: int, order_by: Sequence[str] = ()) -> DataFrame:
+    """The first n rows in one document, numbered from 0 under ``index``.
+
+    n is what a caller sends at once; the document is made in one task.
+    """
+    first = request_rows(df, n, order_by)
+    order = F.struct(*map(named, order_by or df.columns))
+    cells = F.array(*[named(c).cast("variant") for c in df.columns])
+    place = F.row_number().over(Window.orderBy(order)) - 1
+    listed = first.select(place.alias("at"), cells.alias("cells")).agg(
+        F.collect_list(F.struct("at", "cells")).alias("rows")
+    )
+    # Collected in the order of the window; variants have no order of their own.
+    table = F.struct(
+        F.transform("rows", lambda r: r["at"]).alias("index"),
+        F.array(*map(F.lit, df.columns)).alias("columns"),
+        F.transform("rows", lambda r: r["cells"]).alias("data"),
+    )
+    document = F.struct(table.alias(SPLIT_KEY))
+    return listed.select(F.to_json(document, {"ignoreNullFields": "false"}).alias("value"))
+
+
+def from_split_requests(
+    requests: DataFrame,
+    schema: T.StructType,
+    seen: Observation | str | None = None,
+    on_malformed: str = "drop",
+) -> DataFrame:
     """Rows of such documents, any number per document, in any column order.
 
-    Absent columns and values of another type are null.
+    Absent columns and values of another type are null. A broken document, one without
+    columns or data, and a row with another number of cells than there are columns are left
+    out as one malformed row each; ``seen`` and ``on_malformed`` are as in ``from_requests``.
     """
     shape = f"{SPLIT_KEY} struct<columns array<string>, data array<array<variant>>>"
     table = F.from_json("value", shape).getField(SPLIT_KEY)
-    rows = requests.select(table.alias("t")).select("t.columns", F.explode("t.data").alias("cells"))
-    cell = rows.select(F.map_from_arrays("columns", "cells").alias("cell"))
-    return cell.select(
-        *[
-            F.try_variant_get(F.col("cell")[f.name], "$", f.dataType.simpleString()).alias(f.name)
-            for f in schema.fields
-        ]
+    rows = requests.select("value", table.alias("t")).select(
+        "value", "t.columns", F.explode_outer("t.data").alias("cells")
     )
+    fits = F.size("cells") == F.size("columns")
+    mark = F.when(F.coalesce(fits, F.lit(False)), None).otherwise(F.coalesce("value", F.lit("")))
+
+    def cell(name: str):
+        # Places count from 1; 0 stands for a column that isn't there.
+        place = F.nullif(F.array_position("columns", name), F.lit(0))
+        return F.try_element_at("cells", place.cast("int"))
+
+    fields = [
+        F.try_variant_get(cell(f.name), "$", f.dataType.simpleString()).alias(f.name)
+        for f in schema.fields
+    ]
+    return well_formed(rows.select(*fields, mark.alias(MALFORMED)), seen, on_malformed)

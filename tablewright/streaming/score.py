@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tablewright.operators.header import clean_header
 from tablewright.plans.score import score_output, score_rows
 from tablewright.sources.tables import (
     MALFORMED_COUNT,
@@ -24,34 +25,41 @@ from tablewright.sources.tables import (
 )
 
 
+# Files that a batch of a stream takes unless told otherwise.
+FILES_PER_TRIGGER = 1000
+
+
 def read_stream(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
     format: str = "parquet",
-    files_per_trigger: int | None = None,
+    files_per_trigger: int | None = FILES_PER_TRIGGER,
 ) -> DataFrame:
     """New files of a folder: Parquet, CSV, or requests as JSON, one per line.
 
     A request is a record of column values (``requests``) or a document with
     columns and rows apart (``split_requests``).
 
-    The progress of a CSV stream reports the malformed rows it left out, under
-    ``observedMetrics['malformed']``.
+    The progress of a CSV or request stream reports the malformed rows it left out, under
+    ``observedMetrics['malformed']``. A batch takes at most ``files_per_trigger`` files, so
+    that a long backlog is worked off in parts; ``None`` takes all.
     """
     reader = spark.readStream
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     if format == "requests":
-        return from_requests(reader.text(path), schema)
+        return from_requests(reader.text(path), schema, MALFORMED_COUNT)
     if format == "split_requests":
-        return from_split_requests(reader.text(path), schema)
+        return from_split_requests(reader.text(path), schema, MALFORMED_COUNT)
     if format == "csv":
         # The header of each file must match the schema instead of being ignored.
         reader = reader.options(
             header=True, nullValue=NULL_TEXT, enforceSchema=False, columnPruning=False
         )
         return without_malformed(marking(reader, schema).csv(path), MALFORMED_COUNT)
+    if format != "parquet":
+        raise ValueError(f"Unknown format '{format}', use parquet, csv, requests or split_requests.")
     return reader.schema(schema).parquet(path)
 
 
@@ -88,6 +96,7 @@ def score_stream(
     interval: str | None = None,
 ) -> StreamingQuery:
     """The same rows as batch scoring, written as they come in."""
+    stream = clean_header(stream)
     scored = score_rows(model, stream, run)
     kept = stream.columns if keep_input else None
     result = score_output(scored, ids, label, kept, format)

@@ -7,7 +7,9 @@ from tablewright.operators.label import (
     LabelDictionary,
     add_class_weight,
     index_label,
+    join_label_index,
     label_dictionary,
+    label_table,
 )
 from tablewright.operators.split import hash_split, random_split
 from tests.support import plan, rows
@@ -51,9 +53,24 @@ def test_unknown_label_fails(spark):
         index_label(labels(spark, ["z"]), "y", LabelDictionary(("a", "b"), (1, 1))).collect()
 
 
-def test_too_many_classes_are_refused(spark):
-    with pytest.raises(ValueError, match="more than 5 classes"):
-        label_dictionary(spark.range(6).select(F.col("id").alias("y")), "y", max_classes=5)
+def test_any_number_of_classes(spark):
+    df = spark.range(25_000).select((F.col("id") % 12_000).alias("y"))
+    assert len(label_dictionary(df, "y").values) == 12_000
+    table = label_table(df, "y")
+    indexed = join_label_index(df, "y", table)
+    assert indexed.select("label").distinct().count() == 12_000
+    assert indexed.agg(F.max("label")).first()[0] == 11_999
+
+
+def test_table_and_dictionary_agree(spark):
+    df = labels(spark, ["b", "a", "c", "c", None, "d", "d", "d"])
+    found = label_dictionary(df, "y")
+    table = {r.value: (r.idx, r.n, r.class_weight) for r in label_table(df, "y").collect()}
+    weights = found.weights()
+    assert table == {
+        v: (i, n, weights[float(i)]) for i, (v, n) in enumerate(zip(found.values, found.counts))
+    }
+    assert join_label_index(df, "y", label_table(df, "y")).filter("label IS NULL").count() == 1
 
 
 def test_weights(spark):
@@ -72,10 +89,19 @@ def test_weights_sum_to_the_number_of_rows():
 
 def test_portable_split_by_key_hash(spark):
     df = spark.createDataFrame([(7, "x")], "id int, s string")
-    bucket = int(hashlib.md5(b"42|7").hexdigest()[:8], 16) % 10000
-    assert bucket == 2085
-    assert hash_split(df, ["id"], 0.8, 42, portable=True).first().split_part == "test"
-    assert hash_split(df, ["id"], 0.7, 42, portable=True).first().split_part == "train"
+    share = int(hashlib.md5(b"42|7").hexdigest()[:15], 16) / 2**60
+    assert hash_split(df, ["id"], 1 - share + 1e-6, 42, portable=True).first().split_part == "test"
+    assert hash_split(df, ["id"], 1 - share - 1e-6, 42, portable=True).first().split_part == "train"
+
+
+@pytest.mark.parametrize("portable", [False, True])
+def test_very_small_and_very_large_shares(spark, portable):
+    df = spark.range(2_000_000)
+    for test_size in (0.00001, 0.99999):
+        found = hash_split(df, ["id"], test_size, 42, portable=portable)
+        counts = {r.split_part: r["count"] for r in found.groupBy("split_part").count().collect()}
+        few = min(counts.values())
+        assert len(counts) == 2 and 5 <= few <= 45
 
 
 def test_split_does_not_depend_on_the_width_of_the_key(spark):

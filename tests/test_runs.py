@@ -76,3 +76,18 @@ def test_model_survives_saving(spark, store):
     loaded, run = store.load("m")
     assert run.run_id == run_id
     assert rows(loaded.transform(df), "id") == rows(model.transform(df), "id")
+
+
+def test_two_runs_that_take_one_version_at_once(store):
+    first, second = sorted(store.log_run("e", name) for name in ("x", "y"))
+    # The other training appends between the look at the versions and the own row.
+    append = store._append_version
+
+    def racing(name, version, stage, run_id):
+        store._append_version = append
+        append(name, version, stage, first)
+        append(name, version, stage, run_id)
+
+    store._append_version = racing
+    assert store.register("raced", second) == 2
+    assert rows(store.versions("raced"), "version") == [(1, NO_STAGE, first), (2, NO_STAGE, second)]

@@ -94,3 +94,32 @@ def test_csv_stream_with_other_header_is_refused(spark, model, orders, tmp_path)
     stream = read_stream(spark, source, text_schema(orders.columns), "csv")
     with pytest.raises(StreamingQueryException):
         run_stream(spark, model, stream, tmp_path)
+
+
+def test_unknown_format_is_refused(spark, tmp_path, orders):
+    with pytest.raises(ValueError, match="Unknown format 'orc'"):
+        read_stream(spark, str(tmp_path), orders.schema, "orc")
+
+
+def test_stream_survives_broken_requests(spark, tmp_path, orders, model):
+    source, out = tmp_path / "broken", str(tmp_path / "broken_out")
+    source.mkdir()
+    wide = orders.limit(3)
+    lines = [r.value for r in to_split_requests(wide).collect()]
+    write_lines(source / "a.txt", *lines, "no json", '{"dataframe_split":{"columns":["a","b"],"data":[[1]]}}')
+    stream = read_stream(spark, str(source), wide.schema, "split_requests")
+    query = score_stream(model, stream, out, str(tmp_path / "broken_state"), ids=["o_orderkey"])
+    query.awaitTermination()
+    assert spark.read.parquet(out).count() == 3
+    assert sum(p.observedMetrics["malformed"].malformed for p in query.recentProgress if p.observedMetrics) == 2
+
+
+def test_headers_with_spaces(spark, tmp_path, orders, model):
+    source, out = tmp_path / "spaced", str(tmp_path / "spaced_out")
+    source.mkdir()
+    write_lines(source / "a.csv", "o_orderkey, o_orderpriority ,o_totalprice", "7,1-URGENT,5.0")
+    stream = read_stream(
+        spark, str(source), text_schema(["o_orderkey", " o_orderpriority ", "o_totalprice"]), "csv"
+    )
+    score_stream(model, stream, out, str(tmp_path / "spaced_state"), ids=["o_orderkey"]).awaitTermination()
+    assert spark.read.parquet(out).count() == 1

@@ -3,6 +3,7 @@ import datetime
 import pytest
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -197,3 +198,58 @@ def test_pushdown_reaches_the_staged_table(spark, tmp_path):
     table = tables.open_table(spark, write_lines(tmp_path / "m.csv", *RAGGED))
     text = plan(table.rows.select("y"))
     assert "IsNull(__malformed_row__)" in text and "ReadSchema: struct<c1:string,__malformed_row__:string>" in text
+
+
+def counted(requests, read, schema):
+    seen = Observation()
+    found = sorted(rows(read(requests, schema, seen)), key=repr)
+    return found, seen.get[tables.MALFORMED_COUNT]
+
+
+def test_broken_requests_are_counted_or_refused(spark):
+    schema = T.StructType.fromDDL("id int, y string")
+    records = spark.createDataFrame(
+        [(v,) for v in ('{"id":1,"y":"a"}', '{"id":2,', "no json", '{"id":"x","y":"b"}', None, '{"y":"c"}')],
+        "value string",
+    )
+    assert counted(records, tables.from_requests, schema) == ([(1, "a"), (None, "c")], 4)
+    with pytest.raises(Exception, match="Malformed row"):
+        tables.from_requests(records, schema, on_malformed="fail").collect()
+    documents = spark.createDataFrame(
+        [
+            ('{"dataframe_split":{"columns":["id","y"],"data":[[1,"a"],[2],[3,"c",4]]}}',),
+            ('{"dataframe_split":{"columns":["id","y"]}}',),
+            ('{"dataframe_split":{"data":[[5,"e"]]}}',),
+            ('{"other":1}',),
+            ("no json",),
+            ('{"dataframe_split":{"columns":["y","id"],"data":[["f",6]]}}',),
+        ],
+        "value string",
+    )
+    assert counted(documents, tables.from_split_requests, schema) == ([(1, "a"), (6, "f")], 6)
+    with pytest.raises(Exception, match="Malformed row"):
+        tables.from_split_requests(documents, schema, on_malformed="fail").collect()
+
+
+def test_many_rows_in_one_document(spark):
+    df = spark.range(9).select(F.col("id"), (F.col("id") * 2).alias("x"))
+    (document,) = tables.to_split_request(df, 3, ["id"]).collect()
+    assert document.value == (
+        '{"dataframe_split":{"index":[0,1,2],"columns":["id","x"],"data":[[0,0],[1,2],[2,4]]}}'
+    )
+
+
+def test_columns_go_by_the_header(spark, tmp_path):
+    folder = tmp_path / "same"
+    folder.mkdir()
+    write_lines(folder / "a.csv", "id,age,income", "1,32,1002")
+    asked = T.StructType.fromDDL("income int, id int, age int")
+    opened = tables.open_table(spark, str(folder), schema=asked)
+    assert opened.rows.columns == ["income", "id", "age"]
+    assert rows(opened.rows) == [(1002, 1, 32)]
+    write_lines(folder / "b.csv", "id,income,age", "2,1003,33")
+    for schema in (None, asked):
+        with pytest.raises(Exception, match="(?i)header"):
+            tables.open_table(spark, str(folder), schema=schema)
+    with pytest.raises(Exception, match="(?i)header"):
+        tables.open_text_table(spark, str(folder))[0].collect()

@@ -255,3 +255,66 @@ def test_refused_inputs(spark, tmp_path):
 def test_random_split_is_offered(spark, training_file):
     prepared = prepare(spark, training_file, "leaves", ["Customer"], split="random")
     assert prepared.part("train").count() + prepared.part("test").count() == 400
+
+
+def test_duplicates_by_the_values_as_read(spark):
+    """The order looks at columns that are no features, and at whole numbers beyond doubles."""
+    big = 9007199254740992
+    raw = spark.createDataFrame(
+        [(1, "a", big + 1, None), (1, "a", big, 5), (2, "b", 1, 2), (3, "a", 1, 1)],
+        "k int, y string, n long, at int",
+    )
+    prepared = prepare(spark, raw, "y", ["k"], numeric=["n"], order_by=["n"])
+    assert prepared.rows.filter("k = 1").first().n == float(big)
+    by_time = prepare(spark, raw, "y", ["k"], numeric=["n"], order_by=["at"])
+    kept = by_time.rows.filter("k = 1")
+    assert kept.columns == ["k", "y", "n", "split_part"] and kept.count() == 1
+
+
+def test_a_source_is_evaluated_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def touched(value):
+        seen.add(1)
+        return value
+
+    raw = spark.range(200).select("id", touched(F.concat(F.lit("y"), F.col("id") % 2)).alias("y"), (F.col("id") % 7).alias("n"))
+    for split in ("hash", "random"):
+        before = seen.value
+        prepared = prepare(spark, raw, "y", ["id"], split=split)
+        assert prepared.rows.count() == 200 and seen.value - before == 200
+
+
+def test_many_categories_are_a_warning(spark):
+    many = spark.range(10_500).select(
+        (F.col("id") % 2).alias("y"), F.concat(F.lit("t"), F.col("id")).alias("text")
+    )
+    prepared = prepare(spark, many, "y", test_size=0.001)
+    with pytest.warns(UserWarning, match="very many categories"):
+        features = fit_prepared_features(prepared)
+    assert features.transform(prepared.part("test")).count() > 0
+
+
+def test_unknown_formats_are_refused(spark, tmp_path):
+    raw = spark.range(40).select((F.col("id") % 2).alias("y"), F.col("id").alias("n"))
+    runs = str(tmp_path / "runs")
+    train(spark, raw, "y", params=SMALL, runs_path=runs, register_as="m")
+    RunStore(spark, runs).promote("m", 1)
+    with pytest.raises(ValueError, match="Unknown format 'orc'"):
+        score(spark, str(tmp_path), str(tmp_path / "out"), runs, "m", format="orc")
+
+
+def test_best_of_a_grid_is_registered(spark, tmp_path):
+    raw = spark.range(300).select((F.col("id") % 2).alias("y"), (F.col("id") % 10).alias("n"))
+    runs = str(tmp_path / "grid")
+    grid = {f"d{d}": TrainParams(max_iter=1, max_depth=d) for d in (1, 2, 4)}
+    found = train_grid(
+        spark, raw, "y", [], grid, runs, register_as="m", register_best="roc_auc", order_by=["n"]
+    )
+    store = RunStore(spark, runs)
+    (version,) = store.versions("m").collect()
+    best = max(run.metrics["roc_auc"] for run in found)
+    assert store.run(version.run_id).metrics["roc_auc"] == best
+    recorded = store.run(version.run_id).params
+    assert recorded["order_by"] == "n" and recorded["split"] == "hash" and recorded["data_path"] == "DataFrame"
