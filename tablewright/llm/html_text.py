@@ -32,12 +32,16 @@ BLOCK = frozenset(
 )
 # Words of class, id and role that name parts beside the article.
 ASIDE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising advertorial banner breadcrumb breadcrumbs "
-    "comment comments consent cookie cookies copyright disclaimer disqus footer gdpr header "
-    "masthead menu modal nav navbar navigation newsletter notice notices notification pagination "
-    "pager popup promo promoted promotion related replies reply respond share sharing sidebar "
-    "signup skip social sponsor sponsored subscribe subscription toolbar widget widgets".split()
+    "ad ads alert consent copyright disclaimer footer gdpr header masthead menu modal nav "
+    "navigation notice notices notification overlay pagination pager promo promoted promotion "
+    "related replies reply respond share sharing signup skip social subscribe subscription toc "
+    "toolbar widget widgets".split()
 )
+# Such words may go on, as in ``commentlist`` or ``cookiebar``.
+ASIDE_BEGINNINGS = (
+    "advert", "banner", "breadcrumb", "comment", "cookie", "disqus", "navbar", "newsletter",
+    "popup", "sidebar", "sponsor",
+)
 # Elements that end an open <p>, and what an open element of a kind ends.
 ENDS_P = BLOCK - {"br", "html", "body", "td", "th", "tr", "tbody", "thead", "tfoot"}
 ENDED_BY_PEER = {
@@ -50,6 +54,8 @@ ENDED_BY_PEER = {
     "option": ({"option"}, {"select"}),
 }
 ROOTS = ("article", "main")
+# Elements that may hold a whole article.
+CONTAINERS = frozenset("html body div section center table tbody tr td span".split())
 # After these a word says what the page has, not what the element is.
 HAS_WORDS = frozenset(("has", "with", "no", "without", "hide", "show"))
 
@@ -70,12 +76,13 @@ MARKS = re.compile(r"[.,;:!?…。，、；：！？؟،]")
 
 
 class Node:
-    """A block of text: where it stands in the page and what it says."""
+    """A block of text: its tag path, the numbers of the elements on it, what it says."""
 
-    __slots__ = ("path", "parts", "linked")
+    __slots__ = ("path", "elements", "parts", "linked")
 
-    def __init__(self, path: tuple[str, ...]):
+    def __init__(self, path: tuple[str, ...], elements: tuple[int, ...]):
         self.path = path
+        self.elements = elements
         self.parts: list[str] = []
         self.linked = 0
 
@@ -97,7 +104,8 @@ def _aside(attributes: str, inside: bool) -> bool:
             continue
         words = SPLIT_NAMES.split(CAMEL.sub(" ", value).lower())
         for before, word in zip(["", *words], words, strict=False):
-            if word in ASIDE_WORDS and before not in HAS_WORDS and not (inside and word == "header"):
+            named = word in ASIDE_WORDS or word.startswith(ASIDE_BEGINNINGS)
+            if named and before not in HAS_WORDS and not (inside and word == "header"):
                 return True
         if name == "role" and value.lower() in ("complementary", "contentinfo", "search", "alert"):
             return True
@@ -106,7 +114,7 @@ def _aside(attributes: str, inside: bool) -> bool:
 
 def text_blocks(html: str) -> list[Node]:
     """Blocks of text outside the parts that are named as no article text, in page order."""
-    open_tags: list[tuple[str, bool]] = []  # (tag, taken out)
+    open_tags: list[tuple[str, bool, int]] = []  # (tag, taken out, number)
     blocks: list[Node] = []
     block: Node | None = None
     at, outs = 0, 0
@@ -116,16 +124,16 @@ def text_blocks(html: str) -> list[Node]:
         if outs or not raw:
             return
         if block is None:
-            path = tuple(tag for tag, _ in open_tags if tag in BLOCK)
-            block = Node(path)
+            around = [(tag, number) for tag, _, number in open_tags if tag in BLOCK]
+            block = Node(tuple(t for t, _ in around), tuple(n for _, n in around))
             blocks.append(block)
         block.parts.append(raw)
-        if any(tag == "a" for tag, _ in open_tags):
+        if any(tag == "a" for tag, *_ in open_tags):
             block.linked += len(raw.strip())
 
     def close_to(depth: int) -> None:
         nonlocal block, outs
-        for tag, out in open_tags[depth:]:
+        for tag, out, _ in open_tags[depth:]:
             outs -= out
             if tag in BLOCK:
                 block = None
@@ -184,10 +192,10 @@ def text_blocks(html: str) -> list[Node]:
         if attributes.rstrip().endswith("/") and tag in ("svg", "path", "use"):
             continue
         # The header of an article may hold its heading, so there headers stay.
-        inside = any(name in ROOTS for name, _ in open_tags)
+        inside = any(name in ROOTS for name, *_ in open_tags)
         out = tag in DROPPED and not (tag == "header" and inside)
         out = out or tag not in ("html", "body", "main") and _aside(attributes, inside)
-        open_tags.append((tag, out))
+        open_tags.append((tag, out, at))
         outs += out
     return blocks
 
@@ -229,12 +237,32 @@ def path_scores(blocks: list[tuple[Node, str]]) -> dict[tuple[str, ...], float]:
     }
 
 
-def main_text(html: str, share: float = 0.01) -> str:
+def container(
+    blocks: list[tuple[Node, str]], weights: list[float], most: float
+) -> list[int]:
+    """The blocks in the innermost element that holds ``most`` of the weight."""
+    total, depth = sum(weights), 0
+    kept = list(range(len(blocks)))
+    while True:
+        inner: dict[int, float] = {}
+        for i in kept:
+            elements = blocks[i][0].elements
+            if len(elements) > depth and blocks[i][0].path[depth] in CONTAINERS:
+                inner[elements[depth]] = inner.get(elements[depth], 0.0) + weights[i]
+        best = max(inner, key=inner.get, default=None)
+        if best is None or inner[best] < most * total:
+            return kept
+        kept = [i for i in kept if blocks[i][0].elements[depth : depth + 1] == (best,)]
+        depth += 1
+
+
+def main_text(html: str, share: float = 0.01, most: float = 0.75) -> str:
     """The article of a page, blocks joined by line ends.
 
     Where the page marks its article (``article``, else ``main``) and a path in it has a
-    score, every block in it is article text. Elsewhere the paths with at least ``share`` of
-    the best path's score are taken, without blocks that are mostly links.
+    score, every block in it is article text. Elsewhere the blocks whose paths have at least
+    ``share`` of the best path's score are taken, without those that are mostly links, and of
+    these what lies in the innermost element that holds ``most`` of their length and marks.
     """
     blocks = [(node, text) for node in text_blocks(html) if (text := said(node))]
     if not blocks:
@@ -246,11 +274,12 @@ def main_text(html: str, share: float = 0.01) -> str:
             return "\n".join(text for _, text in marked)
     limit = share * max(scores.values())
     kept = [
-        text
+        (node, text)
         for node, text in blocks
         if scores[node.path] >= limit and (node.linked * 2 < len(text) or not node.linked)
     ]
-    return "\n".join(kept)
+    weights = [(len(text) - node.linked) * (1.0 + len(MARKS.findall(text))) for node, text in kept]
+    return "\n".join(kept[i][1] for i in container(kept, weights, most))
 
 
 def extract(

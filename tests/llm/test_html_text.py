@@ -26,6 +26,19 @@ def test_article_found_by_its_paths():
     assert text.split("\n") == [f"Sentence {i}, with some words in it. And another one; longer." for i in range(8)]
 
 
+def test_unmarked_page_with_unnamed_parts():
+    body = "".join(f"<p>Here is paragraph {i}, which says a little. It goes on; and on.</p>" for i in range(6))
+    page = f"""<body><div><div>Log in, or register now.</div></div><div><div><h2>Heading</h2>{body}</div>
+    <div class="commentlist"><p>Great, thanks. Really!</p></div></div><div>All rights, reserved.</div></body>"""
+    lines = main_text(page).split("\n")
+    assert lines[0] == "Heading" and len(lines) == 7
+
+
+def test_one_long_paragraph_among_short_ones():
+    page = "<body><div><p>Short, first.</p><p>" + "Long text, with marks. " * 90 + "</p><p>Short, last.</p></div></body>"
+    assert main_text(page).count("\n") == 2
+
+
 def test_scores_prefer_sentences():
     blocks = [(n, said(n)) for n in text_blocks("<div><p>Many words, and marks. Really, many.</p><h5>x</h5></div>")]
     scores = path_scores(blocks)
