@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tablewright.llm.hashing import byte_grams, span_hashes
 
 SHINGLE_BYTES = 16
-ONE_IN = 32
+ONE_IN = 16
 PART_BYTES = 8 << 20
 MAX_PARTS = 20_000
 NO_ID = -(2**63)
