@@ -1,19 +1,18 @@
 """Exact medians of many columns, and filling with them.
 
-``exact_medians`` narrows an open interval around the wanted rank: quantiles of
-a sample propose two borders, then one aggregate over all rows counts what lies
-below, on and between them. The sample only proposes; the counts decide, so the
-result is exact and the same for every partitioning. A pass leaves under one
-percent of the rows, for all columns at once, so tables of any size need a
-handful of scans, and no task or driver ever holds more than a sample or
-``finish_rows`` values.
+``exact_medians`` narrows an open interval around the wanted rank. One scan counts
+the present values and proposes two borders close to the rank; the digests behind
+the proposal are merged in groups first, so no task takes in those of all others.
+A second scan counts the values below, on and between the borders and, where few
+are left between them, picks the wanted one at once. The proposal only proposes;
+the counts decide, so the result is exact and the same for every partitioning. As
+long as more than ``finish_rows`` values may be left, a scan counts without them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
-from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,9 +20,10 @@ from pyspark.sql import functions as F
 from tablewright.functions.columns import named
 from tablewright.roles import IMPUTED_SUFFIX
 
-FINISH_ROWS = 200_000
-SAMPLE_ROWS = 1_000_000
+FINISH_ROWS = 5_000_000
 ACCURACY = 1000
+MARGIN = 2 / ACCURACY
+DIGEST_GROUPS = 512
 
 
 @dataclass(frozen=True)
@@ -71,89 +71,125 @@ def exact_medians(
 ) -> dict[str, float]:
     """Lower median of the present values of each column."""
     table = df.select(*[v.alias(f"v{i}") for i, v in enumerate(numbers(df, columns))])
-    counts = table.agg(*[F.count(c).alias(c) for c in table.columns]).first()
-    empty = [c for c, n in zip(columns, counts) if n == 0]
+    first = propose(table, {c: (F.col(c), 0.5) for c in table.columns})
+    empty = [name for c, name in zip(table.columns, columns) if first[c][0] == 0]
     if empty:
         raise ValueError(f"No median: columns without any value: {empty}")
-    state = {c: Interval(rank=(n + 1) // 2, rows=n) for c, n in zip(table.columns, counts)}
+    state = {c: Interval(rank=(n + 1) // 2, rows=n) for c, (n, _, _) in first.items()}
+    borders = {c: (low, high) for c, (_, low, high) in first.items()}
+    while open_ := {c: s for c, s in state.items() if s.found is None}:
+        few = {c for c, s in open_.items() if 2 * MARGIN * s.rows <= finish_rows}
+        if few:
+            state |= settle(table, {c: open_[c] for c in few}, borders)
+        if many := {c: s for c, s in open_.items() if c not in few}:
+            state |= narrow(table, many, borders)
+        again = {c: s for c, s in state.items() if s.found is None}
+        if again:
+            proposed = propose(
+                table, {c: (inside(c, s), s.rank / s.rows) for c, s in again.items()}
+            )
+            borders = {c: (low, high) for c, (_, low, high) in proposed.items()}
+    return {name: state[f"v{i}"].found for i, name in enumerate(columns)}
 
-    def unfinished() -> list[str]:
-        return [c for c, s in state.items() if s.found is None and s.rows > finish_rows]
 
-    for seed in count():
-        open_columns = unfinished()
-        if not open_columns:
-            break
-        state |= narrow(table, {c: state[c] for c in open_columns}, seed)
-    state |= finish(table, {c: s for c, s in state.items() if s.found is None})
-    return {name: state[f"v{i}"].found for i, name in enumerate(columns)}
+def inside(name: str, interval: Interval) -> Column:
+    return F.when(interval.holds(F.col(name)), F.col(name))
 
 
-def narrow(table: DataFrame, state: dict[str, Interval], seed: int) -> dict[str, Interval]:
-    """Two scans: borders close to the wanted rank, then counts around them."""
-    inside = {c: F.when(s.holds(F.col(c)), F.col(c)) for c, s in state.items()}
-    sample = table.select(
+def propose(
+    table: DataFrame, wanted: dict[str, tuple[Column, float]]
+) -> dict[str, tuple[int, float | None, float | None]]:
+    """One scan: number of values of each column, and two borders around a share of them.
+
+    Every group of tasks proposes borders of its own; their medians are taken.
+    """
+    values = table.select(
+        (F.spark_partition_id() % DIGEST_GROUPS).alias("digest_group"),
+        *[value.alias(c) for c, (value, _) in wanted.items()],
+    )
+    grouped = values.groupBy("digest_group").agg(
+        *[F.count(c).alias(f"{c}_n") for c in wanted],
         *[
-            F.when(F.rand(seed) < SAMPLE_ROWS / s.rows, inside[c]).alias(c)
-            for c, s in state.items()
-        ]
+            F.percentile_approx(c, [max(0.0, share - MARGIN), min(1.0, share + MARGIN)], ACCURACY).alias(c)
+            for c, (_, share) in wanted.items()
+        ],
     )
-    borders = sample.agg(
-        *[F.percentile_approx(c, around(s.rank / s.rows), ACCURACY).alias(c) for c, s in state.items()]
+    row = grouped.agg(
+        *[F.coalesce(F.sum(f"{c}_n"), F.lit(0)).alias(f"{c}_n") for c in wanted],
+        *[F.percentile_approx(F.col(c)[i], 0.5).alias(f"{c}_{i}") for c in wanted for i in (0, 1)],
     ).first()
-    # An empty sample proposes nothing; the next pass draws another one.
-    proposed = {c: s for c, s in state.items() if borders[c] is not None}
+    return {c: (row[f"{c}_n"], row[f"{c}_0"], row[f"{c}_1"]) for c in wanted}
+
+
+Borders = dict[str, tuple[float, float]]
+
+
+def narrow(table: DataFrame, state: dict[str, Interval], borders: Borders) -> dict[str, Interval]:
+    """One scan: counts below, on and between the borders."""
     counts = table.agg(
-        F.count(F.lit(1)).alias("rows"),
         *[
             F.count_if(test).alias(f"{c}_{i}")
-            for c in proposed
-            for i, test in enumerate(around_counts(inside[c], *borders[c]))
+            for c, s in state.items()
+            for i, test in enumerate(around_counts(inside(c, s), *borders[c]))
         ],
     ).first()
     return {
-        c: s.narrowed(*borders[c], *[counts[f"{c}_{i}"] for i in range(4)])
-        for c, s in proposed.items()
+        c: s.narrowed(*borders[c], *[counts[f"{c}_{i}"] for i in range(4)]) for c, s in state.items()
     }
 
 
-def around(share: float) -> list[float]:
-    margin = 2 / ACCURACY
-    return [max(0.0, share - margin), min(1.0, share + margin)]
-
-
 def around_counts(value: Column, a: float, b: float) -> list[Column]:
     """Below the first border, on it, between both, on the second one."""
     return [value < a, value == a, (value > a) & (value < b), (value == b) & F.lit(a != b)]
 
 
-def finish(table: DataFrame, state: dict[str, Interval]) -> dict[str, Interval]:
-    """Pick the value at the rank among the few distinct values left."""
-    if not state:
-        return {}
-    # Only the values inside become rows. A filter over all columns would do the
-    # same, but the optimizer does not come to an end with it on wide tables.
-    left = [
-        F.when(
-            s.holds(F.col(c)),
-            F.struct(F.lit(c).alias("name"), F.lit(s.rank).alias("rank"), F.col(c).alias("value")),
+def settle(table: DataFrame, state: dict[str, Interval], borders: Borders) -> dict[str, Interval]:
+    """One scan: counts of the values from border to border, one count below and one above.
+
+    The value at the rank is found, unless the proposal missed it; then the side on which it
+    lies is known.
+    """
+    cells = []
+    for c, s in state.items():
+        a, b = borders[c]
+        value = inside(c, s)
+        side = F.when(value < a, 0).when(value > b, 2).otherwise(1)
+        cells.append(
+            F.when(
+                value.isNotNull(),
+                F.struct(
+                    F.lit(c).alias("name"),
+                    F.lit(s.rank).alias("rank"),
+                    side.alias("side"),
+                    F.when(side == 1, value).alias("value"),
+                ),
+            )
         )
-        for c, s in state.items()
-    ]
+    # Only cells with a value become rows. A filter over all columns would do the same, but
+    # the optimizer does not come to an end with it on wide tables.
     distinct = (
-        table.select(F.inline(F.array_compact(F.array(*left))))
-        .groupBy("name", "rank", "value")
+        table.select(F.inline(F.array_compact(F.array(*cells))))
+        .groupBy("name", "rank", "side", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    upto = F.sum("n").over(Window.partitionBy("name").orderBy("value"))
+    upto = F.sum("n").over(Window.partitionBy("name").orderBy("side", "value"))
     picked = (
         distinct.withColumn("upto", upto)
         .filter(F.col("upto") >= F.col("rank"))
         .groupBy("name")
-        .agg(F.min("value").alias("value"))
+        .agg(F.min_by(F.struct("side", "value", "upto", "n"), "upto").alias("at"))
         .collect()
     )
-    return {row.name: replace(state[row.name], found=row.value) for row in picked}
+    out = {}
+    for name, at in picked:
+        s, (a, b) = state[name], borders[name]
+        if at.side == 1:
+            out[name] = replace(s, found=at.value)
+        elif at.side == 0:
+            out[name] = replace(s, rows=at.n, high=a)
+        else:
+            out[name] = replace(s, rank=s.rank - (at.upto - at.n), rows=at.n, low=b)
+    return out
 
 
 def impute(df: DataFrame, medians: dict[str, float]) -> DataFrame:
