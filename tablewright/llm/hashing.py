@@ -10,6 +10,9 @@ MIX2 = np.uint64(0xC4CEB9FE1A85EC53)
 STEP = 0xD6E8FEB86659FD93  # odd, so that it has an inverse modulo 2**64
 BYTE_CODES = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64)
 
+# So much text at a time that arrays over its bytes stay in a core's cache.
+BLOCK_BYTES = 1 << 16
+
 # The separators of the contract's words: space and 0x09 to 0x0D, as bytes.split() has them.
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -24,12 +27,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_KNOWN_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, np.uint64(base), dtype=np.uint64)
-    if n:
+    """The first n powers, kept for the next block of text."""
+    if len(_KNOWN_POWERS.get(base, ())) < n:
+        out = np.full(max(n, 1 << 17), np.uint64(base), dtype=np.uint64)
         out[0] = 1
         np.multiply.accumulate(out, out=out)
-    return out
+        _KNOWN_POWERS[base] = out
+    return _KNOWN_POWERS[base][:n]
 
 
 def byte_grams(data: np.ndarray, k: int) -> np.ndarray:
@@ -79,19 +87,35 @@ def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
     A text with fewer than k words gives its whole word sequence as one shingle, a text
     without words the empty set.
     """
+    out: list[np.ndarray] = []
+    some: list[bytes] = []
+    size = 0
+    for text in texts:
+        some.append(text)
+        size += len(text)
+        if size >= BLOCK_BYTES:
+            out += _shingle_sets(some, k)
+            some, size = [], 0
+    return out + _shingle_sets(some, k)
+
+
+def _shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
     data = np.frombuffer(b"\n".join(texts), np.uint8)
     starts, ends = word_spans(data)
     words = span_hashes(data, starts, ends) if len(starts) else np.empty(0, np.uint64)
     edges = np.cumsum([0, *(len(t) + 1 for t in texts)])
-    first = np.searchsorted(starts, edges)
+    first = np.searchsorted(starts, edges).tolist()
     rolled = grams(words, k)
     out = []
-    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-        if b - a >= k:
-            out.append(np.unique(rolled[a : b - k + 1]))
+    for a, b in zip(first[:-1], first[1:], strict=True):
+        if b - a > k:
+            own = np.sort(rolled[a : b - k + 1])
+            fresh = own[1:] != own[:-1]
+            out.append(own if fresh.all() else own[np.concatenate(([True], fresh))])
+        elif b - a == k:
+            out.append(rolled[a : a + 1])
         elif b > a:
-            short = grams(words[a:b], b - a)
-            out.append(mix(short + np.uint64(b - a)))
+            out.append(mix(grams(words[a:b], b - a) + np.uint64(b - a)))
         else:
             out.append(np.empty(0, np.uint64))
     return out
