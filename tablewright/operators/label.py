@@ -45,7 +45,7 @@ def label_table(df: DataFrame, label: str) -> DataFrame:
     Labels are numbered by falling frequency, equal ones by text.
     """
     counts = class_counts(drop_null_label(df, label), label)
-    total = counts.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("classes"))
+    total = counts.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("classes")).first()
     # Number of labels with a higher frequency, from one row per frequency.
     per_count = counts.groupBy("n").agg(F.count(F.lit(1)).alias("labels"))
     upto = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
@@ -54,12 +54,11 @@ def label_table(df: DataFrame, label: str) -> DataFrame:
     return (
         counts.withColumn("within", within)
         .join(before, "n")
-        .join(total)
         .select(
             "value",
             "n",
             (F.col("before") + F.col("within") - 1).cast("long").alias("idx"),
-            (F.col("rows") / (F.col("classes") * F.col("n"))).alias("class_weight"),
+            (F.lit(total.rows) / (total.classes * F.col("n"))).alias("class_weight"),
         )
     )
 
