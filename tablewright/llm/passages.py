@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tablewright.llm.chunks import BODY, Chunk, Chunks, chunks_in
 from tablewright.llm.hashing import byte_grams, grams, mix, span_hashes, word_spans
 
-BLOCK_UNITS = 1 << 20
+BLOCK_UNITS = 1 << 16
 BATCH_BYTES = 2 << 20
 GROUP_BYTES = 32 << 20
 CUTS = (
@@ -177,48 +177,58 @@ def _cut_rows(windows: Windows, n_groups: int, first_only: bool):
         run = np.flatnonzero(flags[np.searchsorted(known, hashes)])
         if not len(run):
             return None
-        document = np.searchsorted(units.edges, begins[run], "right") - 1
-        ranks = chunk.ranks[document]
-        # Equal cuts of the chunk, exactly: anchor and text.
-        same: dict[tuple[int, bytes], list[int]] = {}
-        for i, (h, a, b) in enumerate(
-            zip(hashes[run].tolist(), begins[run].tolist(), (ends[run] + width - 1).tolist(), strict=True)
-        ):
-            same.setdefault((h, units.cut(a, b)), []).append(i)
-        out: dict[int, dict[str, list]] = {}
-        for (h, text), members in same.items():
-            to = out.setdefault(h % n_groups, {k: [] for k in ("lengths", "anchors", "ranks", "copies", "places", "settled", "text")})
-            if first_only:
-                rank = int(ranks[members].min())
-                open_ = [i for i in members if ranks[i] == rank]
-                to["settled"] += [i for i in members if ranks[i] != rank]
-            else:
-                rank = len(members)
-                open_ = members if rank == 1 else []
-                to["settled"] += members if rank > 1 else []
-            to["lengths"].append(len(text))
-            to["anchors"].append(h >> 32)
-            to["ranks"].append(rank)
-            to["copies"].append(len(open_))
-            to["places"] += open_
-            to["text"].append(text)
-        groups = list(out)
-        column = lambda key, kind: pa.array([_raw(out[g][key], kind) for g in groups], pa.binary())
-        at = lambda values, key: pa.array(
-            [_raw(values[run[np.array(out[g][key], np.int64)]], "<i8") for g in groups], pa.binary()
+        begins, ends, hashes = begins[run], ends[run] + width - 1, hashes[run]
+        # Equal cuts of the chunk, exactly; equal cuts have equal anchors.
+        numbers: dict[bytes, int] = {}
+        number = numbers.setdefault
+        of_run = np.array(
+            [
+                number(units.cut(a, b), len(numbers))
+                for a, b in zip(begins.tolist(), ends.tolist(), strict=True)
+            ]
         )
+        texts = list(numbers)
+        _, first = np.unique(of_run, return_index=True)
+        anchor = hashes[first]
+        if first_only:
+            ranks = chunk.ranks[np.searchsorted(units.edges, begins, "right") - 1]
+            rank = np.full(len(texts), np.iinfo(np.int64).max)
+            np.minimum.at(rank, of_run, ranks)
+            settled = ranks != rank[of_run]
+        else:
+            rank = np.bincount(of_run)
+            settled = rank[of_run] > 1
+        group = (anchor % np.uint64(n_groups)).astype(np.int64)
+        order = np.argsort(group, kind="stable")
+        names, at = np.unique(group[order], return_index=True)
+        parts = np.split(order, at[1:])
+        # Runs in the order of the cuts they belong to.
+        place = np.empty(len(texts), np.int64)
+        place[order] = np.arange(len(texts))
+        by_cut = np.argsort(place[of_run], kind="stable")
+        open_, closed = by_cut[~settled[by_cut]], by_cut[settled[by_cut]]
+        copies = np.bincount(of_run[open_], minlength=len(texts))
+        lengths = np.array([len(t) for t in texts])
+
+        def by_group(values: np.ndarray, kind: str) -> pa.Array:
+            return pa.array([_raw(values[p], kind) for p in parts], pa.binary())
+
+        def by_run(values: np.ndarray, runs: np.ndarray) -> pa.Array:
+            cut_at = np.searchsorted(group[of_run[runs]], names)
+            return pa.array([_raw(v, "<i8") for v in np.split(values[runs], cut_at[1:])], pa.binary())
+
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(groups, pa.int64()),
-                pa.array([chunk.number] * len(groups), pa.int64()),
-                column("lengths", "<i4"),
-                column("anchors", "<u4"),
-                column("ranks", "<i8"),
-                column("copies", "<i4"),
-                at(begins, "places"),
-                at(begins, "settled"),
-                at(ends + width - 1, "settled"),
-                pa.array([b"".join(out[g]["text"]) for g in groups], pa.binary()),
+                pa.array(names),
+                pa.array(np.full(len(names), chunk.number)),
+                by_group(lengths, "<i4"),
+                by_group(anchor >> np.uint64(32), "<u4"),
+                by_group(rank, "<i8"),
+                by_group(copies, "<i4"),
+                by_run(begins, open_),
+                by_run(begins, closed),
+                by_run(ends, closed),
+                pa.array([b"".join([texts[i] for i in p.tolist()]) for p in parts], pa.binary()),
             ],
             names=["group", "chunk", "lengths", "anchors", "ranks", "copies", "places", "starts", "ends", "text"],
         )
@@ -233,8 +243,15 @@ def _cut_rows(windows: Windows, n_groups: int, first_only: bool):
 
 
 #: Texts of distinct cuts and the smallest document (or number of copies) of each; gives
-#: for each cut which of its windows repeat.
-Finder = Callable[[list[bytes], np.ndarray], list[np.ndarray]]
+#: which of their windows repeat, all in a row, and the number of windows of each cut.
+Finder = Callable[[list[bytes], np.ndarray], tuple[np.ndarray, np.ndarray]]
+
+
+def _spread(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(who, which): count[i] successive numbers from first[i] on, for every i."""
+    who = np.repeat(np.arange(len(count)), count)
+    inside = np.arange(len(who)) - np.repeat(np.cumsum(count) - count, count)
+    return who, first[who] + inside
 
 
 def _settle(windows: Windows, find: Finder, first_only: bool):
@@ -243,63 +260,76 @@ def _settle(windows: Windows, find: Finder, first_only: bool):
     def run(table: pa.Table) -> pa.Table:
         column = lambda name, kind: [np.frombuffer(v.as_py(), kind) for v in table[name]]
         lengths, anchors, ranks = column("lengths", "<i4"), column("anchors", "<u4"), column("ranks", "<i8")
-        copies, places = column("copies", "<i4"), column("places", "<i8")
         row = np.repeat(np.arange(len(lengths)), [len(x) for x in lengths])
-        length, anchor, rank, copy = (np.concatenate(x) for x in (lengths, anchors, ranks, copies))
-        place = np.concatenate(places)
-        place_at = np.concatenate(([0], np.cumsum(copy)))
+        length, anchor, rank = (np.concatenate(x) for x in (lengths, anchors, ranks))
+        copy = np.concatenate(column("copies", "<i4")).astype(np.int64)
+        place = np.concatenate(column("places", "<i8"))
+        place_at = np.cumsum(copy) - copy
         text = b"".join(v.as_py() for v in table["text"])
-        text_at = np.concatenate(([0], np.cumsum(length, dtype=np.int64)))
-        starts: list[list] = [[s] for s in column("starts", "<i8")]
-        ends: list[list] = [[s] for s in column("ends", "<i8")]
-
-        # Distinct cuts of the group, those of one anchor side by side.
-        order = np.argsort(anchor, kind="stable").tolist()
-        batch: dict[bytes, list[int]] = {}
-        size, last = 0, None
-
-        def flush() -> None:
-            if not batch:
-                return
-            cuts = list(batch)
-            members = list(batch.values())
+        end = np.cumsum(length, dtype=np.int64)
+        begin = end - length
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def settle(cuts: list[bytes], of: np.ndarray, member: np.ndarray) -> None:
+            """Ranges of one batch: its distinct cuts, and which one each member has."""
             if first_only:
-                value = np.array([rank[m].min() for m in members], np.int64)
-                whole = np.zeros(len(cuts), bool)
+                value = np.full(len(cuts), np.iinfo(np.int64).max)
+                np.minimum.at(value, of, rank[member])
+                whole = rank[member] > value[of]
             else:
-                value = np.array([rank[m].sum() for m in members], np.int64)
-                whole = value > 1
-            repeats = find(cuts, value)
-            for i, m in enumerate(members):
-                covered = None
-                for c in m:
-                    if not copy[c]:
-                        continue
-                    own = place[place_at[c] : place_at[c + 1]]
-                    if whole[i] or first_only and rank[c] > value[i]:
-                        begin, end = np.array([0]), np.array([len(repeats[i]) + width - 1])
-                    else:
-                        if covered is None:
-                            edge = np.diff(np.concatenate(([0], repeats[i].view(np.int8), [0])))
-                            covered = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) + width - 1
-                        begin, end = covered
-                    if len(begin):
-                        starts[row[c]].append((own[:, None] + begin).ravel())
-                        ends[row[c]].append((own[:, None] + end).ravel())
-
-        for c in order:
-            if size >= BATCH_BYTES and anchor[c] != last:
-                flush()
-                batch, size = {}, 0
-            cut = text[text_at[c] : text_at[c + 1]]
-            if cut not in batch:
-                batch[cut] = []
-                size += len(cut)
-            batch[cut].append(c)
-            last = anchor[c]
-        flush()
-        join = lambda parts: pa.array([_raw(np.concatenate(p), "<i8") for p in parts], pa.binary())
-        return pa.table({"chunk": table["chunk"], "starts": join(starts), "ends": join(ends)})
+                value = np.bincount(of, rank[member], len(cuts)).astype(np.int64)
+                whole = value[of] > 1
+            repeats, sizes = find(cuts, value)
+            # Runs of repeated windows, each within its cut.
+            cut = np.repeat(np.arange(len(cuts)), sizes)
+            turn = np.diff(cut, prepend=-1, append=len(cuts)) != 0
+            before = np.concatenate(([False], repeats)) & ~turn
+            after = np.concatenate((repeats, [False])) & ~turn
+            inside = np.concatenate((repeats, [False]))
+            starts = np.flatnonzero(inside & ~before)
+            ends = np.flatnonzero(np.concatenate(([False], repeats)) & ~after)
+            zero = np.cumsum(sizes) - sizes
+            run_cut = cut[starts]
+            run_begin, run_end = starts - zero[run_cut], ends - zero[run_cut] + width - 1
+            n_runs = np.bincount(run_cut, minlength=len(cuts))
+            run_at = np.cumsum(n_runs) - n_runs
+            # Every open copy of a member takes the whole cut, or the runs of its windows.
+            who, which = _spread(place_at[member], copy[member])
+            at, full = place[which], whole[who]
+            found.append((row[member[who[full]]], at[full], at[full] + sizes[of[who[full]]] + width - 1))
+            who, at = who[~full], at[~full]
+            mine, runs = _spread(run_at[of[who]], n_runs[of[who]])
+            found.append((row[member[who[mine]]], at[mine] + run_begin[runs], at[mine] + run_end[runs]))
+
+        # Cuts of one anchor go into one batch.
+        order = np.argsort(anchor, kind="stable")
+        bounds = np.flatnonzero(np.diff(anchor[order], prepend=-1)).tolist()
+        numbers: dict[bytes, int] = {}
+        of: list[int] = []
+        done = size = 0
+        spans = list(zip(begin[order].tolist(), end[order].tolist(), strict=True))
+        for a, b in zip(bounds, [*bounds[1:], len(order)], strict=True):
+            for x, y in spans[a:b]:
+                known = len(numbers)
+                of.append(numbers.setdefault(text[x:y], known))
+                size += y - x if len(numbers) > known else 0
+            if size >= BATCH_BYTES or b == len(order):
+                settle(list(numbers), np.array(of, np.int64), order[done:b])
+                numbers, of, done, size = {}, [], b, 0
+        who, start, stop = (np.concatenate(x) for x in zip(*found, strict=True))
+        by_row = np.argsort(who, kind="stable")
+        split = np.searchsorted(who[by_row], np.arange(1, len(lengths)))
+        merged = [
+            pa.array(
+                [
+                    _raw(np.concatenate((old, new)), "<i8")
+                    for old, new in zip(column(name, "<i8"), np.split(values[by_row], split), strict=True)
+                ],
+                pa.binary(),
+            )
+            for name, values in (("starts", start), ("ends", stop))
+        ]
+        return pa.table({"chunk": table["chunk"], "starts": merged[0], "ends": merged[1]})
 
     return run
 

@@ -87,7 +87,7 @@ def deep_nodes(
 def find_repeats(width: int, bound: int = GROUP_SUFFIXES):
     """For cuts of words: windows that start at more than one place among them."""
 
-    def find(cuts: list[bytes], copies: np.ndarray) -> list[np.ndarray]:
+    def find(cuts: list[bytes], copies: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ids: dict[bytes, int] = {}
         number = ids.setdefault
         texts = [[number(w, len(ids)) for w in cut.split()] for cut in cuts]
@@ -102,9 +102,7 @@ def find_repeats(width: int, bound: int = GROUP_SUFFIXES):
         for known, group in prefix_groups(words, suffixes, width, bound):
             below, _ = deep_nodes(words, pairs, group, known, width)
             repeated[below] = True
-        return [
-            repeated[a : b - width + 1] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)
-        ]
+        return repeated[suffixes], sizes - width + 1
 
     return find
 
