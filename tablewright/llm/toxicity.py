@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from uuid import uuid4
 
 import numpy as np
@@ -35,7 +36,7 @@ DEVIATIONS = 2.5
 LEAST_SCORE = 0.5
 LEAST_CHECKS = 20
 DRIFT = 0.05
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 16
 
 STEMS = (4, 5, 6)
 SALTS = (0, 0x9E37, 0x79B9, 0x7F4A)
@@ -83,14 +84,18 @@ class Lexicon:
     tokens: np.ndarray
     scores: np.ndarray
 
+    @cached_property
+    def seen(self) -> np.ndarray:
+        out = np.zeros(1 << 20, bool)
+        out[self.tokens >> np.uint64(44)] = True
+        return out
+
     def index(self, hashes: np.ndarray) -> np.ndarray:
         """Place of each hash among the tokens, or -1."""
         if not len(self.tokens):
             return np.full(len(hashes), -1)
-        seen = np.zeros(1 << 20, bool)
-        seen[self.tokens >> np.uint64(44)] = True
         out = np.full(len(hashes), -1)
-        maybe = np.flatnonzero(seen[hashes >> np.uint64(44)])
+        maybe = np.flatnonzero(self.seen[hashes >> np.uint64(44)])
         at = np.searchsorted(self.tokens, hashes[maybe]).clip(max=len(self.tokens) - 1)
         out[maybe] = np.where(self.tokens[at] == hashes[maybe], at, -1)
         return out
