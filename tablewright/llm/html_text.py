@@ -56,6 +56,9 @@ ENDED_BY_PEER = {
 ROOTS = ("article", "main")
 # Elements that may hold a whole article.
 CONTAINERS = frozenset("html body div section center table tbody tr td span".split())
+# Elements whose text is said to be text, and how long it is elsewhere at least.
+TEXT_ELEMENTS = frozenset("p h1 h2 h3 h4 h5 h6 li dd blockquote pre figcaption".split())
+LEAST_CHARS = 30
 # After these a word says what the page has, not what the element is.
 HAS_WORDS = frozenset(("has", "with", "no", "without", "hide", "show"))
 
@@ -240,9 +243,18 @@ def path_scores(blocks: list[tuple[Node, str]]) -> dict[tuple[str, ...], float]:
 def container(
     blocks: list[tuple[Node, str]], weights: list[float], most: float
 ) -> list[int]:
-    """The blocks in the innermost element that holds ``most`` of the weight."""
+    """The blocks in the innermost element that holds ``most`` of the weight.
+
+    An element beside it ends the way down if it holds content too: a block at the path of
+    one inside, one in an element for text, or one of LEAST_CHARS or more.
+    """
     total, depth = sum(weights), 0
     kept = list(range(len(blocks)))
+
+    def content(i: int) -> bool:
+        path = blocks[i][0].path
+        return weights[i] >= LEAST_CHARS or bool(path) and path[-1] in TEXT_ELEMENTS
+
     while True:
         inner: dict[int, float] = {}
         for i in kept:
@@ -252,7 +264,12 @@ def container(
         best = max(inner, key=inner.get, default=None)
         if best is None or inner[best] < most * total:
             return kept
-        kept = [i for i in kept if blocks[i][0].elements[depth : depth + 1] == (best,)]
+        chosen = [i for i in kept if blocks[i][0].elements[depth : depth + 1] == (best,)]
+        paths = {blocks[i][0].path for i in chosen}
+        beside = (i for i in kept if blocks[i][0].elements[depth : depth + 1] != (best,))
+        if any(content(i) or blocks[i][0].path in paths for i in beside):
+            return kept
+        kept = chosen
         depth += 1
 
 
@@ -262,7 +279,8 @@ def main_text(html: str, share: float = 0.01, most: float = 0.75) -> str:
     Where the page marks its article (``article``, else ``main``) and a path in it has a
     score, every block in it is article text. Elsewhere the blocks whose paths have at least
     ``share`` of the best path's score are taken, without those that are mostly links, and of
-    these what lies in the innermost element that holds ``most`` of their length and marks.
+    these what lies in the innermost element that holds ``most`` of their unlinked text and
+    has no content beside it.
     """
     blocks = [(node, text) for node in text_blocks(html) if (text := said(node))]
     if not blocks:
@@ -278,7 +296,7 @@ def main_text(html: str, share: float = 0.01, most: float = 0.75) -> str:
         for node, text in blocks
         if scores[node.path] >= limit and (node.linked * 2 < len(text) or not node.linked)
     ]
-    weights = [(len(text) - node.linked) * (1.0 + len(MARKS.findall(text))) for node, text in kept]
+    weights = [float(max(0, len(text) - node.linked)) for node, text in kept]
     return "\n".join(kept[i][1] for i in container(kept, weights, most))
 
 

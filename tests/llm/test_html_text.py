@@ -34,6 +34,17 @@ def test_unmarked_page_with_unnamed_parts():
     assert lines[0] == "Heading" and len(lines) == 7
 
 
+def test_article_in_unequal_siblings():
+    long = "<p>" + "A long paragraph, with marks. " * 70 + "</p>"
+    short = "".join(f"<p>Part {i} of the second section, which is short. It ends.</p>" for i in range(10))
+    page = "<body><div>Log in.</div><div><section><h2>One</h2>%s</section><section><h2>Two</h2>%s</section></div></body>"
+    assert len(main_text(page % (long, short)).split("\n")) == 13
+    assert len(main_text(page % (short, long)).split("\n")) == 13
+    lead = "The lead lies in a division of its own, before the body."
+    lines = main_text(f"<body><div><div>{lead}</div><div>{long}{short}</div></div></body>").split("\n")
+    assert lines[0] == lead and len(lines) == 12
+
+
 def test_one_long_paragraph_among_short_ones():
     page = "<body><div><p>Short, first.</p><p>" + "Long text, with marks. " * 90 + "</p><p>Short, last.</p></div></body>"
     assert main_text(page).count("\n") == 2
