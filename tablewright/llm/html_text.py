@@ -3,7 +3,8 @@
 Text lies at root-to-leaf tag paths. Of every path a page's text length and punctuation
 are added up, smoothed with those of neighbouring paths, fused into one score, and paths
 above a threshold hold content. What a page says outright about its parts (menus, forms,
-scripts, names such as ``sidebar`` or ``comments``) is taken out before.
+scripts, names such as ``sidebar`` or ``comments``) is taken out before. A name, and a form,
+counts only beside the article: it never takes out the article itself or most of the text.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 # Elements whose text is never article text.
 DROPPED = frozenset(
     "script style noscript template svg math iframe object embed canvas audio video map head title "
-    "nav header footer aside form button select option textarea input label fieldset dialog menu".split()
+    "nav header footer aside button select option textarea input label fieldset dialog menu".split()
 )
 # Elements whose content is raw text up to their end tag.
 RAW = frozenset("script style noscript template textarea title iframe".split())
@@ -59,8 +60,12 @@ CONTAINERS = frozenset("html body div section center table tbody tr td span".spl
 # Elements whose text is said to be text, and how long it is elsewhere at least.
 TEXT_ELEMENTS = frozenset("p h1 h2 h3 h4 h5 h6 li dd blockquote pre figcaption".split())
 LEAST_CHARS = 30
+# Fixed value: a part with an aside's name beside a marked article is no story if it is shorter.
+LEAST_STORY = 200
 # After these a word says what the page has, not what the element is.
 HAS_WORDS = frozenset(("has", "with", "no", "without", "hide", "show"))
+# A class that begins so says what a post is about.
+TOPIC_WORDS = frozenset(("category", "tag", "topic"))
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|"
@@ -81,38 +86,108 @@ MARKS = re.compile(r"[.,;:!?…。，、；：！？؟،]")
 class Node:
     """A block of text: its tag path, the numbers of the elements on it, what it says."""
 
-    __slots__ = ("path", "elements", "parts", "linked")
+    __slots__ = ("path", "elements", "said", "parts", "linked")
 
     def __init__(self, path: tuple[str, ...], elements: tuple[int, ...]):
         self.path = path
         self.elements = elements
+        # (text, whether linked, number of the innermost element with an aside's name or 0)
+        self.said: list[tuple[str, bool, int]] = []
         self.parts: list[str] = []
         self.linked = 0
 
 
-def _aside(attributes: str, inside: bool) -> bool:
-    """Whether class, id or role name a part beside the article, or the element is hidden.
+def _aside(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
+    """Whether an element is hidden, and whether class, id or role name a part beside the article.
 
-    Inside an article a header holds its heading and is no such part.
+    Inside an article a header holds its heading and is no such part. An article's class may
+    name its topics.
     """
+    found = False
     if not attributes or attributes.isspace():
-        return False
+        return False, False
     for name, value in NAMES.findall(attributes):
         name, value = name.lower(), unescape(value.strip("\"'"))
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return True, found
         if name == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return True
+                return True, found
             continue
+        if tag == "article" and name == "class":
+            kept = (c for c in value.split() if c.lower().split("-")[0] not in TOPIC_WORDS)
+            value = " ".join(kept)
         words = SPLIT_NAMES.split(CAMEL.sub(" ", value).lower())
         for before, word in zip(["", *words], words, strict=False):
             named = word in ASIDE_WORDS or word.startswith(ASIDE_BEGINNINGS)
-            if named and before not in HAS_WORDS and not (inside and word == "header"):
-                return True
+            found = found or named and before not in HAS_WORDS and not (inside and word == "header")
         if name == "role" and value.lower() in ("complementary", "contentinfo", "search", "alert"):
-            return True
-    return False
+            found = True
+    return False, found
+
+
+def taken_out(
+    blocks: list[Node], around: dict[int, int], roots: dict[int, tuple[str, int]]
+) -> set[int]:
+    """Numbers of the elements with an aside's name that are, or lie in, parts beside the article.
+
+    ``around`` has for each such element the next one that holds it (or 0), ``roots`` for each
+    article and main its tag and the innermost such element that it is or lies in. What
+    holds the main element stays, so does what holds the largest article if that has
+    a third of the text outside all such elements, and then, from the largest on, what
+    has more text by itself than all outside; where an article or main element has text outside,
+    three times as much and LEAST_STORY characters. Only unlinked text counts.
+    """
+    own: dict[int, int] = dict.fromkeys((0, *around), 0)
+    article: dict[int, int] = {}
+    for node in blocks:
+        size = 0
+        for raw, linked, named in node.said:
+            if not linked:
+                own[named] += len(raw.strip())
+                size += len(raw.strip())
+        if size and "article" in node.path:
+            number = node.elements[node.path.index("article")]
+            article[number] = article.get(number, 0) + size
+    stays: set[int] = set()
+
+    def stay(named: int) -> None:
+        while named:
+            if named not in stays:
+                stays.add(named)
+                outer = around[named]
+                while outer in stays:
+                    outer = around[outer]
+                own[outer] += own.pop(named)
+            named = around[named]
+
+    for tag, named in roots.values():
+        if tag == "main":
+            stay(named)
+    largest = max(article, key=article.get, default=None)
+    if largest is not None and 3 * article[largest] >= own[0]:
+        stay(roots[largest][1])
+    least, factor = 0, 1
+    for node in blocks:
+        marked = [n for tag, n in zip(node.path, node.elements, strict=True) if tag in ROOTS]
+        if any(not roots[n][1] or roots[n][1] in stays for n in marked):
+            least, factor = LEAST_STORY, 3
+            break
+    while len(own) > 1:
+        named = max((n for n in own if n), key=own.get)
+        if own[named] <= max(least, factor * own[0]):
+            break
+        stays.add(named)
+        outer = around[named]
+        while outer in stays:
+            outer = around[outer]
+        own[outer] += own.pop(named)
+    # Outer elements begin before inner ones.
+    out: set[int] = set()
+    for named in sorted(around):
+        if named not in stays or around[named] in out:
+            out.add(named)
+    return out
 
 
 def text_blocks(html: str) -> list[Node]:
@@ -121,6 +196,9 @@ def text_blocks(html: str) -> list[Node]:
     blocks: list[Node] = []
     block: Node | None = None
     at, outs = 0, 0
+    names = [0]  # open elements with an aside's name
+    around: dict[int, int] = {}
+    roots: dict[int, tuple[str, int]] = {}
 
     def say(raw: str) -> None:
         nonlocal block
@@ -130,9 +208,7 @@ def text_blocks(html: str) -> list[Node]:
             around = [(tag, number) for tag, _, number in open_tags if tag in BLOCK]
             block = Node(tuple(t for t, _ in around), tuple(n for _, n in around))
             blocks.append(block)
-        block.parts.append(raw)
-        if any(tag == "a" for tag, *_ in open_tags):
-            block.linked += len(raw.strip())
+        block.said.append((raw, any(tag == "a" for tag, *_ in open_tags), names[-1]))
 
     def close_to(depth: int) -> None:
         nonlocal block, outs
@@ -140,6 +216,8 @@ def text_blocks(html: str) -> list[Node]:
             outs -= out
             if tag in BLOCK:
                 block = None
+        while depth < len(open_tags) and names[-1] >= open_tags[depth][2]:
+            names.pop()
         del open_tags[depth:]
 
     end = len(html)
@@ -197,10 +275,22 @@ def text_blocks(html: str) -> list[Node]:
         # The header of an article may hold its heading, so there headers stay.
         inside = any(name in ROOTS for name, *_ in open_tags)
         out = tag in DROPPED and not (tag == "header" and inside)
-        out = out or tag not in ("html", "body", "main") and _aside(attributes, inside)
+        hidden, named = tag not in ("html", "body", "main") and _aside(tag, attributes, inside) or (False, False)
+        out = out or hidden
         open_tags.append((tag, out, at))
         outs += out
-    return blocks
+        if (named or tag == "form") and not outs:
+            around[at] = names[-1]
+            names.append(at)
+        if tag in ROOTS and not outs:
+            roots[at] = (tag, names[-1])
+    gone = taken_out(blocks, around, roots) if around else ()
+    for node in blocks:
+        for raw, linked, named in node.said:
+            if named not in gone:
+                node.parts.append(raw)
+                node.linked += len(raw.strip()) if linked else 0
+    return [node for node in blocks if node.parts]
 
 
 def said(node: Node) -> str:

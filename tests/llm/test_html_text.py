@@ -34,6 +34,25 @@ def test_unmarked_page_with_unnamed_parts():
     assert lines[0] == "Heading" and len(lines) == 7
 
 
+def test_names_take_out_no_whole_article():
+    for name in ("category-social", "tag-cookies", "tag-advertising", "category-sharing", "social"):
+        assert main_text(PAGE % f'<article class="post {name}">{ARTICLE}</article>') == TEXT
+    body = "".join(f"<p>Here is paragraph {i}, which says a little. It goes on.</p>" for i in range(6))
+    column = f'<div class="column">{body}</div><div class="sidebar"><p>Something else, beside it.</p></div>'
+    comments = '<div id="comments">' + '<div class="comment"><p>I liked it, really; thank you.</p></div>' * 20 + "</div>"
+    for page in (
+        PAGE % f'<div class="content-sidebar-wrap">{column}</div>',
+        PAGE % f'<div class="content-sidebar-wrap"><main>{column}</main></div>',
+        f'<body><form id="f" action="/"><input>{column}{comments}</form></body>',
+        f'<body><form id="f"><div class="content-sidebar-wrap">{column}</div>{comments}</form></body>',
+    ):
+        lines = main_text(page).split("\n")
+        assert len(lines) == 6 and lines[0].startswith("Here is paragraph 0")
+    cards = '<div class="related">' + '<article class="card"><p>Another story, in short.</p></article>' * 3 + "</div>"
+    assert main_text(f"<body><div>{body}</div>{cards}</body>").count("\n") == 5
+    assert main_text(f'<body><div>{body}</div><div style="display:none">{body * 3}</div></body>').count("\n") == 5
+
+
 def test_article_in_unequal_siblings():
     long = "<p>" + "A long paragraph, with marks. " * 70 + "</p>"
     short = "".join(f"<p>Part {i} of the second section, which is short. It ends.</p>" for i in range(10))
