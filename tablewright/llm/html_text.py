@@ -366,26 +366,32 @@ def container(
 def main_text(html: str, share: float = 0.01, most: float = 0.75) -> str:
     """The article of a page, blocks joined by line ends.
 
-    Where the page marks its article (``article``, else ``main``) and a path in it has a
-    score, every block in it is article text. Elsewhere the blocks whose paths have at least
-    ``share`` of the best path's score are taken, without those that are mostly links, and of
-    these what lies in the innermost element that holds ``most`` of their unlinked text and
+    The blocks whose paths have at least ``share`` of the best path's score are taken, without
+    those that are mostly links. Where what the page marks as its article (``article``, else
+    ``main``) holds more than half of their summed scores, the same is done in it alone. Elsewhere
+    of these blocks what lies in the innermost element that holds ``most`` of their unlinked text and
     has no content beside it.
     """
     blocks = [(node, text) for node in text_blocks(html) if (text := said(node))]
     if not blocks:
         return ""
     scores = path_scores(blocks)
+
+    def content(among: list[tuple[Node, str]]) -> list[tuple[Node, str]]:
+        limit = share * max(scores[node.path] for node, _ in among)
+        return [
+            (node, text)
+            for node, text in among
+            if scores[node.path] >= limit and (node.linked * 2 < len(text) or not node.linked)
+        ]
+
+    kept = content(blocks)
+    total = sum(scores[node.path] for node, _ in kept)
     for root in ROOTS:
         marked = [(node, text) for node, text in blocks if root in node.path]
-        if marked and max(scores[node.path] for node, _ in marked) > 0:
-            return "\n".join(text for _, text in marked)
-    limit = share * max(scores.values())
-    kept = [
-        (node, text)
-        for node, text in blocks
-        if scores[node.path] >= limit and (node.linked * 2 < len(text) or not node.linked)
-    ]
+        held = sum(scores[node.path] for node, _ in kept if root in node.path)
+        if held * 2 > total:
+            return "\n".join(text for _, text in content(marked))
     weights = [float(max(0, len(text) - node.linked)) for node, text in kept]
     return "\n".join(kept[i][1] for i in container(kept, weights, most))
 

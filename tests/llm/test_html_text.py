@@ -34,6 +34,15 @@ def test_unmarked_page_with_unnamed_parts():
     assert lines[0] == "Heading" and len(lines) == 7
 
 
+def test_marks_are_weighed_by_path_scores():
+    body = "".join(f"<p>Here is paragraph {i}, which says a little. It goes on; and on.</p>" for i in range(9))
+    cards = '<article class="card"><h3>Next</h3><p>A short story, in a card.</p></article>' * 3
+    assert main_text(f"<body><div><div>{body}</div><div>{cards}</div></div></body>").count("goes on") == 9
+    links = "<ul>" + "".join(f'<li><a href="{i}">link {i}</a></li>' for i in range(9)) + "</ul>"
+    assert main_text(f"<body><main>{links}{body}</main><p>Beside.</p></body>").count("\n") == 8
+    assert main_text(f"<body><main><div>{body}</div>{cards}</main></body>").count("goes on") == 9
+
+
 def test_names_take_out_no_whole_article():
     for name in ("category-social", "tag-cookies", "tag-advertising", "category-sharing", "social"):
         assert main_text(PAGE % f'<article class="post {name}">{ARTICLE}</article>') == TEXT
