@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,14 +28,21 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def load_vocabulary(path: str) -> dict[bytes, int]:
+def load_model(path: str) -> dict:
+    """The JSON file of a tokenizer, without its merges, which follow from the ranks."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)
+    model["model"].pop("merges", None)
+    return model
+
+
+def load_vocabulary(path: str, model: dict | None = None) -> dict[bytes, int]:
     """The same from the JSON file of a byte-level BPE tokenizer, without its added tokens.
 
     There every byte is written as one printable character: itself if it prints in
     Latin-1, else the next code point from 256 on.
     """
-    with open(path, encoding="utf-8") as f:
-        model = json.load(f)
+    model = model or load_model(path)
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     other = [b for b in range(256) if b not in set(plain)]
     byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
@@ -46,6 +54,15 @@ def load_vocabulary(path: str) -> dict[bytes, int]:
     }
 
 
+def load_added(path: str, model: dict | None = None) -> dict[str, int]:
+    """Added tokens of such a JSON file and their ids; they are found in texts as they stand."""
+    tokens = (model or load_model(path)).get("added_tokens", ())
+    for token in tokens:
+        if token.get("lstrip") or token.get("rstrip") or token.get("single_word"):
+            raise ValueError(f"added token {token['content']!r} takes its surroundings into account")
+    return {token["content"]: token["id"] for token in tokens}
+
+
 def encoding(ranks: dict[bytes, int], pattern: str):
     import tiktoken
 
@@ -75,8 +92,20 @@ def safe_pieces(text: str, limit: int = PIECE_CHARS) -> Iterator[str]:
         yield text[start:]
 
 
-def encode(encoder, text: str) -> np.ndarray:
-    """Ids of a whole text as unsigned 32-bit integers."""
+def encode(encoder, text: str, added: dict[str, int] | None = None) -> np.ndarray:
+    """Ids of a whole text as unsigned 32-bit integers.
+
+    A text is cut at the ``added`` tokens in it first, at each place the longest.
+    """
+    if added and any(token in text for token in added):
+        longest = sorted(added, key=len, reverse=True)
+        cut = re.split("(" + "|".join(map(re.escape, longest)) + ")", text)
+        return np.concatenate(
+            [
+                np.array([added[part]], "<u4") if i % 2 else encode(encoder, part)
+                for i, part in enumerate(cut)
+            ]
+        )
     if len(text) <= PIECE_CHARS:
         return np.array(encoder.encode_ordinary(text), dtype="<u4")
     parts = [np.array(encoder.encode_ordinary(p), dtype="<u4") for p in safe_pieces(text)]

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.bpe import encode, encoding, load_vocabulary
+from tablewright.llm.bpe import encode, encoding, load_added, load_model, load_vocabulary
 from tablewright.sources.staging import drop_staged, stage
 
 PIECES = "id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -128,12 +128,15 @@ def cut_pieces(
     """A row per piece of at most ``capacity`` ids; every document's ids end with ``end_id``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoding(load_vocabulary(vocabulary_path), pattern)
+        model = load_model(vocabulary_path)
+        encoder = encoding(load_vocabulary(vocabulary_path, model), pattern)
+        added = load_added(vocabulary_path, model)
+        del model
         end = np.array([end_id], "<u4")
         for batch in batches:
             rows = []
             for key, text in zip(batch.column(0), batch.column(1), strict=True):
-                ids = np.concatenate((encode(encoder, text.as_py() or ""), end))
+                ids = np.concatenate((encode(encoder, text.as_py() or "", added), end))
                 for start in range(0, len(ids), capacity):
                     piece = ids[start : start + capacity]
                     rows.append((key.as_py(), start, len(piece), zlib.crc32(piece.tobytes()), len(ids)))

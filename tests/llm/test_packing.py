@@ -92,6 +92,14 @@ def test_hard_documents(spark, tokenizer):
     held_against_tokenizer(spark, tokenizer, [*hard_documents(), (None, "null id"), (3, "again"), (None, None)])
 
 
+def test_added_tokens(spark):
+    rows = [
+        (1, "a <|endoftext|> b"), (2, "<|endoftext|><|endoftext|>"), (3, "x<|endoftext|>y  <|endoftext|>  z"),
+        (4, "<|endoftext|"), (5, "word " * 20_000 + "<|endoftext|>" + " word" * 20_000),
+    ]
+    held_against_tokenizer(spark, Tokenizer.from_file(VOCABULARY), rows)
+
+
 def test_hot_lengths(spark, tokenizer, monkeypatch):
     monkeypatch.setattr(packing, "SPREAD_ROWS", 3)
     monkeypatch.setattr(packing, "LEAST_SPREAD", 2)
