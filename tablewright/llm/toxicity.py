@@ -26,9 +26,10 @@ from pyspark.sql.types import StructField, StructType
 from tablewright.llm.hashing import span_hashes
 from tablewright.sources.staging import drop_staged, stage
 
-#: Bounds of the fit: training documents, and tokens whose log-odds are looked at.
+#: Bound of the fit: training documents.
 MAX_TRAINING = 200_000
-MAX_TOKENS = 1 << 16
+#: Tokens that a task gathers before it adds them up.
+MERGE_TOKENS = 1_000_000
 MIN_DOCUMENTS = 2
 PRIOR_DOCUMENTS = 10.0
 PRIOR_EACH = 0.5
@@ -181,35 +182,71 @@ def training_labels(
     )
 
 
-def _toxic_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens of toxic training documents and the number of documents that have them."""
+def _training_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tokens of labelled documents with the numbers of toxic and of harmless ones that have
+    them; a token may have several rows."""
     found: list[np.ndarray] = []
     counts: list[np.ndarray] = []
     size = 0
 
     def merged() -> tuple[np.ndarray, np.ndarray]:
         if not found:
-            return np.empty(0, np.uint64), np.empty(0, np.int64)
+            return np.empty(0, np.uint64), np.empty((0, 2), np.int64)
         known, at = np.unique(np.concatenate(found), return_inverse=True)
-        return known, np.bincount(at, np.concatenate(counts)).astype(np.int64)
+        columns = np.concatenate(counts)
+        return known, np.stack([np.bincount(at, c, len(known)).astype(np.int64) for c in columns.T], axis=1)
+
+    def rows(known: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(known), 100_000):
+            part = n[i : i + 100_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(known[i : i + 100_000].view(np.int64)), pa.array(part[:, 0]), pa.array(part[:, 1])],
+                names=["token", "toxic", "clean"],
+            )
 
     for batch in batches:
+        labels = iter(batch.column(1).to_pylist())
         for texts in blocks_of(t.as_py() for t in batch.column(0)):
             hashes, bounds = tokens_of(texts)
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 own = np.unique(hashes[a:b])
                 found.append(own[own != 0])
-                counts.append(np.ones(len(found[-1]), np.int64))
+                counts.append(np.tile(np.array([[1, 0]] if next(labels) == 1 else [[0, 1]], np.int64), (len(found[-1]), 1)))
                 size += len(own)
-            if size > 4_000_000:
+            if size > MERGE_TOKENS:
                 known, n = merged()
                 found, counts, size = [known], [n], 0
-    known, n = merged()
-    for i in range(0, len(known), 100_000):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(known[i : i + 100_000].view(np.int64)), pa.array(n[i : i + 100_000])],
-            names=["token", "n"],
-        )
+                if len(known) > MERGE_TOKENS:
+                    yield from rows(known, n)
+                    found, counts = [], []
+    yield from rows(*merged())
+
+
+def may_reach(toxic: np.ndarray, clean: np.ndarray, n_toxic: float, n_clean: float) -> np.ndarray:
+    """Whether the lower bound of tokens comes up to LEAST_SCORE for any share of the corpus.
+
+    A token's prior lies between PRIOR_EACH and that with PRIOR_DOCUMENTS; the bound is smooth
+    in it, so close steps and a small margin miss no token.
+    """
+    out = np.zeros(len(toxic), bool)
+    for prior in np.geomspace(PRIOR_EACH, PRIOR_EACH + PRIOR_DOCUMENTS, 64):
+        every = (prior - PRIOR_EACH) / PRIOR_DOCUMENTS
+        out |= lower_log_odds(toxic, clean, every, n_toxic, n_clean, 1.0) >= LEAST_SCORE - 0.05
+    return out
+
+
+def _telling(n_toxic: float, n_clean: float):
+    """The tokens that may reach LEAST_SCORE."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            toxic, clean = (batch.column(i).to_numpy().astype(np.float64) for i in (1, 2))
+            keep = may_reach(toxic, clean, n_toxic, n_clean)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(batch.column(0).to_numpy()[keep], pa.int64())], names=["token"]
+            )
+
+    return run
 
 
 def _token_counts(tokens: np.ndarray):
@@ -230,11 +267,13 @@ def _token_counts(tokens: np.ndarray):
                 document = np.repeat(np.arange(len(texts)), np.diff(bounds) * hashes.shape[1])
                 once = np.unique(document[at >= 0] * n + at[at >= 0])
                 once = np.concatenate((once, np.arange(len(texts)) * n + n - 1))
-                total[:, 0] += np.bincount(once % n, minlength=n)
+                places, times = np.unique(once % n, return_counts=True)
+                total[places, 0] += times
                 words += np.bincount(kind, np.diff(bounds), 3).astype(np.int64)
                 for column in (1, 2):
                     own = kind[once // n] == column
-                    total[:, column] += np.bincount(once[own] % n, minlength=n)
+                    places, times = np.unique(once[own] % n, return_counts=True)
+                    total[places, column] += times
         words[0] = words.sum()
         total = np.vstack((total, words))
         names = np.array([*range(len(tokens)), -1, -2])
@@ -325,8 +364,8 @@ def fit(
     """Learns from the labelled documents that are not held out, and the whole corpus.
 
     The training sample has at most MAX_TRAINING documents, of equal texts one; the lexicon
-    is chosen among the MAX_TOKENS tokens that most toxic ones have; corpus counts cover all
-    documents. Three quarters of the sample make the lexicon, the rest the tail and the curve,
+    has all tokens of MIN_DOCUMENTS toxic ones whose lower bound reaches LEAST_SCORE; those that
+    cannot reach it are left out on the executors. Corpus counts cover all documents. Three quarters of the sample make the lexicon, the rest the tail and the curve,
     so that chance is seen as in new text; with fewer than LEAST_CHECKS of a kind there, the
     whole sample makes them. Without labels of both kinds every probability is
     about the share of toxic labels, near 0 without any.
@@ -343,16 +382,16 @@ def fit(
     )
     sample = F.broadcast(spark.read.parquet(path))
     training = named.join(sample, "_id").dropna(subset=["_text"])
+    labelled = named.join(sample, "_id").where("not _check").groupBy("_toxic").count()
+    sizes = {r["_toxic"]: float(r["count"]) for r in labelled.collect()}
     top = (
-        training.where("_toxic = 1 and not _check")
-        .select("_text")
-        .mapInArrow(_toxic_tokens, "token long, n long")
+        training.where("not _check")
+        .select("_text", "_toxic")
+        .mapInArrow(_training_tokens, "token long, toxic long, clean long")
         .groupBy("token")
-        .agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= MIN_DOCUMENTS)
-        .orderBy(F.col("n").desc(), "token")
-        .limit(MAX_TOKENS)
-        .select("token")
+        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        .where(F.col("toxic") >= MIN_DOCUMENTS)
+        .mapInArrow(_telling(sizes.get(1, 0.0), sizes.get(0, 0.0)), "token long")
         .toPandas()
     )
     tokens = np.sort(top["token"].to_numpy(np.int64).view(np.uint64))

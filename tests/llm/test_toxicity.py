@@ -94,6 +94,23 @@ def test_held_out_accuracy(spark):
             assert any(w in BAD for s in r.segments for w in words[s.first : s.end])
 
 
+def test_no_token_that_tells_is_left_out(spark):
+    rng = np.random.default_rng(5)
+    toxic = rng.integers(2, 60, 4000).astype(float)
+    clean, every = rng.integers(0, 3000, 4000).astype(float), rng.integers(0, 10**6, 4000).astype(float)
+    reached = toxicity.lower_log_odds(toxic, clean, every, 11e3, 135e3, 1e6) >= toxicity.LEAST_SCORE
+    assert reached.any() and not (reached & ~toxicity.may_reach(toxic, clean, 11e3, 135e3)).any()
+    # More stems and words in toxic texts than 65536, each more frequent than the one that tells.
+    filler = " ".join(f"w{i:06d}q{i % 977}" for i in range(70_000))
+    rows = [(i * 5 + 1, filler + f" n{i}" + (" zyxwv" if i % 2 else "")) for i in range(32)]
+    rows += [(2000 + i, f"harmless words number {i} zzz") for i in range(400)]
+    toxic_ids = {i * 5 + 1 for i in range(32)}
+    labels = [(i, int(i in toxic_ids)) for i, _ in rows]
+    model = toxicity.fit(table(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    hashes, _ = tokens_of([b"zyxwv"])
+    assert model.lexicon.word_scores(hashes)[0] > 0
+
+
 def test_held_out_labels_are_not_learnt(spark):
     rows, labels, _ = corpus(4, 300)
     turned = [(i, 1 - y if zlib.crc32(str(i).encode()) % 5 == 0 else y) for i, y in labels]
