@@ -311,9 +311,8 @@ def _training_segments(model: Model):
             for texts in blocks_of(t.as_py() for t in batch.column(0)):
                 hashes, bounds = tokens_of(texts)
                 for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                    scores = sorted((s for _, _, s in model.segments(hashes[a:b])), reverse=True)
-                    # Enough for the fit: what a text's first hundred segments say.
-                    rows.append((next(labels), b - a, scores[:100]))
+                    scores = [s for _, _, s in model.segments(hashes[a:b])]
+                    rows.append((next(labels), b - a, scores))
             if rows:
                 toxic, words, scores = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(

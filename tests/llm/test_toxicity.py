@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tablewright.llm import toxicity
@@ -111,6 +112,15 @@ def test_no_token_that_tells_is_left_out(spark):
     assert model.lexicon.word_scores(hashes)[0] > 0
 
 
+def test_all_segments_of_a_long_text_count():
+    hashes, _ = tokens_of([b"rotter"])
+    model = toxicity.Model(toxicity.Lexicon(hashes[0, :1], np.ones(1)), 0.5, 1.0, 0.0, 0.0, 1.0)
+    text = ("rotter and then some harmless words " * 300).strip()
+    batch = pa.RecordBatch.from_arrays([pa.array([text]), pa.array([0], pa.int32())], names=["_text", "_toxic"])
+    (rows,) = toxicity._training_segments(model)(iter([batch]))
+    assert rows.column(2).to_pylist() == [[1.0] * 300]
+
+
 def test_held_out_labels_are_not_learnt(spark):
     rows, labels, _ = corpus(4, 300)
     turned = [(i, 1 - y if zlib.crc32(str(i).encode()) % 5 == 0 else y) for i, y in labels]
