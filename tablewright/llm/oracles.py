@@ -132,9 +132,66 @@ SELECT t.doc_id, CAST(len(t.w) AS BIGINT) AS n_words,
 FROM texts t LEFT JOIN kept k ON k.doc_id = t.doc_id
 """
 
+OP13 = r"""
+WITH
+pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM words GROUP BY lang),
+grams AS (
+    SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+    FROM (
+        SELECT lang, w, m, unnest(generate_series(1, len(w) - m + 1)) AS i
+        FROM words, (VALUES (1), (2), (3), (4), (5)) AS lengths(m) WHERE len(w) >= m
+    )
+),
+counts AS (
+    SELECT lang, m, phrase, CAST(count(*) AS HUGEINT) AS a FROM grams
+    GROUP BY lang, m, phrase HAVING count(*) >= 100
+),
+cuts AS (
+    SELECT lang, m, phrase, a, string_split(phrase, ' ') AS w, unnest(generate_series(1, m - 1)) AS k
+    FROM counts WHERE m > 1
+),
+scores AS (
+    SELECT c.lang, c.m, c.phrase, c.a, c.k, l.a AS l, r.a AS r, t.n, 1000 * c.a * t.n // (l.a * r.a) AS score
+    FROM cuts c
+    JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.k], ' ')
+    JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.k + 1:c.m], ' ')
+    JOIN totals t ON t.lang = c.lang
+),
+best AS (
+    SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+inner_phrases AS (
+    SELECT lang, a, array_to_string(w[i:i + s - 1], ' ') AS phrase
+    FROM (
+        SELECT lang, a, w, s, unnest(generate_series(1, m - s + 1)) AS i
+        FROM (
+            SELECT lang, m, a, string_split(phrase, ' ') AS w, unnest(generate_series(2, m - 1)) AS s
+            FROM counts WHERE m > 2
+        )
+    )
+),
+longest AS (SELECT lang, phrase, max(a) AS longer FROM inner_phrases GROUP BY lang, phrase),
+ranked AS (
+    SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, b.phrase) AS rank
+    FROM best b LEFT JOIN longest o ON o.lang = b.lang AND o.phrase = b.phrase
+    WHERE o.longer IS NULL OR 100 * o.longer < 100 * b.a
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+       CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op1_projections": OP1,
     "op2_jaccard_join": OP2,
     "op3_suffix_array": OP3,
     "op10_suffix_trees": OP10,
+    "op13_collocations": OP13,
 }

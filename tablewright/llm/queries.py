@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablewright.llm.bpe import round_trip
 from tablewright.llm.collision_projections import near_vectors
+from tablewright.llm.collocations import collocations
 from tablewright.llm.fingerprints import edit_pairs
 from tablewright.llm.html_text import extract
 from tablewright.llm.jaccard_join import shingle_classes
@@ -71,6 +72,10 @@ def op10_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(read(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read(spark, sf_dir, "documents"), least=100, share=100, top=2000)
+
+
 QUERIES = {
     "op1_projections": op1_projections,
     "op2_jaccard_join": op2_jaccard_join,
@@ -82,5 +87,6 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_html": op9_html,
     "op10_suffix_trees": op10_suffix_trees,
+    "op13_collocations": op13_collocations,
     "pipeline": corpus_pipeline.run,
 }
