@@ -17,6 +17,7 @@ from tablewright.llm.sharding import shard_rows
 from tablewright.llm.suffix_array import duplicate_spans
 from tablewright.llm.suffix_tree import without_repeats
 from tablewright.llm.toxicity import scored
+from tablewright.llm.whitening import whitened
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -72,6 +73,10 @@ def op10_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(read(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(read(spark, sf_dir, "embeddings"), most=32)
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(read(spark, sf_dir, "documents"), least=100, share=100, top=2000)
 
@@ -87,6 +92,7 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_html": op9_html,
     "op10_suffix_trees": op10_suffix_trees,
+    "op12_whitening": op12_whitening,
     "op13_collocations": op13_collocations,
     "pipeline": corpus_pipeline.run,
 }
