@@ -17,6 +17,7 @@ from tablewright.llm.sharding import shard_rows
 from tablewright.llm.suffix_array import duplicate_spans
 from tablewright.llm.suffix_tree import without_repeats
 from tablewright.llm.toxicity import scored
+from tablewright.llm.url_filter import ALLOW, BLOCK, Rule, url_verdicts
 from tablewright.llm.whitening import whitened
 
 
@@ -73,6 +74,20 @@ def op10_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(read(spark, sf_dir, "documents"))
 
 
+URL_RULES = (
+    Rule(ALLOW, "com/"),
+    Rule(BLOCK, "example.com/en/"),
+    Rule(ALLOW, "www.example.com/en/"),
+    Rule(BLOCK, "net/es/"),
+    Rule(BLOCK, "net/fr/"),
+)
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_verdicts(read(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened(read(spark, sf_dir, "embeddings"), most=32)
 
@@ -92,6 +107,7 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_html": op9_html,
     "op10_suffix_trees": op10_suffix_trees,
+    "op11_url_filter": op11_url_filter,
     "op12_whitening": op12_whitening,
     "op13_collocations": op13_collocations,
     "pipeline": corpus_pipeline.run,
