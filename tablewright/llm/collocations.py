@@ -8,12 +8,14 @@ after counting. Two passes over the staged text:
    packed, to the hash partitions that own them. A partition folds what it gets into one
    Misra-Gries summary. Its capacity exceeds the partition's mass (n-gram occurrences) divided
    by ``least``, so all that the summary takes off a counter is less than ``least`` and no
-   frequent n-gram is lost, however the counts are spread. Each chunk is told, one bit per hash
-   it sent, which of them may be frequent.
-2. Every chunk counts these n-grams by their words, and the exact counts of the chunks add up.
-
-Hashes only propose; a phrase's counts never depend on them. A phrase's row travels once per
-chunk, so a phrase or a language that makes up a third of the text is no hot group.
+   frequent n-gram is lost, however the counts are spread. Each chunk is told which of its hashes
+   may be frequent.
+2. Every chunk counts these n-grams by their words and sends phrases and counts, packed, to the
+   hash partitions again, which add them up and keep the frequent ones.
+
+Hashes only propose; a phrase's counts never depend on them. A phrase travels once per chunk, and
+hashing deals out the phrases of a language, so one that makes up a third of the text is no hot
+group.
 """
 
 from __future__ import annotations
@@ -48,9 +50,11 @@ TABLE = bytes(
     for b in range(256)
 )
 NO_WORD, PIECE_END = 0, 1
+ZERO = np.uint64(0)
 
 COUNTS = "`group` long, chunk long, n long, mass long, hashes binary, counts binary"
-ANSWERS = "chunk long, `group` long, bits binary"
+ANSWERS = "chunk long, `group` long, n long, hashes binary"
+PACKED = "lang string, `group` long, n long, n_bytes long, phrases binary, counts binary"
 PHRASES = "lang string, words int, phrase string, n long"
 
 
@@ -106,8 +110,8 @@ class Words:
                 keys = mix(keys * MIX2 + own[at + (length - 1)] + ODD)
             yield length, at, keys
 
-    def phrase(self, ids: np.ndarray) -> str:
-        return b" ".join(self.vocabulary[i] for i in ids.tolist()).decode("utf-8", "replace")
+    def phrase(self, ids: np.ndarray) -> bytes:
+        return b" ".join([self.vocabulary[i] for i in ids.tolist()])
 
 
 def key_bits(n_bytes: int) -> int:
@@ -195,7 +199,7 @@ def _count_rows(bits: int, group_bits: int):
                     pa.array([b - a for a, b in spans], pa.int64()),
                     pa.array([int(counts[a:b].sum()) for a, b in spans], pa.int64()),
                     pa.array(
-                        [squeeze(np.diff(keys[a:b], prepend=np.uint64(0))) for a, b in spans], pa.binary()
+                        [squeeze(np.diff(keys[a:b], prepend=ZERO)) for a, b in spans], pa.binary()
                     ),
                     pa.array([squeeze(counts[a:b]) for a, b in spans], pa.binary()),
                 ],
@@ -214,32 +218,35 @@ def _frequent(least: int):
         waiting: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
         for i, row in enumerate(rows):
-            keys = np.cumsum(expand(row["hashes"], row["n"]), dtype=np.uint64)
-            waiting.append((keys, expand(row["counts"], row["n"]).astype(np.int64)))
+            waiting.append((_sorted_keys(row), expand(row["counts"], row["n"]).astype(np.int64)))
             size += row["n"]
             if size >= max(FOLD_ENTRIES, summary.capacity) or i + 1 == len(rows):
                 summary.merge(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
                 waiting, size = [], 0
         frequent = summary.at_least(least)
-        chunks, bits = [], []
+        answers = []
         for row in rows:
-            keys = np.cumsum(expand(row["hashes"], row["n"]), dtype=np.uint64)
-            found = _isin(keys, frequent)
-            if found.any():
-                chunks.append(row["chunk"])
-                bits.append(np.packbits(found).tobytes())
-        group = rows[0]["group"]
+            keys = _sorted_keys(row)
+            found = keys[_isin(keys, frequent)]
+            if len(found):
+                answers.append((row["chunk"], row["group"], len(found), squeeze(np.diff(found, prepend=ZERO))))
+        chunks, groups, sizes, hashes = zip(*answers, strict=True) if answers else [()] * 4
         return pa.table(
             {
                 "chunk": pa.array(chunks, pa.int64()),
-                "group": pa.array([group] * len(chunks), pa.int64()),
-                "bits": pa.array(bits, pa.binary()),
+                "group": pa.array(groups, pa.int64()),
+                "n": pa.array(sizes, pa.int64()),
+                "hashes": pa.array(hashes, pa.binary()),
             }
         )
 
     return run
 
 
+def _sorted_keys(row: dict) -> np.ndarray:
+    return np.cumsum(expand(row["hashes"], row["n"]), dtype=np.uint64)
+
+
 def _isin(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
     """Which keys are among the sorted known ones; a small table sorts most of the others out."""
     if not len(known):
@@ -258,64 +265,89 @@ def _isin(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 def _phrase_rows(bits: int, group_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        compress = zstandard.ZstdCompressor(level=1).compress
         shift = np.uint64(64 - bits)
         for chunk, row in chunks_in(batches):
             words = Words(chunk, chunk.rest(row).column("lang").to_pylist())
-            keys, _ = chunk_counts(words, bits)
-            groups, edges = _edges(keys, bits, group_bits)
-            place = {g: i for i, g in enumerate(groups.tolist())}
-            known = [np.empty(0, np.uint64)]
-            for answer in sorted(row["answers"] or [], key=lambda a: a["group"]):
-                i = place[answer["group"]]
-                own = keys[edges[i] : edges[i + 1]]
-                flags = np.unpackbits(np.frombuffer(answer["bits"], np.uint8), count=len(own))
-                known.append(own[flags.view(bool)])
-            frequent = np.concatenate(known)
-            langs, lengths, phrases, numbers = [], [], [], []
-            for lang in words.ids:
-                langs.append(lang)
-                lengths.append(0)
-                phrases.append(None)
-                numbers.append(words.n_words(lang))
+            answers = sorted(row["answers"] or [], key=lambda a: a["group"])
+            frequent = np.concatenate([np.empty(0, np.uint64), *map(_sorted_keys, answers)])
+            rows = []
+            for lang, ids in words.ids.items():
+                found: dict[int, tuple[list[bytes], list[int]]] = defaultdict(lambda: ([], []))
+                # All words of the language go, without a phrase, to any one group.
+                found[chunk.number % (1 << group_bits)] = ([b""], [words.n_words(lang)])
                 for length, at, full in words.grams(lang):
-                    on = _isin(full >> shift, frequent)
-                    for starts, n in _same_words(words.ids[lang], length, at[on], full[on]):
-                        langs.append(lang)
-                        lengths.append(length)
-                        phrases.append(words.phrase(words.ids[lang][starts : starts + length]))
-                        numbers.append(n)
+                    keys = full >> shift
+                    on = _isin(keys, frequent)
+                    groups = (keys >> np.uint64(bits - group_bits)).astype(np.int64)
+                    for start, n in _same_words(ids, length, at[on], full[on], groups[on]):
+                        phrases, counts = found[start[1]]
+                        phrases.append(words.phrase(ids[start[0] : start[0] + length]))
+                        counts.append(n)
+                rows += [(lang, group, *of) for group, of in found.items()]
+            texts = [b"\n".join(phrases) for _, _, phrases, _ in rows]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(langs, pa.string()),
-                    pa.array(lengths, pa.int32()),
-                    pa.array(phrases, pa.string()),
-                    pa.array(numbers, pa.int64()),
+                    pa.array([lang for lang, *_ in rows], pa.string()),
+                    pa.array([group for _, group, _, _ in rows], pa.int64()),
+                    pa.array([len(counts) for *_, counts in rows], pa.int64()),
+                    pa.array([len(text) for text in texts], pa.int64()),
+                    pa.array([compress(text) for text in texts], pa.binary()),
+                    pa.array([squeeze(np.array(counts, np.uint64)) for *_, counts in rows], pa.binary()),
                 ],
-                names=["lang", "words", "phrase", "n"],
+                names=["lang", "group", "n", "n_bytes", "phrases", "counts"],
             )
 
     return run
 
 
+def _exact_counts(least: int):
+    def run(table: pa.Table) -> pa.Table:
+        """One language's phrases of one hash partition, their counts added up."""
+        import zstandard
+
+        decompress = zstandard.ZstdDecompressor().decompress
+        total: dict[bytes, int] = defaultdict(int)
+        for row in table.to_pylist():
+            text = decompress(row["phrases"], max_output_size=max(1, row["n_bytes"]))
+            counts = expand(row["counts"], row["n"]).tolist()
+            for phrase, n in zip(text.split(b"\n"), counts, strict=True):
+                total[phrase] += n
+        kept = [(phrase, n) for phrase, n in total.items() if n >= least or not phrase]
+        return pa.table(
+            {
+                "lang": pa.array([table.column("lang")[0].as_py()] * len(kept), pa.string()),
+                "words": pa.array([phrase.count(b" ") + 1 if phrase else 0 for phrase, _ in kept], pa.int32()),
+                "phrase": pa.array([phrase.decode("utf-8", "replace") for phrase, _ in kept], pa.string()),
+                "n": pa.array([n for _, n in kept], pa.int64()),
+            }
+        )
+
+    return run
+
+
 def _same_words(
-    ids: np.ndarray, length: int, at: np.ndarray, keys: np.ndarray
-) -> Iterator[tuple[int, int]]:
-    """A start and the number of occurrences of each n-gram, told apart by its words."""
+    ids: np.ndarray, length: int, at: np.ndarray, keys: np.ndarray, groups: np.ndarray
+) -> Iterator[tuple[tuple[int, int], int]]:
+    """A start, with its group, and the number of occurrences of each n-gram, by its words."""
     if not len(at):
         return
     order = np.argsort(keys, kind="stable")
-    at, keys = at[order], keys[order]
+    at, keys, groups = at[order], keys[order], groups[order]
     first = np.concatenate(([True], keys[1:] != keys[:-1]))
     run = np.cumsum(first) - 1
     head = at[first]
     same = np.ones(len(at), bool)
     for k in range(length):
         same &= ids[at + k] == ids[head[run] + k]
-    yield from zip(head.tolist(), np.bincount(run[same], minlength=len(head)).tolist(), strict=True)
+    counts = np.bincount(run[same], minlength=len(head)).tolist()
+    yield from zip(zip(head.tolist(), groups[first].tolist(), strict=True), counts, strict=True)
     # Other n-grams with a hash in common, if there ever are any.
-    rest: dict[bytes, list[int]] = defaultdict(list)
-    for i in at[~same].tolist():
-        rest[ids[i : i + length].tobytes()].append(i)
+    rest: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
+    for i, group in zip(at[~same].tolist(), groups[~same].tolist(), strict=True):
+        rest[ids[i : i + length].tobytes()].append((i, group))
     yield from ((places[0], len(places)) for places in rest.values())
 
 
@@ -324,8 +356,8 @@ def phrase_counts(
 ) -> tuple[DataFrame, str]:
     """(lang, words, phrase, n): exact counts of all n-grams that occur ``least`` times.
 
-    Rows without phrase (and ``words`` 0) count all words of the language. Staged; the path is
-    returned too, to be dropped by the caller.
+    Rows with ``words`` 0 have shares of the number of all words of the language. Staged; the path
+    is returned too, to be dropped by the caller.
     """
     rows = docs.select(
         F.lit(0).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
@@ -339,15 +371,14 @@ def phrase_counts(
             sent.groupBy("group")
             .applyInArrow(_frequent(least), ANSWERS)
             .groupBy("chunk")
-            .agg(F.collect_list(F.struct("group", "bits")).alias("answers"))
+            .agg(F.collect_list(F.struct("group", "n", "hashes")).alias("answers"))
         )
         found = (
             chunks.with_messages(answers)
             .select(*BODY, "rest", "answers")
-            .mapInArrow(_phrase_rows(bits, group_bits), PHRASES)
-            .groupBy("lang", "words", "phrase")
-            .agg(F.sum("n").alias("n"))
-            .where(F.col("phrase").isNull() | (F.col("n") >= least))
+            .mapInArrow(_phrase_rows(bits, group_bits), PACKED)
+            .groupBy("lang", "group")
+            .applyInArrow(_exact_counts(least), PHRASES)
         )
         path = stage(found, "phrases")
     finally:
@@ -382,7 +413,7 @@ def collocations(
     table, path = phrase_counts(docs, least, text_col, lang_col)
     try:
         known = table.where("words > 0").select("lang", "phrase", "words", F.col("n").alias("a"))
-        total = table.where("words = 0").select("lang", "n")
+        total = table.where("words = 0").groupBy("lang").agg(F.sum("n").alias("n"))
         phrases = known.where("words > 1").withColumn("parts", F.split("phrase", " "))
         k, words = F.col("k"), F.col("words")
         cuts = phrases.withColumn("k", F.explode(F.sequence(F.lit(1), words - 1))).select(
