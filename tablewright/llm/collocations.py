@@ -115,8 +115,8 @@ class Words:
 
 
 def key_bits(n_bytes: int) -> int:
-    """Bits of an n-gram's key: 32 or more keys for each n-gram that so much text can have."""
-    return min(64, max(16, (LONGEST * n_bytes).bit_length() + 4))
+    """Bits of an n-gram's key: four or more keys for each n-gram that so much text can have."""
+    return min(64, max(16, (LONGEST * n_bytes).bit_length() + 1))
 
 
 def chunk_counts(words: Words, bits: int) -> tuple[np.ndarray, np.ndarray]:
