@@ -69,11 +69,13 @@ def check_label_counts(found: dict[str, int], label: str) -> None:
         warnings.warn(f"{found['n_blank_labels']} rows have a blank label, which counts as a class.")
 
 
-def check_classes(n_classes: int, label: str, learner: bool = False) -> None:
-    if n_classes < TWO_CLASSES:
+def check_classes(n_classes: int, label: str, learner: bool = False, more: bool = False) -> None:
+    """``more`` says that there are classes beyond those counted."""
+    if n_classes < TWO_CLASSES and not more:
         raise ValueError(f"'{label}' has {n_classes} class, two or more are needed.")
-    if learner and n_classes != TWO_CLASSES:
-        raise ValueError(f"The learner takes exactly two classes, '{label}' has {n_classes}.")
+    if learner and (more or n_classes != TWO_CLASSES):
+        found = f"more than {n_classes}" if more else n_classes
+        raise ValueError(f"The learner takes exactly two classes, '{label}' has {found}.")
 
 
 def check_features(roles: ColumnRoles) -> None:

@@ -146,6 +146,13 @@ FROM {shares(confusion)}"""
 
 RULE_RUNS = " UNION ALL ".join(rule_run(border) for border in (500, 1500, 3000))
 
+NAMED = """(
+SELECT c_custkey, c_mktsegment, CASE WHEN c_custkey % 5 = 0 THEN 'Customer#0'
+       WHEN c_custkey % 7 = 0 THEN NULL ELSE c_name END AS c_name
+FROM customer)"""
+
+SEEN_NAMES = ranks("c_name", f"(SELECT * FROM {NAMED} WHERE c_custkey % 11 <> 0)")
+
 GAPPY = """(
 SELECT l_orderkey, l_linenumber, nullif(l_quantity, 1.0) AS l_quantity,
        CASE WHEN l_returnflag <> 'R' THEN l_extendedprice END AS l_extendedprice,
@@ -200,6 +207,11 @@ FROM orders ORDER BY o_orderkey LIMIT 25""",
     "request_json": CUSTOMER_WITH_NULLS,
     "split_requests": CUSTOMER_WITH_NULLS,
     "csv_two_orders": CUSTOMER_WITH_NULLS,
+    "csv_two_orders_text": CUSTOMER_WITH_NULLS,
+    "csv_two_orders_stream": """
+SELECT c_custkey, coalesce(nullif(c_mktsegment, 'BUILDING'), 'missing') AS c_mktsegment, c_acctbal,
+       CAST(NULL AS VARCHAR) AS broken FROM customer
+UNION ALL SELECT NULL, NULL, NULL, c_custkey || ',' || c_name FROM customer""",
     "requests_malformed": CUSTOMER_WITH_NULLS + "WHERE c_custkey % 7 <> 0",
     "split_requests_malformed": CUSTOMER_WITH_NULLS + "WHERE c_custkey % 7 <> 0",
     "request_document": CUSTOMER_WITH_NULLS + "ORDER BY c_custkey LIMIT 25",
@@ -280,6 +292,12 @@ FROM orders JOIN {parts("o_orderkey", "orders")} ON key = o_orderkey GROUP BY sp
 SELECT doc_id, lang, source, CAST(a.idx AS DOUBLE) AS lang_idx,
        CAST(coalesce(b.idx, (SELECT count(*) FROM {SEEN_SOURCES})) AS DOUBLE) AS source_idx
 FROM documents JOIN {LANG} a ON a.value = lang LEFT JOIN {SEEN_SOURCES} b ON b.value = source""",
+    "category_index_table": f"""
+SELECT c_custkey, n.c_name, c_mktsegment,
+       CAST(coalesce(a.idx, (SELECT count(*) FROM {SEEN_NAMES})) AS DOUBLE) AS c_name_idx,
+       CAST(b.idx AS DOUBLE) AS c_mktsegment_idx
+FROM {NAMED} n LEFT JOIN {SEEN_NAMES} a ON a.value = n.c_name
+JOIN {ranks("c_mktsegment", f"(SELECT * FROM {NAMED} WHERE c_custkey % 11 <> 0)")} b ON b.value = c_mktsegment""",
     "one_hot": f"""
 SELECT c_custkey, CAST(k + 1 AS INTEGER) AS size, CAST(coalesce(idx, k) AS BIGINT) AS slot,
        CAST(1 AS DOUBLE) AS total
@@ -346,6 +364,9 @@ per AS (SELECT mean, sum(quality) AS p, sum(1 - quality) AS n FROM scored GROUP
 below AS (SELECT p, n, sum(n) OVER (ORDER BY mean) - n AS lower FROM per)
 SELECT 'one_tree' AS run_name,
        (SELECT round(avg(CAST((mean > 0) = (quality = 1) AS INTEGER)), 9) FROM scored) AS accuracy,
+       (SELECT f1 FROM {shares("""(
+         SELECT CAST(quality AS DOUBLE) AS label, CAST(mean > 0 AS DOUBLE) AS prediction, count(*) AS n
+         FROM scored GROUP BY ALL)""")}) AS f1,
        (SELECT round(sum(p * (lower + n / 2)) / (sum(p) * sum(n)), 9) FROM below) AS roc_auc""",
     "grid_to_production": """
 SELECT doc_id, true AS is_best, CAST(1 AS BIGINT) AS versions FROM documents""",

@@ -140,17 +140,50 @@ def split_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def two_orders(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
-    """Customers as CSV whose columns stand in another order than those asked for."""
+    """Customers as CSV files of one folder, whose columns stand in one order or the other."""
     rows = customer_with_nulls(spark, sf_dir)
-    return written_csv(rows.select(*reversed(rows.columns)), "reversed"), rows
+    path = written_csv(rows.filter("c_custkey % 3 = 0").select(*reversed(rows.columns)), "two_orders")
+    odd = rows.filter("c_custkey % 3 <> 0")
+    odd.write.mode("append").options(header=True, nullValue=tables.NULL_TEXT).csv(path)
+    return path, rows
 
 
 def csv_two_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Read by a schema in another order than that of the file: columns go by name."""
+    """Columns go by name, whatever their order in each file."""
     path, rows = two_orders(spark, sf_dir)
     return tables.open_table(spark, path, schema=rows.schema).rows
 
 
+def csv_two_orders_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same folder as text, the way scoring reads it."""
+    path, _ = two_orders(spark, sf_dir)
+    return customer_types(tables.open_text_table(spark, path)[0])
+
+
+def csv_two_orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same folder as a stream of files, broken rows and all: features and quarantine."""
+    path, rows = two_orders(spark, sf_dir)
+    torn = rows.select(F.concat_ws(",", "c_custkey", "c_name").alias(",".join(rows.columns)))
+    torn.write.mode("append").options(header=True, sep=";").csv(path)
+    roles = ColumnRoles("c_name", ("c_custkey",), ("c_mktsegment",), ("c_acctbal",))
+    fitted = features.fit_features(rows, roles)
+    output, broken = new_path(spark, "stream_files"), new_path(spark, "quarantine")
+    query = streaming.score_files(
+        spark, fitted, path, output, new_path(spark, "stream_state"), broken, keep_input=True
+    )
+    query.awaitTermination()
+    kept = spark.read.parquet(output).select(
+        F.col("c_custkey").cast("long"), "c_mktsegment", F.col("c_acctbal").cast("double"), F.lit(None).cast("string").alias("broken")
+    )
+    lost = spark.read.parquet(broken).select(
+        F.lit(None).cast("long").alias("c_custkey"),
+        F.lit(None).cast("string").alias("c_mktsegment"),
+        F.lit(None).cast("double").alias("c_acctbal"),
+        F.col(streaming.BROKEN_TEXT).alias("broken"),
+    )
+    return kept.unionByName(lost)
+
+
 def broken_requests(requests: DataFrame) -> DataFrame:
     """The document of every seventh customer is cut in half."""
     key = F.regexp_extract("value", "([0-9]+)", 1).cast("long")
@@ -352,6 +385,16 @@ def category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fitted.transform(documents)
 
 
+def category_index_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a dictionary that is joined, for a column where nearly every row has its own."""
+    customer = read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    name = F.when(F.col("c_custkey") % 5 == 0, "Customer#0").when(F.col("c_custkey") % 7 == 0, None)
+    named = customer.withColumn("c_name", name.otherwise(F.col("c_name")))
+    seen = named.filter(F.col("c_custkey") % 11 != 0)
+    indexers = features.index_models(seen, ["c_name", "c_mktsegment"], most_collected=20, wide=20)
+    return PipelineModel(indexers).transform(named)
+
+
 def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     seen = customer.withColumn("c_mktsegment", F.nullif("c_mktsegment", F.lit("BUILDING")))
@@ -647,6 +690,7 @@ def training_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RunStore(spark, runs_path).runs().select(
         "run_name",
         F.round(metric["accuracy"], 9).alias("accuracy"),
+        F.round(metric["f1"], 9).alias("f1"),
         F.round(metric["roc_auc"], 9).alias("roc_auc"),
     )
 
@@ -808,6 +852,8 @@ QUERIES: dict[str, Query] = {
     "csv_malformed_typed": csv_malformed_typed,
     "request_rows": request_rows,
     "csv_two_orders": csv_two_orders,
+    "csv_two_orders_text": csv_two_orders_text,
+    "csv_two_orders_stream": csv_two_orders_stream,
     "request_json": request_json,
     "requests_malformed": requests_malformed,
     "split_requests_malformed": split_requests_malformed,
@@ -834,6 +880,7 @@ QUERIES: dict[str, Query] = {
     "random_split": random_split,
     "random_split_cover": random_split_cover,
     "category_index": category_index,
+    "category_index_table": category_index_table,
     "one_hot": one_hot,
     "median_surrogates": median_surrogates,
     "impute_exact": impute_exact,

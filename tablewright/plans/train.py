@@ -19,8 +19,10 @@ from tablewright.operators.header import clean_header
 from tablewright.operators.label import (
     LabelDictionary,
     add_class_weight,
+    in_order,
     index_label,
-    label_dictionary,
+    label_range,
+    two_labels,
 )
 from tablewright.operators.metrics import ROC_BINS, evaluate
 from tablewright.operators.split import TEST, TRAIN, check_test_size, hash_split, random_split
@@ -170,8 +172,9 @@ def prepare(
         check_reserved(df.columns, roles)
         # The guards see the rows that are staged, on their way: the source is read once.
         seen = Observation()
+        observed = df.observe(seen, *label_counts(label), *label_range(label))
         rows = prepared_rows(
-            df.observe(seen, *label_counts(label)), roles, test_size, seed, clean_names(order_by), null_ids, split
+            observed, roles, test_size, seed, clean_names(order_by), null_ids, split
         )
         if split == "hash":
             staged = stage(rows, "prepared", partition_by=[SPLIT_PART])
@@ -187,8 +190,11 @@ def prepare(
         found = seen.get
         check_label_counts(found, label)
         rows = spark.read.parquet(staged)
-        dictionary = label_dictionary(rows, label, positive_label)
-        check_classes(len(dictionary.values), label, learner=True)
+        # Before any label is brought over: a third value is seen as rows with neither of two.
+        least, greatest = found["least_label"], found["greatest_label"]
+        dictionary, others = two_labels(rows, label, least, greatest)
+        check_classes(len(dictionary.values), label, learner=True, more=others > 0)
+        dictionary = in_order(list(zip(dictionary.values, dictionary.counts)), label, positive_label)
         check_categories(rows, roles, max_categories)
     except Exception:
         drop_staged(spark, staged)
@@ -212,8 +218,10 @@ class Run:
     metrics: dict[str, float]
 
 
-def fit_prepared_features(prepared: Prepared, rank_error: float = 0.0) -> PipelineModel:
-    return fit_features(prepared.part(TRAIN), prepared.roles, rank_error)
+def fit_prepared_features(
+    prepared: Prepared, rank_error: float = 0.0, max_slots: int | None = None
+) -> PipelineModel:
+    return fit_features(prepared.part(TRAIN), prepared.roles, rank_error, max_slots)
 
 
 def fit(
@@ -237,12 +245,14 @@ def train(
     register_as: str | None = None,
     rank_error: float = 0.0,
     bins: int = ROC_BINS,
+    max_slots: int | None = None,
     **reading,
 ) -> Run:
     """Prepare, fit, measure and record one run; ``reading`` goes to ``prepare``."""
     grid = {run_name: params}
     (run,) = train_grid(
-        spark, source, label, ids, grid, runs_path, experiment, register_as, rank_error, bins, **reading
+        spark, source, label, ids, grid, runs_path, experiment, register_as, rank_error, bins,
+        max_slots=max_slots, **reading
     )
     return run
 
@@ -259,6 +269,7 @@ def train_grid(
     rank_error: float = 0.0,
     bins: int = ROC_BINS,
     register_best: str | None = None,
+    max_slots: int | None = None,
     **reading,
 ) -> list[Run]:
     """Fit one model per parameter set on the same preparation and features.
@@ -272,10 +283,10 @@ def train_grid(
     ((test_size, seed),) = splits
     prepared = prepare(spark, source, label, ids, test_size=test_size, seed=seed, **reading)
     try:
-        features = fit_prepared_features(prepared, rank_error)
+        features = fit_prepared_features(prepared, rank_error, max_slots)
         data_path = source if isinstance(source, str) else "DataFrame"
         each = None if register_best else register_as
-        options = {"rank_error": rank_error, "bins": bins, **reading}
+        options = {"rank_error": rank_error, "bins": bins, "max_slots": max_slots, **reading}
         runs = [
             measured_run(prepared, features, params, runs_path, experiment, name, each, bins, data_path, options)
             for name, params in grid.items()

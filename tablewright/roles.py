@@ -19,6 +19,7 @@ PREDICTION = "prediction"
 PREDICTED_LABEL = "predicted_label"
 SPLIT_PART = "split_part"
 INDEX_SUFFIX = "_idx"
+SLOT_SUFFIX = "_slot"
 ONE_HOT_SUFFIX = "_ohe"
 IMPUTED_SUFFIX = "_imputed"
 
@@ -109,6 +110,7 @@ def check_reserved(columns: Sequence[str], roles: ColumnRoles) -> None:
     generated = {
         *RESERVED_NAMES,
         *(c + INDEX_SUFFIX for c in roles.categorical),
+        *(c + SLOT_SUFFIX for c in roles.categorical),
         *(c + ONE_HOT_SUFFIX for c in roles.categorical),
         *(c + IMPUTED_SUFFIX for c in roles.numeric),
     }

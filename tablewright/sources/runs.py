@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 from datetime import datetime, timezone
+from urllib.parse import quote
 from uuid import uuid4
 
 from pyspark.ml import PipelineModel
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.roles import ColumnRoles
-from tablewright.sources.staging import folder_exists
+from tablewright.sources.staging import create_once, folder_exists
 
 RUN_SCHEMA = T.StructType(
     [
@@ -54,9 +55,6 @@ REGISTRY_SCHEMA = T.StructType(
 NO_STAGE = "None"
 PRODUCTION = "Production"
 
-# Marks a version that another run has taken at the same time.
-GIVEN_BACK = "GivenBack"
-
 
 def now() -> str:
     return datetime.now(timezone.utc).isoformat(timespec="microseconds")
@@ -136,22 +134,19 @@ class RunStore:
     def register(self, name: str, run_id: str, stage: str = NO_STAGE) -> int:
         """Add a run's model as the next version of a name.
 
-        Where two trainings take the same version at once, the run with the smaller id keeps
-        it; the other one gives it back and takes the next.
+        A version belongs to the training that creates its claim file, which only one can, so
+        two that register at once get two versions. A training that ends between its claim and
+        its row leaves a gap in the numbers.
         """
-        while True:
-            mine = self.registry().filter(F.col("name") == name)
-            version = (mine.agg(F.max("version")).first()[0] or 0) + 1
-            self._append_version(name, version, stage, run_id)
-            holder = (
-                self.registry()
-                .filter((F.col("name") == name) & (F.col("version") == version))
-                .agg(F.min("run_id"))
-                .first()[0]
-            )
-            if holder == run_id:
-                return version
-            self._append_version(name, version, GIVEN_BACK, run_id)
+        taken = self.registry().filter(F.col("name") == name).agg(F.max("version")).first()[0]
+        version = (taken or 0) + 1
+        while not create_once(self.spark, self.claim_path(name, version), run_id):
+            version += 1
+        self._append_version(name, version, stage, run_id)
+        return version
+
+    def claim_path(self, name: str, version: int) -> str:
+        return f"{self.path}/claims/{quote(name, safe='')}/{version}"
 
     def promote(self, name: str, version: int, stage: str = PRODUCTION) -> None:
         known = self.versions(name).filter(F.col("version") == version).first()
@@ -166,7 +161,6 @@ class RunStore:
             .filter(F.col("name") == name)
             .groupBy("version", "run_id")
             .agg(F.max_by("stage", "changed_at").alias("stage"))
-            .filter(F.col("stage") != GIVEN_BACK)
             .select("version", "stage", "run_id")
         )
 
@@ -203,13 +197,14 @@ class RunStore:
     def _append(self, table: str, schema: T.StructType, row: dict) -> None:
         record = F.from_json(F.lit(json.dumps(row)), schema)
         rows = self.spark.range(0, 1, 1, 1).select(record.alias("record")).select("record.*")
-        rows.write.mode("append").parquet(f"{self.path}/{table}")
+        # A folder for each row: writers in one folder would clear away each other's open files.
+        rows.write.parquet(f"{self.path}/{table}/{uuid4().hex}")
 
     def _table(self, table: str, schema: T.StructType) -> DataFrame:
         path = f"{self.path}/{table}"
         if not folder_exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
 
 
 def run_roles(run: Row) -> ColumnRoles:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 from collections.abc import Sequence
+from urllib.parse import unquote, urlparse
 from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -46,3 +49,31 @@ def drop_staged(spark: SparkSession, path: str) -> None:
 def folder_exists(spark: SparkSession, path: str) -> bool:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file with a text unless there is one; of many callers only one gets True.
+
+    Local folders have an atomic call of their own; elsewhere the storage decides, as HDFS and
+    object stores with conditional writes do.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.getScheme() == "file":
+        local = unquote(urlparse(path).path) if path.startswith("file:") else path
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        try:
+            with open(local, "x") as file:
+                file.write(text)
+        except FileExistsError:
+            return False
+        return True
+    try:
+        out = system.create(folder, False)
+    except Py4JJavaError as error:
+        if system.exists(folder):
+            return False
+        raise error
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    return True

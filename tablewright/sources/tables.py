@@ -14,7 +14,9 @@ same file would have another row count in every query. Two ways out are used:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, DataFrameReader, Observation, SparkSession, Window
@@ -38,12 +40,58 @@ def csv_reader(spark: SparkSession) -> DataFrameReader:
     return spark.read.options(header=True, nullValue=NULL_TEXT)
 
 
-def header_names(spark: SparkSession, path: str) -> list[str | None]:
+def header_names(spark: SparkSession, path: str | list[str]) -> list[str | None]:
     """The fields of one header line, as they stand in the file."""
     first = spark.read.csv(path).first()
     return list(first) if first else []
 
 
+@dataclass(frozen=True)
+class Files:
+    """CSV files with one header."""
+
+    header: list[str | None]
+    paths: str | list[str]
+
+
+# First lines that are asked for at the same time.
+HEADS_AT_ONCE = 16
+
+
+def by_header(spark: SparkSession, path: str | list[str]) -> list[Files]:
+    """The files of a path by their header, the header of the first file first.
+
+    Looks at the first line of each file. Headers with other columns than the first one, or with
+    fields that can't tell columns apart, are refused; the error names a file of them.
+    """
+    paths = sorted(spark.read.text(path).inputFiles())
+    if len(paths) < 2:
+        return [Files(header_names(spark, path), path)]
+
+    def head(file: str) -> str | None:
+        first = spark.read.text(file).first()
+        return first.value if first else None
+
+    with ThreadPoolExecutor(HEADS_AT_ONCE) as pool:
+        heads = dict(zip(paths, pool.map(head, paths)))
+    same: dict[str, list[str]] = {}
+    for file, line in heads.items():
+        if line is not None:
+            same.setdefault(line, []).append(file)
+    if len(same) < 2:
+        return [Files(header_names(spark, path), path)]
+    groups = [Files(header_names(spark, files[0]), files) for files in same.values()]
+    first = groups[0].header
+    for group in groups[1:]:
+        unlike = set(first) ^ set(group.header) or (len(set(first)) < len(first) and first != group.header)
+        if unlike or len(group.header) != len(first):
+            raise ValueError(
+                f"The header of {group.paths[0]} has the columns {group.header}, that of "
+                f"{groups[0].paths[0]} has {first}; files are read together only with the same columns."
+            )
+    return groups
+
+
 def in_file_order(schema: T.StructType, header: Sequence[str | None]) -> T.StructType:
     """The caller's fields in the order of the header, if it has just these names."""
     by_name = {f.name: f for f in schema.fields}
@@ -55,7 +103,7 @@ def in_file_order(schema: T.StructType, header: Sequence[str | None]) -> T.Struc
 def checked_by_name(
     reader: DataFrameReader, schema: T.StructType, header: Sequence[str | None]
 ) -> DataFrameReader:
-    """Refuse files whose header has the columns in another order than the first one.
+    """Refuse files whose header has the columns in another order than the schema.
 
     The reader would give their values to the wrong columns. Headers that can't be column
     names as they stand (empty or repeated fields) are read by position.
@@ -109,8 +157,9 @@ def open_table(
     """Open a CSV or Parquet path (any URI Spark reads) or take a DataFrame.
 
     Types are inferred from the whole CSV file unless ``schema`` is given, which
-    saves one scan of it; its columns are found by name, in any order. All files of a
-    folder need the same header. ``on_malformed='fail'`` raises instead of dropping.
+    saves one scan of it; its columns are found by name, in any order. Files of a folder
+    may have the same columns in different orders. ``on_malformed='fail'`` raises instead
+    of dropping.
     """
     if isinstance(source, DataFrame):
         return OpenTable(source)
@@ -119,14 +168,15 @@ def open_table(
     if format != "csv":
         raise ValueError(f"Unknown format '{format}', use csv or parquet.")
 
-    header = header_names(spark, source)
+    groups = by_header(spark, source)
     wanted = schema.names if schema else None
     if schema is None:
-        schema = csv_reader(spark).option("inferSchema", True).csv(source).schema
+        inferring = csv_reader(spark).option("inferSchema", True)
+        schema = common_schema([inferring.csv(files.paths).schema for files in groups])
     if not schema.fields:
         raise ValueError(f"No columns in {source}")
-    schema = in_file_order(schema, header)
-    parsed = checked_by_name(marking(csv_reader(spark), schema), schema, header).csv(source)
+    schema = in_file_order(schema, groups[0].header)
+    parsed = marked_rows(spark, groups, schema)
     # Staged by position: header texts need not be valid or distinct as column names.
     plain = [f"c{i}" for i in range(len(schema.fields))]
     path = stage(parsed.toDF(*plain, MALFORMED), "csv")
@@ -141,17 +191,55 @@ def open_table(
     return table
 
 
+def common_schema(schemas: list[T.StructType]) -> T.StructType:
+    """The columns of the first schema, with types that hold what the others have of them."""
+    if len(schemas) == 1:
+        return schemas[0]
+    return T.StructType(
+        [T.StructField(f.name, reduce(wider, [s[f.name].dataType for s in schemas])) for f in schemas[0].fields]
+    )
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type of both; whole numbers within larger ones or doubles, all else as text."""
+    if a == b:
+        return a
+    order = [T.IntegerType(), T.LongType(), T.DoubleType()]
+    if a in order and b in order:
+        return order[max(order.index(a), order.index(b))]
+    dates = [T.DateType(), T.TimestampType()]
+    return T.TimestampType() if a in dates and b in dates else T.StringType()
+
+
+def marked_rows(
+    spark: SparkSession, groups: list[Files], schema: T.StructType, pruning: bool = True
+) -> DataFrame:
+    """All files' rows in the order of ``schema``, with a mark: one scan for each header."""
+    scans = []
+    for files in groups:
+        own = in_file_order(schema, files.header)
+        reader = marking(csv_reader(spark).option("columnPruning", pruning), own)
+        scan = checked_by_name(reader, own, files.header).csv(files.paths)
+        scans.append(scan if own == schema else scan.select(*map(named, [*schema.names, MALFORMED])))
+    return reduce(DataFrame.union, scans)
+
+
+def marked_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """All fields of CSV files as text, malformed rows marked, in one pass and without inference."""
+    groups = by_header(spark, path)
+    schema = csv_reader(spark).csv(groups[0].paths).schema
+    return marked_rows(spark, groups, schema, pruning=False)
+
+
 def open_text_table(
-    spark: SparkSession, path: str, on_malformed: str = "drop"
+    spark: SparkSession, path: str | list[str], on_malformed: str = "drop"
 ) -> tuple[DataFrame, Observation | None]:
     """All fields of a CSV path as text, in one pass and without inference.
 
     The observation holds the number of malformed rows once the rows have been
     written; with ``on_malformed='fail'`` the first such row ends the job.
     """
-    schema = csv_reader(spark).csv(path).schema
-    reader = marking(csv_reader(spark).option("columnPruning", False), schema)
-    text = checked_by_name(reader, schema, header_names(spark, path)).csv(path)
+    text = marked_text(spark, path)
     if on_malformed == "fail":
         return failing_on_malformed(text), None
     seen = Observation()
@@ -225,6 +313,18 @@ def well_formed(
     return without_malformed(marked, seen)
 
 
+def mark_requests(requests: DataFrame, schema: T.StructType) -> DataFrame:
+    """JSON records as columns, with a mark on broken ones."""
+    marked = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
+    row = F.from_json("value", marked, {"columnNameOfCorruptRecord": MALFORMED})
+    whole = requests.select("value", row.alias("row"))
+    mark = F.when(F.col("row").isNull(), F.coalesce("value", F.lit(""))).otherwise(
+        F.col("row").getField(MALFORMED)
+    )
+    fields = [F.col("row").getField(f.name).alias(f.name) for f in schema.fields]
+    return whole.select(*fields, mark.alias(MALFORMED))
+
+
 def from_requests(
     requests: DataFrame,
     schema: T.StructType,
@@ -236,14 +336,7 @@ def from_requests(
     A record that is broken, or has a value of another type, is left out; ``seen`` counts
     these on the way. ``on_malformed='fail'`` ends the job with the first one.
     """
-    marked = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
-    row = F.from_json("value", marked, {"columnNameOfCorruptRecord": MALFORMED})
-    whole = requests.select("value", row.alias("row"))
-    mark = F.when(F.col("row").isNull(), F.coalesce("value", F.lit(""))).otherwise(
-        F.col("row").getField(MALFORMED)
-    )
-    fields = [F.col("row").getField(f.name).alias(f.name) for f in schema.fields]
-    return well_formed(whole.select(*fields, mark.alias(MALFORMED)), seen, on_malformed)
+    return well_formed(mark_requests(requests, schema), seen, on_malformed)
 
 
 def to_split_requests(df: DataFrame) -> DataFrame:
@@ -280,18 +373,8 @@ def to_split_request(df: DataFrame, n: int, order_by: Sequence[str] = ()) -> Dat
     return listed.select(F.to_json(document, {"ignoreNullFields": "false"}).alias("value"))
 
 
-def from_split_requests(
-    requests: DataFrame,
-    schema: T.StructType,
-    seen: Observation | str | None = None,
-    on_malformed: str = "drop",
-) -> DataFrame:
-    """Rows of such documents, any number per document, in any column order.
-
-    Absent columns and values of another type are null. A broken document, one without
-    columns or data, and a row with another number of cells than there are columns are left
-    out as one malformed row each; ``seen`` and ``on_malformed`` are as in ``from_requests``.
-    """
+def mark_split_requests(requests: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows of such documents, with a mark on broken ones."""
     shape = f"{SPLIT_KEY} struct<columns array<string>, data array<array<variant>>>"
     table = F.from_json("value", shape).getField(SPLIT_KEY)
     rows = requests.select("value", table.alias("t")).select(
@@ -309,4 +392,19 @@ def from_split_requests(
         F.try_variant_get(cell(f.name), "$", f.dataType.simpleString()).alias(f.name)
         for f in schema.fields
     ]
-    return well_formed(rows.select(*fields, mark.alias(MALFORMED)), seen, on_malformed)
+    return rows.select(*fields, mark.alias(MALFORMED))
+
+
+def from_split_requests(
+    requests: DataFrame,
+    schema: T.StructType,
+    seen: Observation | str | None = None,
+    on_malformed: str = "drop",
+) -> DataFrame:
+    """Rows of such documents, any number per document, in any column order.
+
+    Absent columns and values of another type are null. A broken document, one without
+    columns or data, and a row with another number of cells than there are columns are left
+    out as one malformed row each; ``seen`` and ``on_malformed`` are as in ``from_requests``.
+    """
+    return well_formed(mark_split_requests(requests, schema), seen, on_malformed)

@@ -13,11 +13,15 @@ from tablewright.operators.features import (
     fit_features,
     impute_stage,
     index_models,
+    index_sizes,
     learner,
+    one_hot_model,
     one_hot_stage,
 )
 from tablewright.operators.medians import exact_medians, impute
+from tablewright.operators.ranking import ROW_BITS, ranked
 from tablewright.roles import ColumnRoles
+from tablewright.sources.staging import drop_staged
 from tests.support import plan
 
 
@@ -179,3 +183,98 @@ def test_approximate_medians_are_the_built_in_ones(mixed):
         mixed.selectExpr("n", "cast(m AS double) AS m")
     )
     assert found.surrogateDF.first() == built_in.surrogateDF.first()
+
+
+def wide_rows(spark, n, columns="i"):
+    """A column of n texts, the first one in a third of all rows, with nulls."""
+    text = F.when(F.col("id") % 3 == 0, "v0").when(F.col("id") % 1000 == 1, None)
+    return spark.range(0, n * 2, 1, 8).select(
+        F.col("id").alias("i"),
+        text.otherwise(F.concat(F.lit("v"), (F.col("id") % n).cast("string"))).alias("c"),
+        F.when(F.col("id") % 2 == 0, "x").otherwise("y").alias("d"),
+        (F.col("id") % 17).cast("double").alias("x"),
+        (F.col("id") % 2).cast("int").alias("y"),
+    )
+
+
+def test_wide_dictionaries_are_joined_and_agree_with_the_built_in_index(spark, tmp_path):
+    df = wide_rows(spark, 700)
+    built_in = PipelineModel(index_models(df, ["c", "d"]))
+    joined = index_models(df, ["c", "d"], most_collected=50, wide=100)
+    assert [type(m).__name__ for m in joined] == ["StringIndexerModel", "CategoryIndex"]
+    assert expected_columns(PipelineModel(joined)) == (["c", "d"], [])
+    more = df.union(spark.createDataFrame([(-1, "unseen", None, 0.0, 0)], "i long, c string, d string, x double, y int"))
+    expected = sorted((r.i, r.c_idx, r.d_idx) for r in built_in.transform(more).collect())
+    for stages in (joined, PipelineModel.load(saved(PipelineModel(joined), tmp_path / "m")).stages):
+        got = PipelineModel(stages).transform(more)
+        assert set(got.columns) == {*more.columns, "c_idx", "d_idx"}
+        assert sorted((r.i, r.c_idx, r.d_idx) for r in got.collect()) == expected
+
+
+def saved(model, path):
+    model.write().overwrite().save(str(path))
+    return str(path)
+
+
+def test_frequent_and_null_values_are_joined_by_many_keys(spark):
+    df = wide_rows(spark, 5000).repartition(16)
+    (index,) = index_models(df, ["c"], most_collected=10, wide=10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan_text = plan(index.transform(df))
+        assert "SortMergeJoin" in plan_text and "BroadcastHashJoin" not in plan_text
+        got = index.transform(df)
+        assert got.count() == df.count()
+        assert got.where("c = 'v0'").select("c_idx").distinct().collect()[0][0] == 0.0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rare_values_share_a_slot(spark):
+    seen = spark.createDataFrame([("a",)] * 4 + [("b",)] * 3 + [("c",)] * 2 + [("d",)], "c string")
+    df = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c"), (3, "d"), (4, "new"), (5, None)], "i int, c string")
+    indexers = index_models(seen, ["c"])
+    stages = one_hot_model(spark, index_sizes(indexers), max_slots=2)
+    found = PipelineModel([*indexers, *stages]).transform(df).orderBy("i").select("c_idx", vector_to_array("c_ohe")).collect()
+    assert [r[0] for r in found] == [0.0, 1.0, 2.0, 3.0, 4.0, 4.0]
+    assert [r[1].index(1.0) for r in found] == [0, 1, 2, 2, 3, 3]
+    assert {len(r[1]) for r in found} == {4}
+
+
+def test_a_very_wide_column_trains_and_scores(spark, tmp_path):
+    """A dictionary beyond what the driver may hold: nothing of it is collected."""
+    df = wide_rows(spark, 160_000)
+    roles = ColumnRoles("y", ("i",), ("c", "d"), ("x",))
+    with pytest.warns(UserWarning, match="very many"):
+        fitted = fit_features(df, roles, max_slots=20)
+    sizes = {type(s).__name__: s for s in fitted.stages}
+    # Missing values count as one more category.
+    assert sizes["CategoryIndex"].sizes == [df.select("c").distinct().count()]
+    trees = learner(max_iter=1, max_depth=2).setLabelCol("y").fit(fitted.transform(df.limit(2000)))
+    model = PipelineModel.load(saved(PipelineModel([*fitted.stages, trees]), tmp_path / "wide"))
+    scored = model.transform(df.limit(500))
+    assert scored.count() == 500
+    # 20 values, the others, unseen; then d with its unseen slot, then x.
+    assert scored.select(F.size(vector_to_array("features"))).first()[0] == 22 + 3 + 1
+
+
+def test_ranks_of_many_equal_counts(spark):
+    """Two levels: ranges are numbered apart, none holds more than a few percent."""
+    df = spark.range(0, 200_000, 1, 8).select(
+        F.concat(F.lit("l"), F.col("id").cast("string")).alias("value"),
+        (F.col("id") % 2).alias("g"),
+        F.lit(1).alias("n"),
+    )
+    placed, path = ranked(df, [F.desc("n"), F.asc("value")], per="g")
+    largest = (
+        spark.read.parquet(path)
+        .groupBy(F.shiftright("__row__", ROW_BITS).alias("part"))
+        .count()
+        .agg(F.max("count"))
+        .first()[0]
+    )
+    assert largest < 0.05 * 200_000
+    got = placed.where("g = 1").orderBy("place").select("place", "value").collect()
+    expected = sorted(f"l{i}" for i in range(1, 200_000, 2))
+    assert [(r.place, r.value) for r in got] == list(enumerate(expected))
+    drop_staged(spark, path)

@@ -10,6 +10,7 @@ from tablewright.operators.label import (
     join_label_index,
     label_dictionary,
     label_table,
+    two_labels,
 )
 from tablewright.operators.split import hash_split, random_split
 from tests.support import plan, rows
@@ -73,6 +74,19 @@ def test_table_and_dictionary_agree(spark):
     assert join_label_index(df, "y", label_table(df, "y")).filter("label IS NULL").count() == 1
 
 
+def test_too_many_labels_are_not_collected(spark):
+    df = spark.range(1000).select(F.col("id").alias("y"))
+    with pytest.raises(ValueError, match="more than 999"):
+        label_dictionary(df, "y", most=999)
+    assert len(label_dictionary(df, "y", most=1000).values) == 1000
+
+
+def test_two_labels_are_counted_without_collecting_others(spark):
+    df = labels(spark, ["b", "b", "a", "c", "c", "c"])
+    assert two_labels(df, "y", "a", "c") == (LabelDictionary(("c", "a"), (3, 1)), 2)
+    assert two_labels(labels(spark, ["b", "b"]), "y", "b", "b") == (LabelDictionary(("b",), (2,)), 0)
+
+
 def test_weights(spark):
     found = LabelDictionary(("a", "b"), (5, 2))
     assert found.weights() == {0.0: 0.7, 1.0: 1.75}

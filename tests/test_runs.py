@@ -1,8 +1,11 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 
 from tablewright.operators.features import fit_features
 from tablewright.roles import ColumnRoles
 from tablewright.sources.runs import NO_STAGE, RunStore, run_roles, run_schema
+from tablewright.sources.staging import create_once
 from tests.support import rows
 
 ROLES = ColumnRoles("y", ("id",), ("c",), ("n",))
@@ -78,16 +81,34 @@ def test_model_survives_saving(spark, store):
     assert rows(loaded.transform(df), "id") == rows(model.transform(df), "id")
 
 
-def test_two_runs_that_take_one_version_at_once(store):
-    first, second = sorted(store.log_run("e", name) for name in ("x", "y"))
-    # The other training appends between the look at the versions and the own row.
-    append = store._append_version
+def test_a_version_taken_meanwhile_is_left_to_its_owner(store):
+    """Another training registers between the look at the versions and the own claim."""
+    first, second = store.log_run("e", "x"), store.log_run("e", "y")
+    look = store.registry
 
-    def racing(name, version, stage, run_id):
-        store._append_version = append
-        append(name, version, stage, first)
-        append(name, version, stage, run_id)
+    def racing():
+        store.registry = look
+        seen = store.spark.createDataFrame(look().collect(), look().schema)
+        store.register("raced", first)
+        return seen
 
-    store._append_version = racing
+    store.registry = racing
     assert store.register("raced", second) == 2
     assert rows(store.versions("raced"), "version") == [(1, NO_STAGE, first), (2, NO_STAGE, second)]
+
+
+def test_claims_of_many_writers(store):
+    """Writers that all want version 1: each gets one of its own."""
+    runs = [store.log_run("e", f"r{i}") for i in range(8)]
+    with ThreadPoolExecutor(8) as pool:
+        versions = list(pool.map(lambda run: store.register("a/b c", run), runs))
+    assert sorted(versions) == list(range(1, 9))
+    held = {(r.version, r.run_id) for r in store.versions("a/b c").collect()}
+    assert held == set(zip(versions, runs))
+
+
+def test_a_file_is_created_once(spark, tmp_path):
+    for path in (f"{tmp_path}/x/claim", f"file://{tmp_path}/y/claim"):
+        assert create_once(spark, path, "one")
+        assert not create_once(spark, path, "two")
+    assert (tmp_path / "x/claim").read_text() == (tmp_path / "y/claim").read_text() == "one"

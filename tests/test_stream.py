@@ -6,8 +6,8 @@ from tablewright.operators.features import fit_features, learner
 from tablewright.plans.score import score_rows
 from tablewright.roles import ColumnRoles
 from tablewright.sources.tables import to_requests, to_split_requests
-from tablewright.streaming.score import read_stream, score_stream, text_schema
-from tests.support import write_lines
+from tablewright.streaming.score import marked_batch, read_stream, score_files, score_stream, text_schema
+from tests.support import rows, write_lines
 
 ROLES = ColumnRoles("y", ("o_orderkey",), ("o_orderpriority",), ("o_totalprice",))
 
@@ -123,3 +123,43 @@ def test_headers_with_spaces(spark, tmp_path, orders, model):
     )
     score_stream(model, stream, out, str(tmp_path / "spaced_state"), ids=["o_orderkey"]).awaitTermination()
     assert spark.read.parquet(out).count() == 1
+
+
+def files_run(spark, model, tmp_path, **options):
+    query = score_files(
+        spark, model, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state"),
+        quarantine=str(tmp_path / "broken"), ids=["o_orderkey"], **options
+    )
+    query.awaitTermination()
+    return spark.read.parquet(str(tmp_path / "out")), spark.read.parquet(str(tmp_path / "broken"))
+
+
+def test_files_with_two_column_orders_and_broken_rows(spark, model, orders, tmp_path):
+    """A batch that ran but was not noted runs again: no row twice, broken rows to be read."""
+    source = tmp_path / "in"
+    source.mkdir()
+    header = ["o_orderkey", "o_orderpriority", "o_totalprice"]
+    write_lines(source / "a.csv", ",".join(header), "1,1-URGENT,5.5", "2,1-URGENT", "3,NA,")
+    write_lines(source / "b.csv", ",".join(header[::-1]), "7.5,2-HIGH,4", "a,b,c,d")
+    found, broken = files_run(spark, model, tmp_path)
+    assert rows(found.select("o_orderkey"), "o_orderkey") == [("1",), ("3",), ("4",)]
+    expected = score_rows(model, spark.createDataFrame([("4", "2-HIGH", "7.5")], header)).first()
+    assert found.where("o_orderkey = 4").first().probability == expected.probability.tolist()
+    assert rows(broken.select("value"), "value") == [("2,1-URGENT",), ("a,b,c,d",)]
+    for noted in (tmp_path / "state" / "commits").iterdir():
+        noted.unlink()
+    write_lines(source / "c.csv", ",".join(header), "9,1-URGENT,1")
+    found, broken = files_run(spark, model, tmp_path)
+    assert rows(found.select("o_orderkey"), "o_orderkey") == [("1",), ("3",), ("4",), ("9",)]
+    assert found.select("batch").distinct().count() == 2 and broken.count() == 2
+
+
+def test_files_of_requests(spark, model, orders, tmp_path):
+    wide = orders.limit(5)
+    to_requests(wide).repartition(3).write.text(str(tmp_path / "in"))
+    write_lines(tmp_path / "in" / "z.txt", "no json")
+    found, broken = files_run(spark, model, tmp_path, format="requests", schema=wide.schema, files_per_trigger=1)
+    assert found.select("o_orderkey").exceptAll(wide.select("o_orderkey")).count() == 0 and found.count() == 5
+    assert rows(broken.select("value")) == [("no json",)]
+    with pytest.raises(ValueError, match="Unknown format 'orc'"):
+        marked_batch(spark, [], "orc", wide.schema)

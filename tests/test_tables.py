@@ -247,9 +247,29 @@ def test_columns_go_by_the_header(spark, tmp_path):
     opened = tables.open_table(spark, str(folder), schema=asked)
     assert opened.rows.columns == ["income", "id", "age"]
     assert rows(opened.rows) == [(1002, 1, 32)]
-    write_lines(folder / "b.csv", "id,income,age", "2,1003,33")
-    for schema in (None, asked):
-        with pytest.raises(Exception, match="(?i)header"):
-            tables.open_table(spark, str(folder), schema=schema)
-    with pytest.raises(Exception, match="(?i)header"):
-        tables.open_text_table(spark, str(folder))[0].collect()
+    write_lines(folder / "b.csv", "id,income,age", "2,1003.5,33", "3,1004", "4,NA,x")
+    opened = tables.open_table(spark, str(folder), schema=asked)
+    assert opened.rows.columns == ["income", "id", "age"]
+    assert rows(opened.rows, "id") == [(1002, 1, 32)] and opened.malformed == 3
+    inferred = tables.open_table(spark, str(folder))
+    assert inferred.rows.dtypes == [("id", "int"), ("age", "string"), ("income", "double")]
+    assert rows(inferred.rows, "id") == [(1, "32", 1002.0), (2, "33", 1003.5), (4, "x", None)]
+    assert inferred.malformed == 1
+    text, seen = tables.open_text_table(spark, str(folder))
+    text.write.parquet(str(tmp_path / "text"))
+    found = spark.read.parquet(str(tmp_path / "text"))
+    assert rows(found, "id") == [("1", "32", "1002"), ("2", "33", "1003.5"), ("4", "x", None)]
+    assert seen.get["malformed"] == 1
+
+
+def test_files_with_other_columns_are_named(spark, tmp_path):
+    folder = tmp_path / "unlike"
+    folder.mkdir()
+    write_lines(folder / "a.csv", "id,age", "1,32")
+    write_lines(folder / "b.csv", "id,years", "2,33")
+    for opening in (tables.open_table, tables.open_text_table):
+        with pytest.raises(ValueError, match=r"b\.csv has the columns \['id', 'years'\]"):
+            opening(spark, str(folder))
+    write_lines(folder / "b.csv", "age,age", "2,33")
+    with pytest.raises(ValueError, match="same columns"):
+        tables.open_table(spark, str(folder))

@@ -2,6 +2,7 @@ import csv
 import random
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright import RunStore, TrainParams, prepare, score, score_rows, train, train_grid
@@ -252,6 +253,22 @@ def test_refused_inputs(spark, tmp_path):
         TrainParams(test_size=1.0)
 
 
+def test_a_label_of_very_many_values_is_refused_before_any_is_collected(spark, monkeypatch):
+    raw = spark.range(50_000).select(F.concat(F.lit("l"), "id").alias("y"), (F.col("id") % 7).alias("n"))
+    collected = []
+    real = DataFrame.collect
+
+    def counted(df):
+        found = real(df)
+        collected.append(len(found))
+        return found
+
+    monkeypatch.setattr(DataFrame, "collect", counted)
+    with pytest.raises(ValueError, match="exactly two classes, 'y' has more than 2"):
+        prepare(spark, raw, "y")
+    assert max(collected, default=0) <= 2
+
+
 def test_random_split_is_offered(spark, training_file):
     prepared = prepare(spark, training_file, "leaves", ["Customer"], split="random")
     assert prepared.part("train").count() + prepared.part("test").count() == 400
