@@ -1,16 +1,18 @@
 """Main text of web pages by tag-path ratios.
 
-Text lies at root-to-leaf tag paths. Of every path a page's text length and punctuation
-are added up, smoothed with those of neighbouring paths, fused into one score, and paths
-above a threshold hold content. What a page says outright about its parts (menus, forms,
-scripts, names such as ``sidebar`` or ``comments``) is taken out before. A name, and a form,
-counts only beside the article: it never takes out the article itself or most of the text.
+Text lies at root-to-leaf tag paths. Of every path a page's text length and punctuation are added
+up and fused into one score; a path takes over part of what lies next to it, in the same element
+or right after it, and paths above a threshold hold content. Elements that are by themselves no
+article text (scripts, navigation, footers, forms' fields, hidden ones) are not read at all; every
+other part of a page has to win by its paths. A name such as ``sidebar`` only lowers the scores of
+the paths through it, so it takes out no part that most of the text goes through.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from html import unescape
 
 import pyarrow as pa
@@ -31,18 +33,6 @@ BLOCK = frozenset(
     "fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main nav ol p "
     "pre section summary table tbody td tfoot th thead tr ul".split()
 )
-# Words of class, id and role that name parts beside the article.
-ASIDE_WORDS = frozenset(
-    "ad ads alert consent copyright disclaimer footer gdpr header masthead menu modal nav "
-    "navigation notice notices notification overlay pagination pager promo promoted promotion "
-    "related replies reply respond share sharing signup skip social subscribe subscription toc "
-    "toolbar widget widgets".split()
-)
-# Such words may go on, as in ``commentlist`` or ``cookiebar``.
-ASIDE_BEGINNINGS = (
-    "advert", "banner", "breadcrumb", "comment", "cookie", "disqus", "navbar", "newsletter",
-    "popup", "sidebar", "sponsor",
-)
 # Elements that end an open <p>, and what an open element of a kind ends.
 ENDS_P = BLOCK - {"br", "html", "body", "td", "th", "tr", "tbody", "thead", "tfoot"}
 ENDED_BY_PEER = {
@@ -55,17 +45,24 @@ ENDED_BY_PEER = {
     "option": ({"option"}, {"select"}),
 }
 ROOTS = ("article", "main")
-# Elements that may hold a whole article.
-CONTAINERS = frozenset("html body div section center table tbody tr td span".split())
-# Elements whose text is said to be text, and how long it is elsewhere at least.
-TEXT_ELEMENTS = frozenset("p h1 h2 h3 h4 h5 h6 li dd blockquote pre figcaption".split())
-LEAST_CHARS = 30
-# Fixed value: a part with an aside's name beside a marked article is no story if it is shorter.
-LEAST_STORY = 200
-# After these a word says what the page has, not what the element is.
-HAS_WORDS = frozenset(("has", "with", "no", "without", "hide", "show"))
-# A class that begins so says what a post is about.
-TOPIC_WORDS = frozenset(("category", "tag", "topic"))
+# Elements that are text, so that their classes tell no paths apart.
+TEXT_ELEMENTS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre figcaption td th br hr".split())
+# The parts that are no article text, as class, id or role name them; some go on,
+# as in ``commentlist`` or ``advertising``.
+PART_WORDS = frozenset("menu nav header footer notice ad ads form".split())
+PART_BEGINNINGS = ("sidebar", "advert", "comment")
+# What a path through such a name, or through a form, keeps of its score.
+NAMED_SHARE = 0.05
+# A path's score reaches others in the same element, less with each step between them.
+STEP_SHARE = 0.7
+STEPS = 5
+# The share of the best score from which a block is content.
+CONTENT_SHARE = 0.2
+# What text right before content at a path below its own takes over from it.
+LEAD_SHARE = 0.25
+# A marked article is left only for so much more text, and so many characters, outside.
+MORE_OUTSIDE = 3
+LEAST_OUTSIDE = 200
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|"
@@ -78,322 +75,265 @@ NAMES = re.compile(
 )
 SPLIT_NAMES = re.compile(r"[^a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+DIGITS = re.compile(r"[0-9]+")
 # White space of HTML, and the marks that running text has.
 HTML_SPACE = re.compile(r"\s+")
 MARKS = re.compile(r"[.,;:!?…。，、；：！？؟،]")
 
 
-class Node:
-    """A block of text: its tag path, the numbers of the elements on it, what it says."""
+class Path:
+    """A tag path, shared by all elements at it: its last element's label and the path before."""
 
-    __slots__ = ("path", "elements", "said", "parts", "linked")
+    __slots__ = ("label", "outer", "inner", "share")
 
-    def __init__(self, path: tuple[str, ...], elements: tuple[int, ...]):
-        self.path = path
-        self.elements = elements
-        # (text, whether linked, number of the innermost element with an aside's name or 0)
-        self.said: list[tuple[str, bool, int]] = []
-        self.parts: list[str] = []
-        self.linked = 0
+    def __init__(self, label: str, outer: Path | None, named: bool):
+        self.label = label
+        self.outer = outer
+        self.inner: dict[str, Path] = {}
+        self.share: float = (outer.share if outer else 1.0) * (NAMED_SHARE if named else 1.0)
 
+    def below(self, label: str, named: bool) -> Path:
+        if label not in self.inner:
+            self.inner[label] = Path(label, self, named)
+        return self.inner[label]
 
-def _aside(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
-    """Whether an element is hidden, and whether class, id or role name a part beside the article.
+    def labels(self) -> tuple[str, ...]:
+        path, out = self, []
+        while path.outer is not None:
+            out.append(path.label)
+            path = path.outer
+        return tuple(reversed(out))
 
-    Inside an article a header holds its heading and is no such part. An article's class may
-    name its topics.
-    """
-    found = False
-    if not attributes or attributes.isspace():
-        return False, False
-    for name, value in NAMES.findall(attributes):
+
+@dataclass(eq=False, slots=True)
+class Element:
+    """An open element; phrases share path and block with the block element around them."""
+
+    tag: str
+    path: Path
+    block: Element | None
+    outer: Element | None = None
+    left_out: bool = False
+    links: int = 0
+    roots: frozenset[str] = frozenset()
+
+
+@dataclass(eq=False, slots=True)
+class Block:
+    """Text between two borders of block elements, in one of them."""
+
+    element: Element
+    parts: list[str] = field(default_factory=list)
+    linked: int = 0
+
+
+def attributes_of(text: str) -> tuple[bool, str, bool]:
+    """Whether an element is hidden, its class, id and role, and whether these name a part."""
+    label, named = "", False
+    if not text or text.isspace():
+        return False, label, named
+    for name, value in NAMES.findall(text):
         name, value = name.lower(), unescape(value.strip("\"'"))
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True, found
+            return True, label, named
         if name == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return True, found
-            continue
-        if tag == "article" and name == "class":
-            kept = (c for c in value.split() if c.lower().split("-")[0] not in TOPIC_WORDS)
-            value = " ".join(kept)
-        words = SPLIT_NAMES.split(CAMEL.sub(" ", value).lower())
-        for before, word in zip(["", *words], words, strict=False):
-            named = word in ASIDE_WORDS or word.startswith(ASIDE_BEGINNINGS)
-            found = found or named and before not in HAS_WORDS and not (inside and word == "header")
-        if name == "role" and value.lower() in ("complementary", "contentinfo", "search", "alert"):
-            found = True
-    return False, found
-
-
-def taken_out(
-    blocks: list[Node], around: dict[int, int], roots: dict[int, tuple[str, int]]
-) -> set[int]:
-    """Numbers of the elements with an aside's name that are, or lie in, parts beside the article.
-
-    ``around`` has for each such element the next one that holds it (or 0), ``roots`` for each
-    article and main its tag and the innermost such element that it is or lies in. What
-    holds the main element stays, so does what holds the largest article if that has
-    a third of the text outside all such elements, and then, from the largest on, what
-    has more text by itself than all outside; where an article or main element has text outside,
-    three times as much and LEAST_STORY characters. Only unlinked text counts.
-    """
-    own: dict[int, int] = dict.fromkeys((0, *around), 0)
-    article: dict[int, int] = {}
-    for node in blocks:
-        size = 0
-        for raw, linked, named in node.said:
-            if not linked:
-                own[named] += len(raw.strip())
-                size += len(raw.strip())
-        if size and "article" in node.path:
-            number = node.elements[node.path.index("article")]
-            article[number] = article.get(number, 0) + size
-    stays: set[int] = set()
-
-    def stay(named: int) -> None:
-        while named:
-            if named not in stays:
-                stays.add(named)
-                outer = around[named]
-                while outer in stays:
-                    outer = around[outer]
-                own[outer] += own.pop(named)
-            named = around[named]
-
-    for tag, named in roots.values():
-        if tag == "main":
-            stay(named)
-    largest = max(article, key=article.get, default=None)
-    if largest is not None and 3 * article[largest] >= own[0]:
-        stay(roots[largest][1])
-    least, factor = 0, 1
-    for node in blocks:
-        marked = [n for tag, n in zip(node.path, node.elements, strict=True) if tag in ROOTS]
-        if any(not roots[n][1] or roots[n][1] in stays for n in marked):
-            least, factor = LEAST_STORY, 3
-            break
-    while len(own) > 1:
-        named = max((n for n in own if n), key=own.get)
-        if own[named] <= max(least, factor * own[0]):
-            break
-        stays.add(named)
-        outer = around[named]
-        while outer in stays:
-            outer = around[outer]
-        own[outer] += own.pop(named)
-    # Outer elements begin before inner ones.
-    out: set[int] = set()
-    for named in sorted(around):
-        if named not in stays or around[named] in out:
-            out.add(named)
-    return out
-
-
-def text_blocks(html: str) -> list[Node]:
-    """Blocks of text outside the parts that are named as no article text, in page order."""
-    open_tags: list[tuple[str, bool, int]] = []  # (tag, taken out, number)
-    blocks: list[Node] = []
-    block: Node | None = None
-    at, outs = 0, 0
-    names = [0]  # open elements with an aside's name
-    around: dict[int, int] = {}
-    roots: dict[int, tuple[str, int]] = {}
-
-    def say(raw: str) -> None:
-        nonlocal block
-        if outs or not raw:
+                return True, label, named
+        elif name != "aria-hidden":
+            label += f" {name}={DIGITS.sub('', value)}"
+            words = SPLIT_NAMES.split(CAMEL.sub(" ", value).lower())
+            named = named or any(w in PART_WORDS or w.startswith(PART_BEGINNINGS) for w in words)
+    return False, label, named
+
+
+class Page:
+    """Blocks of text in page order, read in one pass: every step looks at a few elements only."""
+
+    def __init__(self, html: str):
+        self.blocks: list[Block] = []
+        root = Element("", Path("", None, False), None)
+        root.block = root
+        self.open: list[Element] = [root]
+        # Places in ``open`` of each tag's elements, and of all block elements.
+        self.places: dict[str, list[int]] = {}
+        self.block_places: list[int] = [0]
+        self.left_out = 0
+        self.block: Block | None = None
+        self._read(html)
+
+    def _say(self, raw: str) -> None:
+        if self.left_out or not raw:
             return
-        if block is None:
-            around = [(tag, number) for tag, _, number in open_tags if tag in BLOCK]
-            block = Node(tuple(t for t, _ in around), tuple(n for _, n in around))
-            blocks.append(block)
-        block.said.append((raw, any(tag == "a" for tag, *_ in open_tags), names[-1]))
-
-    def close_to(depth: int) -> None:
-        nonlocal block, outs
-        for tag, out, _ in open_tags[depth:]:
-            outs -= out
-            if tag in BLOCK:
-                block = None
-        while depth < len(open_tags) and names[-1] >= open_tags[depth][2]:
-            names.pop()
-        del open_tags[depth:]
-
-    end = len(html)
-    while at < end:
-        found = TOKEN.search(html, at)
-        if found is None:
-            say(html[at:])
-            break
-        if found.start() > at:
-            say(html[at : found.start()])
-        at = found.end()
-        closing, tag, attributes = found.group(1), found.group(2), found.group(3)
-        if tag is None:
-            if found.group().startswith("<![CDATA["):
-                say(found.group()[9:].removesuffix("]]>").replace("&", "&amp;"))
-            continue
-        tag = tag.lower()
-        if closing:
-            for depth in range(len(open_tags) - 1, -1, -1):
-                if open_tags[depth][0] == tag:
-                    close_to(depth)
-                    break
-                # An end tag of a phrase doesn't reach out of its block.
-                if tag not in BLOCK and tag not in DROPPED and open_tags[depth][0] in BLOCK:
-                    break
-            if tag in BLOCK:
-                block = None
-            continue
-        if tag in ENDS_P:
-            for depth in range(len(open_tags) - 1, -1, -1):
-                name = open_tags[depth][0]
-                if name == "p":
-                    close_to(depth)
-                    break
-                if name in BLOCK:
-                    break
+        inner = self.open[-1]
+        if self.block is None:
+            self.block = Block(inner.block)
+            self.blocks.append(self.block)
+        self.block.parts.append(raw)
+        if inner.links:
+            self.block.linked += len(raw.strip())
+
+    def _close_to(self, place: int) -> None:
+        while len(self.open) > place:
+            element = self.open.pop()
+            self.places[element.tag].pop()
+            self.left_out -= element.left_out
+            if element.block is element:
+                self.block_places.pop()
+                self.block = None
+
+    def _last(self, tags) -> int:
+        return max((self.places[tag][-1] for tag in tags if self.places.get(tag)), default=-1)
+
+    def _end(self, tag: str) -> None:
+        place = self._last((tag,))
+        # An end tag of a phrase doesn't reach out of its block.
+        if place > 0 and (tag in BLOCK or tag in DROPPED or place > self.block_places[-1]):
+            self._close_to(place)
+        if tag in BLOCK:
+            self.block = None
+
+    def _begin(self, tag: str, attributes: str) -> None:
+        if tag in ENDS_P and self.open[self.block_places[-1]].tag == "p":
+            self._close_to(self.block_places[-1])
         if tag in ENDED_BY_PEER:
             ended, borders = ENDED_BY_PEER[tag]
-            for depth in range(len(open_tags) - 1, -1, -1):
-                if open_tags[depth][0] in borders:
-                    break
-                if open_tags[depth][0] in ended:
-                    close_to(depth)
-                    break
+            place = self._last(ended)
+            if place > self._last(borders):
+                self._close_to(place)
         if tag in BLOCK:
-            block = None
+            self.block = None
         if tag in VOID:
-            continue
-        if tag in RAW:
-            stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(html, at)
-            at = stop.end() if stop else end
-            continue
-        if attributes.rstrip().endswith("/") and tag in ("svg", "path", "use"):
-            continue
-        # The header of an article may hold its heading, so there headers stay.
-        inside = any(name in ROOTS for name, *_ in open_tags)
-        out = tag in DROPPED and not (tag == "header" and inside)
-        hidden, named = tag not in ("html", "body", "main") and _aside(tag, attributes, inside) or (False, False)
-        out = out or hidden
-        open_tags.append((tag, out, at))
-        outs += out
-        if (named or tag == "form") and not outs:
-            around[at] = names[-1]
-            names.append(at)
-        if tag in ROOTS and not outs:
-            roots[at] = (tag, names[-1])
-    gone = taken_out(blocks, around, roots) if around else ()
-    for node in blocks:
-        for raw, linked, named in node.said:
-            if named not in gone:
-                node.parts.append(raw)
-                node.linked += len(raw.strip()) if linked else 0
-    return [node for node in blocks if node.parts]
-
-
-def said(node: Node) -> str:
+            return
+        outer = self.open[-1]
+        hidden, label, named = attributes_of(attributes)
+        # The header of an article may hold its heading.
+        left_out = tag in DROPPED and not (tag == "header" and outer.roots)
+        left_out = left_out or hidden and tag not in ("html", "body", "main")
+        element = Element(tag, outer.path, outer.block, outer.block, left_out, outer.links + (tag == "a"), outer.roots)
+        if tag in BLOCK:
+            named = (named or tag == "form") and tag not in ("html", "body", "main")
+            element.path = outer.path.below(tag if tag in TEXT_ELEMENTS else tag + label, named)
+            element.block = element
+            if tag in ROOTS:
+                element.roots = outer.roots | {tag}
+            self.block_places.append(len(self.open))
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.open.append(element)
+        self.left_out += left_out
+
+    def _read(self, html: str) -> None:
+        at, end = 0, len(html)
+        while at < end:
+            found = TOKEN.search(html, at)
+            if found is None:
+                self._say(html[at:])
+                break
+            if found.start() > at:
+                self._say(html[at : found.start()])
+            at = found.end()
+            closing, tag, attributes = found.group(1), found.group(2), found.group(3)
+            if tag is None:
+                if found.group().startswith("<![CDATA["):
+                    self._say(found.group()[9:].removesuffix("]]>").replace("&", "&amp;"))
+                continue
+            tag = tag.lower()
+            if closing:
+                self._end(tag)
+            elif tag in RAW:
+                stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(html, at)
+                at = stop.end() if stop else end
+            elif not (attributes.rstrip().endswith("/") and tag in ("svg", "path", "use")):
+                self._begin(tag, attributes)
+
+
+def said(block: Block) -> str:
     """Text of a block: references decoded, white space as one space, trimmed."""
-    return HTML_SPACE.sub(" ", unescape("".join(node.parts))).strip()
+    return HTML_SPACE.sub(" ", unescape("".join(block.parts))).strip()
 
 
-def path_scores(blocks: list[tuple[Node, str]]) -> dict[tuple[str, ...], float]:
-    """Score of every tag path: smoothed text length and punctuation, fused.
+Texts = list[tuple[Block, str]]
 
-    A path's length is that of its unlinked text per block, its punctuation the number of
-    marks per block. Each path takes half of its own value and half of the mean of the
-    paths next to it in page order; the score is the product of both, so that a path needs
-    text and sentences.
-    """
-    order: list[tuple[str, ...]] = []
-    length: dict[tuple[str, ...], float] = {}
-    marks: dict[tuple[str, ...], float] = {}
-    count: dict[tuple[str, ...], int] = {}
-    for node, text in blocks:
-        if node.path not in count:
-            order.append(node.path)
-            length[node.path] = marks[node.path] = 0.0
-            count[node.path] = 0
-        length[node.path] += max(0, len(text) - node.linked)
-        marks[node.path] += len(MARKS.findall(text)) if node.linked < len(text) else 0
-        count[node.path] += 1
-
-    def smoothed(values: dict[tuple[str, ...], float]) -> list[float]:
-        own = [values[p] / count[p] for p in order]
-        near = [own[max(0, i - 1)] + own[min(len(own) - 1, i + 1)] for i in range(len(own))]
-        return [0.5 * a + 0.25 * b for a, b in zip(own, near, strict=True)]
-
-    return {
-        path: chars * (1.0 + punctuation)
-        for path, chars, punctuation in zip(order, smoothed(length), smoothed(marks), strict=True)
-    }
-
-
-def container(
-    blocks: list[tuple[Node, str]], weights: list[float], most: float
-) -> list[int]:
-    """The blocks in the innermost element that holds ``most`` of the weight.
-
-    An element beside it ends the way down if it holds content too: a block at the path of
-    one inside, one in an element for text, or one of LEAST_CHARS or more.
-    """
-    total, depth = sum(weights), 0
-    kept = list(range(len(blocks)))
-
-    def content(i: int) -> bool:
-        path = blocks[i][0].path
-        return weights[i] >= LEAST_CHARS or bool(path) and path[-1] in TEXT_ELEMENTS
-
-    while True:
-        inner: dict[int, float] = {}
-        for i in kept:
-            elements = blocks[i][0].elements
-            if len(elements) > depth and blocks[i][0].path[depth] in CONTAINERS:
-                inner[elements[depth]] = inner.get(elements[depth], 0.0) + weights[i]
-        best = max(inner, key=inner.get, default=None)
-        if best is None or inner[best] < most * total:
-            return kept
-        chosen = [i for i in kept if blocks[i][0].elements[depth : depth + 1] == (best,)]
-        paths = {blocks[i][0].path for i in chosen}
-        beside = (i for i in kept if blocks[i][0].elements[depth : depth + 1] != (best,))
-        if any(content(i) or blocks[i][0].path in paths for i in beside):
-            return kept
-        kept = chosen
-        depth += 1
-
-
-def main_text(html: str, share: float = 0.01, most: float = 0.75) -> str:
-    """The article of a page, blocks joined by line ends.
 
-    The blocks whose paths have at least ``share`` of the best path's score are taken, without
-    those that are mostly links. Where what the page marks as its article (``article``, else
-    ``main``) holds more than half of their summed scores, the same is done in it alone. Elsewhere
-    of these blocks what lies in the innermost element that holds ``most`` of their unlinked text and
-    has no content beside it.
+def path_scores(blocks: Texts) -> dict[Path, float]:
+    """Score of every tag path: its unlinked text times the marks of punctuation in a block of it.
+
+    Both are added up over the page, so a path needs text and sentences; a path through an
+    element whose name says that it is beside the article keeps a share.
+    """
+    length: dict[Path, int] = {}
+    marks: dict[Path, int] = {}
+    count: dict[Path, int] = {}
+    for block, text in blocks:
+        path = block.element.path
+        unlinked = max(0, len(text) - block.linked)
+        length[path] = length.get(path, 0) + unlinked
+        marks[path] = marks.get(path, 0) + (len(MARKS.findall(text)) if unlinked else 0)
+        count[path] = count.get(path, 0) + 1
+    return {path: path.share * n * (1.0 + marks[path] / count[path]) for path, n in length.items()}
+
+
+def block_scores(blocks: Texts) -> list[float]:
+    """Score of every block: that of its path, or what reaches it from paths around it.
+
+    The best path with text in an element reaches, a step weaker for each level, what lies deeper
+    in the same element: a heading among paragraphs, an item of a list between them. Text right
+    before content that lies one level below its own path takes over a share: a lead.
     """
-    blocks = [(node, text) for node in text_blocks(html) if (text := said(node))]
-    if not blocks:
-        return ""
     scores = path_scores(blocks)
+    best: dict[Element, float] = {}
+    for block, _ in blocks:
+        holder = block.element.outer
+        if holder is not None:
+            best[holder] = max(best.get(holder, 0.0), scores[block.element.path])
+    out = []
+    for i, (block, _) in enumerate(blocks):
+        path = block.element.path
+        score, reach, holder = scores[path], STEP_SHARE, block.element.outer
+        for _ in range(STEPS):
+            if holder is None:
+                break
+            if holder in best and holder.path.share:
+                score = max(score, reach * best[holder] * path.share / holder.path.share)
+            reach *= STEP_SHARE
+            holder = holder.outer
+        if i + 1 < len(blocks):
+            after = blocks[i + 1][0].element.path
+            if after.outer is path:
+                score = max(score, LEAD_SHARE * scores[after])
+        out.append(score)
+    return out
 
-    def content(among: list[tuple[Node, str]]) -> list[tuple[Node, str]]:
-        limit = share * max(scores[node.path] for node, _ in among)
-        return [
-            (node, text)
-            for node, text in among
-            if scores[node.path] >= limit and (node.linked * 2 < len(text) or not node.linked)
-        ]
 
-    kept = content(blocks)
-    total = sum(scores[node.path] for node, _ in kept)
+def marked(blocks: Texts) -> Texts:
+    """The blocks in what the page marks as its article, or all, if too much lies outside."""
+    chars = [max(0, len(text) - block.linked) for block, text in blocks]
     for root in ROOTS:
-        marked = [(node, text) for node, text in blocks if root in node.path]
-        held = sum(scores[node.path] for node, _ in kept if root in node.path)
-        if held * 2 > total:
-            return "\n".join(text for _, text in content(marked))
-    weights = [float(max(0, len(text) - node.linked)) for node, text in kept]
-    return "\n".join(kept[i][1] for i in container(kept, weights, most))
+        inside = sum(n for n, (block, _) in zip(chars, blocks, strict=True) if root in block.element.roots)
+        outside = sum(
+            n * block.element.path.share
+            for n, (block, _) in zip(chars, blocks, strict=True)
+            if root not in block.element.roots
+        )
+        if inside and (outside < LEAST_OUTSIDE or outside <= MORE_OUTSIDE * inside):
+            return [(block, text) for block, text in blocks if root in block.element.roots]
+    return blocks
+
+
+def main_text(html: str) -> str:
+    """The article of a page, blocks joined by line ends.
+
+    What the page marks as its article (``article``, else ``main``) is looked at alone, unless it
+    has little text beside the rest. Blocks whose score reaches ``CONTENT_SHARE`` of the best one
+    are taken, without those that are mostly links.
+    """
+    blocks = marked([(block, text) for block in Page(html).blocks if (text := said(block))])
+    scores = block_scores(blocks)
+    limit = CONTENT_SHARE * max(scores, default=0.0)
+    return "\n".join(
+        text
+        for (block, text), score in zip(blocks, scores, strict=True)
+        if score >= limit and (block.linked * 2 < len(text) or not block.linked)
+    )
 
 
 def extract(

@@ -1,6 +1,12 @@
 import random
+import time
+from collections import Counter
 
-from tablewright.llm.html_text import extract, main_text, path_scores, said, text_blocks
+import pyarrow.parquet as pq
+import pytest
+
+from tablewright.llm import html_text
+from tablewright.llm.html_text import Page, extract, main_text, path_scores, said
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head>
 <body class="with-sidebar"><header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a></li></ul></nav>
@@ -79,11 +85,47 @@ def test_one_long_paragraph_among_short_ones():
 
 
 def test_scores_prefer_sentences():
-    blocks = [(n, said(n)) for n in text_blocks("<div><p>Many words, and marks. Really, many.</p><h5>x</h5></div>")]
-    scores = path_scores(blocks)
+    page = Page("<div><p>Many words, and marks. Really, many.</p><h5>x</h5></div>")
+    scores = {path.labels(): s for path, s in path_scores([(b, said(b)) for b in page.blocks]).items()}
     assert scores[("div", "p")] > scores[("div", "h5")]
 
 
+def shared_words(a, b):
+    """F1 of the words of two texts."""
+    a, b = Counter(a.split()), Counter(b.split())
+    return 2 * sum((a & b).values()) / max(1, a.total() + b.total())
+
+
+def test_pages_without_marks_and_names_by_their_paths_alone(monkeypatch):
+    """No article element, no telling class: the path scores decide, and equal scores do worse."""
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet")["html"].to_pylist()
+    expected = [main_text(page) for page in pages]
+    plain = [
+        page.replace("<article>", '<div class="x2">').replace("</article>", "</div>").replace('class="ad"', 'class="x1"')
+        for page in pages
+    ]
+    found = [main_text(page) for page in plain]
+    assert sum(a == b for a, b in zip(expected, found)) > 0.9 * len(pages)
+    assert sum(map(shared_words, expected, found)) / len(pages) > 0.98
+    monkeypatch.setattr(html_text, "path_scores", lambda blocks: {b.element.path: 1.0 for b, _ in blocks})
+    alike = [main_text(page) for page in plain]
+    assert sum(a == b for a, b in zip(expected, alike)) < 0.1 * len(pages)
+    assert sum(map(shared_words, expected, alike)) < sum(map(shared_words, expected, found))
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<div>word " * 50_000, "<b>" * 50_000 + "x", "<i><div>" + "<b>" * 50_000 + "</i>" * 50_000, "<p>x</q>" * 50_000,
+     "<div>" * 50_000 + "</p>" * 50_000, "<ul><li>a" * 30_000, '<div class="a">t ' * 50_000, "<table><tr><td>x" * 20_000,
+     "<a href='x" * 50_000, "</div>" * 50_000, "<article>t<nav>" * 20_000],
+)
+def test_unclosed_elements_take_linear_time(page):
+    begun = time.process_time()
+    main_text(page)
+    half = time.process_time() - begun
+    assert half < 3, half
+
+
 def test_broken_and_odd_pages():
     for html in ("", "   ", "<", "<p", "</p></div>", "<!--", "<script>x", "<article>", "a < b", "<p title='x>y"):
         assert isinstance(main_text(html), str)
