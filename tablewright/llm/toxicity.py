@@ -7,7 +7,9 @@ Documents are counted, not occurrences, because one text may repeat a line many
 linear scan of a text finds all maximal segments of the summed scores. How high segments
 get in harmless text, by chance, has an exponential tail; its rate and level are measured
 on harmless training documents and turn a segment into surprise. A document's surprise,
-summed over its significant segments, becomes a probability by a logistic curve.
+summed over its significant segments, becomes a probability by a logistic curve. For both,
+every training document is scored with the tokens of the other folds, at every size of the sample,
+so that chance is seen as in new text; new text is scored with the tokens of all.
 """
 
 from __future__ import annotations
@@ -35,8 +37,15 @@ PRIOR_DOCUMENTS = 10.0
 PRIOR_EACH = 0.5
 DEVIATIONS = 2.5
 LEAST_SCORE = 0.5
-LEAST_CHECKS = 20
 DRIFT = 0.05
+#: Parts of the training documents, each scored without its own labels.
+FOLDS = 4
+#: Bins of segment scores for each doubling; a bin keeps its count and its sum.
+BINS_A_DOUBLING = 64
+#: So many segments of rate one count beside the observed ones.
+PRIOR_SEGMENTS = 5.0
+#: A segment is significant if so few as high or higher are due to chance in a text.
+SIGNIFICANT = 0.01
 BATCH_BYTES = 1 << 16
 
 STEMS = (4, 5, 6)
@@ -154,8 +163,9 @@ class Model:
         return maximal_segments(places.tolist(), scores[places].tolist(), self.drift)
 
     def surprise(self, segments: list[tuple[int, int, float]], n_words: int) -> float:
-        """Summed over segments: minus the logarithm of how many so high are due to chance."""
-        chance = self.level + np.log(max(1, n_words))
+        """Summed over significant segments: how far the logarithm of the number of segments so
+        high that are due to chance lies below that of SIGNIFICANT."""
+        chance = self.level + np.log(max(1, n_words)) - np.log(SIGNIFICANT)
         return float(sum(max(0.0, self.rate * score - chance) for _, _, score in segments))
 
     def probability(self, surprise: float) -> float:
@@ -183,43 +193,55 @@ def training_labels(
 
 
 def _training_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens of labelled documents with the numbers of toxic and of harmless ones that have
-    them; a token may have several rows."""
-    found: list[np.ndarray] = []
-    counts: list[np.ndarray] = []
+    """Tokens of labelled documents of each fold with the numbers of toxic and of harmless ones
+    that have them; a token may have several rows of a fold."""
+    found: list[list[np.ndarray]] = [[] for _ in range(FOLDS)]
+    counts: list[list[np.ndarray]] = [[] for _ in range(FOLDS)]
     size = 0
 
-    def merged() -> tuple[np.ndarray, np.ndarray]:
-        if not found:
+    def merged(fold: int) -> tuple[np.ndarray, np.ndarray]:
+        if not found[fold]:
             return np.empty(0, np.uint64), np.empty((0, 2), np.int64)
-        known, at = np.unique(np.concatenate(found), return_inverse=True)
-        columns = np.concatenate(counts)
+        known, at = np.unique(np.concatenate(found[fold]), return_inverse=True)
+        columns = np.concatenate(counts[fold])
         return known, np.stack([np.bincount(at, c, len(known)).astype(np.int64) for c in columns.T], axis=1)
 
-    def rows(known: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def rows(fold: int, known: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
         for i in range(0, len(known), 100_000):
             part = n[i : i + 100_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(known[i : i + 100_000].view(np.int64)), pa.array(part[:, 0]), pa.array(part[:, 1])],
-                names=["token", "toxic", "clean"],
+                [
+                    pa.array(known[i : i + 100_000].view(np.int64)),
+                    pa.array(np.full(len(part), fold, np.int32)),
+                    pa.array(part[:, 0]),
+                    pa.array(part[:, 1]),
+                ],
+                names=["token", "fold", "toxic", "clean"],
             )
 
     for batch in batches:
-        labels = iter(batch.column(1).to_pylist())
+        labels, folds = iter(batch.column(1).to_pylist()), iter(batch.column(2).to_pylist())
         for texts in blocks_of(t.as_py() for t in batch.column(0)):
             hashes, bounds = tokens_of(texts)
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 own = np.unique(hashes[a:b])
-                found.append(own[own != 0])
-                counts.append(np.tile(np.array([[1, 0]] if next(labels) == 1 else [[0, 1]], np.int64), (len(found[-1]), 1)))
+                own, fold = own[own != 0], next(folds)
+                found[fold].append(own)
+                kind = [[1, 0]] if next(labels) == 1 else [[0, 1]]
+                counts[fold].append(np.tile(np.array(kind, np.int64), (len(own), 1)))
                 size += len(own)
             if size > MERGE_TOKENS:
-                known, n = merged()
-                found, counts, size = [known], [n], 0
-                if len(known) > MERGE_TOKENS:
-                    yield from rows(known, n)
-                    found, counts = [], []
-    yield from rows(*merged())
+                together = [merged(fold) for fold in range(FOLDS)]
+                size = sum(len(known) for known, _ in together)
+                if size > MERGE_TOKENS:
+                    for fold, (known, n) in enumerate(together):
+                        yield from rows(fold, known, n)
+                    found, counts = [[] for _ in range(FOLDS)], [[] for _ in range(FOLDS)]
+                else:
+                    found, counts = [[known] for known, _ in together], [[n] for _, n in together]
+                size = 0
+    for fold in range(FOLDS):
+        yield from rows(fold, *merged(fold))
 
 
 def may_reach(toxic: np.ndarray, clean: np.ndarray, n_toxic: float, n_clean: float) -> np.ndarray:
@@ -235,13 +257,21 @@ def may_reach(toxic: np.ndarray, clean: np.ndarray, n_toxic: float, n_clean: flo
     return out
 
 
-def _telling(n_toxic: float, n_clean: float):
-    """The tokens that may reach LEAST_SCORE."""
+def _telling(toxic_sizes: list[float], clean_sizes: list[float]):
+    """The tokens that may reach LEAST_SCORE in all folds together or without any one of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            toxic, clean = (batch.column(i).to_numpy().astype(np.float64) for i in (1, 2))
-            keep = may_reach(toxic, clean, n_toxic, n_clean)
+            toxic, clean = (
+                np.stack([batch.column(first + f).to_numpy().astype(np.float64) for f in range(FOLDS)])
+                for first in (1, 1 + FOLDS)
+            )
+            keep = np.zeros(batch.num_rows, bool)
+            for left_out in (None, *range(FOLDS)):
+                used = [f for f in range(FOLDS) if f != left_out]
+                n_toxic, n_clean = (sum(sizes[f] for f in used) for sizes in (toxic_sizes, clean_sizes))
+                own = toxic[used].sum(axis=0)
+                keep |= may_reach(own, clean[used].sum(axis=0), n_toxic, n_clean) & (own >= MIN_DOCUMENTS)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(batch.column(0).to_numpy()[keep], pa.int64())], names=["token"]
             )
@@ -249,38 +279,41 @@ def _telling(n_toxic: float, n_clean: float):
     return run
 
 
+#: Documents that a token is counted in: all, then the toxic and the harmless ones of each fold.
+COUNTED = ("every", *(f"{kind}{fold}" for fold in range(FOLDS) for kind in ("toxic", "clean")))
+
+
 def _token_counts(tokens: np.ndarray):
-    """Documents with each token among all, toxic and harmless ones; all documents at -1 and
-    their words at -2."""
+    """Documents with each token, as in COUNTED; all documents at -1 and their words at -2."""
     lexicon = Lexicon(tokens, np.zeros(len(tokens)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = len(tokens) + 1
-        total = np.zeros((n, 3), np.int64)
-        words = np.zeros(3, np.int64)
+        n, m = len(tokens) + 1, len(COUNTED)
+        total = np.zeros((n, m), np.int64)
+        words = np.zeros(m, np.int64)
         for batch in batches:
-            labels = iter(batch.column(1).to_pylist())
+            labels, folds = iter(batch.column(1).to_pylist()), iter(batch.column(2).to_pylist())
             for texts in blocks_of(t.as_py() for t in batch.column(0)):
                 hashes, bounds = tokens_of(texts)
-                kind = np.array([{1: 1, 0: 2}.get(next(labels), 0) for _ in texts])
+                marks = [(next(labels), next(folds)) for _ in texts]
+                kind = np.array([0 if y is None else 2 * fold + (1 if y == 1 else 2) for y, fold in marks])
                 at = lexicon.index(hashes.ravel())
                 document = np.repeat(np.arange(len(texts)), np.diff(bounds) * hashes.shape[1])
                 once = np.unique(document[at >= 0] * n + at[at >= 0])
                 once = np.concatenate((once, np.arange(len(texts)) * n + n - 1))
                 places, times = np.unique(once % n, return_counts=True)
                 total[places, 0] += times
-                words += np.bincount(kind, np.diff(bounds), 3).astype(np.int64)
-                for column in (1, 2):
-                    own = kind[once // n] == column
-                    places, times = np.unique(once[own] % n, return_counts=True)
-                    total[places, column] += times
+                words += np.bincount(kind, np.diff(bounds), m).astype(np.int64)
+                own = kind[once // n]
+                cells, times = np.unique((once % n * m + own)[own > 0], return_counts=True)
+                total.reshape(-1)[cells] += times
         words[0] = words.sum()
         total = np.vstack((total, words))
         names = np.array([*range(len(tokens)), -1, -2])
         some = np.flatnonzero(total.any(axis=1))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(names[some]), *(pa.array(total[some, c]) for c in range(3))],
-            names=["place", "every", "toxic", "clean"],
+            [pa.array(names[some]), *(pa.array(total[some, c]) for c in range(m))],
+            names=["place", *COUNTED],
         )
 
     return run
@@ -301,17 +334,17 @@ def lower_log_odds(
     return odds - DEVIATIONS * np.sqrt(1.0 / a + 1.0 / b + 1.0 / no_a + 1.0 / no_b)
 
 
-def _training_segments(model: Model):
-    """(toxic, words, best, scores): segments of every training document."""
+def _training_segments(models: list[Model]):
+    """(toxic, words, scores): segments of every training document by the model of its fold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            labels = iter(batch.column(1).to_pylist())
+            labels, folds = iter(batch.column(1).to_pylist()), iter(batch.column(2).to_pylist())
             for texts in blocks_of(t.as_py() for t in batch.column(0)):
                 hashes, bounds = tokens_of(texts)
                 for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                    scores = [s for _, _, s in model.segments(hashes[a:b])]
+                    scores = [s for _, _, s in models[next(folds)].segments(hashes[a:b])]
                     rows.append((next(labels), b - a, scores))
             if rows:
                 toxic, words, scores = zip(*rows, strict=True)
@@ -323,19 +356,41 @@ def _training_segments(model: Model):
     return run
 
 
-def fit_tail(scores: np.ndarray, n_words: int) -> tuple[float, float]:
+def fit_tail(
+    scores: np.ndarray, n_words: int, counts: np.ndarray | None = None, sums: np.ndarray | None = None
+) -> tuple[float, float]:
     """(rate, level) of segments in harmless text: n words hold about
     exp(level - rate * score) * n segments of that score or more.
 
-    Above their median the scores of harmless segments are taken as exponential. Without
-    any, half a segment is assumed at score 0 and a rate of one.
+    Above their median the scores of harmless segments are taken as exponential, with
+    PRIOR_SEGMENTS of rate one beside them; half a segment is added to the level. With
+    ``counts`` and ``sums`` the scores are the lower ends of bins.
     """
-    if len(scores) < 20:
-        return 1.0, float(np.log(max(0.5, len(scores)) / max(1, n_words)))
-    base = float(np.median(scores))
-    above = scores[scores >= base] - base
-    rate = float(np.clip(1.0 / max(above.mean(), 1e-6), 0.05, 5.0))
-    return rate, float(np.log(len(above) / n_words) + rate * base)
+    counts = np.ones(len(scores)) if counts is None else counts
+    sums = scores if sums is None else sums
+    order = np.argsort(scores)
+    scores, counts, sums = scores[order], counts[order], sums[order]
+    n = counts.sum()
+    base = float(scores[np.searchsorted(np.cumsum(counts), n / 2)]) if n else 0.0
+    above, total = counts[scores >= base].sum(), sums[scores >= base].sum()
+    rate = (above + PRIOR_SEGMENTS) / max(total - base * above + PRIOR_SEGMENTS, 1e-6)
+    rate = float(np.clip(rate, 0.05, 5.0))
+    return rate, float(np.log((above + 0.5) / max(1, n_words)) + rate * base)
+
+
+def harmless_tail(segments: DataFrame) -> tuple[float, float]:
+    """``fit_tail`` from a histogram: what reaches the driver does not grow with the texts."""
+    clean = segments.where("toxic = 0")
+    words = clean.agg(F.sum("words").alias("n")).first().n or 0
+    histogram = (
+        clean.select(F.explode("scores").alias("score"))
+        .groupBy(F.floor(F.log2("score") * BINS_A_DOUBLING).alias("bin"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("total"))
+        .collect()
+    )
+    bins = np.array([row.bin for row in histogram], np.float64)
+    counts, sums = (np.array([row[c] for row in histogram], np.float64) for c in ("n", "total"))
+    return fit_tail(2.0 ** (bins / BINS_A_DOUBLING), words, counts, sums)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2) -> tuple[float, float]:
@@ -364,10 +419,13 @@ def fit(
 
     The training sample has at most MAX_TRAINING documents, of equal texts one; the lexicon
     has all tokens of MIN_DOCUMENTS toxic ones whose lower bound reaches LEAST_SCORE; those that
-    cannot reach it are left out on the executors. Corpus counts cover all documents. Three quarters of the sample make the lexicon, the rest the tail and the curve,
-    so that chance is seen as in new text; with fewer than LEAST_CHECKS of a kind there, the
-    whole sample makes them. Without labels of both kinds every probability is
-    about the share of toxic labels, near 0 without any.
+    cannot reach it are left out on the executors. Corpus counts cover all documents. The sample
+    falls into FOLDS folds; each one's documents are scored by the lexicon of the others for the
+    tail and the curve, and all of them make the lexicon of new text. Without labels of both
+    kinds every probability is about the share of toxic labels, near 0 without any.
+
+    The driver holds the tokens that may tell with their counts, the histogram of segment scores
+    and one number for each training document, whatever the length of the texts.
     """
     spark = docs.sparkSession
     named = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
@@ -376,66 +434,74 @@ def fit(
         named.join(sample, "_id")
         .groupBy(F.xxhash64("_text").alias("h"), F.length("_text").alias("n"))
         .agg(F.min("_id").alias("_id"), F.max("_toxic").alias("_toxic"))
-        .select("_id", "_toxic", (F.pmod("h", F.lit(4)) == 0).alias("_check")),
+        .select("_id", "_toxic", F.pmod("h", F.lit(FOLDS)).cast("int").alias("_fold")),
         "training",
     )
     sample = F.broadcast(spark.read.parquet(path))
-    training = named.join(sample, "_id").dropna(subset=["_text"])
-    labelled = named.join(sample, "_id").where("not _check").groupBy("_toxic").count()
-    sizes = {r["_toxic"]: float(r["count"]) for r in labelled.collect()}
+    training = named.join(sample, "_id").dropna(subset=["_text"]).select("_text", "_toxic", "_fold")
+    sizes = {(r._toxic, r._fold): float(r.n) for r in training.groupBy("_toxic", "_fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    kinds = [[sizes.get((kind, fold), 0.0) for fold in range(FOLDS)] for kind in (1, 0)]
     top = (
-        training.where("not _check")
-        .select("_text", "_toxic")
-        .mapInArrow(_training_tokens, "token long, toxic long, clean long")
+        training.mapInArrow(_training_tokens, "token long, fold int, toxic long, clean long")
         .groupBy("token")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .where(F.col("toxic") >= MIN_DOCUMENTS)
-        .mapInArrow(_telling(sizes.get(1, 0.0), sizes.get(0, 0.0)), "token long")
+        .agg(
+            *(
+                F.sum(F.when(F.col("fold") == fold, F.col(kind)).otherwise(0)).alias(f"{kind}{fold}")
+                for kind in ("toxic", "clean")
+                for fold in range(FOLDS)
+            )
+        )
+        .where(sum((F.col(f"toxic{fold}") for fold in range(FOLDS)), F.lit(0)) >= MIN_DOCUMENTS)
+        .mapInArrow(_telling(*kinds), "token long")
         .toPandas()
     )
     tokens = np.sort(top["token"].to_numpy(np.int64).view(np.uint64))
     counted = (
         named.join(sample, "_id", "left")
-        .select("_text", F.expr("if(_check, null, _toxic)").alias("_toxic"))
-        .mapInArrow(_token_counts(tokens), "place long, every long, toxic long, clean long")
+        .select("_text", "_toxic", "_fold")
+        .mapInArrow(_token_counts(tokens), "place long, " + ", ".join(f"{c} long" for c in COUNTED))
         .groupBy("place")
-        .agg(*(F.sum(c).alias(c) for c in ("every", "toxic", "clean")))
+        .agg(*(F.sum(c).alias(c) for c in COUNTED))
         .toPandas()
         .set_index("place")
         .reindex([*range(len(tokens)), -1, -2], fill_value=0)
     )
-    every, toxic, clean = (counted[c].to_numpy(np.float64) for c in ("every", "toxic", "clean"))
-    bound = lower_log_odds(toxic[:-2], clean[:-2], every[:-2], toxic[-2], clean[-2], every[-2])
-    chosen = bound >= LEAST_SCORE
-    lexicon = Lexicon(tokens[chosen], bound[chosen])
-    # Harmless text must lose more by words than it gains by tokens.
-    gain = float((clean[:-2] * bound)[chosen].sum() / max(1.0, clean[-1]))
-    drift = max(DRIFT, 2.0 * gain)
-    draft = Model(lexicon, drift, 1.0, 0.0, 0.0, 1.0)
-    checks = {r._toxic: r.n for r in spark.read.parquet(path).where("_check").groupBy("_toxic").agg(F.count("*").alias("n")).collect()}
-    enough = min(checks.get(0, 0), checks.get(1, 0)) >= LEAST_CHECKS
-    training = training.where(F.col("_check") | F.lit(not enough)).select("_text", "_toxic")
-    rows = training.mapInArrow(
-        _training_segments(draft), "toxic int, words long, scores array<double>"
-    ).toPandas()
+
+    def draft(left_out: int | None) -> Model:
+        """What the other folds say: their lexicon and drift, without tail and curve."""
+        used = [fold for fold in range(FOLDS) if fold != left_out]
+        every = counted["every"].to_numpy(np.float64)
+        toxic, clean = (
+            counted[[f"{kind}{fold}" for fold in used]].sum(axis=1).to_numpy(np.float64)
+            for kind in ("toxic", "clean")
+        )
+        bound = lower_log_odds(toxic[:-2], clean[:-2], every[:-2], toxic[-2], clean[-2], every[-2])
+        chosen = (bound >= LEAST_SCORE) & (toxic[:-2] >= MIN_DOCUMENTS)
+        # Harmless text must lose more by words than it gains by tokens.
+        gain = float((clean[:-2] * bound)[chosen].sum() / max(1.0, clean[-1]))
+        return Model(Lexicon(tokens[chosen], bound[chosen]), max(DRIFT, 2.0 * gain), 1.0, 0.0, 0.0, 1.0)
+
+    folds = [draft(fold) for fold in range(FOLDS)]
+    scored_path = stage(
+        training.mapInArrow(_training_segments(folds), "toxic int, words long, scores array<double>"), "segments"
+    )
+    segments = spark.read.parquet(scored_path)
+    rate, level = harmless_tail(segments)
+    chance = F.lit(level - float(np.log(SIGNIFICANT))) + F.log(F.greatest(F.col("words"), F.lit(1)).cast("double"))
+    surprise = F.aggregate(
+        "scores", F.lit(0.0), lambda total, s: total + F.greatest(F.lit(0.0), F.lit(rate) * s - F.col("_chance"))
+    )
+    rows = segments.withColumn("_chance", chance).select("toxic", F.log1p(surprise).alias("x")).toPandas()
+    drop_staged(spark, scored_path)
     drop_staged(spark, path)
+    final = draft(None)
     y = (rows["toxic"].to_numpy() == 1).astype(np.float64)
-    harmless = rows[y == 0]
-    chance = np.concatenate([*(np.asarray(s, np.float64) for s in harmless["scores"]), np.empty(0)])
-    rate, level = fit_tail(chance, int(harmless["words"].sum()))
-    model = Model(lexicon, drift, rate, level, 0.0, 1.0)
     if len(np.unique(y)) < 2:
         share = float(y.mean()) if len(y) else 0.0
         odds = np.log((share * len(y) + 0.01) / ((1 - share) * len(y) + 0.01)) if len(y) else -5.0
-        return Model(lexicon, drift, rate, level, float(odds), 0.0)
-    x = np.log1p(
-        [
-            model.surprise([(0, 0, s) for s in scores], n)
-            for scores, n in zip(rows["scores"], rows["words"], strict=True)
-        ]
-    )
-    intercept, slope = fit_logistic(x, y)
-    return Model(lexicon, drift, rate, level, intercept, max(0.0, slope))
+        return Model(final.lexicon, final.drift, rate, level, float(odds), 0.0)
+    intercept, slope = fit_logistic(rows["x"].to_numpy(np.float64), y)
+    return Model(final.lexicon, final.drift, rate, level, intercept, max(0.0, slope))
 
 
 def with_toxicity(docs: DataFrame, model: Model, text_col: str, score_name: str) -> DataFrame:

@@ -61,6 +61,36 @@ def test_tail_and_curve():
     assert intercept == pytest.approx(1.0, abs=0.2) and slope == pytest.approx(2.0, abs=0.3)
 
 
+def test_tail_from_a_histogram(spark):
+    rng = np.random.default_rng(2)
+    scores = rng.exponential(0.5, 3000) + 0.01
+    rows = [(0, 100, part.tolist()) for part in np.array_split(scores, 40)] + [(1, 50, [99.0]), (0, 7, [])]
+    segments = spark.createDataFrame(rows, "toxic int, words long, scores array<double>")
+    rate, level = toxicity.harmless_tail(segments)
+    expected = fit_tail(scores, 4007)
+    assert rate == pytest.approx(expected[0], rel=0.03) and level == pytest.approx(expected[1], abs=0.05)
+
+
+def test_no_switch_at_any_size():
+    """One segment more or less changes the tail a little, from none on."""
+    rng = np.random.default_rng(3)
+    scores = rng.exponential(0.4, 60)
+    fits = [fit_tail(scores[:n], 10_000) for n in range(61)]
+    assert fits[0] == (1.0, pytest.approx(np.log(0.5 / 10_000)))
+    assert max(abs(np.log(a[0] / b[0])) for a, b in zip(fits[:-1], fits[1:])) < 0.35
+
+
+def test_few_labels_are_all_learnt_from(spark):
+    """Seven toxic documents: too few to set some apart, enough for folds."""
+    rng = random.Random(8)
+    rows = [(i, sentence(rng, 40) + (" vilest rotter" if i < 16 else "")) for i in range(160)]
+    known = [i for i in range(160) if zlib.crc32(str(i).encode()) % 5]
+    toxic = [i for i in known if i < 16][:7]
+    labels = [(i, int(i in toxic)) for i in known if i in toxic or i >= 16]
+    got = {r.doc_id: r.predicted for r in scored(table(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    assert [got[i] for i in range(160)] == [int(i < 16) for i in range(160)]
+
+
 BAD = ("scoundrelly", "scoundrelish", "scoundreled", "vilest", "rotter", "rotters")
 
 
@@ -116,8 +146,8 @@ def test_all_segments_of_a_long_text_count():
     hashes, _ = tokens_of([b"rotter"])
     model = toxicity.Model(toxicity.Lexicon(hashes[0, :1], np.ones(1)), 0.5, 1.0, 0.0, 0.0, 1.0)
     text = ("rotter and then some harmless words " * 300).strip()
-    batch = pa.RecordBatch.from_arrays([pa.array([text]), pa.array([0], pa.int32())], names=["_text", "_toxic"])
-    (rows,) = toxicity._training_segments(model)(iter([batch]))
+    batch = pa.RecordBatch.from_arrays([pa.array([text]), pa.array([0], pa.int32()), pa.array([0], pa.int32())], names=["_text", "_toxic", "_fold"])
+    (rows,) = toxicity._training_segments([model])(iter([batch]))
     assert rows.column(2).to_pylist() == [[1.0] * 300]
 
 
