@@ -1,12 +1,12 @@
 """Exact medians of many columns, and filling with them.
 
-``exact_medians`` narrows an open interval around the wanted rank. One scan counts
-the present values and proposes two borders close to the rank; the digests behind
-the proposal are merged in groups first, so no task takes in those of all others.
-A second scan counts the values below, on and between the borders and, where few
-are left between them, picks the wanted one at once. The proposal only proposes;
-the counts decide, so the result is exact and the same for every partitioning. As
-long as more than ``finish_rows`` values may be left, a scan counts without them.
+``exact_medians`` narrows an open interval around the wanted rank. One scan takes mergeable
+quantile sketches, in groups of tasks first, so no task takes in those of all others; they propose
+two borders close to the rank. A second scan counts the values below, on and between the
+borders, and where few are left between them a third one picks the wanted one among these alone.
+The sketches only propose; the counts decide, so the result is exact and the same for every
+partitioning. As long as more than ``finish_rows`` values are left, new borders are
+proposed between the old ones.
 """
 
 from __future__ import annotations
@@ -21,8 +21,11 @@ from tablewright.functions.columns import named
 from tablewright.roles import IMPUTED_SUFFIX
 
 FINISH_ROWS = 5_000_000
-ACCURACY = 1000
-MARGIN = 2 / ACCURACY
+# Items of a sketch; its ranks are off by some 0.13 percent with it, and borders lie beside that.
+SKETCH_ITEMS = 4096
+MARGIN = 0.002
+# Values of a column that one row may list.
+LISTED = 100_000
 DIGEST_GROUPS = 512
 
 
@@ -78,15 +81,13 @@ def exact_medians(
     state = {c: Interval(rank=(n + 1) // 2, rows=n) for c, (n, _, _) in first.items()}
     borders = {c: (low, high) for c, (_, low, high) in first.items()}
     while open_ := {c: s for c, s in state.items() if s.found is None}:
-        few = {c for c, s in open_.items() if 2 * MARGIN * s.rows <= finish_rows}
-        if few:
-            state |= settle(table, {c: open_[c] for c in few}, borders)
+        state |= narrow(table, open_, borders)
+        open_ = {c: s for c, s in state.items() if s.found is None}
+        if few := {c: s for c, s in open_.items() if s.rows <= finish_rows}:
+            state |= pick(table, few)
         if many := {c: s for c, s in open_.items() if c not in few}:
-            state |= narrow(table, many, borders)
-        again = {c: s for c, s in state.items() if s.found is None}
-        if again:
             proposed = propose(
-                table, {c: (inside(c, s), s.rank / s.rows) for c, s in again.items()}
+                table, {c: (inside(c, s), s.rank / s.rows) for c, s in many.items()}
             )
             borders = {c: (low, high) for c, (_, low, high) in proposed.items()}
     return {name: state[f"v{i}"].found for i, name in enumerate(columns)}
@@ -99,43 +100,59 @@ def inside(name: str, interval: Interval) -> Column:
 def propose(
     table: DataFrame, wanted: dict[str, tuple[Column, float]]
 ) -> dict[str, tuple[int, float | None, float | None]]:
-    """One scan: number of values of each column, and two borders around a share of them.
-
-    Every group of tasks proposes borders of its own; their medians are taken.
-    """
+    """One scan: number of values of each column, and two borders around a share of them."""
     values = table.select(
         (F.spark_partition_id() % DIGEST_GROUPS).alias("digest_group"),
         *[value.alias(c) for c, (value, _) in wanted.items()],
     )
-    grouped = values.groupBy("digest_group").agg(
-        *[F.count(c).alias(f"{c}_n") for c in wanted],
-        *[
-            F.percentile_approx(c, [max(0.0, share - MARGIN), min(1.0, share + MARGIN)], ACCURACY).alias(c)
-            for c, (_, share) in wanted.items()
-        ],
+    items = F.lit(SKETCH_ITEMS)
+    merged = (
+        values.groupBy("digest_group")
+        .agg(*[F.kll_sketch_agg_double(c, items).alias(c) for c in wanted])
+        .agg(*[F.kll_merge_agg_double(c, items).alias(c) for c in wanted])
     )
-    row = grouped.agg(
-        *[F.coalesce(F.sum(f"{c}_n"), F.lit(0)).alias(f"{c}_n") for c in wanted],
-        *[F.percentile_approx(F.col(c)[i], 0.5).alias(f"{c}_{i}") for c in wanted for i in (0, 1)],
+    n = {c: F.coalesce(F.kll_sketch_get_n_double(c), F.lit(0)) for c in wanted}
+    ends = {c: F.array(F.lit(max(0.0, share - MARGIN)), F.lit(min(1.0, share + MARGIN))) for c, (_, share) in wanted.items()}
+    row = merged.select(
+        *[n[c].alias(f"{c}_n") for c in wanted],
+        *[F.when(n[c] > 0, F.kll_sketch_get_quantile_double(c, ends[c])).alias(c) for c in wanted],
     ).first()
-    return {c: (row[f"{c}_n"], row[f"{c}_0"], row[f"{c}_1"]) for c in wanted}
+    return {c: (row[f"{c}_n"], *(row[c] or (None, None))) for c in wanted}
 
 
 Borders = dict[str, tuple[float, float]]
 
 
 def narrow(table: DataFrame, state: dict[str, Interval], borders: Borders) -> dict[str, Interval]:
-    """One scan: counts below, on and between the borders."""
-    counts = table.agg(
+    """One scan: counts below, on and between the borders.
+
+    Where the proposal leaves few values between its borders, they are listed on the way, and
+    the wanted one is known at once.
+    """
+    tests = {c: around_counts(inside(c, s), *borders[c]) for c, s in state.items()}
+    short = [c for c, s in state.items() if 2 * MARGIN * s.rows <= LISTED]
+    row = table.agg(
+        *[F.count_if(test).alias(f"{c}_{i}") for c, around in tests.items() for i, test in enumerate(around)],
+        *[F.collect_list(F.when(tests[c][2], F.col(c))).alias(f"{c}_between") for c in short],
+    )
+    place = {c: F.lit(state[c].rank) - F.col(f"{c}_0") - F.col(f"{c}_1") for c in short}
+    row = row.select(
+        *[f"{c}_{i}" for c in state for i in range(4)],
         *[
-            F.count_if(test).alias(f"{c}_{i}")
-            for c, s in state.items()
-            for i, test in enumerate(around_counts(inside(c, s), *borders[c]))
+            F.when(
+                place[c].between(1, F.col(f"{c}_2")),
+                F.element_at(F.sort_array(f"{c}_between"), place[c].cast("int")),
+            ).alias(f"{c}_found")
+            for c in short
         ],
     ).first()
-    return {
-        c: s.narrowed(*borders[c], *[counts[f"{c}_{i}"] for i in range(4)]) for c, s in state.items()
+    narrowed = {
+        c: s.narrowed(*borders[c], *[row[f"{c}_{i}"] for i in range(4)]) for c, s in state.items()
     }
+    for c in short:
+        if row[f"{c}_found"] is not None:
+            narrowed[c] = replace(narrowed[c], found=row[f"{c}_found"])
+    return narrowed
 
 
 def around_counts(value: Column, a: float, b: float) -> list[Column]:
@@ -143,53 +160,33 @@ def around_counts(value: Column, a: float, b: float) -> list[Column]:
     return [value < a, value == a, (value > a) & (value < b), (value == b) & F.lit(a != b)]
 
 
-def settle(table: DataFrame, state: dict[str, Interval], borders: Borders) -> dict[str, Interval]:
-    """One scan: counts of the values from border to border, one count below and one above.
-
-    The value at the rank is found, unless the proposal missed it; then the side on which it
-    lies is known.
-    """
-    cells = []
-    for c, s in state.items():
-        a, b = borders[c]
-        value = inside(c, s)
-        side = F.when(value < a, 0).when(value > b, 2).otherwise(1)
-        cells.append(
-            F.when(
-                value.isNotNull(),
-                F.struct(
-                    F.lit(c).alias("name"),
-                    F.lit(s.rank).alias("rank"),
-                    side.alias("side"),
-                    F.when(side == 1, value).alias("value"),
-                ),
-            )
+def pick(table: DataFrame, state: dict[str, Interval]) -> dict[str, Interval]:
+    """One scan: the value at the rank among the values inside each interval."""
+    cells = [
+        F.when(
+            s.holds(F.col(c)),
+            F.struct(F.lit(c).alias("name"), F.lit(s.rank).alias("rank"), F.col(c).alias("value")),
         )
-    # Only cells with a value become rows. A filter over all columns would do the same, but
+        for c, s in state.items()
+    ]
+    # Rows without such a value go first. A plain filter over all columns would do the same, but
     # the optimizer does not come to an end with it on wide tables.
+    seen = F.greatest(F.lit(0), *[F.when(s.holds(F.col(c)), 1).otherwise(0) for c, s in state.items()])
     distinct = (
-        table.select(F.inline(F.array_compact(F.array(*cells))))
-        .groupBy("name", "rank", "side", "value")
+        table.filter(seen == 1)
+        .select(F.inline(F.array_compact(F.array(*cells))))
+        .groupBy("name", "rank", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    upto = F.sum("n").over(Window.partitionBy("name").orderBy("side", "value"))
+    upto = F.sum("n").over(Window.partitionBy("name").orderBy("value"))
     picked = (
         distinct.withColumn("upto", upto)
         .filter(F.col("upto") >= F.col("rank"))
         .groupBy("name")
-        .agg(F.min_by(F.struct("side", "value", "upto", "n"), "upto").alias("at"))
+        .agg(F.min("value").alias("value"))
         .collect()
     )
-    out = {}
-    for name, at in picked:
-        s, (a, b) = state[name], borders[name]
-        if at.side == 1:
-            out[name] = replace(s, found=at.value)
-        elif at.side == 0:
-            out[name] = replace(s, rows=at.n, high=a)
-        else:
-            out[name] = replace(s, rank=s.rank - (at.upto - at.n), rows=at.n, low=b)
-    return out
+    return {name: replace(state[name], found=value) for name, value in picked}
 
 
 def impute(df: DataFrame, medians: dict[str, float]) -> DataFrame:
