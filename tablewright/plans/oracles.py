@@ -109,6 +109,15 @@ UNION ALL
 SELECT language, 'weighted', sum(class_weight * (2 * quality - 1)) / sum(class_weight)
 FROM {LANGUAGES} WHERE split_part = 'train' GROUP BY language)"""
 
+# The second tree: each side's mean of the loss's slope at the first one's margin.
+SECOND_LEAVES = f"""(
+SELECT language, weights, any_value(l.mean) + 0.3 * sum(w * slope) / sum(w) AS mean
+FROM (
+  SELECT language, weights, l.mean, CASE WHEN weights = 'plain' THEN 1 ELSE class_weight END AS w,
+         4 * (2 * quality - 1) / (1 + exp(2 * (2 * quality - 1) * l.mean)) AS slope
+  FROM {LANGUAGES} JOIN {LEAVES} l USING (language) WHERE split_part = 'train') l
+GROUP BY language, weights)"""
+
 RULE = """(
 SELECT doc_id, CAST(quality AS DOUBLE) AS label, CAST(n_chars AS DOUBLE) AS score,
        CAST(n_chars > {border} AS DOUBLE) AS prediction
@@ -356,6 +365,19 @@ FROM {INDEXED}""",
     "one_tree_scores": f"""
 SELECT doc_id, language, weights, round(1 / (1 + exp(-2 * mean)), 9) AS probability
 FROM {LANGUAGES} JOIN {LEAVES} USING (language) WHERE split_part = 'train'""",
+    "two_tree_scores": f"""
+SELECT doc_id, language, weights, round(1 / (1 + exp(-2 * mean)), 9) AS probability
+FROM {LANGUAGES} JOIN {SECOND_LEAVES} USING (language) WHERE split_part = 'train'""",
+    "refusals": """
+WITH l AS (SELECT quality FROM documents JOIN labels USING (doc_id)),
+     n AS (SELECT count(*) AS n, count_if(quality = 1) AS ones, count(DISTINCT quality) AS classes FROM l)
+SELECT * FROM (
+  SELECT unnest(['absent file', 'no label column', 'no rows', 'many classes', 'no features',
+                 'missing input', 'test size', 'sample size']) AS attempt,
+         true AS refused, CAST(NULL AS BIGINT) AS number
+  UNION ALL SELECT 'null labels', ones > 0, CAST(ones AS BIGINT) FROM n
+  UNION ALL SELECT 'one class', true, CAST(1 AS BIGINT)
+  UNION ALL SELECT 'nothing', n = 0 OR classes <> 2, NULL FROM n)""",
     "training_metrics": f"""
 WITH scored AS (
   SELECT mean, quality FROM {LANGUAGES} JOIN {LEAVES} USING (language)

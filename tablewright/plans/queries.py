@@ -6,8 +6,10 @@ a query makes them from the values by a rule that its SQL twin repeats.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -673,6 +675,55 @@ def one_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fitted[0].unionByName(fitted[1])
 
 
+def two_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two splits on one feature: the second tree follows what the first one leaves of the loss."""
+    prepared = prepared_languages(spark, sf_dir)
+    rows = prepared.part(split.TRAIN)
+    fitted = []
+    for name, weighted in (("plain", False), ("weighted", True)):
+        params = train.TrainParams(**ONE_TREE | {"max_iter": 2}, step_size=0.3, use_class_weights=weighted)
+        share = F.round(vector_to_array("probability")[1], 9)
+        fitted.append(train.fit(prepared, params).transform(rows).select("doc_id", "language", F.lit(name).alias("weights"), share.alias("probability")))
+    return fitted[0].unionByName(fitted[1])
+
+
+def refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What training and scoring refuse of the labelled documents, and the number that is named."""
+    documents = labelled_documents(spark, sf_dir)
+    quality = F.col("quality")
+
+    def prepared(rows: DataFrame, label: str = "quality") -> None:
+        train.prepare(spark, rows, label, ["doc_id"]).drop()
+
+    def scored_without_language() -> None:
+        fitted = features.fit_features(documents, DOCUMENT_ROLES)
+        score_rows(fitted, documents.drop("lang"))
+
+    tries: dict[str, Callable[[], object]] = {
+        "absent file": lambda: tables.open_table(spark, f"{sf_dir}/absent.csv"),
+        "no label column": lambda: prepared(documents, "absent"),
+        "no rows": lambda: prepared(documents.filter("doc_id < 0")),
+        "null labels": lambda: prepared(documents.withColumn("quality", F.nullif(quality, F.lit(1)))),
+        "one class": lambda: prepared(documents.filter("quality = 1")),
+        "many classes": lambda: prepared(documents.withColumn("quality", F.col("n_chars"))),
+        "no features": lambda: prepared(documents.select("doc_id", "quality")),
+        "missing input": scored_without_language,
+        "test size": lambda: train.TrainParams(test_size=1.0),
+        "sample size": lambda: train.TrainParams(sample_size=0),
+        "nothing": lambda: prepared(documents),
+    }
+    found = []
+    for name, attempt in tries.items():
+        try:
+            attempt()
+            message = None
+        except (ValueError, AnalysisException) as error:
+            message = str(error)
+        number = re.search(r"^\D*(\d+) (?:rows|class)", message or "")
+        found.append((name, message is not None, int(number[1]) if number else None))
+    return spark.createDataFrame(found, "attempt string, refused boolean, number long")
+
+
 def training_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a training run has recorded about such a tree on its test rows."""
     runs_path = new_path(spark, "runs")
@@ -898,6 +949,8 @@ QUERIES: dict[str, Query] = {
     "stream_features": stream_features,
     "registered_features": registered_features,
     "one_tree_scores": one_tree_scores,
+    "two_tree_scores": two_tree_scores,
+    "refusals": refusals,
     "training_metrics": training_metrics,
     "grid_to_production": grid_to_production,
     "chosen_features": chosen_features,
