@@ -1,13 +1,17 @@
 """Threshold-scaled sketches: every shingle hash below a fixed fraction of the hash range.
 
-Two sketches with the same fraction merge by union and estimate containment whatever the
-sizes of their documents, because each is a sample of its document's shingles by one rule.
+Each sketch is a sample of its document's shingles by one rule, so two of them merge by union and
+estimate containment whatever the sizes of their documents. A short text, of which the fraction
+would keep next to nothing, has it doubled until enough is kept; sketches of two fractions are
+compared, and merged, at the smaller one. A hash of the whole text tells equal from like.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -18,7 +22,10 @@ from pyspark.sql import functions as F
 from tablewright.llm.hashing import byte_grams, span_hashes
 
 SHINGLE_BYTES = 16
-ONE_IN = 16
+HASH_BITS = 40
+ONE_IN = 8
+# The fraction is doubled for texts that keep fewer hashes.
+LEAST_KEPT = 64
 PART_BYTES = 8 << 20
 MAX_PARTS = 20_000
 NO_ID = -(2**63)
@@ -28,11 +35,26 @@ OUT = (
 )
 
 
-def sketch(data: bytes, one_in: int = ONE_IN) -> np.ndarray:
-    """The sorted distinct shingle hashes below 2**64 / one_in.
+@dataclass(frozen=True)
+class Sketch:
+    """The sorted distinct hashes below 1 / ``one_in`` of their range, and the text's own hash
+    (None for several texts together)."""
+
+    hashes: np.ndarray
+    one_in: int
+    whole: bytes | None
+
+    def at(self, one_in: int) -> np.ndarray:
+        """The hashes that a smaller fraction would have kept."""
+        return self.hashes[: np.searchsorted(self.hashes, (1 << HASH_BITS) // one_in)]
+
+
+def sketch(data: bytes, one_in: int = ONE_IN) -> Sketch:
+    """The sketch of a text.
 
     Shingles are all strings of 16 bytes; a shorter text is one shingle, an empty text has
-    none. So a sketch grows with its document, and short texts may keep nothing.
+    none. So a sketch grows with its document, and one with fewer than LEAST_KEPT hashes has
+    all shingles.
     """
     raw = np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
     if len(raw) >= SHINGLE_BYTES:
@@ -41,36 +63,58 @@ def sketch(data: bytes, one_in: int = ONE_IN) -> np.ndarray:
         hashes = span_hashes(raw, np.array([0]), np.array([len(raw)]))
     else:
         hashes = np.empty(0, np.uint64)
-    return np.unique(hashes[hashes < np.uint64((2**64 - 1) // one_in)])
+    hashes = hashes >> np.uint64(64 - HASH_BITS)
+    while True:
+        kept = np.unique(hashes[hashes < np.uint64((1 << HASH_BITS) // one_in)])
+        if one_in == 1 or len(kept) >= LEAST_KEPT:
+            return Sketch(kept, one_in, hashlib.blake2b(data, digest_size=8).digest())
+        one_in //= 2
 
 
-def as_text(kept: np.ndarray) -> str:
-    """Hashes in order, 16 hexadecimal digits each."""
-    return kept.astype(">u8").tobytes().hex()
+def as_text(kept: Sketch) -> str:
+    """The fraction, the text's hash and the hashes in order, five bytes each, in base 64."""
+    hashes = kept.hashes.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 3:].tobytes()
+    whole = "" if kept.whole is None else base64.b64encode(kept.whole).decode()
+    return f"{kept.one_in}:{whole}:{base64.b64encode(hashes).decode()}"
 
 
-def from_text(fingerprint: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(fingerprint), ">u8").astype(np.uint64)
+def from_text(fingerprint: str) -> Sketch:
+    one_in, whole, hashes = fingerprint.split(":")
+    five = np.frombuffer(base64.b64decode(hashes), np.uint8).reshape(-1, 5)
+    eight = np.hstack([np.zeros((len(five), 3), np.uint8), five])
+    kept = np.ascontiguousarray(eight).view(">u8").reshape(-1).astype(np.uint64)
+    return Sketch(kept, int(one_in), base64.b64decode(whole) if whole else None)
 
 
-def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def merged(a: Sketch, b: Sketch) -> Sketch:
     """The sketch of two documents taken together."""
-    return np.union1d(a, b)
+    one_in = max(a.one_in, b.one_in)
+    return Sketch(np.union1d(a.at(one_in), b.at(one_in)), one_in, None)
+
+
+def _shared(a: Sketch, b: Sketch) -> tuple[int, int, int]:
+    """Hashes in both, in a and in b, at a fraction that both have."""
+    one_in = max(a.one_in, b.one_in)
+    x, y = a.at(one_in), b.at(one_in)
+    return len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)
 
 
-def containment(a: np.ndarray, b: np.ndarray) -> float:
+def containment(a: Sketch, b: Sketch) -> float:
     """Estimated share of a's shingles that are in b; 0 where a's sketch is empty."""
-    return len(np.intersect1d(a, b, assume_unique=True)) / len(a) if len(a) else 0.0
+    both, n, _ = _shared(a, b)
+    return both / n if n else 0.0
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
+def likeness(a: Sketch, b: Sketch) -> float:
     """The larger of the two containments, which is that of the smaller sketch.
 
-    Two empty sketches are alike (1), an empty and a filled one are not (0).
+    Equal texts, empty ones too, have 1. Unequal ones have less, even where all hashes kept of
+    one are in the other; where nothing is kept of one, 0.
     """
-    if not len(a) or not len(b):
-        return float(len(a) == len(b))
-    return len(np.intersect1d(a, b, assume_unique=True)) / min(len(a), len(b))
+    if a.whole is not None and a.whole == b.whole:
+        return 1.0
+    both, n, m = _shared(a, b)
+    return both / max(min(n, m), both + 1) if n and m else 0.0
 
 
 def fingerprints(
