@@ -1,13 +1,15 @@
 """Near-duplicate vectors by collision-counting projections.
 
-Vectors are projected on random lines. On each line the values are sorted, and a vector
-collides with those in a window centred on it. Pairs are counted over all lines; those
-that collide often enough, at a count set by the recall wanted at the threshold itself,
-are verified by their cosine.
-
-A first line deals the vectors out: its window is so wide that linked vectors lie in one
-cell or in neighbouring ones, up to the same small share that the count may miss. Crowded
-cells are split into blocks, and every pair of blocks that may hold links is one task.
+Vectors are projected on random lines. A pair collides on a line if one lies in a window centred
+on the other; pairs that collide on enough lines, at a count set by the recall wanted at the
+threshold itself, are verified by their cosine.
+
+Pairs are only counted where they may pass: some lines at a time, cut into cells, make a table of
+buckets, and a pair is counted if it shares a bucket of one table at least. How many lines a table
+takes grows with the logarithm of the largest number of vectors with one label, so that a vector
+meets some tens of others by chance at any size; how many tables there are follows from the
+recall. Equal vectors are one vector from the start, however many copies there are, and a
+crowded bucket is dealt out in pairs of blocks.
 """
 
 from __future__ import annotations
@@ -18,37 +20,55 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.components import components
+from tablewright.llm.hashing import MIX2, ODD, mix
 from tablewright.sources.staging import drop_staged, stage
 
-BLOCK_VECTORS = 1024
+BLOCK_VECTORS = 4096
+# Pairs that a task looks at at a time.
+PAIRS = 1 << 18
 SEED = 20240917
+# Places on lines are sent as whole steps, in one byte each; windows are a step wider for it.
+STEP = 0.05
+# Width of a cell; the lines have places of deviation one.
+CELL = 1.5
+
+
+def same_cell(distance: float) -> float:
+    """The chance that two vectors so far apart lie in one cell of a line."""
+    x = CELL / distance
+    return 1.0 - math.erfc(x / math.sqrt(2.0)) - 2.0 / (math.sqrt(2.0 * math.pi) * x) * (1.0 - math.exp(-x * x / 2.0))
 
 
 @dataclass(frozen=True)
 class Projections:
-    """Lines, the window on each and the collisions that a candidate needs.
+    """Lines, the window on each, the collisions that a candidate needs, and the tables.
 
     For unit vectors whose cosine is ``threshold``, the difference on a line with normal
     components is normal with standard deviation sqrt(2 - 2 threshold), on every line for
     itself. So the chance to collide is known, and the number of collisions is binomial.
     ``needed`` is the largest count that such a pair reaches with the recall wanted; closer
-    pairs reach it more often. ``cell`` is the width that a pair's difference on the first
-    line exceeds as rarely.
+    pairs reach it more often. With ``keys`` lines to a table, a pair misses all ``tables`` as
+    rarely.
     """
 
     threshold: float
     n_lines: int
     window: float
     needed: int
-    cell: float
+    keys: int
+    tables: int
 
     @staticmethod
     def calibrated(
-        threshold: float, n_lines: int = 24, recall: float = 0.9999, window_deviations: float = 2.0
+        threshold: float,
+        n_lines: int = 24,
+        recall: float = 0.9999,
+        window_deviations: float = 2.0,
+        n_vectors: int = 1000,
     ) -> Projections:
         deviation = math.sqrt(2.0 - 2.0 * threshold)
         hit = math.erf(window_deviations / math.sqrt(2.0))
@@ -59,130 +79,173 @@ class Projections:
             if below > miss_share:
                 break
             needed = count + 1
-        reach = 1.0
-        while math.erfc(reach / math.sqrt(2.0)) > miss_share:
-            reach += 0.01
-        return Projections(
-            threshold, n_lines, window_deviations * deviation, needed, reach * deviation
-        )
+        keys = max(1, math.ceil(math.log(max(2, n_vectors)) / -math.log(same_cell(math.sqrt(2.0)))))
+        tables = math.ceil(math.log(miss_share) / math.log(1.0 - same_cell(deviation) ** keys))
+        return Projections(threshold, n_lines, window_deviations * deviation, needed, keys, tables)
 
-    def lines(self, dimensions: int) -> np.ndarray:
-        """The same random lines in every task; the first one deals the vectors out."""
-        return np.random.default_rng(SEED + dimensions).standard_normal(
-            (dimensions, self.n_lines + 1)
-        )
+    def lines(self, dimensions: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same random lines in every task, those of the count first, and where cells begin."""
+        rng = np.random.default_rng(SEED + dimensions)
+        n = self.n_lines + self.keys * self.tables
+        return rng.standard_normal((dimensions, n)), rng.uniform(0.0, CELL, self.keys * self.tables)
 
+    def places(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each unit vector: its places on the lines of the count, its bucket in each table."""
+        lines, begin = self.lines(units.shape[1])
+        at = units @ lines
+        steps = np.clip(np.floor(at[:, : self.n_lines] / STEP), -128, 127).astype(np.int8)
+        cells = np.floor((at[:, self.n_lines :] + begin) / CELL).astype(np.int64).view(np.uint64)
+        cells = cells.reshape(len(units), self.tables, self.keys)
+        buckets = np.broadcast_to(np.arange(self.tables, dtype=np.uint64) * ODD, cells.shape[:2]).copy()
+        for k in range(self.keys):
+            buckets = mix(buckets * MIX2 + cells[:, :, k] + ODD)
+        return steps, buckets
 
-def _projected(rule: Projections):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, np.ndarray] = {}
-        for batch in batches:
-            kept: list[tuple] = []
-            rows, names, labels = (batch.column(i) for i in range(3))
-            for i, vector in enumerate(batch.column(3)):
-                values = vector.as_py() if labels[i].is_valid and vector.is_valid else None
-                if not values or None in values:
-                    continue
-                unit = np.array(values, np.float64)
-                if not np.isfinite(unit).all() or not unit.any():
-                    continue
-                # Scaled first, so that no square overflows or vanishes.
-                unit = unit / np.abs(unit).max()
-                unit /= math.sqrt(float(unit @ unit))
-                if len(unit) not in known:
-                    known[len(unit)] = rule.lines(len(unit))
-                at = unit @ known[len(unit)]
-                cell = math.floor(at[0] / rule.cell)
-                kept.append(
-                    (rows[i].as_py(), names[i].as_py(), labels[i].as_py(), len(unit), cell, unit.tobytes(), at[1:].tobytes())
+    def collisions(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """On how many lines the windows of places a hold the places b, row by row."""
+        return (np.abs(a.astype(np.int16) - b) <= math.ceil(self.window / STEP)).sum(axis=1)
+
+
+def unit_vectors(vectors: pa.Array, fine: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places and unit vectors of the usable rows, some of one length at a time."""
+    sizes = np.diff(vectors.offsets.to_numpy())
+    ends = np.cumsum(sizes)
+    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    for dims in np.unique(sizes[fine]).tolist():
+        rows = np.flatnonzero(fine & (sizes == dims))
+        for i in range(0, len(rows), 512):
+            some = rows[i : i + 512]
+            values = flat[(ends[some] - dims)[:, None] + np.arange(dims)]
+            largest = np.abs(values).max(axis=1, initial=0.0)
+            good = np.isfinite(largest) & (largest > 0.0)
+            # Scaled first, so that no square overflows or vanishes.
+            values = values[good] / largest[good, None]
+            yield some[good], values / np.sqrt(np.einsum("ij,ij->i", values, values))[:, None]
+
+
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, id, label, dims, unit) of the vectors that may link."""
+    for batch in batches:
+        vectors = batch.column(3)
+        fine = np.asarray(batch.column(2).is_valid()) & np.asarray(vectors.is_valid())
+        for rows, units in unit_vectors(vectors, fine):
+            if len(rows):
+                kept = [batch.column(i).take(pa.array(rows)) for i in range(3)]
+                yield pa.RecordBatch.from_arrays(
+                    [*kept, pa.array([units.shape[1]] * len(rows), pa.int64()), pa.array([u.tobytes() for u in units], pa.binary())],
+                    names=["row", "id", "label", "dims", "unit"],
                 )
-            columns = list(zip(*kept, strict=True)) or [()] * 7
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(columns[0], pa.int64()),
-                    pa.array(columns[1], pa.int64()),
-                    pa.array(columns[2], pa.string()),
-                    pa.array(columns[3], pa.int64()),
-                    pa.array(columns[4], pa.int64()),
-                    pa.array(columns[5], pa.binary()),
-                    pa.array(columns[6], pa.binary()),
-                ],
-                names=["row", "id", "label", "dims", "cell", "unit", "at"],
-            )
 
-    return run
 
+def _buckets(rule: Projections):
+    """(row, label, dims, steps, buckets): a distinct vector's places and its bucket in each table."""
 
-def window_collisions(own: np.ndarray, others: np.ndarray, window: float) -> np.ndarray:
-    """Collisions of every own vector with every other one, counted over all lines.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims = batch.column(2).to_numpy()
+            for n in np.unique(dims).tolist():
+                all_rows = np.flatnonzero(dims == n)
+                for i in range(0, len(all_rows), 512):
+                    rows = all_rows[i : i + 512]
+                    data = b"".join(v.as_py() for v in batch.column(3).take(pa.array(rows)))
+                    steps, buckets = rule.places(np.frombuffer(data).reshape(len(rows), n))
+                    ends = pa.array(np.arange(0, buckets.size + 1, rule.tables, dtype=np.int32))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            *(batch.column(c).take(pa.array(rows)) for c in range(3)),
+                            pa.array([s.tobytes() for s in steps], pa.binary()),
+                            pa.ListArray.from_arrays(ends, pa.array(buckets.reshape(-1).view(np.int64))),
+                        ],
+                        names=["row", "label", "dims", "steps", "buckets"],
+                    )
 
-    Per line the others are sorted; an own vector's window is a range in that order, which
-    is marked by its two ends and filled by a running sum.
-    """
-    counts = np.zeros((len(own), len(others)), np.int8)
-    who = np.arange(len(own))
-    for line in range(own.shape[1]):
-        order = np.argsort(others[:, line])
-        values = others[order, line]
-        ends = np.zeros((len(own), len(others) + 1), np.int8)
-        ends[who, np.searchsorted(values, own[:, line] - window, "left")] += 1
-        ends[who, np.searchsorted(values, own[:, line] + window, "right")] -= 1
-        counts[:, order] += np.cumsum(ends[:, :-1], axis=1, dtype=np.int8)
-    return counts
+    return run
 
 
-def _links(rule: Projections):
-    """For one pair of blocks: links of every vector, and whom it hangs on."""
+def _candidates(rule: Projections):
+    """(a, b): pairs that share a bucket here and collide often enough."""
 
     def run(table: pa.Table) -> pa.Table:
+        bucket, task = table["bucket"].to_numpy(), table["task"].to_numpy()
         rows, side = table["row"].to_numpy(), table["side"].to_numpy()
-        order = np.lexsort((rows, side))
-        rows, side = rows[order], side[order]
-        unit, at = (
-            np.frombuffer(b"".join(v.as_py() for v in table[name].take(pa.array(order))), np.float64)
-            for name in ("unit", "at")
-        )
-        unit, at = unit.reshape(len(rows), -1), at.reshape(len(rows), -1)
-        left = np.flatnonzero(side == 0)
-        step, a, b = (table[name][0].as_py() for name in ("step", "a", "b"))
-        within = step == 0 and a == b
-        right = left if within else np.flatnonzero(side == 1)
-        if not len(left) or not len(right):
-            return table.select(["row"]).slice(0, 0).append_column(
-                "links", pa.array([], pa.int64())
-            ).append_column("parent", pa.array([], pa.int64()))
-        counts = window_collisions(at[left], at[right], rule.window)
-        i, j = np.nonzero(counts >= rule.needed)
-        i, j = left[i], right[j]
-        if within:
-            i, j = i[i < j], j[i < j]
-        near = np.empty(len(i), bool)
-        for a in range(0, len(i), 1 << 16):
-            some = slice(a, a + (1 << 16))
-            near[some] = np.einsum("ij,ij->i", unit[i[some]], unit[j[some]]) >= rule.threshold
-        i, j = i[near], j[near]
-        links = np.bincount(i, minlength=len(rows)) + np.bincount(j, minlength=len(rows))
-        parent = np.arange(len(rows))
-        while True:
-            # Every vector takes the least name among its links and theirs, until none changes.
-            before = parent.copy()
-            np.minimum.at(parent, i, before[j])
-            np.minimum.at(parent, j, before[i])
-            parent = parent[parent]
-            if (parent == before).all():
-                break
-        linked = np.flatnonzero(links)
-        return pa.table(
-            {
-                "row": pa.array(rows[linked], pa.int64()),
-                "links": pa.array(links[linked], pa.int64()),
-                "parent": pa.array(rows[parent[linked]], pa.int64()),
-            }
-        )
+        order = np.lexsort((rows, side, task, bucket))
+        bucket, task, rows, side = bucket[order], task[order], rows[order], side[order]
+        steps = np.frombuffer(b"".join(table["steps"].take(pa.array(order)).to_pylist()), np.int8)
+        steps = steps.reshape(len(rows), rule.n_lines)
+        own = np.concatenate(([True], (np.diff(bucket) != 0) | (np.diff(task) != 0)))
+        group = np.cumsum(own) - 1
+        both = np.bincount(group, side) > 0  # two blocks, whose own pairs are other tasks'
+        # Of equal groups next to each other every member meets those at each distance behind it.
+        behind = np.append(np.flatnonzero(own)[1:], len(rows))[group] - np.arange(len(rows)) - 1
+        found: list[np.ndarray] = [np.empty((0, 2), np.int64)]
+        for distance in range(1, int(behind.max(initial=0)) + 1):
+            at = np.flatnonzero(behind >= distance)
+            behind_at = at + distance
+            wanted = ~both[group[at]] | (side[at] != side[behind_at])
+            at, behind_at = at[wanted], behind_at[wanted]
+            for i in range(0, len(at), PAIRS):
+                a, b = at[i : i + PAIRS], behind_at[i : i + PAIRS]
+                enough = rule.collisions(steps[a], steps[b]) >= rule.needed
+                found.append(np.column_stack((rows[a[enough]], rows[b[enough]])))
+        pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    return run
+
+
+def _verified(threshold: float):
+    """The pairs whose cosine reaches the threshold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = np.zeros(batch.num_rows, bool)
+            sizes = np.array([len(v) for v in batch.column(2).to_pylist()], np.int64)
+            for size in np.unique(sizes).tolist():
+                at = np.flatnonzero(sizes == size)
+                x, y = (
+                    np.frombuffer(b"".join(batch.column(c).take(pa.array(at)).to_pylist())).reshape(len(at), -1)
+                    for c in (2, 3)
+                )
+                near[at] = np.einsum("ij,ij->i", x, y) >= threshold
+            yield batch.select(["a", "b"]).filter(pa.array(near))
 
     return run
 
 
+def candidate_pairs(distinct: DataFrame, rule: Projections, block_vectors: int) -> DataFrame:
+    """(a, b) of the distinct vectors that share a bucket and collide on enough lines."""
+    placed = distinct.select("row", "label", "dims", "unit").mapInArrow(
+        _buckets(rule), "row long, label string, dims long, steps binary, buckets array<long>"
+    )
+    members = placed.select(
+        "row", "steps", "label", "dims", F.explode("buckets").alias("cell")
+    ).select("row", "steps", F.xxhash64("label", "dims", "cell").alias("bucket"))
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    blocks = F.ceil(F.col("n") / F.lit(block_vectors))
+    block = F.pmod(F.xxhash64("row"), F.col("blocks"))
+    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    tasks = (
+        members.join(sizes, "bucket")
+        .select("bucket", "row", "steps", blocks.alias("blocks"))
+        .select("bucket", "row", "steps", "blocks", block.alias("block"), F.explode(every).alias("other"))
+        .select(
+            "bucket",
+            "row",
+            "steps",
+            (F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")).alias("task"),
+            (F.col("block") > F.col("other")).cast("int").alias("side"),
+        )
+    )
+    # Many buckets to a group, as most have two or three members; a block of a crowded one is alone.
+    parts = max(64, 4 * int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return (
+        tasks.withColumn("part", F.pmod(F.xxhash64("bucket", "task"), F.lit(parts)))
+        .groupBy("part")
+        .applyInArrow(_candidates(rule), "a long, b long")
+        .distinct()
+    )
+
+
 def near_vectors(
     vectors: DataFrame,
     threshold: float = 0.93,
@@ -202,70 +265,65 @@ def near_vectors(
     has none. An empty table gives no rows; other columns are not looked at.
     """
     spark = vectors.sparkSession
-    rule = Projections.calibrated(threshold, recall=recall)
-    numbered = vectors.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col(id_col).cast("long").alias("id"),
-        F.col(label_col).cast("string").alias("label"),
-        F.col(vector_col).cast("array<double>").alias("vector"),
-    )
-    all_path = stage(numbered, "vectors")
-    every = spark.read.parquet(all_path)
-    placed_path = stage(
-        every.mapInArrow(
-            _projected(rule),
-            "row long, id long, label string, dims long, cell long, unit binary, at binary",
+    staged: list[str] = []
+
+    def kept(df: DataFrame, label: str) -> DataFrame:
+        staged.append(stage(df, label))
+        return spark.read.parquet(staged[-1])
+
+    vector = F.col(vector_col).cast("array<double>")
+    every = kept(
+        vectors.select(
+            F.monotonically_increasing_id().alias("row"),
+            F.col(id_col).cast("long").alias("id"),
+            F.col(label_col).cast("string").alias("label"),
+            F.when(F.forall(vector, lambda c: c.isNotNull()) & (F.size(vector) > 0), vector).alias("vector"),
         ),
-        "projected",
-    )
-    placed = spark.read.parquet(placed_path)
-    kind = ["label", "dims", "cell"]
-    cells = placed.groupBy(*kind).agg(
-        F.ceil(F.count("*") / F.lit(block_vectors)).alias("blocks")
-    )
-    # The neighbours' blocks, read from the small table of cells.
-    beside = Window.partitionBy("label", "dims").orderBy("cell").rangeBetween
-    cells = cells.select(
-        *kind,
-        "blocks",
-        F.coalesce(F.sum("blocks").over(beside(-1, -1)), F.lit(0)).alias("blocks_before"),
-        F.coalesce(F.sum("blocks").over(beside(1, 1)), F.lit(0)).alias("blocks_after"),
+        "vectors",
     )
-    upto = lambda n: F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)
-    some = lambda n, of: F.when(n > 0, F.transform(upto(n), of)).otherwise(F.array().cast(
-        "array<struct<cell:bigint,a:bigint,step:bigint,b:bigint,side:int>>"
-    ))
-    block = F.col("block")
-    task = lambda cell, a, step, b, side: F.struct(
-        cell.cast("long").alias("cell"), a.cast("long").alias("a"), F.lit(step).cast("long").alias("step"),
-        b.cast("long").alias("b"), side.cast("int").alias("side"),
+    units = kept(every.mapInArrow(_units, "row long, id long, label string, dims long, unit binary"), "units")
+    distinct = kept(
+        units.groupBy("label", "dims", "unit").agg(
+            F.min("row").alias("rep"), F.count("*").alias("copies"), F.min("id").alias("least")
+        ),
+        "distinct",
+    ).withColumnRenamed("rep", "row")
+    largest = distinct.groupBy("label", "dims").count().agg(F.max("count").alias("n")).first().n or 1
+    rule = Projections.calibrated(threshold, recall=recall, n_vectors=largest)
+    pairs = kept(candidate_pairs(distinct, rule, block_vectors), "candidates")
+    own = distinct.select("row", "unit")
+    links = kept(
+        pairs.join(own.select(F.col("row").alias("a"), F.col("unit").alias("x")), "a")
+        .join(own.select(F.col("row").alias("b"), F.col("unit").alias("y")), "b")
+        .select("a", "b", "x", "y")
+        .mapInArrow(_verified(threshold), "a long, b long"),
+        "links",
     )
-    own = some(
-        F.col("blocks"),
-        lambda i: task(F.col("cell"), F.least(block, i), 0, F.greatest(block, i), (block > i)),
+    roots, roots_path = components(links)
+    staged.append(roots_path)
+    times = distinct.select(F.col("row").alias("b"), "copies")
+    others = (
+        links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        .join(times, "b")
+        .groupBy("a")
+        .agg(F.sum("copies").alias("others"))
     )
-    after = some(F.col("blocks_after"), lambda i: task(F.col("cell"), block, 1, i, F.lit(0)))
-    before = some(F.col("blocks_before"), lambda i: task(F.col("cell") - 1, i, 1, block, F.lit(1)))
-    dealt = (
-        placed.join(cells, kind)
-        .withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")))
-        .select("row", "label", "dims", "unit", "at", F.explode(F.concat(own, after, before)).alias("t"))
-        .select("row", "unit", "at", "label", "dims", "t.*")
+    classes = (
+        distinct.join(roots.withColumnRenamed("node", "row"), "row", "left")
+        .join(others.withColumnRenamed("a", "row"), "row", "left")
+        .select(
+            "label", "dims", "unit", "least", F.coalesce("root", "row").alias("root"),
+            (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        )
     )
-    names = ["label", "dims", "cell", "a", "step", "b"]
-    found_path = stage(
-        dealt.groupBy(*names).applyInArrow(_links(rule), "row long, links long, parent long"),
-        "links",
+    least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = kept(classes.join(least, "root").select("label", "dims", "unit", "n_links", "component_id"), "classes")
+    linked = kept(
+        units.join(named, ["label", "dims", "unit"])
+        .where("n_links > 0")
+        .select("row", "n_links", "component_id"),
+        "linked",
     )
-    found = spark.read.parquet(found_path)
-    roots, roots_path = components(found.select(F.col("row").alias("a"), F.col("parent").alias("b")))
-    counts = found.groupBy("row").agg(F.sum("links").alias("n_links"))
-    linked = every.select("row", "id").join(counts, "row").join(
-        roots.withColumnRenamed("node", "row"), "row", "left"
-    ).withColumn("root", F.coalesce("root", "row"))
-    least = linked.groupBy("root").agg(F.min("id").alias("component_id"))
-    linked_path = stage(linked.join(least, "root").select("row", "n_links", "component_id"), "linked")
-    linked = spark.read.parquet(linked_path)
     component = F.when(F.col("n_links").isNull(), F.col("id")).otherwise(F.col("component_id"))
     out = stage(
         every.select("row", "id")
@@ -278,6 +336,6 @@ def near_vectors(
         ),
         "near_vectors",
     )
-    for path in (all_path, placed_path, found_path, roots_path, linked_path):
+    for path in staged:
         drop_staged(spark, path)
     return spark.read.parquet(out)

@@ -2,25 +2,54 @@ import math
 import random
 
 import numpy as np
+import pytest
 
-from tablewright.llm.collision_projections import Projections, near_vectors, window_collisions
+from tablewright.llm.collision_projections import Projections, near_vectors
 from tests.llm.support import CLASHES, roots
 
 
-def test_collisions_are_counted():
-    rng = np.random.default_rng(2)
-    own, others = rng.normal(size=(40, 9)), rng.normal(size=(55, 9))
-    expected = (np.abs(own[:, None, :] - others[None, :, :]) <= 0.5).sum(axis=2)
-    assert (window_collisions(own, others, 0.5) == expected).all()
-
-
 def test_needed_count_is_calibrated():
     rule = Projections.calibrated(0.93)
     rng = np.random.default_rng(3)
-    apart = rng.normal(size=(20_000, rule.n_lines + 1)) * math.sqrt(2 - 2 * 0.93)
-    assert ((np.abs(apart[:, 1:]) <= rule.window).sum(axis=1) >= rule.needed).mean() >= 0.9995
-    assert (np.abs(apart[:, 0]) <= rule.cell).mean() >= 0.9995
-    assert ((np.abs(apart[:, 1:]) <= rule.window).sum(axis=1) >= rule.needed + 3).mean() < 0.9995
+    apart = rng.normal(size=(20_000, rule.n_lines)) * math.sqrt(2 - 2 * 0.93)
+    hits = (np.abs(apart) <= rule.window).sum(axis=1)
+    assert (hits >= rule.needed).mean() >= 0.9995
+    assert (hits >= rule.needed + 3).mean() < 0.9995
+
+
+def pairs_at(cosine, n, dims, rng):
+    x = rng.normal(size=(n, dims))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    y = rng.normal(size=(n, dims))
+    y -= (x * y).sum(axis=1)[:, None] * x
+    y /= np.linalg.norm(y, axis=1)[:, None]
+    return x, cosine * x + math.sqrt(1 - cosine**2) * y
+
+
+@pytest.mark.parametrize("n_vectors", [50, 5000, 200_000])
+def test_pairs_at_the_threshold_meet_and_collide(n_vectors):
+    """Nearly all of them, though the lines of a table grow with the number of vectors."""
+    rule = Projections.calibrated(0.93, n_vectors=n_vectors)
+    x, y = pairs_at(0.93, 2000, 64, np.random.default_rng(4))
+    (a, p), (b, q) = rule.places(x), rule.places(y)
+    assert p.shape == (2000, rule.tables)
+    assert (p == q).any(axis=1).mean() > 0.995
+    assert (rule.collisions(a, b) >= rule.needed).mean() > 0.995
+    exact = np.abs((x - y) @ rule.lines(64)[0][:, : rule.n_lines]) <= rule.window
+    assert (rule.collisions(a, b) >= exact.sum(axis=1)).all()
+
+
+def test_vectors_meet_few_others_by_chance():
+    """A stated share of all pairs, which falls as the number of vectors grows."""
+    rng = np.random.default_rng(5)
+    met = []
+    for n in (500, 2000, 8000):
+        units = rng.normal(size=(n, 64))
+        _, buckets = Projections.calibrated(0.93, n_vectors=n).places(units / np.linalg.norm(units, axis=1)[:, None])
+        sizes = [np.unique(column, return_counts=True)[1] for column in buckets.T]
+        met.append(sum(float((s * (s - 1)).sum()) for s in sizes) / n)
+    assert max(met) < 100 and met[2] < 3 * met[0]
+    assert met[2] / 8000 < 0.02
 
 
 def vectors(seed):
@@ -93,6 +122,24 @@ def test_crowded_cells(spark):
     held_against_all_pairs(spark, rows, block_vectors=9)
 
 
+def test_many_vectors_of_one_label(spark):
+    """Recall over all links of a table with one label, copies and a crowd of near copies."""
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=(6000, 32))
+    near = base[:1500] + rng.normal(size=(1500, 32)) * 0.25
+    crowd = base[0] + rng.normal(size=(400, 32)) * 0.15
+    x = np.concatenate([base, near, crowd, np.repeat(base[1:2], 300, axis=0)])
+    df = spark.createDataFrame([(i, 1, v) for i, v in enumerate(x.tolist())], "vec_id long, label int, embedding array<double>")
+    units = x / np.linalg.norm(x, axis=1)[:, None]
+    links = np.zeros(len(x), int)
+    for i in range(0, len(x), 500):
+        links[i : i + 500] = (units[i : i + 500] @ units.T >= 0.93).sum(axis=1) - 1
+    got = np.zeros(len(x), int)
+    for r in near_vectors(df, block_vectors=128).collect():
+        got[r.vec_id] = r.n_links
+    assert (got <= links).all() and got.sum() >= 0.999 * links.sum()
+
+
 def test_ids_null_and_repeated(spark):
     v = [1.0, 2.0, 3.0]
     rows = [(None, 1, v), (5, 1, v), (5, 1, v), (7, 1, [-1.0, 0.0, 0.0]), (None, 2, v)]
