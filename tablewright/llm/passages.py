@@ -5,16 +5,17 @@ of its k-unit strings, the one with the least hash (the leftmost of equals), its
 Equal windows have equal anchors at the same offset, so a window can only repeat if its
 anchor does. Three exchanges, none of which moves whole texts:
 
-1. Every chunk sends the hashes of its distinct anchors, four bytes each, to the group of
-   the hash. A group answers with one bit per hash: also seen in another chunk or not. A
-   false yes only costs work.
+1. Every chunk sends the hashes of its distinct anchors, four bytes each, and in how many
+   different texts it has them, to the group of the hash. A group answers with two bits per hash: also seen in another
+   chunk or not, and hot or not. A false yes only costs work.
 2. Around anchors that repeat, a chunk cuts the text of all windows naming them. Equal cuts
    of a chunk travel once. The cuts of an anchor meet in one group, which finds the windows
-   that repeat by the operator's own method.
+   that repeat by the operator's own method. Windows at a hot anchor go one by one, by their
+   first and last grams as well, so the contexts of a common string are dealt out.
 3. The ranges of repeated windows return to their chunks.
 
 So what a task holds of one anchor is bounded by its distinct cuts and the number of
-chunks, not by how often a passage occurs.
+chunks, not by how often a passage occurs, and a string in very many contexts is split.
 """
 
 from __future__ import annotations
@@ -28,11 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.chunks import BODY, Chunk, Chunks, chunks_in
-from tablewright.llm.hashing import byte_grams, grams, mix, span_hashes, word_spans
+from tablewright.llm.hashing import ODD, byte_grams, grams, mix, span_hashes, word_spans
 
 BLOCK_UNITS = 1 << 16
 BATCH_BYTES = 2 << 20
 GROUP_BYTES = 32 << 20
+# Different texts around an anchor, added up over chunks, from which on it is hot.
+HOT_RUNS = 2000
 CUTS = (
     "`group` long, chunk long, lengths binary, anchors binary, ranks binary, copies binary, "
     "places binary, starts binary, ends binary, text binary"
@@ -123,14 +126,61 @@ class Units:
         return mix(h ^ np.uint64(0x9E3779B97F4A7C15)), anchor, begin, end
 
 
+    def split(
+        self, hashes: np.ndarray, begins: np.ndarray, ends: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each window by itself, with its first and last gram in its name: if all of its other
+        grams are common ones, these are not, unless the whole window is."""
+        width = self.windows.width
+        span = width - self.windows.gram + 1
+        names, firsts = [], []
+        for name, a, b in zip(hashes, begins.tolist(), ends.tolist(), strict=True):
+            seen = self.gram_hashes(a, b + width - 1)
+            names.append(mix(name ^ mix(seen[: b - a]) ^ mix(seen[span - 1 :] + ODD)))
+            firsts.append(np.arange(a, b))
+        first = np.concatenate(firsts)
+        return np.concatenate(names), first, first + 1
+
+    def contexts(self, hashes: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct anchors, and how many different texts the runs of each have."""
+        stops = ends + self.windows.width - 1
+        if self.starts is None:
+            low, high = begins, stops
+        else:
+            low, high = self.starts[begins], self.ends[stops - 1]
+        text = np.empty(len(begins), np.uint64)
+        # Runs lie in the order of the text, so blocks of them are blocks of it.
+        for i in range(0, len(begins), BLOCK_UNITS >> 4):
+            some = slice(i, i + (BLOCK_UNITS >> 4))
+            least, most = int(low[some].min()), int(high[some].max())
+            text[some] = span_hashes(self.data[least:most], low[some] - least, high[some] - least)
+        order = np.lexsort((text, hashes))
+        names, text = hashes[order], text[order]
+        fresh = np.concatenate(([True], (names[1:] != names[:-1]) | (text[1:] != text[:-1])))[: len(names)]
+        return np.unique(names[fresh], return_counts=True)
+
+
+def _spread(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(who, which): count[i] successive numbers from first[i] on, for every i."""
+    who = np.repeat(np.arange(len(count)), count)
+    inside = np.arange(len(who)) - np.repeat(np.cumsum(count) - count, count)
+    return who, first[who] + inside
+
+
 def _raw(values: np.ndarray, kind: str) -> bytes:
     return np.ascontiguousarray(values, dtype=kind).tobytes()
 
 
 def _anchor_rows(windows: Windows, n_groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        compress = zstandard.ZstdCompressor(level=1).compress
         for chunk, _ in chunks_in(batches):
-            hashes = np.unique(Units(chunk, windows).runs()[0])
+            units = Units(chunk, windows)
+            found, _, begins, ends = units.runs()
+            hashes, runs = units.contexts(found, begins, ends)
+            runs = runs.clip(max=np.iinfo(np.uint16).max)
             group = hashes % np.uint64(n_groups)
             order = np.argsort(group, kind="stable")
             names, first = np.unique(group[order], return_index=True)
@@ -140,22 +190,44 @@ def _anchor_rows(windows: Windows, n_groups: int):
                     pa.array(names.astype(np.int64)),
                     pa.array(np.full(len(names), chunk.number, np.int64)),
                     pa.array([_raw(p, "<u4") for p in parts[: len(names)]], pa.binary()),
+                    # Nearly all anchors have one run.
+                    pa.array([compress(_raw(p, "<u2")) for p in np.split(runs[order], first[1:])[: len(names)]], pa.binary()),
                 ],
-                names=["group", "chunk", "hashes"],
+                names=["group", "chunk", "hashes", "runs"],
             )
 
     return run
 
 
-def _seen_elsewhere(table: pa.Table) -> pa.Table:
-    """One bit per hash of each chunk: whether another chunk has it too."""
-    lists = [np.frombuffer(h.as_py(), "<u4") for h in table["hashes"]]
-    values, counts = np.unique(np.concatenate(lists), return_counts=True)
-    often = counts > 1
-    bits = [np.packbits(often[np.searchsorted(values, part)]).tobytes() for part in lists]
-    return pa.table(
-        {"chunk": table["chunk"], "group": table["group"], "bits": pa.array(bits, pa.binary())}
-    )
+def _seen_elsewhere(hot_runs: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Two bits per hash of each chunk: whether another chunk has it too, whether it is hot."""
+        import zstandard
+
+        decompress = zstandard.ZstdDecompressor().decompress
+        lists = [np.frombuffer(h.as_py(), "<u4") for h in table["hashes"]]
+        runs = [
+            np.frombuffer(decompress(r.as_py(), max_output_size=max(1, 2 * len(h))), "<u2")
+            for r, h in zip(table["runs"], lists, strict=True)
+        ]
+        values, at, counts = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+        often = counts > 1
+        hot = np.bincount(at, np.concatenate(runs), len(values)) >= hot_runs
+        bits, warm = [], []
+        for part in lists:
+            place = np.searchsorted(values, part)
+            bits.append(np.packbits(often[place]).tobytes())
+            warm.append(np.packbits(hot[place]).tobytes() if hot[place].any() else b"")
+        return pa.table(
+            {
+                "chunk": table["chunk"],
+                "group": table["group"],
+                "bits": pa.array(bits, pa.binary()),
+                "hot": pa.array(warm, pa.binary()),
+            }
+        )
+
+    return run
 
 
 def _cut_rows(windows: Windows, n_groups: int, first_only: bool):
@@ -163,21 +235,33 @@ def _cut_rows(windows: Windows, n_groups: int, first_only: bool):
 
     def rows_of(chunk: Chunk, answers: list[dict]) -> pa.RecordBatch | None:
         units = Units(chunk, windows)
-        hashes, anchors, begins, ends = units.runs()
+        hashes, _, begins, ends = units.runs()
         known, counts = np.unique(hashes, return_counts=True)
         # Two runs of one place (cut at a block's border) count as a repeat; that is harmless.
-        flags = counts > 1
+        flags, hot = counts > 1, np.zeros(len(known), bool)
         group = known % np.uint64(n_groups)
         order = np.argsort(group, kind="stable")
         names, first = np.unique(group[order], return_index=True)
-        bits = {a["group"]: np.frombuffer(a["bits"], np.uint8) for a in answers or ()}
+        said = {a["group"]: a for a in answers or ()}
         for name, part in zip(names.tolist(), np.split(order, first[1:]), strict=False):
-            if name in bits:
-                flags[part] |= np.unpackbits(bits[name], count=len(part)).astype(bool)
-        run = np.flatnonzero(flags[np.searchsorted(known, hashes)])
-        if not len(run):
+            if name in said:
+                for flag, bits in ((flags, said[name]["bits"]), (hot, said[name]["hot"])):
+                    if bits:
+                        flag[part] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=len(part)).astype(bool)
+        place = np.searchsorted(known, hashes)
+        run = flags[place]
+        if not run.any():
             return None
-        begins, ends, hashes = begins[run], ends[run] + width - 1, hashes[run]
+        warm = run & hot[place]
+        if warm.any():
+            parted = units.split(hashes[warm], begins[warm], ends[warm])
+            cold = run & ~warm
+            hashes, begins, ends = (
+                np.concatenate((own[cold], more)) for own, more in zip((hashes, begins, ends), parted, strict=True)
+            )
+        else:
+            hashes, begins, ends = hashes[run], begins[run], ends[run]
+        ends = ends + width - 1
         # Equal cuts of the chunk, exactly; equal cuts have equal anchors.
         numbers: dict[bytes, int] = {}
         number = numbers.setdefault
@@ -247,13 +331,6 @@ def _cut_rows(windows: Windows, n_groups: int, first_only: bool):
 Finder = Callable[[list[bytes], np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
-def _spread(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(who, which): count[i] successive numbers from first[i] on, for every i."""
-    who = np.repeat(np.arange(len(count)), count)
-    inside = np.arange(len(who)) - np.repeat(np.cumsum(count) - count, count)
-    return who, first[who] + inside
-
-
 def _settle(windows: Windows, find: Finder, first_only: bool):
     width = windows.width
 
@@ -344,11 +421,11 @@ def repeated_ranges(chunks: Chunks, windows: Windows, find: Finder, first_only:
     answers = (
         chunks.scan()
         .select(*BODY)
-        .mapInArrow(_anchor_rows(windows, n_groups), "`group` long, chunk long, hashes binary")
+        .mapInArrow(_anchor_rows(windows, n_groups), "`group` long, chunk long, hashes binary, runs binary")
         .groupBy("group")
-        .applyInArrow(_seen_elsewhere, "chunk long, `group` long, bits binary")
+        .applyInArrow(_seen_elsewhere(HOT_RUNS), "chunk long, `group` long, bits binary, hot binary")
         .groupBy("chunk")
-        .agg(F.collect_list(F.struct("group", "bits")).alias("answers"))
+        .agg(F.collect_list(F.struct("group", "bits", "hot")).alias("answers"))
     )
     return (
         chunks.with_messages(answers)

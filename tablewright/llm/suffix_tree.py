@@ -21,7 +21,7 @@ from tablewright.sources.staging import drop_staged, stage
 
 WIDTH = 35
 GRAM = 12
-GROUP_SUFFIXES = 1 << 18
+GROUP_SUFFIXES = 1 << 15
 KEPT = "id long, n_words long, n_removed long, kept_sha256 string"
 
 

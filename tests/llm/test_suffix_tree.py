@@ -4,8 +4,8 @@ from collections import Counter
 
 import numpy as np
 
-from tablewright.llm.suffix_tree import cleaned_documents, find_repeats, prefix_groups, without_repeats
-from tests.llm.support import hard_documents, removed_words, table
+from tablewright.llm.suffix_tree import GROUP_SUFFIXES, WIDTH, cleaned_documents, find_repeats, prefix_groups, without_repeats
+from tests.llm.support import hard_documents, removed_words, sentence, table
 
 
 def test_groups_hold_all_repeated_prefixes():
@@ -65,6 +65,27 @@ def test_blocks_batches_and_ids(spark, monkeypatch):
     held_against_plain_search(spark, rows, chunk_bytes=30_000)
 
 
+def test_one_string_in_many_contexts(spark, monkeypatch):
+    from tablewright.llm import passages
+
+    rng = random.Random(9)
+    hot = " ".join(f"common{i}" for i in range(14))
+    rows = [(i, sentence(rng, 30) + " " + hot + " " + sentence(rng, 30)) for i in range(90)]
+    rows += [(500 + i, rows[i][1]) for i in range(0, 90, 9)]
+    monkeypatch.setattr(passages, "HOT_RUNS", 20)
+    monkeypatch.setattr(passages, "GROUP_BYTES", 1 << 9)
+    held_against_plain_search(spark, rows, chunk_bytes=9000)
+
+
+def test_prefixes_part_a_batch_with_production_bounds():
+    """A batch of ordinary size has more suffixes than a group: prefixes of words split it."""
+    rng = np.random.default_rng(4)
+    words = rng.integers(0, 3000, 200_000)
+    suffixes = np.arange(len(words) - WIDTH)
+    groups = list(prefix_groups(words, suffixes, WIDTH, GROUP_SUFFIXES))
+    assert len(groups) > 4 and max(len(group) for _, group in groups) <= GROUP_SUFFIXES
+
+
 def test_documents_keep_their_columns(spark):
     rows = hard_documents()
     docs = table(spark, rows)
