@@ -2,11 +2,18 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from tablewright.operators.features import fit_features, learner
+from tablewright.operators.features import fit_features, index_models, learner
 from tablewright.plans.score import score_rows
 from tablewright.roles import ColumnRoles
 from tablewright.sources.tables import to_requests, to_split_requests
-from tablewright.streaming.score import marked_batch, read_stream, score_files, score_stream, text_schema
+from tablewright.streaming.score import (
+    marked_batch,
+    read_stream,
+    score_files,
+    score_stream,
+    text_schema,
+    write_stream,
+)
 from tests.support import rows, write_lines
 
 ROLES = ColumnRoles("y", ("o_orderkey",), ("o_orderpriority",), ("o_totalprice",))
@@ -163,3 +170,16 @@ def test_files_of_requests(spark, model, orders, tmp_path):
     assert rows(broken.select("value")) == [("no json",)]
     with pytest.raises(ValueError, match="Unknown format 'orc'"):
         marked_batch(spark, [], "orc", wide.schema)
+
+
+def test_a_joined_dictionary_in_a_stream(spark, orders, tmp_path):
+    """A wide column's index is a join with a table, in a stream as in a batch."""
+    rows_in = orders.withColumn("o_orderpriority", F.concat_ws("-", "o_orderpriority", F.col("o_orderkey") % 40))
+    (index,) = index_models(rows_in, ["o_orderpriority"], most_collected=10, wide=10)
+    source = str(tmp_path / "in")
+    rows_in.withColumn("o_orderpriority", F.when(F.col("o_orderkey") % 9 > 0, F.col("o_orderpriority"))).write.parquet(source)
+    stream = read_stream(spark, source, rows_in.schema)
+    write_stream(index.transform(stream), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    found = spark.read.parquet(str(tmp_path / "out"))
+    expected = index.transform(spark.read.parquet(source))
+    assert found.count() == expected.count() and found.exceptAll(expected.select(found.columns)).count() == 0
