@@ -61,10 +61,12 @@ pairs AS (
     GROUP BY x.doc_id, y.doc_id
 ),
 links AS (SELECT a, b FROM pairs WHERE 100 * both_have >= 90 * (na + nb - both_have)),
-{_CLASSES}
+{_CLASSES},
+counts AS (SELECT a, count(*) AS n FROM both_ways GROUP BY a)
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles,
-       coalesce(l.component_id, s.doc_id) AS component_id
-FROM sets s LEFT JOIN least l ON l.id = s.doc_id
+       coalesce(l.component_id, s.doc_id) AS component_id,
+       CAST(coalesce(c.n, 0) AS BIGINT) AS n_links
+FROM sets s LEFT JOIN least l ON l.id = s.doc_id LEFT JOIN counts c ON c.a = s.doc_id
 """
 
 OP3 = """

@@ -31,7 +31,7 @@ def op1_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = shingle_classes(read(spark, sf_dir, "documents"), k=3, num=9, den=10)
-    return classes.select("doc_id", "n_shingles", "component_id")
+    return classes.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
