@@ -34,6 +34,7 @@ from tablewright.llm.hashing import ODD, byte_grams, grams, mix, span_hashes, wo
 BLOCK_UNITS = 1 << 16
 BATCH_BYTES = 2 << 20
 GROUP_BYTES = 32 << 20
+LEAST_GROUPS = 256
 # Different texts around an anchor, added up over chunks, from which on it is hot.
 HOT_RUNS = 2000
 CUTS = (
@@ -148,12 +149,12 @@ class Units:
             low, high = begins, stops
         else:
             low, high = self.starts[begins], self.ends[stops - 1]
-        text = np.empty(len(begins), np.uint64)
-        # Runs lie in the order of the text, so blocks of them are blocks of it.
-        for i in range(0, len(begins), BLOCK_UNITS >> 4):
-            some = slice(i, i + (BLOCK_UNITS >> 4))
-            least, most = int(low[some].min()), int(high[some].max())
-            text[some] = span_hashes(self.data[least:most], low[some] - least, high[some] - least)
+        if not len(low):
+            return hashes, np.empty(0, np.int64)
+        # Told apart by their first and last eight bytes.
+        padded = np.concatenate((self.data, np.zeros(8, np.uint8)))
+        eight = np.ndarray((len(padded) - 7,), "<u8", padded.data, strides=(1,))
+        text = eight[low] * ODD ^ eight[np.maximum(high - 8, low)]
         order = np.lexsort((text, hashes))
         names, text = hashes[order], text[order]
         fresh = np.concatenate(([True], (names[1:] != names[:-1]) | (text[1:] != text[:-1])))[: len(names)]
@@ -417,7 +418,8 @@ def repeated_ranges(chunks: Chunks, windows: Windows, find: Finder, first_only:
     With ``first_only`` windows of the document with the smallest id stay, else all
     windows that occur twice count. A chunk without repeats has no row.
     """
-    n_groups = chunks.groups(GROUP_BYTES)
+    # So many that no task gets several times the groups of another by chance.
+    n_groups = chunks.groups(GROUP_BYTES, least=LEAST_GROUPS)
     answers = (
         chunks.scan()
         .select(*BODY)

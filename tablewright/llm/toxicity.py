@@ -31,7 +31,7 @@ from tablewright.sources.staging import drop_staged, stage
 #: Bound of the fit: training documents.
 MAX_TRAINING = 200_000
 #: Tokens that a task gathers before it adds them up.
-MERGE_TOKENS = 1_000_000
+MERGE_TOKENS = 500_000
 MIN_DOCUMENTS = 2
 PRIOR_DOCUMENTS = 10.0
 PRIOR_EACH = 0.5
